@@ -492,3 +492,252 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: e.sql for k, e in REGISTRY.items() if e.sql is not None}
+
+# ============================================================================
+# Sources and sinks
+# ============================================================================
+from vitrine.constants import ORIGIN_FRESH  # noqa: E402
+from vitrine.sinks import writers as Wr  # noqa: E402
+from vitrine.sources import delimited as D  # noqa: E402
+from vitrine.sources import dictionary as Dic  # noqa: E402
+from vitrine.sources import landing as Ld  # noqa: E402
+from vitrine.sources import updates as U  # noqa: E402
+
+
+def _scratch(spark, d, name):
+    return lh(spark, d).path(f"scratch/{name}")
+
+
+def _source_fallback(spark, d):
+    missing = _scratch(spark, d, "fresh_download_absent")
+    df, origin = Ld.read_landing(spark, [(missing, ORIGIN_FRESH),
+                                         (lh(spark, d).landing_path(), ORIGIN_EXISTING_FILE)])
+    return B.bronze(df, origin).drop("_data_ingestao")
+
+
+register("source_fallback",
+         f"{W('bronze')} SELECT *, '{ORIGIN_EXISTING_FILE}' AS _arquivo_origem FROM bronze")(
+    _source_fallback)
+
+_EXPORT_HEADER = ";".join(LANDING_COLUMNS)
+
+
+def _export(spark, d):
+    path = _scratch(spark, d, "export_csv")
+    D.write_delimited(B.select_contract(lh(spark, d).bronze()), path)
+    return path
+
+
+def _sanitize_sql(c):
+    return (f"COALESCE(replace(replace(replace(CAST({c} AS VARCHAR), ';', ','), chr(13), ' '), "
+            f"chr(10), ' '), '')")
+
+
+register("csv_export_sanitize",
+         f"{W('bronze')} SELECT concat_ws(';', " + ", ".join(
+             _sanitize_sql(f"strftime(data, '%Y-%m-%d')" if c == "data" else c)
+             for c in LANDING_COLUMNS) + ") AS linha FROM bronze")(
+    lambda spark, d: D.read_lines(spark, _export(spark, d), _EXPORT_HEADER))
+
+
+def _landing_schema():
+    from pyspark.sql.types import StructType
+    from vitrine.constants import LANDING_TYPES
+    return StructType.fromDDL(", ".join(f"{c} {LANDING_TYPES[c]}" for c in LANDING_COLUMNS))
+
+
+def _csv_ingest(spark, d):
+    good, _bad = D.read_delimited(spark, _export(spark, d), _landing_schema())
+    return good
+
+
+_NULLIF_EMPTY = ", ".join(f"NULLIF({c}, '') AS {c}" if c in
+                          [k for k, v in __import__('vitrine.constants', fromlist=['x'])
+                           .LANDING_TYPES.items() if v == 'string'] else c
+                          for c in LANDING_COLUMNS)
+
+register("csv_ingest", f"{W('bronze')} SELECT {_NULLIF_EMPTY} FROM bronze")(_csv_ingest)
+
+
+def _header_clean(spark, d):
+    path = _scratch(spark, d, "export_bracket_header")
+    D.write_delimited(B.select_contract(lh(spark, d).bronze()), path,
+                      header_template="Fato_MaisVendidos[{col}]")
+    raw = spark.read.option("header", True).option("sep", ";").csv(path)
+    return D.clean_header(raw)
+
+
+register("header_clean",
+         f"{W('bronze')} SELECT " + ", ".join(
+             f"NULLIF(CAST({c} AS VARCHAR), '') AS {c}" for c in LANDING_COLUMNS) + " FROM bronze")(
+    _header_clean)
+
+
+def _zstd(spark, d):
+    path = _scratch(spark, d, "silver_zstd")
+    Wr.write_parquet(lh(spark, d).silver().drop("_data_processamento"), path, codec="zstd",
+                     sort=["data", "posicao_ranking"])
+    return spark.read.parquet(path)
+
+
+register("parquet_zstd_roundtrip", f"{W('silver')} SELECT * FROM silver")(_zstd)
+
+register("sorted_export",
+         f"{W('bronze')} SELECT * FROM bronze ORDER BY data ASC NULLS FIRST, "
+         f"posicao_ranking ASC NULLS FIRST")(
+    lambda spark, d: B.select_contract(lh(spark, d).bronze())
+    .orderBy(F.col("data").asc_nulls_first(), F.col("posicao_ranking").asc_nulls_first()))
+
+
+def _table_roundtrip(spark, d):
+    from vitrine.session import _RUN_ID
+    name = f"prata_mais_vendidos_{_RUN_ID}"
+    return Wr.save_table(lh(spark, d).silver().drop("_data_processamento"), name,
+                         path=_scratch(spark, d, "table_prata")).drop("_data_processamento")
+
+
+register("table_roundtrip", f"{W('silver')} SELECT * FROM silver")(_table_roundtrip)
+
+
+def _multi_sink(spark, d):
+    return Wr.write_all(lh(spark, d).silver().drop("_data_processamento"),
+                        [("parquet", "parquet", _scratch(spark, d, "multi_parquet")),
+                         ("csv", "csv", _scratch(spark, d, "multi_csv"))])
+
+
+register("multi_sink",
+         f"{W('silver')} SELECT 'parquet' AS destino, count(*) AS registros FROM silver "
+         f"UNION ALL SELECT 'csv', count(*) FROM silver")(_multi_sink)
+
+
+def _refresh(spark, d):
+    base = _scratch(spark, d, "versioned_base")
+    src = lh(spark, d).analytic(raw=True)
+    Wr.refresh(src.filter(F.col("data") < F.lit(lh(spark, d).reference(raw=True).last_date)), base)
+    Wr.refresh(src, base)  # the new drop replaces the base; metadata recomputed
+    cur = Wr.read_current(spark, base)
+    return Q.period_audit(cur).select("data_min", "data_max", "total_registros")
+
+
+register("refresh_profile",
+         f"{W('analytic_raw')} SELECT min(data) AS data_min, max(data) AS data_max, "
+         f"count(*) AS total_registros FROM analytic_raw")(_refresh)
+
+
+def _parse_updates(spark, d):
+    path = _scratch(spark, d, "updates_json")
+    U.updates_from_conversations(lh(spark, d).raw("conversations")).write.mode("overwrite").json(path)
+    return U.parse_updates(spark.read.schema(U.UPDATE_SCHEMA).json(path))
+
+
+register("parse_updates",
+         f"SELECT conv_id * {U.TURN_ID_FACTOR} + turn AS update_id, "
+         f"TIMESTAMP '{U.FEED_EPOCH}' + to_minutes(CAST(conv_id AS BIGINT)) + "
+         f"to_seconds(CAST(turn AS BIGINT)) AS ts, conv_id AS chat_id, "
+         f"CASE WHEN conv_id % {U.ANONYMOUS_EVERY} = 0 THEN 'Parceiro' "
+         f"ELSE 'Cliente ' || CAST(conv_id AS VARCHAR) END AS first_name, text "
+         f"FROM conversations WHERE role = 'user' AND text IS NOT NULL AND conv_id IS NOT NULL")(
+    _parse_updates)
+
+register("sample_rows")(lambda spark, d: lh(spark, d).silver().drop("_data_processamento")
+                        .limit(10))
+
+# ============================================================================
+# Taxonomy (derived from the data) and the fixed dictionary
+# ============================================================================
+from vitrine.operators import taxonomy as T  # noqa: E402
+
+register("taxonomy_flat",
+         f"{W('silver')} SELECT DISTINCT categoria, subcategoria, marca FROM silver")(
+    lambda spark, d: T.taxonomy_flat(lh(spark, d).silver()))
+
+register("taxonomy_categories",
+         f"{W('silver')} SELECT categoria, count(DISTINCT subcategoria) AS n_subcategorias "
+         f"FROM silver GROUP BY categoria")(
+    lambda spark, d: T.categories_summary(T.taxonomy_flat(lh(spark, d).silver())))
+
+register("taxonomy_subcategories",
+         f"{W('silver')}, f AS (SELECT DISTINCT categoria, subcategoria, marca FROM silver), "
+         f"r AS (SELECT *, row_number() OVER (PARTITION BY categoria, subcategoria ORDER BY "
+         f"marca ASC NULLS FIRST) AS rn FROM f) "
+         f"SELECT categoria, subcategoria, count(marca) AS n_marcas, "
+         f"string_agg(marca, ', ' ORDER BY rn) FILTER (WHERE rn <= {T.EXAMPLE_BRANDS}) AS exemplos "
+         f"FROM r GROUP BY categoria, subcategoria")(
+    lambda spark, d: T.subcategories_summary(T.taxonomy_flat(lh(spark, d).silver())))
+
+register("taxonomy_profile",
+         f"{W('silver')}, f AS (SELECT DISTINCT categoria, subcategoria, marca FROM silver) "
+         f"SELECT count(DISTINCT categoria) AS n_categorias, "
+         f"(SELECT count(*) FROM (SELECT DISTINCT categoria, subcategoria FROM f "
+         f"WHERE categoria IS NOT NULL AND subcategoria IS NOT NULL)) AS n_subcategorias, "
+         f"count(DISTINCT marca) AS n_marcas, count(*) AS n_entradas FROM f")(
+    lambda spark, d: T.taxonomy_profile(T.taxonomy_flat(lh(spark, d).silver())))
+
+
+def _fixed_pairs_sql():
+    from vitrine.constants import TAXONOMY
+    vals = ", ".join("('" + c.replace("'", "''") + "', '" + s.replace("'", "''") + "')"
+                     for c, subs in TAXONOMY.items() for s in subs)
+    return f"tax AS (SELECT * FROM (VALUES {vals}) v(categoria, subcategoria))"
+
+
+def _coverage(spark, d):
+    import os
+    path = _scratch(spark, d, "dicionario.json")
+    if path.startswith("/") or path.startswith("file:"):
+        local = path.replace("file:", "")
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        Dic.write_dictionary_file(local)
+    flat = Dic.taxonomy_flat(Dic.read_dictionary(spark, path))
+    return T.coverage(lh(spark, d).silver(), flat)
+
+
+register("taxonomy_coverage",
+         f"{W('silver', extra=[_fixed_pairs_sql()])} SELECT s.categoria, s.subcategoria, "
+         f"count(*) AS registros FROM silver s WHERE NOT EXISTS (SELECT 1 FROM tax t WHERE "
+         f"t.categoria = s.categoria AND t.subcategoria = s.subcategoria) "
+         f"GROUP BY s.categoria, s.subcategoria")(_coverage)
+
+# ============================================================================
+# Scalar rendering
+# ============================================================================
+from vitrine.functions import formatting as Fm  # noqa: E402
+
+register("format_date_br",
+         f"{W('dim_calendar')} SELECT data, strftime(data, '%d/%m/%Y') AS data_br FROM dim_calendar")(
+    lambda spark, d: lh(spark, d).dim_calendar().select("data",
+                                                        Fm.format_date_br("data").alias("data_br")))
+
+
+def _format_brl(spark, d):
+    cat = M.by_keys(lh(spark, d).analytic(), _period("ytd")(spark, d), ["categoria"])
+    return cat.select("categoria", "faturamento", "vendas",
+                      Fm.format_brl("faturamento").alias("faturamento_txt"),
+                      Fm.format_int_br("vendas").alias("vendas_txt"))
+
+
+register("format_brl",
+         f"{W('analytic', 'ref')}, c AS (SELECT categoria, {O.money_sum('fat_num')} AS faturamento, "
+         f"CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas FROM analytic, ref "
+         f"WHERE {O.period_where('ytd')} GROUP BY categoria) SELECT categoria, faturamento, vendas, "
+         f"'R$ ' || translate(format('{{:,.2f}}', faturamento), ',.', '.,') AS faturamento_txt, "
+         f"translate(format('{{:,.0f}}', CAST(vendas AS DOUBLE)), ',.', '.,') AS vendas_txt FROM c")(
+    _format_brl)
+
+register("strip_markup",
+         "SELECT conv_id, turn, translate(text, '" + __import__('vitrine.constants', fromlist=['x'])
+         .MARKUP_CHARS + "', '') AS texto_limpo FROM conversations")(
+    lambda spark, d: lh(spark, d).raw("conversations").select(
+        "conv_id", "turn", Fm.strip_markup("text").alias("texto_limpo")))
+
+
+def _pipe(spark, d):
+    from vitrine.operators.answers import pipe_table
+    cube = M.period_cube(spark, lh(spark, d).analytic(), _ref(spark, d)).filter("gid = 0")
+    return pipe_table(cube, "periodo",
+                      [F.col("faturamento").desc_nulls_last(), F.col("categoria").asc_nulls_first(),
+                       F.col("subcategoria").asc_nulls_first()],
+                      ["categoria", "subcategoria", "faturamento", "vendas"])
+
+
+register("pipe_table")(_pipe)

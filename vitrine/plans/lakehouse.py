@@ -116,6 +116,33 @@ class Lakehouse:
         return df.select(*[F.col(c).cast("int").alias(c) if c in ("ano", "mes") else F.col(c)
                            for c in ANALYTIC_COLUMNS])
 
+    # -- question answering -----------------------------------------------------
+    def questions(self) -> DataFrame:
+        from vitrine.operators import taxonomy
+        return self._materialize("questions", lambda: taxonomy.questions(
+            self.raw("conversations"), self.dim_category(), self.dim_calendar(), self.spark))
+
+    def lexicon(self) -> DataFrame:
+        from vitrine.operators import taxonomy
+        return taxonomy.lexicon(self.spark, self.dim_category())
+
+    def categories(self) -> DataFrame:
+        """Data categories with their position (name order)."""
+        return self.dim_category().groupBy("categoria").agg(F.min("sk_categoria").alias("pos"))
+
+    def routed(self) -> DataFrame:
+        from vitrine.operators.routing import route_questions
+        from vitrine.sources.dictionary import fixed_glossary
+        return self._materialize("routed", lambda: route_questions(
+            self.questions(), self.lexicon(), fixed_glossary(self.spark), self.categories(),
+            self.dim_category(), self.reference().last_date))
+
+    def answers(self) -> DataFrame:
+        from vitrine.operators.answers import answer_questions
+        r = self.reference()
+        return self._materialize("answers", lambda: answer_questions(
+            self.routed(), self.analytic(), r.last_date, r.rows))
+
     def reference(self, raw: bool = False) -> Reference:
         """Last date, first date and row count of the answer table (one
         aggregate row; the only values brought to the driver)."""

@@ -1,0 +1 @@
+"""Table, file and versioned writers."""
