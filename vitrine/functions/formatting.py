@@ -76,3 +76,31 @@ def word_pattern_col(keyword: Column) -> Column:
     narrowed the candidates, so the per-row regex cost stays small)."""
     return F.concat(F.lit(r"(^|[^\p{L}\p{M}\p{N}_])\Q"), keyword,
                     F.lit(r"\E([^\p{L}\p{M}\p{N}_]|$)"))
+
+
+def _template_parts(template: str):
+    """'a {x} b' -> ['a ', ('x',), ' b'] (placeholders as 1-tuples)."""
+    import re as _re
+    parts, pos = [], 0
+    for m in _re.finditer(r"\{(\w+)\}", template):
+        if m.start() > pos:
+            parts.append(template[pos:m.start()])
+        parts.append((m.group(1),))
+        pos = m.end()
+    if pos < len(template):
+        parts.append(template[pos:])
+    return parts
+
+
+def fill(template: str, **cols) -> Column:
+    """Fill ``{name}`` placeholders of a fixed text with columns (concat)."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else _col(cols[p[0]])
+                      for p in _template_parts(template)])
+
+
+def fill_sql(template: str, **exprs) -> str:
+    """SQL form of :func:`fill` (``||`` concatenation)."""
+    out = []
+    for p in _template_parts(template):
+        out.append("'" + p.replace("'", "''") + "'" if isinstance(p, str) else f"({exprs[p[0]]})")
+    return "(" + " || ".join(out) + ")"

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine import constants as K
-from vitrine.functions.formatting import br_number_text
+from vitrine.functions.formatting import br_number_text, fill
 from vitrine.operators.keys import broadcast_if_small
 from vitrine.operators.periods import period_match
 
@@ -156,15 +156,15 @@ def format_result_rows(answers: DataFrame, routed: DataFrame, ref_text: str,
     q = routed.filter(F.col("intent").isin(*DISPLAY.keys()) & (F.col("status") == "ok")) \
               .select("q_id", "user_name", "text", "aviso")
     j = q.join(per_q, "q_id", "left").join(counts, "q_id", "left")
-    header = F.format_string(K.REPLY_HEADER.replace("{user}", "%s"), F.col("user_name"))
-    question = F.format_string(K.REPLY_QUESTION.replace("{question}", "%s"), F.col("text"))
-    more = F.when(F.col("n_linhas") > n, F.format_string(
-        K.REPLY_MORE.replace("{n}", "%d"), (F.col("n_linhas") - n).cast("int"))).otherwise(F.lit(""))
+    header = fill(K.REPLY_HEADER, user="user_name")
+    question = fill(K.REPLY_QUESTION, question="text")
+    more = F.when(F.col("n_linhas") > n, fill(
+        K.REPLY_MORE, n=(F.col("n_linhas") - n).cast("string"))).otherwise(F.lit(""))
     footer = F.lit(K.REPLY_FOOTER.format(ref=ref_text))
     body = F.concat(header, F.when(F.col("aviso").isNotNull(),
                                    F.concat(F.col("aviso"), F.lit("\n"))).otherwise(F.lit("")),
                     question, F.col("bullets"), more, footer)
-    empty = F.format_string(K.REPLY_EMPTY.replace("{user}", "%s"), F.col("user_name"))
+    empty = fill(K.REPLY_EMPTY, user="user_name")
     return j.select("q_id", F.coalesce("n_linhas", F.lit(0)).alias("n_linhas"),
                     F.when(F.col("bullets").isNull(), empty).otherwise(body).alias("resposta"))
 

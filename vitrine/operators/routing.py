@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine import constants as K
-from vitrine.functions.formatting import regex_escape, word_match, word_pattern_col
+from vitrine.functions.formatting import fill, regex_escape, word_match, word_pattern_col
 from vitrine.operators.keys import broadcast_if_small
 
 NW = r"[^\p{L}\p{M}\p{N}_]"
@@ -52,10 +52,12 @@ def tokens(c: Column) -> Column:
 def ngrams(df: DataFrame, max_n: int, text: str = "t") -> DataFrame:
     """(q_id, gram): distinct word n-grams (1..max_n) of each question."""
     toks = tokens(F.col(text))
-    per_n = [F.when(F.size(toks) >= n, F.transform(
-        F.sequence(F.lit(0), F.size(toks) - n),
-        lambda i, n=n: F.array_join(F.slice(toks, i + 1, n), " "))).otherwise(
-        F.array().cast("array<string>")) for n in range(1, max_n + 1)]
+
+    def gram_at(n):  # one-argument lambda: transform() reads two as (element, index)
+        return lambda i: F.array_join(F.slice(toks, i + 1, n), " ")
+    per_n = [F.when(F.size(toks) >= n, F.transform(F.sequence(F.lit(0), F.size(toks) - n),
+                                                    gram_at(n)))
+             .otherwise(F.array().cast("array<string>")) for n in range(1, max_n + 1)]
     return df.select("q_id", F.explode(F.array_distinct(F.flatten(F.array(*per_n)))).alias("gram"))
 
 
@@ -68,7 +70,7 @@ def match_entities(q: DataFrame, lexicon: DataFrame) -> DataFrame:
     max_n = lex.agg(F.max(F.size(tokens(F.col("keyword"))))).first()[0] or 1
     cand = ngrams(q, int(max_n)).join(broadcast_if_small(lex), "gram")
     hits = (cand.join(q.select("q_id", "t"), "q_id")
-            .filter(F.col("t").rlike(word_pattern_col(F.col("keyword")))))
+            .filter(F.regexp_like(F.col("t"), word_pattern_col(F.col("keyword")))))
     is_sub = F.col("nivel") == "subcategoria"
     sub_rank = F.when(is_sub, F.col("priority"))
     cat_rank = F.when(~is_sub, F.col("priority"))
@@ -107,8 +109,8 @@ def glossary_lookup(q: DataFrame, glossary: DataFrame) -> DataFrame:
         F.when(F.size(rt) >= n, F.array_join(F.slice(rt, 1, n), " "))
         for n in range(1, int(max_n) + 1)])).alias("gram")).filter(F.col("gram").isNotNull())
     pref = (heads.join(broadcast_if_small(keys), "gram")
-            .filter(F.col("rest").rlike(F.concat(F.lit(r"^\Q"), F.col("form"),
-                                                 F.lit(r"\E(" + NW + "|$)"))))
+            .filter(F.regexp_like(F.col("rest"), F.concat(F.lit(r"^\Q"), F.col("form"),
+                                                          F.lit(r"\E(" + NW + "|$)"))))
             .select("q_id", "pos"))
     hits = exact.unionByName(pref).join(g, "pos")
     best = hits.groupBy("q_id").agg(
@@ -164,8 +166,8 @@ def resolve_period(q: DataFrame, ref: date) -> DataFrame:
     br_year = F.when(br_y != "", br_y).otherwise(F.lit(str(ref.year)))
     iso_text = F.concat_ws("-", iso_y, iso_m, iso_d)
     br_text = F.concat_ws("-", br_year, F.lpad(br_m, 2, "0"), F.lpad(br_d, 2, "0"))
-    day = F.when(has_iso, F.try_to_date(iso_text, F.lit("yyyy-MM-dd"))).when(
-        has_br, F.try_to_date(br_text, F.lit("yyyy-MM-dd")))
+    day = F.when(has_iso, F.try_to_date(iso_text, "yyyy-MM-dd")).when(
+        has_br, F.try_to_date(br_text, "yyyy-MM-dd"))
     kind = (F.when(ytd, "ytd").when(mtd, "mtd").when(yday, "yesterday")
             .when(has_iso | has_br, "date").otherwise("today"))
     yest = ref - timedelta(days=1)
@@ -202,11 +204,9 @@ def level_warning() -> Column:
     reverse."""
     sub_found = F.col("sub_name").isNotNull()
     cat_found = F.col("cat_name").isNotNull()
-    with_parent = F.format_string(
-        K.WARN_SUB_AS_CATEGORY_WITH_PARENT.replace("{sub}", "%1$s").replace("{parent}", "%2$s"),
-        F.col("sub_name"), F.col("sub_parent"))
-    no_parent = F.format_string(K.WARN_SUB_AS_CATEGORY.replace("{sub}", "%1$s"), F.col("sub_name"))
-    reverse = F.format_string(K.WARN_CATEGORY_AS_SUB.replace("{cat}", "%1$s"), F.col("cat_name"))
+    with_parent = fill(K.WARN_SUB_AS_CATEGORY_WITH_PARENT, sub="sub_name", parent="sub_parent")
+    no_parent = fill(K.WARN_SUB_AS_CATEGORY, sub="sub_name")
+    reverse = fill(K.WARN_CATEGORY_AS_SUB, cat="cat_name")
     return (F.when(F.col("disse_categoria") & sub_found & ~cat_found,
                    F.when(F.col("sub_parent").isNotNull(), with_parent).otherwise(no_parent))
             .when(F.col("disse_subcategoria") & cat_found & ~sub_found, reverse))

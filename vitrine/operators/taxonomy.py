@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.sources.dictionary import LEXICON_SCHEMA
 
 EXAMPLE_BRANDS = 3
 DATA_LEXICON_BASE = 100_000  # data keywords rank after every fixed keyword
@@ -120,7 +119,7 @@ def questions(conversations: DataFrame, dim_category: DataFrame, dim_calendar: D
     """Questions = user turns of the conversations table, plus questions
     generated from every category pair and every calendar date, plus a few
     fixed phrasings. Columns: q_id, user_name, text."""
-    conv = (conversations.filter(F.col("role") == "user")
+    conv = (conversations.filter((F.col("role") == "user") & F.col("text").isNotNull())
             .select((F.col("conv_id") * QID_CONVERSATION_FACTOR + F.col("turn")).alias("q_id"),
                     F.concat(F.lit("Cliente "), F.col("conv_id").cast("string")).alias("user_name"),
                     F.col("text")))

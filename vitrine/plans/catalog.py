@@ -741,3 +741,40 @@ def _pipe(spark, d):
 
 
 register("pipe_table")(_pipe)
+
+# ============================================================================
+# Question routing and answers
+# ============================================================================
+from vitrine.operators import answers as A  # noqa: E402
+from vitrine.operators import routing as R  # noqa: E402
+from vitrine.plans import oracle_routing as OR  # noqa: E402
+
+
+def _qn(spark, d):
+    return R.normalize(lh(spark, d).questions())
+
+
+register("match_entities", OR.MATCH_ENTITIES)(
+    lambda spark, d: R.match_entities(_qn(spark, d), lh(spark, d).lexicon()))
+
+register("glossary_lookup", OR.GLOSSARY_LOOKUP)(
+    lambda spark, d: R.glossary_lookup(_qn(spark, d), Dic.fixed_glossary(spark)))
+
+register("taxonomy_match", OR.TAXONOMY_MATCH)(
+    lambda spark, d: R.taxonomy_match(_qn(spark, d), lh(spark, d).categories()))
+
+register("resolve_period", OR.RESOLVE_PERIOD)(
+    lambda spark, d: R.resolve_period(_qn(spark, d), _ref(spark, d)).select(
+        "q_id", "kind", "periodo", "inicio", "fim", "p_ano", "p_mes", "period_status"))
+
+register("route_questions", OR.ROUTE_QUESTIONS)(lambda spark, d: lh(spark, d).routed())
+
+register("level_warning", OR.LEVEL_WARNING)(
+    lambda spark, d: lh(spark, d).routed().filter(F.col("aviso").isNotNull())
+    .select("q_id", "intent", "aviso"))
+
+register("answer_questions", OR.ANSWER_QUESTIONS)(lambda spark, d: lh(spark, d).answers())
+
+register("format_result_rows", OR.FORMAT_RESULT_ROWS)(
+    lambda spark, d: A.format_result_rows(lh(spark, d).answers(), lh(spark, d).routed(),
+                                          str(_ref(spark, d))))
