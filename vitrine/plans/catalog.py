@@ -778,3 +778,63 @@ register("answer_questions", OR.ANSWER_QUESTIONS)(lambda spark, d: lh(spark, d).
 register("format_result_rows", OR.FORMAT_RESULT_ROWS)(
     lambda spark, d: A.format_result_rows(lh(spark, d).answers(), lh(spark, d).routed(),
                                           str(_ref(spark, d))))
+
+# ============================================================================
+# Streaming
+# ============================================================================
+from vitrine.streaming import jobs as J  # noqa: E402
+
+
+def _stream_route(spark, d):
+    L = lh(spark, d)
+    in_dir, out = _scratch(spark, d, "st_updates_in"), _scratch(spark, d, "st_routed")
+    ckpt = _scratch(spark, d, "st_routed_ckpt")
+    feed = U.updates_from_conversations(L.raw("conversations"))
+    args = (L.lexicon(), Dic.fixed_glossary(spark), L.categories(), L.dim_category(),
+            _ref(spark, d))
+    feed.write.mode("overwrite").json(f"{in_dir}/drop_0001")
+    J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args)
+    feed.write.mode("overwrite").json(f"{in_dir}/drop_0002")  # a full replay of the feed
+    J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args)
+    return J.read_routed(spark, out)
+
+
+register("stream_route_questions", OR.STREAM_ROUTE_QUESTIONS)(_stream_route)
+
+
+def _stream_refresh(spark, d):
+    L = lh(spark, d)
+    in_dir, base = _scratch(spark, d, "st_drops"), _scratch(spark, d, "st_base")
+    prof, ckpt = _scratch(spark, d, "st_profile"), _scratch(spark, d, "st_refresh_ckpt")
+    landing = L.landing()
+    last = L.reference(raw=True).last_date
+    landing.filter(F.col("data") < F.lit(last)).write.mode("overwrite").parquet(f"{in_dir}/drop_0001")
+    J.refresh_stream(spark, f"{in_dir}/*", base, prof, ckpt, landing.schema)
+    landing.write.mode("overwrite").parquet(f"{in_dir}/drop_0002")
+    J.refresh_stream(spark, f"{in_dir}/*", base, prof, ckpt, landing.schema)
+    return spark.read.parquet(prof).select("versao", "data_min", "data_max", "total_registros")
+
+
+register("stream_refresh",
+         f"{W('analytic_raw')} SELECT 1 AS versao, min(data) AS data_min, max(data) AS data_max, "
+         f"count(*) AS total_registros FROM analytic_raw WHERE data < (SELECT max(data) FROM "
+         f"analytic_raw) UNION ALL SELECT 2, min(data), max(data), count(*) FROM analytic_raw")(
+    _stream_refresh)
+
+
+def _stream_dedup(spark, d):
+    L = lh(spark, d)
+    in_dir, out = _scratch(spark, d, "st_events_in"), _scratch(spark, d, "st_events_out")
+    ckpt = _scratch(spark, d, "st_events_ckpt")
+    events = L.raw("events")
+    events.write.mode("overwrite").parquet(f"{in_dir}/drop_0001")
+    J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema)
+    events.write.mode("overwrite").parquet(f"{in_dir}/drop_0002")  # replayed delivery
+    J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema)
+    return spark.read.parquet(out).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("eventos"), F.count_distinct("event_id").alias("ids"))
+
+
+register("stream_dedup_events",
+         "SELECT event_type, count(*) AS eventos, count(DISTINCT event_id) AS ids FROM events "
+         "GROUP BY event_type")(_stream_dedup)

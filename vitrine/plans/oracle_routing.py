@@ -32,6 +32,16 @@ def _kw_pattern_sql(col: str) -> str:
     return f"('(^|{NW})' || {esc} || '({NW}|$)')"
 
 
+def updates_questions_cte() -> str:
+    """Questions as they arrive through the update feed (one per user turn)."""
+    from vitrine.sources import updates as U
+    return (f"questions AS (SELECT conv_id * {U.TURN_ID_FACTOR} + turn AS q_id, "
+            f"CASE WHEN conv_id % {U.ANONYMOUS_EVERY} = 0 THEN {q(K.DEFAULT_USER_NAME)} "
+            f"ELSE 'Cliente ' || CAST(conv_id AS VARCHAR) END AS user_name, text "
+            f"FROM conversations WHERE role = 'user' AND text IS NOT NULL AND conv_id IS NOT NULL), "
+            "qn AS (SELECT q_id, user_name, text, lower(trim(text)) AS t FROM questions)")
+
+
 def questions_cte() -> str:
     parts = [f"SELECT conv_id * {T.QID_CONVERSATION_FACTOR} + turn AS q_id, "
              f"'Cliente ' || CAST(conv_id AS VARCHAR) AS user_name, text FROM conversations "
@@ -235,9 +245,9 @@ def routed_cte() -> str:
       FROM intents)"""
 
 
-def routing_with(*extra: str) -> str:
+def routing_with(*extra: str, source=None) -> str:
     return O.with_layers("analytic", "dim_calendar", "dim_category", extra=[
-        questions_cte(), lexicon_cte(), ents_cte(), glossary_cte(), taxmatch_cte(),
+        (source or questions_cte)(), lexicon_cte(), ents_cte(), glossary_cte(), taxmatch_cte(),
         *extra])
 
 
@@ -336,3 +346,7 @@ def format_cte() -> str:
 
 
 FORMAT_RESULT_ROWS = routing_with(routed_cte(), answers_cte(), format_cte()) + " SELECT * FROM replies"
+
+
+STREAM_ROUTE_QUESTIONS = (routing_with(routed_cte(), source=updates_questions_cte)
+                          + " SELECT * FROM routed")
