@@ -50,15 +50,17 @@ def tokens(c: Column) -> Column:
 
 
 def ngrams(df: DataFrame, max_n: int, text: str = "t") -> DataFrame:
-    """(q_id, gram): distinct word n-grams (1..max_n) of each question."""
-    toks = tokens(F.col(text))
+    """(q_id, gram): distinct word n-grams (1..max_n) of each question.
+    Tokens are computed once per row (a column), not inside the lambda."""
+    toks = F.col("_toks")
 
     def gram_at(n):  # one-argument lambda: transform() reads two as (element, index)
         return lambda i: F.array_join(F.slice(toks, i + 1, n), " ")
     per_n = [F.when(F.size(toks) >= n, F.transform(F.sequence(F.lit(0), F.size(toks) - n),
                                                     gram_at(n)))
              .otherwise(F.array().cast("array<string>")) for n in range(1, max_n + 1)]
-    return df.select("q_id", F.explode(F.array_distinct(F.flatten(F.array(*per_n)))).alias("gram"))
+    return (df.select("q_id", tokens(F.col(text)).alias("_toks"))
+            .select("q_id", F.explode(F.array_distinct(F.flatten(F.array(*per_n)))).alias("gram")))
 
 
 def match_entities(q: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -155,41 +157,66 @@ def _period_word(t: Column, w: str) -> Column:
 def resolve_period(q: DataFrame, ref: date) -> DataFrame:
     """Adds kind, periodo (label), inicio, fim, p_ano, p_mes, period_status.
     Order: YTD > MTD > yesterday > ISO date > BR date > today. Period words
-    must stand as whole words and not be followed by "passado"/"anterior"."""
+    must stand as whole words and not be followed by "passado"/"anterior".
+
+    Each regex is evaluated once per question (stage 1 columns); kind, date
+    and label are derived from those columns in later projections."""
     t = F.col("t")
-    ytd = reduce(lambda a, b: a | b, [_period_word(t, w) for w in K.YTD_WORDS])
-    mtd = reduce(lambda a, b: a | b, [_period_word(t, w) for w in K.MTD_WORDS])
-    yday = reduce(lambda a, b: a | b, [_period_word(t, w) for w in K.YESTERDAY_WORDS])
-    iso_y, iso_m, iso_d = (F.regexp_extract(t, ISO_RE, i) for i in (2, 3, 4))
-    br_d, br_m, br_y = (F.regexp_extract(t, BR_RE, i) for i in (2, 3, 4))
-    has_iso, has_br = iso_y != "", br_d != ""
-    br_year = F.when(br_y != "", br_y).otherwise(F.lit(str(ref.year)))
-    iso_text = F.concat_ws("-", iso_y, iso_m, iso_d)
-    br_text = F.concat_ws("-", br_year, F.lpad(br_m, 2, "0"), F.lpad(br_d, 2, "0"))
-    day = F.when(has_iso, F.try_to_date(iso_text, "yyyy-MM-dd")).when(
-        has_br, F.try_to_date(br_text, "yyyy-MM-dd"))
-    kind = (F.when(ytd, "ytd").when(mtd, "mtd").when(yday, "yesterday")
-            .when(has_iso | has_br, "date").otherwise("today"))
+    stage1 = q.withColumns({
+        "_ytd": reduce(lambda a, b: a | b, [_period_word(t, w) for w in K.YTD_WORDS]),
+        "_mtd": reduce(lambda a, b: a | b, [_period_word(t, w) for w in K.MTD_WORDS]),
+        "_yday": reduce(lambda a, b: a | b, [_period_word(t, w) for w in K.YESTERDAY_WORDS]),
+        "_iso": F.regexp_extract_all(t, F.lit(ISO_RE), 0),
+        "_br": F.regexp_extract_all(t, F.lit(BR_RE), 0),
+    })
+    # the first match of each date pattern, split into its parts
+    stage2 = stage1.withColumns({
+        "_iso1": F.try_element_at("_iso", F.lit(1)), "_br1": F.try_element_at("_br", F.lit(1))})
+    stage3 = stage2.withColumns({
+        "_iso_y": F.regexp_extract(F.coalesce("_iso1", F.lit("")), ISO_RE, 2),
+        "_iso_m": F.regexp_extract(F.coalesce("_iso1", F.lit("")), ISO_RE, 3),
+        "_iso_d": F.regexp_extract(F.coalesce("_iso1", F.lit("")), ISO_RE, 4),
+        "_br_d": F.regexp_extract(F.coalesce("_br1", F.lit("")), BR_RE, 2),
+        "_br_m": F.regexp_extract(F.coalesce("_br1", F.lit("")), BR_RE, 3),
+        "_br_y0": F.regexp_extract(F.coalesce("_br1", F.lit("")), BR_RE, 4),
+    })
+    has_iso, has_br = F.col("_iso_y") != "", F.col("_br_d") != ""
+    br_year = F.when(F.col("_br_y0") != "", F.col("_br_y0")).otherwise(F.lit(str(ref.year)))
+    stage4 = stage3.withColumns({
+        "_br_y": br_year,
+        "_iso_text": F.concat_ws("-", "_iso_y", "_iso_m", "_iso_d"),
+        "kind": (F.when(F.col("_ytd"), "ytd").when(F.col("_mtd"), "mtd")
+                 .when(F.col("_yday"), "yesterday").when(has_iso | has_br, "date")
+                 .otherwise("today")),
+    })
+    br_text = F.concat_ws("-", "_br_y", F.lpad("_br_m", 2, "0"), F.lpad("_br_d", 2, "0"))
+    stage5 = stage4.withColumn(
+        "_day", F.when(has_iso, F.try_to_date("_iso_text", "yyyy-MM-dd"))
+        .when(has_br, F.try_to_date(br_text, "yyyy-MM-dd")))
+    kind, day = F.col("kind"), F.col("_day")
     yest = ref - timedelta(days=1)
     label = (F.when(kind == "ytd", K.LABEL_YTD.format(yyyy=ref.year, ref=ref.isoformat()))
              .when(kind == "mtd", K.LABEL_MTD.format(mm=f"{ref.month:02d}", yyyy=ref.year,
                                                      ref=ref.isoformat()))
              .when(kind == "yesterday", K.LABEL_YESTERDAY.format(day=yest.isoformat()))
-             .when(has_iso, F.concat(F.lit("Data "), iso_text))
-             .when(has_br, F.concat(F.lit("Data "), F.lpad(br_d, 2, "0"), F.lit("/"),
-                                    F.lpad(br_m, 2, "0"), F.lit("/"), br_year))
+             .when(has_iso, F.concat(F.lit("Data "), F.col("_iso_text")))
+             .when(has_br, F.concat(F.lit("Data "), F.lpad("_br_d", 2, "0"), F.lit("/"),
+                                    F.lpad("_br_m", 2, "0"), F.lit("/"), F.col("_br_y")))
              .otherwise(K.LABEL_TODAY.format(ref=ref.isoformat())))
     inicio = (F.when(kind == "ytd", F.lit(date(ref.year, 1, 1)))
               .when(kind == "mtd", F.lit(ref.replace(day=1)))
               .when(kind == "yesterday", F.lit(yest)).when(kind == "date", day)
               .otherwise(F.lit(ref)))
-    fim = F.when(kind.isin("ytd", "mtd", "today"), F.lit(ref)).otherwise(inicio)
-    return q.withColumns({
-        "kind": kind, "periodo": label, "inicio": inicio, "fim": fim,
+    fim = (F.when(kind.isin("ytd", "mtd", "today"), F.lit(ref))
+           .when(kind == "yesterday", F.lit(yest)).otherwise(day))
+    out = stage5.withColumns({
+        "periodo": label, "inicio": inicio, "fim": fim,
         "p_ano": F.when(kind.isin("ytd", "mtd"), F.lit(ref.year)),
         "p_mes": F.when(kind == "mtd", F.lit(ref.month)),
         "period_status": F.when((kind == "date") & day.isNull(), "invalid_period").otherwise("ok"),
     })
+    return out.drop("_ytd", "_mtd", "_yday", "_iso", "_br", "_iso1", "_br1", "_iso_y", "_iso_m",
+                    "_iso_d", "_br_d", "_br_m", "_br_y0", "_br_y", "_iso_text", "_day")
 
 
 def mention_flags(q: DataFrame) -> DataFrame:

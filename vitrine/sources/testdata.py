@@ -50,12 +50,26 @@ def listing_day(spark: SparkSession, sf_dir: str, num_partitions: int | None = N
             .join(supplier, li.l_suppkey == supplier.s_suppkey)
             .join(nation, supplier.s_nationkey == nation.n_nationkey))
 
-    data = F.col("l_shipdate").cast("date")
-    landing = rows.select(
-        data.alias("data"),
+    # Rank first, on the raw joined columns (cheap to sample, shuffle and
+    # checkpoint); the text formatting runs once, after the ranking.
+    raw = rows.select(
+        F.col("l_shipdate").cast("date").alias("data"), "l_extendedprice", "l_orderkey",
+        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "p_name", "p_brand", "p_type", "p_size", "p_retailprice",
+        "s_name", "n_name")
+    ranked = ordered_index(
+        raw,
+        [F.col("l_extendedprice").desc_nulls_last(), F.col("l_orderkey").asc_nulls_first(),
+         F.col("l_linenumber").asc_nulls_first(), F.col("l_partkey").asc_nulls_first(),
+         F.col("l_suppkey").asc_nulls_first()],
+        "_rank", by=["data"], num_partitions=num_partitions)
+    data = F.col("data")
+    landing = ranked.select(
+        data,
         F.year(data).alias("ano"),
         F.month(data).alias("mes"),
         F.date_format(data, "yyyy-MM").alias("ano_mes"),
+        F.col("_rank").cast("int").alias("posicao_ranking"),
         F.nullif(F.col("p_type"), F.lit(NULL_CATEGORY_TYPE)).alias("categoria"),
         F.try_element_at(F.split("p_name", " "), F.lit(2)).alias("subcategoria"),
         F.concat(F.lit(LISTING_PREFIX), F.col("l_partkey").cast("string"),
@@ -80,15 +94,6 @@ def listing_day(spark: SparkSession, sf_dir: str, num_partitions: int | None = N
         F.when(F.col("l_linestatus") == "F", F.lit("Oficial")).otherwise(F.lit("Sintetico"))
         .alias("tipo_dado"),
         F.substring("p_name", 1, PRODUCT_SHORT_LEN).alias("produto"),
-        # ranking keys, dropped after the position is assigned
-        "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
     )
-    ranked = ordered_index(
-        landing,
-        [F.col("l_extendedprice").desc_nulls_last(), F.col("l_orderkey").asc_nulls_first(),
-         F.col("l_linenumber").asc_nulls_first(), F.col("l_partkey").asc_nulls_first(),
-         F.col("l_suppkey").asc_nulls_first()],
-        "_rank", by=["data"], num_partitions=num_partitions)
     from vitrine.constants import LANDING_COLUMNS
-    return ranked.withColumn("posicao_ranking", F.col("_rank").cast("int")).select(
-        *LANDING_COLUMNS, "produto")
+    return landing.select(*LANDING_COLUMNS, "produto")
