@@ -27,7 +27,7 @@ def read_landing(spark: SparkSession, candidates: Sequence[tuple[str, str]],
             df.schema  # resolves the files now, so a missing path falls through
             return df, origin
         except AnalysisException as e:
-            errors.append(f"{path}: {e.getErrorClass() or type(e).__name__}")
+            errors.append(f"{path}: {e.getCondition() or type(e).__name__}")
     if fallback_table and spark.catalog.tableExists(fallback_table):
         return spark.table(fallback_table), ORIGIN_TABLE_SNAPSHOT
     raise NoSourceError("no landing data found; tried " + "; ".join(errors))
