@@ -38,13 +38,14 @@ def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_ro
                                               "ranking_categorias", "ranking_produtos", "total"))
                .select("pkey", "kind", "inicio", "fim", "p_ano", "p_mes").distinct())
     # single-day periods: equi-join on the date (hash join, no pair scan);
-    # cumulative periods (MTD/YTD, at most a few): range condition on a
-    # broadcast table of those few rows.
+    # cumulative periods (MTD/YTD of the reference year, at most two): range
+    # condition on a broadcast table of those rows, after pruning to that year.
     cumulative = F.col("kind").isin("mtd", "ytd")
     days = broadcast_if_small(periods.filter(~cumulative).select("pkey", F.col("inicio").alias("data")))
     cum = broadcast_if_small(periods.filter(cumulative))
     rows = (analytic.join(days, "data", "inner")
-            .unionByName(analytic.join(cum, period_match(analytic, cum), "inner")
+            .unionByName(analytic.filter(F.col("ano") == (last_date.year if last_date else None))
+                         .join(cum, period_match(analytic, cum), "inner")
                          .drop("kind", "inicio", "fim", "p_ano", "p_mes")))
     cs = (rows.groupBy("pkey", "categoria", "subcategoria")
           .agg(F.sum(F.col("fat_num").cast("decimal(18,2)")).alias("fat"),

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (LongType, StringType, StructField, StructType, TimestampType)
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from vitrine.constants import DEFAULT_USER_NAME
 
 UPDATE_SCHEMA = StructType([
     StructField("update_id", LongType()),
-    StructField("ts", TimestampType()),
+    StructField("ts", TimestampNTZType()),  # wall clock: same value in any session zone
     StructField("message", StructType([
         StructField("chat", StructType([StructField("id", LongType())])),
         StructField("from", StructType([StructField("first_name", StringType())])),
@@ -44,7 +44,7 @@ def updates_from_conversations(conversations: DataFrame) -> DataFrame:
     u = conversations.filter(F.col("role") == "user")
     return u.select(
         (F.col("conv_id") * TURN_ID_FACTOR + F.col("turn")).alias("update_id"),
-        (F.lit(FEED_EPOCH).cast("timestamp")
+        (F.lit(FEED_EPOCH).cast("timestamp_ntz")
          + F.make_dt_interval(F.lit(0), F.lit(0), F.col("conv_id").cast("int"),
                               F.col("turn").cast("decimal(10,6)"))).alias("ts"),
         F.struct(

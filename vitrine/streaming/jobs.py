@@ -44,8 +44,10 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     updates = reader.json(in_dir)
-    unique = (parse_updates(updates).withWatermark("ts", DEDUP_DELAY)
-              .dropDuplicatesWithinWatermark(["update_id"]))
+    # watermarks need TIMESTAMP; the feed's wall-clock time is read in the session zone
+    unique = (parse_updates(updates).withColumn("_event_time", F.col("ts").cast("timestamp"))
+              .withWatermark("_event_time", DEDUP_DELAY)
+              .dropDuplicatesWithinWatermark(["update_id"]).drop("_event_time"))
 
     def answer_batch(batch: DataFrame, batch_id: int) -> None:
         qs = batch.select(F.col("update_id").alias("q_id"),
