@@ -63,14 +63,21 @@ def ngrams(df: DataFrame, max_n: int, text: str = "t") -> DataFrame:
             .select("q_id", F.explode(F.array_distinct(F.flatten(F.array(*per_n)))).alias("gram")))
 
 
-def match_entities(q: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """First subcategory keyword and first category keyword found in each
-    question (by lexicon priority). Output: q_id, sub_keyword, sub_parent,
-    sub_name, cat_keyword, cat_name (only questions with a match)."""
+def prepare_lexicon(lexicon: DataFrame):
+    """Lexicon with its n-gram key, size-checked for broadcast, and the
+    longest keyword (in words). Done once per lexicon (e.g. once per stream)."""
     lex = lexicon.withColumn("gram", F.array_join(tokens(F.col("keyword")), " ")) \
                  .filter(F.col("gram") != "")
     max_n = lex.agg(F.max(F.size(tokens(F.col("keyword"))))).first()[0] or 1
-    cand = ngrams(q, int(max_n)).join(broadcast_if_small(lex), "gram")
+    return broadcast_if_small(lex), int(max_n)
+
+
+def match_entities(q: DataFrame, lexicon: DataFrame, prepared=None) -> DataFrame:
+    """First subcategory keyword and first category keyword found in each
+    question (by lexicon priority). Output: q_id, sub_keyword, sub_parent,
+    sub_name, cat_keyword, cat_name (only questions with a match)."""
+    lex, max_n = prepared or prepare_lexicon(lexicon)
+    cand = ngrams(q, max_n).join(lex, "gram")
     hits = (cand.join(q.select("q_id", "t"), "q_id")
             .filter(F.regexp_like(F.col("t"), word_pattern_col(F.col("keyword")))))
     is_sub = F.col("nivel") == "subcategoria"
@@ -89,32 +96,40 @@ def match_entities(q: DataFrame, lexicon: DataFrame) -> DataFrame:
         F.when(F.col("_cr").isNotNull(), F.col("c.categoria")).alias("cat_name"))
 
 
-def glossary_lookup(q: DataFrame, glossary: DataFrame) -> DataFrame:
-    """First glossary entry (by position) asked about: "o que é <sigla|termo>"
-    and its variants, or the bare sigla (3+ characters). The definition falls
-    back to the term when empty."""
+def prepare_glossary(glossary: DataFrame):
+    """Glossary forms for the equality path and n-gram keys for the prefix
+    path (both size-checked for broadcast), plus the longest form in words."""
     g = glossary.select("pos", "termo", "sigla", "explicacao",
                         F.lower(F.trim("sigla")).alias("ls"), F.lower(F.trim("termo")).alias("lt"))
-    # (a) whole-text forms of the sigla: equality join on the question text
     forms = g.filter(F.length("ls") >= 3).select(
         "pos", F.explode(F.array(F.col("ls"), F.concat(F.lit("o que e "), "ls"),
                                  F.concat(F.lit("o que é "), "ls"),
                                  F.concat("ls", F.lit("?")))).alias("t"))
-    exact = q.select("q_id", "t").join(broadcast_if_small(forms), "t").select("q_id", "pos")
-    # (b) "<prefix> <sigla|termo>": first words after the prefix, equi-joined
     keys = g.select("pos", F.explode(F.array("ls", "lt")).alias("form")) \
             .withColumn("gram", F.array_join(tokens(F.col("form")), " ")).filter("gram != ''")
     max_n = keys.agg(F.max(F.size(tokens(F.col("form"))))).first()[0] or 1
-    rest = q.select("q_id", F.regexp_extract("t", CONCEPT_RE, 3).alias("rest")).filter("rest != ''")
-    rt = tokens(F.col("rest"))
+    return g, broadcast_if_small(forms), broadcast_if_small(keys), int(max_n)
+
+
+def glossary_lookup(q: DataFrame, glossary: DataFrame, prepared=None) -> DataFrame:
+    """First glossary entry (by position) asked about: "o que é <sigla|termo>"
+    and its variants, or the bare sigla (3+ characters). The definition falls
+    back to the term when empty."""
+    g, forms, keys, max_n = prepared or prepare_glossary(glossary)
+    # (a) whole-text forms of the sigla: equality join on the question text
+    exact = q.select("q_id", "t").join(forms, "t").select("q_id", "pos")
+    # (b) "<prefix> <sigla|termo>": first words after the prefix, equi-joined
+    rest = (q.select("q_id", F.regexp_extract("t", CONCEPT_RE, 3).alias("rest"))
+            .filter("rest != ''").withColumn("_rt", tokens(F.col("rest"))))
+    rt = F.col("_rt")
     heads = rest.select("q_id", "rest", F.explode(F.array(*[
         F.when(F.size(rt) >= n, F.array_join(F.slice(rt, 1, n), " "))
-        for n in range(1, int(max_n) + 1)])).alias("gram")).filter(F.col("gram").isNotNull())
-    pref = (heads.join(broadcast_if_small(keys), "gram")
+        for n in range(1, max_n + 1)])).alias("gram")).filter(F.col("gram").isNotNull())
+    pref = (heads.join(keys, "gram")
             .filter(F.regexp_like(F.col("rest"), F.concat(F.lit(r"^\Q"), F.col("form"),
                                                           F.lit(r"\E(" + NW + "|$)"))))
             .select("q_id", "pos"))
-    hits = exact.unionByName(pref).join(g, "pos")
+    hits = exact.unionByName(pref).join(F.broadcast(g), "pos")  # g: the glossary itself
     best = hits.groupBy("q_id").agg(
         F.min_by(F.struct("sigla", "termo", "explicacao"), F.col("pos")).alias("g"))
     return best.select("q_id", F.col("g.sigla").alias("sigla"), F.col("g.termo").alias("termo"),
@@ -122,27 +137,34 @@ def glossary_lookup(q: DataFrame, glossary: DataFrame) -> DataFrame:
                        .alias("definicao"))
 
 
-def taxonomy_match(q: DataFrame, categories: DataFrame) -> DataFrame:
+def prepare_categories(categories: DataFrame) -> DataFrame:
+    return broadcast_if_small(categories.select("categoria", "pos", F.lower("categoria").alias("lc")))
+
+
+def taxonomy_match(q: DataFrame, categories: DataFrame, prepared=None) -> DataFrame:
     """"subcategorias de X" (not a sales question): the first category (by
     position) whose lower-cased name contains X or is contained in X."""
     term = F.trim(F.regexp_extract("t", K.SUBCATEGORIES_OF_PATTERN, 1))
     asks = (q.select("q_id", "t", term.alias("term"))
             .filter((F.col("term") != "") & ~_any_contains(F.col("t"), K.SALES_WORDS_BLOCKING_LIST)))
-    cats = broadcast_if_small(categories.select("categoria", "pos",
-                                                F.lower("categoria").alias("lc")))
+    cats = prepared if prepared is not None else prepare_categories(categories)
     j = asks.join(cats, F.col("lc").contains(F.col("term")) | F.col("term").contains(F.col("lc")))
     return j.groupBy("q_id").agg(F.min_by("categoria", "pos").alias("lista_categoria"))
 
 
-def dynamic_subcategory(q: DataFrame, pairs: DataFrame) -> DataFrame:
+def prepare_pairs(pairs: DataFrame) -> DataFrame:
+    return broadcast_if_small(pairs.select("categoria", "subcategoria").distinct()
+                              .withColumn("ls", F.lower("subcategoria")))
+
+
+def dynamic_subcategory(q: DataFrame, pairs: DataFrame, prepared=None) -> DataFrame:
     """For "subcategoria X" questions without a lexicon hit: the first
     (categoria, subcategoria) in name order whose subcategory contains X."""
     term = F.regexp_extract("t", K.DYNAMIC_SUBCATEGORY_PATTERN, 1)
     for stop in K.DYNAMIC_STOP_PHRASES:
         term = F.trim(F.replace(term, F.lit(stop), F.lit("")))
     cand = q.select("q_id", F.trim(term).alias("term")).filter("term != ''")
-    p = broadcast_if_small(pairs.select("categoria", "subcategoria").distinct()
-                           .withColumn("ls", F.lower("subcategoria")))
+    p = prepared if prepared is not None else prepare_pairs(pairs)
     j = cand.join(p, F.col("ls").contains(F.col("term")))
     best = j.groupBy("q_id", "term").agg(F.min(F.struct("categoria", "subcategoria")).alias("m"))
     return best.select("q_id", F.col("term").alias("dyn_term"),
@@ -268,31 +290,50 @@ ROUTE_COLUMNS = ["q_id", "user_name", "text", "intent", "status", "kind", "perio
                  "definicao", "lista_categoria"]
 
 
+class Router:
+    """The static side of routing (lexicon, glossary, categories, pairs),
+    prepared and size-checked once; ``route`` then only plans per-question
+    work, so a stream pays the preparation once, not per micro-batch."""
+
+    def __init__(self, lexicon: DataFrame, glossary: DataFrame, categories: DataFrame,
+                 pairs: DataFrame, ref: date):
+        self.ref = ref
+        self.lex = prepare_lexicon(lexicon.cache())
+        self.gl = prepare_glossary(glossary.cache())
+        self.cats = prepare_categories(categories.cache())
+        self.pairs = prepare_pairs(pairs.cache())
+
+    def route(self, questions: DataFrame) -> DataFrame:
+        q = normalize(questions)
+        ents = match_entities(q, None, self.lex)
+        gl = glossary_lookup(q, None, self.gl)
+        tx = taxonomy_match(q, None, self.cats)
+        base = mention_flags(q).join(ents, "q_id", "left").join(gl, "q_id", "left") \
+                               .join(tx, "q_id", "left")
+        # dynamic lookup only for "subcategoria ..." questions without a lexicon hit
+        need = base.filter(F.col("disse_subcategoria") & F.col("sub_name").isNull()) \
+                   .select("q_id", "t")
+        dyn = dynamic_subcategory(need, None, self.pairs)
+        base = base.join(dyn, "q_id", "left").withColumns({
+            "sub_keyword": F.coalesce("sub_keyword", "dyn_term"),
+            "sub_parent": F.when(F.col("sub_name").isNotNull(), F.col("sub_parent"))
+                           .otherwise(F.col("dyn_parent")),
+            "sub_name": F.coalesce("sub_name", "dyn_name")})
+        routed = resolve_period(base, self.ref).withColumns(
+            {"intent": intent(), "aviso": level_warning()})
+        status = (F.when(F.col("intent") == "sem_resposta", "unanswered")
+                  .when(F.col("intent").isin(*ANALYTIC_INTENTS) & (F.col("intent") != "metadados")
+                        & (F.col("period_status") != "ok"), F.col("period_status"))
+                  .otherwise("ok"))
+        return routed.withColumns({
+            "status": status,
+            "categoria": F.when(F.col("intent") == "subcategoria", F.col("sub_parent"))
+                          .when(F.col("intent") == "categoria", F.col("cat_name")),
+            "subcategoria": F.when(F.col("intent") == "subcategoria", F.col("sub_name")),
+        }).select(*ROUTE_COLUMNS)
+
+
 def route_questions(questions: DataFrame, lexicon: DataFrame, glossary: DataFrame,
                     categories: DataFrame, pairs: DataFrame, ref: date) -> DataFrame:
     """One routed row per question: intent, period, entity filters, warning."""
-    q = normalize(questions)
-    ents = match_entities(q, lexicon)
-    gl = glossary_lookup(q, glossary)
-    tx = taxonomy_match(q, categories)
-    base = mention_flags(q).join(ents, "q_id", "left").join(gl, "q_id", "left") \
-                           .join(tx, "q_id", "left")
-    # dynamic lookup only for "subcategoria ..." questions without a lexicon hit
-    need = base.filter(F.col("disse_subcategoria") & F.col("sub_name").isNull()).select("q_id", "t")
-    dyn = dynamic_subcategory(need, pairs)
-    base = base.join(dyn, "q_id", "left").withColumns({
-        "sub_keyword": F.coalesce("sub_keyword", "dyn_term"),
-        "sub_parent": F.when(F.col("sub_name").isNotNull(), F.col("sub_parent"))
-                       .otherwise(F.col("dyn_parent")),
-        "sub_name": F.coalesce("sub_name", "dyn_name")})
-    routed = resolve_period(base, ref).withColumns({"intent": intent(), "aviso": level_warning()})
-    status = (F.when(F.col("intent") == "sem_resposta", "unanswered")
-              .when(F.col("intent").isin(*ANALYTIC_INTENTS) & (F.col("intent") != "metadados")
-                    & (F.col("period_status") != "ok"), F.col("period_status"))
-              .otherwise("ok"))
-    return routed.withColumns({
-        "status": status,
-        "categoria": F.when(F.col("intent") == "subcategoria", F.col("sub_parent"))
-                      .when(F.col("intent") == "categoria", F.col("cat_name")),
-        "subcategoria": F.when(F.col("intent") == "subcategoria", F.col("sub_name")),
-    }).select(*ROUTE_COLUMNS)
+    return Router(lexicon, glossary, categories, pairs, ref).route(questions)

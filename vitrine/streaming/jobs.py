@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.operators.gold import analytic_from_raw
-from vitrine.operators.routing import ROUTE_COLUMNS, route_questions
+from vitrine.operators.routing import ROUTE_COLUMNS, Router
 from vitrine.sinks import writers as Wr
 from vitrine.sources.updates import UPDATE_SCHEMA, parse_updates
 
@@ -49,10 +49,12 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
               .withWatermark("_event_time", DEDUP_DELAY)
               .dropDuplicatesWithinWatermark(["update_id"]).drop("_event_time"))
 
+    router = Router(lexicon, glossary, categories, pairs, ref)  # static side, once
+
     def answer_batch(batch: DataFrame, batch_id: int) -> None:
         qs = batch.select(F.col("update_id").alias("q_id"),
                           F.col("first_name").alias("user_name"), "text")
-        routed = route_questions(qs, lexicon, glossary, categories, pairs, ref)
+        routed = router.route(qs)
         routed.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     writer = (unique.writeStream.foreachBatch(answer_batch)
