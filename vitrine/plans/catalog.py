@@ -390,13 +390,20 @@ register("subcategory_lookup",
     lambda spark, d: M.lookup_subcategory(lh(spark, d).analytic(), P_LOOKUP_TERM))
 
 
-def _cube_sql():
+def _cube_ctes():
     kinds = ["today", "yesterday", "mtd", "ytd"]
     parts = " UNION ALL ".join(
         f"SELECT {O.period_label(k)} AS periodo, categoria, subcategoria, fat_num, qtd_vendas_num "
         f"FROM analytic, ref WHERE {O.period_where(k)}" for k in kinds)
-    return (f"{W('analytic', 'ref')}, rows_ AS ({parts}) "
-            f"SELECT periodo, categoria, subcategoria, "
+    return (f"{W('analytic', 'ref')}, rows_ AS ({parts}), cube AS ({_cube_select()})")
+
+
+def _cube_sql():
+    return f"{_cube_ctes()} SELECT * FROM cube"
+
+
+def _cube_select():
+    return (f"SELECT periodo, categoria, subcategoria, "
             f"CAST(GROUPING(categoria) * 2 + GROUPING(subcategoria) AS INTEGER) AS gid, "
             f"{O.money_sum('fat_num')} AS faturamento, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
             f"FROM rows_ GROUP BY GROUPING SETS ((periodo, categoria, subcategoria), "
@@ -740,7 +747,20 @@ def _pipe(spark, d):
                       ["categoria", "subcategoria", "faturamento", "vendas"])
 
 
-register("pipe_table")(_pipe)
+def _pipe_sql():
+    from vitrine.constants import PIPE_TABLE_ROWS
+    cols = ["categoria", "subcategoria", "faturamento", "vendas"]
+    header = " | ".join(cols)
+    line = ("concat_ws(' | ', COALESCE(categoria, 'NULL'), COALESCE(subcategoria, 'NULL'), "
+            "COALESCE(printf('%.2f', faturamento), 'NULL'), COALESCE(CAST(vendas AS VARCHAR), 'NULL'))")
+    return (f"{_cube_ctes()}, r AS (SELECT *, row_number() OVER (PARTITION BY periodo ORDER BY "
+            f"faturamento DESC NULLS LAST, categoria ASC NULLS FIRST, subcategoria ASC NULLS FIRST) "
+            f"AS rn FROM cube WHERE gid = 0) SELECT periodo, '{header}' || chr(10) || "
+            f"'{'-' * len(header)}' || chr(10) || string_agg({line}, chr(10) ORDER BY rn) AS tabela "
+            f"FROM r WHERE rn <= {PIPE_TABLE_ROWS} GROUP BY periodo")
+
+
+register("pipe_table", _pipe_sql())(_pipe)
 
 # ============================================================================
 # Question routing and answers
