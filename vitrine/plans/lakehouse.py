@@ -89,8 +89,8 @@ class Lakehouse:
             "bronze", lambda: bronze_ops.bronze(self.landing(), ORIGIN_EXISTING_FILE))
 
     def silver(self) -> DataFrame:
-        return self._materialize("silver", lambda: silver_ops.silver(self.bronze()),
-                                 range_on="data")
+        # written as the dedup exchange left it: no extra shuffle just for layout
+        return self._materialize("silver", lambda: silver_ops.silver(self.bronze()))
 
     def dim_calendar(self) -> DataFrame:
         return self._materialize("dim_calendar", lambda: gold.dim_calendar(self.silver()))
