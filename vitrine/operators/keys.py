@@ -40,9 +40,13 @@ def ordered_index(df: DataFrame, order: Sequence[Column], out: str,
     ``order`` (give a total order for a deterministic result)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = [F.col(c).asc_nulls_first() for c in by] + list(order)
-    staged = (df.repartitionByRange(n, *keys)
+    # Without an explicit count AQE may coalesce neighbouring range partitions;
+    # they stay contiguous and ordered, and the partition id / position are
+    # read in the same task, so the offsets remain exact.
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    staged = (ranged
               .sortWithinPartitions(*keys)
               .withColumn("_vx_pid", F.spark_partition_id())
               .withColumn("_vx_pos", F.monotonically_increasing_id())

@@ -62,8 +62,8 @@ class Lakehouse:
             if name not in self._paths:
                 df = build()
                 if range_on is not None:
-                    n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-                    df = df.repartitionByRange(n, F.col(range_on).asc_nulls_first())
+                    # no explicit count: AQE sizes the partitions from the data
+                    df = df.repartitionByRange(F.col(range_on).asc_nulls_first())
                 writer = df.write.mode("overwrite")
                 if partition_by:
                     writer = writer.partitionBy(*partition_by)

@@ -13,12 +13,15 @@ _RUN_ID = uuid.uuid4().hex[:12]
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "vitrine") -> SparkSession:
+                  app_name: str = "vitrine", extra_conf: dict | None = None) -> SparkSession:
     """Local session used by tests and the bench. On a cluster, use the
     session the platform gives you; nothing here is required."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
