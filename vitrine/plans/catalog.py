@@ -530,9 +530,7 @@ _EXPORT_HEADER = ";".join(LANDING_COLUMNS)
 
 
 def _export(spark, d):
-    path = _scratch(spark, d, "export_csv")
-    D.write_delimited(B.select_contract(lh(spark, d).bronze()), path)
-    return path
+    return lh(spark, d).export_path()
 
 
 def _sanitize_sql(c):

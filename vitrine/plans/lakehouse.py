@@ -80,6 +80,16 @@ class Lakehouse:
         df = self._materialize("landing", lambda: listing_day(self.spark, self.sf_dir))
         return df.select(*LANDING_COLUMNS, "produto")
 
+    def export_path(self) -> str:
+        """The base exported once as ``;``-delimited text (shared by the
+        export / ingest queries)."""
+        from vitrine.sources.delimited import write_delimited
+        with _LOCK:
+            if "export_csv" not in self._paths:
+                write_delimited(bronze_ops.select_contract(self.bronze()), self.path("export_csv"))
+                self._paths["export_csv"] = self.path("export_csv")
+        return self._paths["export_csv"]
+
     def landing_path(self) -> str:
         self.landing()
         return self._paths["landing"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from vitrine.constants import (LANDING_COLUMNS, MONTH_NAMES, NULL_CHECK_COLUMNS, TRIM_COLUMNS,
                                WEEKDAY_NAMES)
 from vitrine.sources.testdata import (IMAGE_PREFIX, LISTING_PREFIX, LISTING_SUFFIX,
-                                      NULL_CATEGORY_TYPE, PRODUCT_PREFIX, PRODUCT_SHORT_LEN)
+                                      NULL_CATEGORY_TYPE, PRODUCT_PREFIX)
 
 
 def _br(x: str) -> str:
@@ -52,7 +52,7 @@ LANDING = f"""landing AS (
     '{IMAGE_PREFIX}' || CAST(l_partkey AS VARCHAR) AS url_imagem,
     '{PRODUCT_PREFIX}' || CAST(l_partkey AS VARCHAR) AS url_produto,
     CASE WHEN l_linestatus = 'F' THEN 'Oficial' ELSE 'Sintetico' END AS tipo_dado,
-    substring(p_name, 1, {PRODUCT_SHORT_LEN}) AS produto
+    p_name AS produto
   FROM lineitem
   JOIN part ON l_partkey = p_partkey
   JOIN supplier ON l_suppkey = s_suppkey

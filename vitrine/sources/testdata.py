@@ -25,7 +25,6 @@ LISTING_PREFIX = " MLB"
 LISTING_SUFFIX = " "
 IMAGE_PREFIX = "img/"
 PRODUCT_PREFIX = "item/"
-PRODUCT_SHORT_LEN = 12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,7 +92,7 @@ def listing_day(spark: SparkSession, sf_dir: str, num_partitions: int | None = N
         F.concat(F.lit(PRODUCT_PREFIX), F.col("l_partkey").cast("string")).alias("url_produto"),
         F.when(F.col("l_linestatus") == "F", F.lit("Oficial")).otherwise(F.lit("Sintetico"))
         .alias("tipo_dado"),
-        F.substring("p_name", 1, PRODUCT_SHORT_LEN).alias("produto"),
+        F.col("p_name").alias("produto"),  # extra column of the file, dropped by bronze
     )
     from vitrine.constants import LANDING_COLUMNS
     return landing.select(*LANDING_COLUMNS, "produto")
