@@ -63,7 +63,7 @@ def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_ro
     qk = q.select("q_id", "intent", "periodo", "pkey", F.col("categoria").alias("q_cat"),
                   F.col("subcategoria").alias("q_sub"))
 
-    def pick(intent, table, cond=None, keep=()):
+    def pick(intent, table, cond=None):
         sel = qk.filter(F.col("intent") == intent)
         j = sel.join(table, "pkey")
         if cond is not None:

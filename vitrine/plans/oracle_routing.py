@@ -2,8 +2,8 @@
 
 Where the Spark side uses an n-gram equi-join to avoid testing every keyword
 against every question, the oracle does exactly that brute-force test (every
-question x every keyword, regex), so the two are independent computations
-of the same definition.
+question x every keyword), so the two are independent computations of the
+same definition.
 """
 
 from __future__ import annotations
@@ -27,11 +27,6 @@ def _any_contains(words, t="t") -> str:
 NW = R.NW
 
 
-def _kw_pattern_sql(col: str) -> str:
-    esc = f"regexp_replace({col}, '([.^$*+?()\\[\\]{{}}|\\\\/-])', '\\\\\\1', 'g')"
-    return f"('(^|{NW})' || {esc} || '({NW}|$)')"
-
-
 def updates_questions_cte() -> str:
     """Questions as they arrive through the update feed (one per user turn)."""
     from vitrine.sources import updates as U
@@ -103,7 +98,6 @@ def ents_cte() -> str:
 
 def glossary_cte() -> str:
     vals = ", ".join(f"({i}, {q(t)}, {q(s)}, {q(e)})" for i, (t, s, e) in enumerate(K.GLOSSARY))
-    prefixes = "|".join(K.CONCEPT_PREFIXES)
     concept = R.CONCEPT_RE
     forms = ("SELECT pos, ls AS form FROM g UNION ALL SELECT pos, lt FROM g")
     return (f"g AS (SELECT pos, termo, sigla, explicacao, lower(trim(sigla)) AS ls, "
