@@ -159,7 +159,14 @@ def period_cube(spark: SparkSession, df: DataFrame, ref) -> DataFrame:
     4-row period table is broadcast (fixed size) and matched by a range
     condition; a rollup then gives every level, told apart by ``gid``
     (0 = category+subcategory, 1 = category, 3 = period total)."""
-    daily = (df.groupBy("data", "ano", "mes", "categoria", "subcategoria")
+    from datetime import timedelta
+    # Only two slices can match any period: the reference year (MTD / YTD
+    # filter on the stored ano, so this prunes partitions) and the two single
+    # days (row-group pruning on data), taken disjointly.
+    year = df.filter(F.col("ano") == ref.year)
+    days = df.filter(F.col("data").isin(ref, ref - timedelta(days=1))
+                     & ~F.col("ano").eqNullSafe(ref.year))
+    daily = (year.unionByName(days).groupBy("data", "ano", "mes", "categoria", "subcategoria")
              .agg(money_sum("fat_num").alias("_fat"), F.sum("qtd_vendas_num").alias("_qtd")))
     periods = F.broadcast(periods_table(spark, ref))
     matched = daily.join(periods, period_match(daily, periods), "inner")

@@ -50,6 +50,7 @@ class Lakehouse:
         self.sf_dir = sf_dir.rstrip("/")
         self.root = f"{work_root(spark)}/{_slug(self.sf_dir)}"
         self._paths: dict[str, str] = {}
+        self._frames: dict[str, DataFrame] = {}
         self._refs: dict[str, Reference] = {}
 
     # -- generic --------------------------------------------------------------
@@ -69,7 +70,9 @@ class Lakehouse:
                     writer = writer.partitionBy(*partition_by)
                 writer.parquet(self.path(name))
                 self._paths[name] = self.path(name)
-        return self.spark.read.parquet(self._paths[name])
+                # one reader per layer: its file index (and listing) is reused
+                self._frames[name] = self.spark.read.parquet(self._paths[name])
+        return self._frames[name]
 
     def raw(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
