@@ -23,15 +23,30 @@ from pyspark.sql import functions as F
 
 from vitrine.session import ensure_checkpoint_dir
 
-# Upper bound (rows) for broadcasting a small helper table.
+# Upper bounds for broadcasting a helper table: rows, and estimated bytes.
 BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave the
-    join to the planner (shuffle join, AQE may still demote it)."""
+def _row_width(dtype) -> int:
+    from pyspark.sql import types as T
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return 32
+    if isinstance(dtype, T.StructType):
+        return sum(_row_width(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        return 128
+    return 8
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT,
+                       max_bytes: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
+    """Broadcast ``df`` only when a count proves it small (rows, and rows x
+    estimated row width); otherwise leave the join to the planner (shuffle
+    join; AQE may still switch to a broadcast from runtime sizes)."""
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    small = n <= max_rows and n * _row_width(df.schema) <= max_bytes
+    return F.broadcast(df) if small else df
 
 
 def ordered_index(df: DataFrame, order: Sequence[Column], out: str,

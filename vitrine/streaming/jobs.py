@@ -52,10 +52,14 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
     router = Router(lexicon, glossary, categories, pairs, ref)  # static side, once
 
     def answer_batch(batch: DataFrame, batch_id: int) -> None:
+        # the routing plan reads the batch several times: keep it once, rather
+        # than re-running the parse and the dedup state for every branch
         qs = batch.select(F.col("update_id").alias("q_id"),
-                          F.col("first_name").alias("user_name"), "text")
-        routed = router.route(qs)
-        routed.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+                          F.col("first_name").alias("user_name"), "text").persist()
+        try:
+            router.route(qs).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        finally:
+            qs.unpersist()
 
     writer = (unique.writeStream.foreachBatch(answer_batch)
               .option("checkpointLocation", checkpoint))
