@@ -63,17 +63,19 @@ def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_ro
     qk = q.select("q_id", "intent", "periodo", "pkey", F.col("categoria").alias("q_cat"),
                   F.col("subcategoria").alias("q_sub"))
 
-    def pick(intent, table, cond=None):
+    def pick(intent, table, keys=(), cond=None):
+        """Rows of ``table`` for questions of ``intent``: equi-join on the
+        period key plus the question's entity keys, so a question only meets
+        its own rows (never all rows of its period, then a filter)."""
         sel = qk.filter(F.col("intent") == intent)
-        j = sel.join(table, "pkey")
-        if cond is not None:
-            j = j.filter(cond)
-        return j
+        on = [sel["pkey"] == table["pkey"]] + [sel[q] == table[t] for q, t in keys]
+        j = sel.join(table, on).drop(table["pkey"])
+        return j.filter(cond) if cond is not None else j
 
     parts = [
-        pick("subcategoria", cs, (F.col("subcategoria") == F.col("q_sub"))
-             & (F.col("q_cat").isNull() | (F.col("categoria") == F.col("q_cat")))),
-        pick("categoria", cat, F.col("categoria") == F.col("q_cat"))
+        pick("subcategoria", cs, [("q_sub", "subcategoria")],
+             F.col("q_cat").isNull() | (F.col("categoria") == F.col("q_cat"))),
+        pick("categoria", cat, [("q_cat", "categoria")])
         .withColumn("subcategoria", F.lit(None).cast("string")),
         pick("ranking_subcategorias", cs),
         pick("ranking_categorias", cat).withColumn("subcategoria", F.lit(None).cast("string")),
