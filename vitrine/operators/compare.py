@@ -110,3 +110,29 @@ def running_mtd_ytd(df: DataFrame) -> DataFrame:
                     F.col("vendas").alias("vendas_dia"),
                     F.sum("vendas").over(wm).cast("long").alias("vendas_mtd"),
                     F.sum("vendas").over(wy).cast("long").alias("vendas_ytd"))
+
+
+def compare(df: DataFrame, grain: str = "month", offset: int = -12,
+            keys: tuple[str, ...] = ()) -> DataFrame:
+    """Generic period comparison: each (period, keys) next to the period
+    ``offset`` steps away (months for grain='month', years for 'year', days
+    for 'day'), with absolute and percent change. MoM-as-defined (-12 months),
+    M-1 (-1), YoY (-1 year) and LY (-12 months on days) are special cases."""
+    if grain == "month":
+        period, shifted = F.trunc("data", "month"), lambda c: F.add_months(c, offset)
+    elif grain == "year":
+        period, shifted = F.year("data"), lambda c: c + offset
+    elif grain == "day":
+        period, shifted = F.col("data"), lambda c: F.add_months(c, offset)
+    else:
+        raise ValueError(f"unknown grain {grain!r}")
+    cur = (df.groupBy(period.alias("periodo_ref"), *keys)
+           .agg(_fat().alias("fat"), F.sum("qtd_vendas_num").cast("long").alias("vendas")))
+    prev = cur.select(F.col("periodo_ref").alias("_k"), *[F.col(k).alias(f"_{k}") for k in keys],
+                      F.col("fat").alias("fat_prev"), F.col("vendas").alias("vendas_prev"))
+    cond = [shifted(F.col("periodo_ref")) == F.col("_k")] + \
+        [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    j = cur.join(prev, cond, "left").drop("_k", *[f"_{k}" for k in keys])
+    return j.select("periodo_ref", *keys, F.col("fat").cast("double").alias("faturamento"),
+                    F.col("fat_prev").cast("double").alias("faturamento_anterior"),
+                    "vendas", "vendas_prev", *_delta("fat", "fat_prev"))

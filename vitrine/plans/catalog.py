@@ -856,3 +856,12 @@ def _stream_dedup(spark, d):
 register("stream_dedup_events",
          "SELECT event_type, count(*) AS eventos, count(DISTINCT event_id) AS ids FROM events "
          "GROUP BY event_type")(_stream_dedup)
+
+register("yoy_by_category",
+         f"{W('analytic')}, y AS (SELECT CAST(year(data) AS INTEGER) AS periodo_ref, categoria, "
+         f"SUM(CAST(fat_num AS DECIMAL(18,2))) AS fat, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
+         f"FROM analytic GROUP BY ALL) SELECT c.periodo_ref, c.categoria, "
+         f"CAST(c.fat AS DOUBLE) AS faturamento, CAST(p.fat AS DOUBLE) AS faturamento_anterior, "
+         f"c.vendas, p.vendas AS vendas_prev, {_delta_sql('c.fat', 'p.fat')} FROM y c LEFT JOIN y p "
+         f"ON p.periodo_ref = c.periodo_ref - 1 AND p.categoria IS NOT DISTINCT FROM c.categoria")(
+    lambda spark, d: C.compare(lh(spark, d).analytic(), "year", -1, ("categoria",)))
