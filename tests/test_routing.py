@@ -102,3 +102,22 @@ def test_first_keyword_by_declaration_order(spark, ctx):
     """'fones' is declared before 'fone'; 'cabos' before 'cabo': first declared wins."""
     r = route(spark, ctx, ["vendas de cabo e fones hoje"])
     assert r[0]["subcategoria"] == "Áudio Mobile"
+
+
+def test_generic_reply_formats(spark):
+    from vitrine.operators.answers import format_result
+    one = spark.createDataFrame([(1234567.891,)], "faturamento_total double")
+    r = format_result(one, [F.col("faturamento_total")], "q?", "Ana", "2026-09-27").first()
+    assert "📦 *Faturamento Total:* `R$ 1.234.567,89`" in r["resposta"] and r["n_linhas"] == 1
+    cnt = spark.createDataFrame([(1234,)], "total_pedidos long")
+    r = format_result(cnt, [F.col("total_pedidos")], "q?", "Ana", "2026-09-27").first()
+    assert "`1.234`" in r["resposta"]
+    many = spark.createDataFrame([(f"m{i}", float(i), i) for i in range(10)],
+                                 "marca string, fat double, vendas long")
+    r = format_result(many, [F.col("vendas").desc()], "q?", "Ana", "2026-09-27").first()
+    lines = [x for x in r["resposta"].split("\n") if x.startswith("• ")]
+    assert len(lines) == 8 and lines[0].startswith("• *Marca:* m9 | *Fat:* R$ 9,00")
+    assert "e mais 2 registros" in r["resposta"]
+    empty = many.filter("vendas < 0")
+    r = format_result(empty, [F.col("vendas")], "q?", "Ana", "2026-09-27").first()
+    assert r["n_linhas"] == 0 and r["resposta"].startswith("Fala Ana!")

@@ -197,3 +197,60 @@ def pipe_table(df: DataFrame, group: str, order: list[Column], cols: list[str],
                                           lambda s: s["_line"]), "\n").alias("_body"))
             .select(group, F.concat(F.lit(header + "\n" + "-" * len(header) + "\n"),
                                     F.col("_body")).alias("tabela")))
+
+
+def _generic_cell(name: str, dtype: str, single: bool) -> Column:
+    """Render one value like the reply formatter: money (by column name) as
+    'R$ 1.234,56', other numbers as '1.235', text as-is ('-' / '0' if empty)."""
+    v = F.col(f"`{name}`")
+    low = name.lower()
+    is_float = dtype in ("double", "float")
+    is_num = is_float or dtype in ("int", "bigint", "smallint", "tinyint") or dtype.startswith("decimal")
+    money_parts = K.MONEY_NAME_PARTS_SINGLE if single else K.MONEY_NAME_PARTS_LIST
+    money = any(p in low for p in money_parts) and (is_num if single else is_float)
+    if money:
+        return F.concat(F.lit("R$ "), br_number_text(v.cast("double"), 2))
+    if is_num:
+        return br_number_text(v.cast("double"), 0)
+    empty = "0" if single else "-"
+    return F.coalesce(F.nullif(v.cast("string"), F.lit("")), F.lit(empty))
+
+
+def format_result(result: DataFrame, order: list[Column], question: str, user_name: str,
+                  ref_text: str, alert: str | None = None, n: int = K.BULLET_ROWS) -> DataFrame:
+    """Reply text for one question's result table (any columns): a single
+    cell for a 1x1 result, else up to ``n`` bullet rows in ``order`` and
+    "... e mais N". Only the first ``n`` rows and a count are read (top-k),
+    never the whole result. Returns one row (n_linhas, resposta)."""
+    cols = result.dtypes
+    single = len(cols) == 1
+    top = result.orderBy(*order).limit(n).withColumn("_i", F.monotonically_increasing_id())
+    bullet = F.concat(F.lit("• "), F.concat_ws(" | ", *[
+        F.concat(F.lit(f"*{c.replace('_', ' ').title()}:* "), _generic_cell(c, t, False))
+        for c, t in cols]))
+    one = (F.concat(F.lit(f"📦 *{cols[0][0].replace('_', ' ').title()}:* `"),
+                    _generic_cell(cols[0][0], cols[0][1], True), F.lit("`\n")) if single
+           else F.lit(None).cast("string"))
+    body = (top.select("_i", bullet.alias("b"), one.alias("one"))
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", "b"))),
+                                          lambda s: s["b"]), "\n").alias("bullets"),
+                 F.first("one").alias("one")))
+    count = result.agg(F.count(F.lit(1)).alias("n_linhas"))
+    head = K.REPLY_HEADER.format(user=user_name) + (f"{alert}\n" if alert else "") + \
+        K.REPLY_QUESTION.format(question=question)
+    text = (F.when(F.col("n_linhas") == 0, F.lit(K.REPLY_EMPTY.format(user=user_name)))
+            .when((F.col("n_linhas") == 1) & F.lit(single),
+                  F.concat(F.lit(head), F.col("one"), F.lit(K.REPLY_FOOTER.format(ref=ref_text))))
+            .otherwise(F.concat(F.lit(head), F.col("bullets"),
+                                F.when(F.col("n_linhas") > n, F.concat(
+                                    F.lit("\n_... e mais "), (F.col("n_linhas") - n).cast("string"),
+                                    F.lit(" registros encontrados._"))).otherwise(F.lit("")),
+                                F.lit(K.REPLY_FOOTER.format(ref=ref_text)))))
+    return _attach(count, body, text)
+
+
+def _attach(count: DataFrame, body: DataFrame, text: Column) -> DataFrame:
+    """Both inputs are single-row aggregates; attach them on a constant key."""
+    k = F.lit(1).alias("_k")
+    return (count.select(k, "n_linhas").join(body.select(k, "bullets", "one"), "_k", "left")
+            .select("n_linhas", text.alias("resposta")))

@@ -865,3 +865,37 @@ register("yoy_by_category",
          f"c.vendas, p.vendas AS vendas_prev, {_delta_sql('c.fat', 'p.fat')} FROM y c LEFT JOIN y p "
          f"ON p.periodo_ref = c.periodo_ref - 1 AND p.categoria IS NOT DISTINCT FROM c.categoria")(
     lambda spark, d: C.compare(lh(spark, d).analytic(), "year", -1, ("categoria",)))
+
+# FIXED VALUES: the question shown with the registered ad-hoc reply.
+ADHOC_QUESTION = "Quais marcas mais venderam?"
+ADHOC_USER = "Parceiro"
+
+
+def _adhoc_reply(spark, d):
+    res = REGISTRY["adhoc_sql"].fn(spark, d)
+    return A.format_result(res, [F.col("vendas").desc(), F.col("marca").asc()], ADHOC_QUESTION,
+                           ADHOC_USER, str(_ref(spark, d)))
+
+
+def _adhoc_reply_sql():
+    from vitrine import constants as K
+    q = OR.q
+    n = K.BULLET_ROWS
+    num = "translate(format('{{:,.0f}}', CAST({c} AS DOUBLE)), ',.', '.,')"
+    bullet = ("'• ' || concat_ws(' | ', '*Marca:* ' || COALESCE(NULLIF(CAST(marca AS VARCHAR), ''), '-'), "
+              f"'*Vendas:* ' || {num.format(c='vendas')}, '*Produtos:* ' || {num.format(c='produtos')})")
+    head = q(K.REPLY_HEADER.format(user=ADHOC_USER) + K.REPLY_QUESTION.format(question=ADHOC_QUESTION))
+    foot = K.REPLY_FOOTER.split("{ref}")
+    footer = f"{q(foot[0])} || (SELECT CAST(max(data) AS VARCHAR) FROM analytic) || {q(foot[1])}"
+    adhoc = ADHOC_SQL.replace("fato_ml", "analytic").replace("{min_units}", "10")
+    return (f"{W('analytic')}, res AS ({adhoc}), top AS (SELECT *, row_number() OVER (ORDER BY "
+            f"vendas DESC NULLS LAST, marca ASC NULLS FIRST) AS rn FROM res), "
+            f"b AS (SELECT string_agg({bullet}, chr(10) ORDER BY rn) AS bullets FROM top WHERE rn <= {n}), "
+            f"c AS (SELECT count(*) AS n_linhas FROM res) "
+            f"SELECT n_linhas, CASE WHEN n_linhas = 0 THEN {q(K.REPLY_EMPTY.format(user=ADHOC_USER))} "
+            f"ELSE {head} || bullets || CASE WHEN n_linhas > {n} THEN chr(10) || '_... e mais ' || "
+            f"CAST(n_linhas - {n} AS VARCHAR) || ' registros encontrados._' ELSE '' END || {footer} END "
+            f"AS resposta FROM c, b")
+
+
+register("format_adhoc_reply", _adhoc_reply_sql())(_adhoc_reply)
