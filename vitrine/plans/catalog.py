@@ -687,12 +687,7 @@ def _fixed_pairs_sql():
 
 
 def _coverage(spark, d):
-    import os
-    path = _scratch(spark, d, "dicionario.json")
-    if path.startswith("/") or path.startswith("file:"):
-        local = path.replace("file:", "")
-        os.makedirs(os.path.dirname(local), exist_ok=True)
-        Dic.write_dictionary_file(local)
+    path = Dic.publish_dictionary(spark, _scratch(spark, d, "dicionario_json"))
     flat = Dic.taxonomy_flat(Dic.read_dictionary(spark, path))
     return T.coverage(lh(spark, d).silver(), flat)
 

@@ -41,6 +41,14 @@ def write_dictionary_file(path: str) -> str:
     return path
 
 
+def publish_dictionary(spark: SparkSession, path: str) -> str:
+    """Write the fixed dictionary document to ``path`` through Spark (works on
+    any filesystem the cluster uses): one fixed-size text row."""
+    text = json.dumps(dictionary_document(), ensure_ascii=False, indent=2)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """One row per dictionary document (``multiLine`` JSON, explicit schema)."""
     return spark.read.option("multiLine", True).schema(DICTIONARY_SCHEMA).json(path)
