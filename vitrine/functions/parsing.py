@@ -17,7 +17,8 @@ def money_br_raw(c: str | Column, trim: bool = True) -> Column:
     ``try_cast`` gives NULL for text that is not a number (``''``, ``abc``,
     ``R$ 10,00``) instead of failing the job under ANSI mode."""
     s = F.trim(_col(c)) if trim else _col(c)
-    return F.regexp_replace(F.regexp_replace(s, r"\.", ""), ",", ".").try_cast("double")
+    # character edits, no regex: delete every '.', then ',' -> '.'
+    return F.translate(F.translate(s, ".", ""), ",", ".").try_cast("double")
 
 
 def money_br(df: DataFrame, name: str) -> Column:
@@ -38,7 +39,7 @@ def rating_br(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, NumericType):
         return F.col(name).cast("double")
-    return F.regexp_replace(F.trim(F.col(name).cast("string")), ",", ".").try_cast("double")
+    return F.translate(F.trim(F.col(name).cast("string")), ",", ".").try_cast("double")
 
 
 def to_boolean(c: str | Column) -> Column:

@@ -86,7 +86,7 @@ def analytic_from_silver(silver: DataFrame) -> DataFrame:
 
 def raw_money(c: str):
     """Money conversion of the chat service: no trim, NULL when not a number."""
-    return F.regexp_replace(F.regexp_replace(F.col(c), r"\.", ""), ",", ".").try_cast("double")
+    return F.translate(F.translate(F.col(c), ".", ""), ",", ".").try_cast("double")
 
 
 def analytic_from_raw(landing: DataFrame) -> DataFrame:
