@@ -112,3 +112,19 @@ def test_null_counts_single_pass(spark):
     got = {r["coluna"]: r["nulos"] for r in Q.null_counts(df).collect()}
     assert got == {"categoria": 1, "subcategoria": 1, "marca": 1, "qtd_vendas_estimadas_dia": 1,
                    "faturamento_estimado_dia": 0}
+
+
+def test_ordered_index_with_aqe_coalescing(spark):
+    """No explicit partition count: AQE coalesces neighbouring range
+    partitions; the index must still equal a plain row_number."""
+    from pyspark.sql import Window
+    df = spark.range(5000).select((F.col("id") % 7).alias("g"),
+                                  ((F.col("id") * 104729) % 997).alias("v"), "id")
+    got = ordered_index(df, [F.col("v").asc(), F.col("id").desc()], "ix", by=["g"])
+    w = Window.partitionBy("g").orderBy(F.col("v").asc(), F.col("id").desc())
+    want = df.withColumn("ix", F.row_number().over(w).cast("long"))
+    assert got.select("g", "id", "ix").exceptAll(want.select("g", "id", "ix")).count() == 0
+    # a global order (no groups) gives 1..n
+    r = ordered_index(df, [F.col("id").asc()], "k").agg(F.min("k"), F.max("k"),
+                                                          F.countDistinct("k")).first()
+    assert tuple(r) == (1, 5000, 5000)
