@@ -1,0 +1,25 @@
+"""The end-to-end job on a landing file (here: one written from the smoke tables)."""
+from pyspark.sql import functions as F
+
+from tests.conftest import SMOKE
+from vitrine.pipeline import answer, run_etl
+from vitrine.plans.lakehouse import lakehouse
+
+
+def test_run_etl_and_answer(spark, tmp_path):
+    landing = str(tmp_path / "Fato_MaisVendidos.parquet")
+    lakehouse(spark, SMOKE).landing().write.parquet(landing)
+    lh, audits = run_etl(spark, [str(tmp_path / "missing.parquet"), landing],
+                         out=str(tmp_path / "lake"))
+    assert {r["status"] for r in audits["gold_reconcile"].collect()} == {"OK"}
+    counts = {r["tabela"]: r["registros"] for r in audits["gold_row_counts"].collect()}
+    assert counts["ouro_fato_vendas"] == lh.silver().count()
+    assert lh.bronze().select("_arquivo_origem").distinct().count() == 1
+    qs = spark.createDataFrame([(1, "Ana", "qual o faturamento total de hoje?"),
+                                (2, "Ana", "ranking por categoria no mtd")],
+                               "q_id long, user_name string, text string")
+    routed, rows, replies = answer(lh, qs)
+    got = {r["q_id"]: r["intent"] for r in routed.collect()}
+    assert got == {1: "total", 2: "ranking_categorias"}
+    texts = {r["q_id"]: r["resposta"] for r in replies.collect()}
+    assert "Faturamento Total" in texts[1] and "Atualizado até" in texts[2]

@@ -45,10 +45,18 @@ def _slug(path: str) -> str:
 
 
 class Lakehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Layers for one input. ``sf_dir`` names the input (the folder of the
+    driver's tables by default); ``landing_builder`` replaces the derived
+    landing file with any DataFrame (a real landing file), and ``origin`` is
+    its provenance tag."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None,
+                 landing_builder=None, origin: str = ORIGIN_EXISTING_FILE):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.root = f"{work_root(spark)}/{_slug(self.sf_dir)}"
+        self.root = (root.rstrip("/") if root else f"{work_root(spark)}/{_slug(self.sf_dir)}")
+        self._landing_builder = landing_builder or (lambda: listing_day(self.spark, self.sf_dir))
+        self.origin = origin
         self._paths: dict[str, str] = {}
         self._frames: dict[str, DataFrame] = {}
         self._refs: dict[str, Reference] = {}
@@ -80,8 +88,8 @@ class Lakehouse:
     # -- layers ---------------------------------------------------------------
     def landing(self) -> DataFrame:
         from vitrine.constants import LANDING_COLUMNS
-        df = self._materialize("landing", lambda: listing_day(self.spark, self.sf_dir))
-        return df.select(*LANDING_COLUMNS, "produto")
+        df = self._materialize("landing", self._landing_builder)
+        return df.select(*LANDING_COLUMNS, *[c for c in ("produto",) if c in df.columns])
 
     def export_path(self) -> str:
         """The base exported once as ``;``-delimited text (shared by the
@@ -99,7 +107,7 @@ class Lakehouse:
 
     def bronze(self) -> DataFrame:
         return self._materialize(
-            "bronze", lambda: bronze_ops.bronze(self.landing(), ORIGIN_EXISTING_FILE))
+            "bronze", lambda: bronze_ops.bronze(self.landing(), self.origin))
 
     def silver(self) -> DataFrame:
         # written as the dedup exchange left it: no extra shuffle just for layout
