@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import SMOKE
-from vitrine.pipeline import answer, run_etl
+from vitrine.job import answer, run_etl
 from vitrine.plans.lakehouse import lakehouse
 
 

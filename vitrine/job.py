@@ -1,6 +1,6 @@
 """End-to-end jobs on a real landing file.
 
-    python -m vitrine.pipeline --landing <parquet> [--landing <older parquet>] \
+    python -m vitrine.job --landing <parquet> [--landing <older parquet>] \
         [--fallback-table <table>] [--out <folder>] [--questions <parquet>]
 
 ``run_etl`` reads the first readable landing candidate (or the last saved
