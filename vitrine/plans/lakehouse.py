@@ -123,9 +123,13 @@ class Lakehouse:
         return self._materialize("dim_product", lambda: gold.dim_product(self.silver()))
 
     def fact(self) -> DataFrame:
-        return self._materialize(
+        """Sales fact, partitioned by ano_mes (month filters prune folders)."""
+        from vitrine.constants import FACT_COLUMNS
+        df = self._materialize(
             "fact", lambda: gold.fact_sales(self.silver(), self.dim_category(),
-                                            self.dim_product()))
+                                            self.dim_product()),
+            partition_by=["ano_mes"], range_on="data")
+        return df.select(*FACT_COLUMNS)
 
     def analytic(self, raw: bool = False) -> DataFrame:
         """The 14-column answer table: over silver (default) or over the raw
