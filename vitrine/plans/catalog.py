@@ -14,9 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.constants import (BOOLEAN_COLUMNS, INT_COLUMNS, LANDING_COLUMNS, MONEY_COLUMNS,
-                               NULL_CHECK_COLUMNS, NULL_DEFAULTS, ORIGIN_EXISTING_FILE,
-                               TRIM_COLUMNS)
+from vitrine.constants import (BOOLEAN_COLUMNS, INT_COLUMNS, LANDING_COLUMNS, LANDING_TYPES,
+                               MARKUP_CHARS, MONEY_COLUMNS, NULL_CHECK_COLUMNS, NULL_DEFAULTS,
+                               ORIGIN_EXISTING_FILE, TRIM_COLUMNS)
 from vitrine.operators import bronze as B
 from vitrine.operators import compare as C
 from vitrine.operators import gold as G
@@ -547,7 +547,6 @@ register("csv_export_sanitize",
 
 def _landing_schema():
     from pyspark.sql.types import StructType
-    from vitrine.constants import LANDING_TYPES
     return StructType.fromDDL(", ".join(f"{c} {LANDING_TYPES[c]}" for c in LANDING_COLUMNS))
 
 
@@ -556,9 +555,7 @@ def _csv_ingest(spark, d):
     return good
 
 
-_NULLIF_EMPTY = ", ".join(f"NULLIF({c}, '') AS {c}" if c in
-                          [k for k, v in __import__('vitrine.constants', fromlist=['x'])
-                           .LANDING_TYPES.items() if v == 'string'] else c
+_NULLIF_EMPTY = ", ".join(f"NULLIF({c}, '') AS {c}" if LANDING_TYPES[c] == "string" else c
                           for c in LANDING_COLUMNS)
 
 register("csv_ingest", f"{W('bronze')} SELECT {_NULLIF_EMPTY} FROM bronze")(_csv_ingest)
@@ -725,8 +722,8 @@ register("format_brl",
     _format_brl)
 
 register("strip_markup",
-         "SELECT conv_id, turn, translate(text, '" + __import__('vitrine.constants', fromlist=['x'])
-         .MARKUP_CHARS + "', '') AS texto_limpo FROM conversations")(
+         "SELECT conv_id, turn, translate(text, '" + MARKUP_CHARS
+         + "', '') AS texto_limpo FROM conversations")(
     lambda spark, d: lh(spark, d).raw("conversations").select(
         "conv_id", "turn", Fm.strip_markup("text").alias("texto_limpo")))
 
