@@ -795,21 +795,38 @@ register("format_result_rows", OR.FORMAT_RESULT_ROWS)(
 from vitrine.streaming import jobs as J  # noqa: E402
 
 
-def _stream_route(spark, d):
+def _stream_run(spark, d):
+    """Run the message-loop stream once per input (two deliveries: the feed
+    and a full replay) and return its output folders."""
     L = lh(spark, d)
-    in_dir, out = _scratch(spark, d, "st_updates_in"), _scratch(spark, d, "st_routed")
-    ckpt = _scratch(spark, d, "st_routed_ckpt")
-    feed = U.updates_from_conversations(L.raw("conversations"))
-    args = (L.lexicon(), Dic.fixed_glossary(spark), L.categories(), L.dim_category(),
-            _ref(spark, d))
-    feed.write.mode("overwrite").json(f"{in_dir}/drop_0001")
-    J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args)
-    feed.write.mode("overwrite").json(f"{in_dir}/drop_0002")  # a full replay of the feed
-    J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args)
-    return J.read_routed(spark, out)
+    key = "stream_message_loop"
+    if key not in L._paths:
+        in_dir, out = _scratch(spark, d, "st_updates_in"), _scratch(spark, d, "st_routed")
+        replies, ckpt = _scratch(spark, d, "st_replies"), _scratch(spark, d, "st_routed_ckpt")
+        feed = U.updates_from_conversations(L.raw("conversations"))
+        r = L.reference()
+        args = (L.lexicon(), Dic.fixed_glossary(spark), L.categories(), L.dim_category(),
+                r.last_date)
+        opts = dict(answer_table=L.analytic(), total_rows=r.rows, replies_dir=replies)
+        feed.write.mode("overwrite").json(f"{in_dir}/drop_0001")
+        J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args, **opts)
+        feed.write.mode("overwrite").json(f"{in_dir}/drop_0002")  # a full replay of the feed
+        J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args, **opts)
+        L._paths[key] = out
+        L._paths[key + "_replies"] = replies
+    return L._paths[key], L._paths[key + "_replies"]
+
+
+def _stream_route(spark, d):
+    return J.read_routed(spark, _stream_run(spark, d)[0])
+
+
+def _stream_replies(spark, d):
+    return spark.read.parquet(_stream_run(spark, d)[1]).select("q_id", "n_linhas", "resposta")
 
 
 register("stream_route_questions", OR.STREAM_ROUTE_QUESTIONS)(_stream_route)
+register("stream_replies", OR.STREAM_REPLIES)(_stream_replies)
 
 
 def _stream_refresh(spark, d):

@@ -344,3 +344,6 @@ FORMAT_RESULT_ROWS = routing_with(routed_cte(), answers_cte(), format_cte()) + "
 
 STREAM_ROUTE_QUESTIONS = (routing_with(routed_cte(), source=updates_questions_cte)
                           + " SELECT * FROM routed")
+
+STREAM_REPLIES = (routing_with(routed_cte(), answers_cte(), format_cte(),
+                               source=updates_questions_cte) + " SELECT * FROM replies")

@@ -22,6 +22,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.operators.answers import answer_questions, format_result_rows
 from vitrine.operators.gold import analytic_from_raw
 from vitrine.operators.routing import ROUTE_COLUMNS, Router
 from vitrine.sinks import writers as Wr
@@ -39,7 +40,11 @@ def _run(query) -> None:
 def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
                  lexicon: DataFrame, glossary: DataFrame, categories: DataFrame,
                  pairs: DataFrame, ref: date, available_now: bool = True,
-                 max_files: int | None = None):
+                 max_files: int | None = None, answer_table: DataFrame | None = None,
+                 total_rows: int | None = None, replies_dir: str | None = None):
+    """Route each micro-batch of chat updates; when ``answer_table`` and
+    ``replies_dir`` are given, also answer and render the replies (the full
+    message loop: route, answer, reply), written per batch id."""
     reader = spark.readStream.schema(UPDATE_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -57,7 +62,13 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
         qs = batch.select(F.col("update_id").alias("q_id"),
                           F.col("first_name").alias("user_name"), "text").persist()
         try:
-            router.route(qs).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+            routed_path = f"{out_dir}/batch_id={batch_id}"
+            router.route(qs).write.mode("overwrite").parquet(routed_path)
+            if answer_table is not None and replies_dir:
+                routed = spark.read.parquet(routed_path)
+                rows = answer_questions(routed, answer_table, ref, total_rows or 0)
+                format_result_rows(rows, routed, str(ref)).write.mode("overwrite") \
+                    .parquet(f"{replies_dir}/batch_id={batch_id}")
         finally:
             qs.unpersist()
 
