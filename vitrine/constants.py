@@ -309,6 +309,8 @@ REPLY_MORE = "\n_... e mais {n} registros encontrados._"
 REPLY_FOOTER = "\n📌 _Dados oficiais · Atualizado até {ref}_"
 REPLY_EMPTY = "Fala {user}! Não encontrei registros na base oficial para a sua pergunta."
 MARKUP_CHARS = "*#_`~[]()><"
+REPLY_GLOSSARY = "📖 *Termo:* `{sigla}` ({termo})\n💡 *Definição Oficial:* {definicao}"
+REPLY_GREETING = "👋 *Olá {user}!*\n📅 *Base atualizada até:* `{ref}` ({rows} registros)."
 
 # ----------------------------------------------------------------------------
 # FIXED VALUES: glossary of metric and time terms (termo, sigla, explicacao).

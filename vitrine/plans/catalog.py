@@ -908,3 +908,12 @@ def _adhoc_reply_sql():
 
 
 register("format_adhoc_reply", _adhoc_reply_sql())(_adhoc_reply)
+
+
+def _dict_replies(spark, d):
+    L = lh(spark, d)
+    r = L.reference()
+    return A.dictionary_replies(L.routed(), T.taxonomy_flat(L.silver()), str(r.last_date), r.rows)
+
+
+register("format_dictionary_replies", OR.DICTIONARY_REPLIES)(_dict_replies)

@@ -347,3 +347,41 @@ STREAM_ROUTE_QUESTIONS = (routing_with(routed_cte(), source=updates_questions_ct
 
 STREAM_REPLIES = (routing_with(routed_cte(), answers_cte(), format_cte(),
                                source=updates_questions_cte) + " SELECT * FROM replies")
+
+
+def dictionary_cte() -> str:
+    n = K.BULLET_ROWS
+    header = fill_sql(K.REPLY_HEADER, user="r.user_name")
+    question = fill_sql(K.REPLY_QUESTION, question="r.text")
+    more = fill_sql(K.REPLY_MORE, n=f"CAST(c.n_linhas - {n} AS VARCHAR)")
+    foot = K.REPLY_FOOTER.split("{ref}")
+    footer = f"{q(foot[0])} || (SELECT CAST(max(data) AS VARCHAR) FROM analytic) || {q(foot[1])}"
+    gl = fill_sql(K.REPLY_GLOSSARY, sigla="upper(r.sigla)", termo="r.termo", definicao="r.definicao")
+    hi = fill_sql(K.REPLY_GREETING, user="r.user_name", ref="(SELECT CAST(max(data) AS VARCHAR) FROM analytic)",
+                  rows="translate(format('{:,}', (SELECT count(*) FROM analytic)), ',', '.')")
+    listing = (f"{header} || {question} || b.bullets || CASE WHEN c.n_linhas > {n} THEN {more} "
+               f"ELSE '' END || {footer}")
+    return f"""flat AS (SELECT DISTINCT categoria, subcategoria, marca FROM silver),
+    catsum AS (SELECT categoria, count(DISTINCT subcategoria) AS n_subcategorias FROM flat GROUP BY categoria),
+    catb AS (SELECT string_agg('• *Categoria:* ' || COALESCE(categoria, '-') || ' | *Subcategorias:* '
+        || CAST(n_subcategorias AS VARCHAR), chr(10) ORDER BY categoria ASC NULLS FIRST) AS bullets
+      FROM (SELECT * FROM catsum ORDER BY categoria ASC NULLS FIRST LIMIT {n})),
+    catc AS (SELECT count(*) AS n_linhas FROM catsum),
+    subr AS (SELECT *, row_number() OVER (PARTITION BY categoria, subcategoria ORDER BY marca ASC NULLS FIRST) AS rn FROM flat),
+    subsum AS (SELECT categoria, subcategoria, count(marca) AS n_marcas,
+        string_agg(marca, ', ' ORDER BY rn) FILTER (WHERE rn <= 3) AS exemplos FROM subr GROUP BY categoria, subcategoria),
+    subb AS (SELECT categoria, string_agg('• *Subcategoria:* ' || COALESCE(subcategoria, '-') || ' | *Marcas:* '
+        || CAST(n_marcas AS VARCHAR) || ' | *Exemplos:* ' || COALESCE(exemplos, '-'), chr(10) ORDER BY subcategoria ASC NULLS FIRST) AS bullets
+      FROM (SELECT *, row_number() OVER (PARTITION BY categoria ORDER BY subcategoria ASC NULLS FIRST) AS r_ FROM subsum) WHERE r_ <= {n}
+      GROUP BY categoria),
+    subc AS (SELECT categoria, count(*) AS n_linhas FROM subsum GROUP BY categoria),
+    dict_replies AS (
+      SELECT r.q_id, c.n_linhas, {listing} AS resposta FROM routed r, catb b, catc c
+        WHERE r.intent = 'listar_categorias' AND r.status = 'ok'
+      UNION ALL SELECT r.q_id, c.n_linhas, {listing} FROM routed r JOIN subb b ON b.categoria = r.lista_categoria
+        JOIN subc c ON c.categoria = r.lista_categoria WHERE r.intent = 'listar_subcategorias'
+      UNION ALL SELECT r.q_id, 1, {gl} FROM routed r WHERE r.intent = 'glossario'
+      UNION ALL SELECT r.q_id, 1, {hi} FROM routed r WHERE r.intent = 'saudacao')"""
+
+
+DICTIONARY_REPLIES = routing_with(routed_cte(), dictionary_cte()) + " SELECT * FROM dict_replies"
