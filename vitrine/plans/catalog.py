@@ -26,6 +26,18 @@ from vitrine.operators import silver as S
 from vitrine.operators.periods import resolve
 from vitrine.plans import oracle as O
 from vitrine.plans.lakehouse import lakehouse
+from vitrine.constants import ORIGIN_FRESH
+from vitrine.sinks import writers as Wr
+from vitrine.sources import delimited as D
+from vitrine.sources import dictionary as Dic
+from vitrine.sources import landing as Ld
+from vitrine.sources import updates as U
+from vitrine.operators import taxonomy as T
+from vitrine.functions import formatting as Fm
+from vitrine.operators import answers as A
+from vitrine.operators import routing as R
+from vitrine.plans import oracle_routing as OR
+from vitrine.streaming import jobs as J
 
 
 @dataclass(frozen=True)
@@ -503,12 +515,6 @@ def oracle_sql() -> dict[str, str]:
 # ============================================================================
 # Sources and sinks
 # ============================================================================
-from vitrine.constants import ORIGIN_FRESH  # noqa: E402
-from vitrine.sinks import writers as Wr  # noqa: E402
-from vitrine.sources import delimited as D  # noqa: E402
-from vitrine.sources import dictionary as Dic  # noqa: E402
-from vitrine.sources import landing as Ld  # noqa: E402
-from vitrine.sources import updates as U  # noqa: E402
 
 
 def _scratch(spark, d, name):
@@ -647,7 +653,6 @@ register("sample_rows")(lambda spark, d: lh(spark, d).silver().drop("_data_proce
 # ============================================================================
 # Taxonomy (derived from the data) and the fixed dictionary
 # ============================================================================
-from vitrine.operators import taxonomy as T  # noqa: E402
 
 register("taxonomy_flat",
          f"{W('silver')} SELECT DISTINCT categoria, subcategoria, marca FROM silver")(
@@ -698,7 +703,6 @@ register("taxonomy_coverage",
 # ============================================================================
 # Scalar rendering
 # ============================================================================
-from vitrine.functions import formatting as Fm  # noqa: E402
 
 register("format_date_br",
          f"{W('dim_calendar')} SELECT data, strftime(data, '%d/%m/%Y') AS data_br FROM dim_calendar")(
@@ -755,9 +759,6 @@ register("pipe_table", _pipe_sql())(_pipe)
 # ============================================================================
 # Question routing and answers
 # ============================================================================
-from vitrine.operators import answers as A  # noqa: E402
-from vitrine.operators import routing as R  # noqa: E402
-from vitrine.plans import oracle_routing as OR  # noqa: E402
 
 
 def _qn(spark, d):
@@ -792,7 +793,6 @@ register("format_result_rows", OR.FORMAT_RESULT_ROWS)(
 # ============================================================================
 # Streaming
 # ============================================================================
-from vitrine.streaming import jobs as J  # noqa: E402
 
 
 def _stream_run(spark, d):
