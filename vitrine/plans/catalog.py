@@ -807,7 +807,8 @@ def _stream_run(spark, d):
         r = L.reference()
         args = (L.lexicon(), Dic.fixed_glossary(spark), L.categories(), L.dim_category(),
                 r.last_date)
-        opts = dict(answer_table=L.analytic(), total_rows=r.rows, replies_dir=replies)
+        opts = dict(answer_table=L.analytic(), total_rows=r.rows, replies_dir=replies,
+                    state_partitions=spark.sparkContext.defaultParallelism)
         feed.write.mode("overwrite").json(f"{in_dir}/drop_0001")
         J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args, **opts)
         feed.write.mode("overwrite").json(f"{in_dir}/drop_0002")  # a full replay of the feed
@@ -855,9 +856,10 @@ def _stream_dedup(spark, d):
     ckpt = _scratch(spark, d, "st_events_ckpt")
     events = L.raw("events")
     events.write.mode("overwrite").parquet(f"{in_dir}/drop_0001")
-    J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema)
+    parts = spark.sparkContext.defaultParallelism
+    J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema, state_partitions=parts)
     events.write.mode("overwrite").parquet(f"{in_dir}/drop_0002")  # replayed delivery
-    J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema)
+    J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema, state_partitions=parts)
     return spark.read.parquet(out).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("eventos"), F.count_distinct("event_id").alias("ids"))
 

@@ -31,6 +31,20 @@ from vitrine.sources.updates import UPDATE_SCHEMA, parse_updates
 DEDUP_DELAY = "1 hour"
 
 
+def _start(spark: SparkSession, writer, state_partitions: int | None):
+    """Start a stream with a chosen number of state partitions. The count is
+    fixed at the first start (stored in the checkpoint); the query keeps its
+    own copy of the session settings, so the session value is restored at once."""
+    if not state_partitions:
+        return writer.start()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def _run(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -41,7 +55,8 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
                  lexicon: DataFrame, glossary: DataFrame, categories: DataFrame,
                  pairs: DataFrame, ref: date, available_now: bool = True,
                  max_files: int | None = None, answer_table: DataFrame | None = None,
-                 total_rows: int | None = None, replies_dir: str | None = None):
+                 total_rows: int | None = None, replies_dir: str | None = None,
+                 state_partitions: int | None = None):
     """Route each micro-batch of chat updates; when ``answer_table`` and
     ``replies_dir`` are given, also answer and render the replies (the full
     message loop: route, answer, reply), written per batch id."""
@@ -76,7 +91,7 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="10 seconds")
-    q = writer.start()
+    q = _start(spark, writer, state_partitions)
     if available_now:
         _run(q)
     return q
@@ -108,13 +123,14 @@ def refresh_stream(spark: SparkSession, in_dir: str, base_dir: str, profile_dir:
 
 
 def dedup_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema,
-                 key: str = "event_id", ts: str = "ts", delay: str = DEDUP_DELAY) -> None:
+                 key: str = "event_id", ts: str = "ts", delay: str = DEDUP_DELAY,
+                 state_partitions: int | None = None) -> None:
     events = spark.readStream.schema(schema).parquet(in_dir)
     # watermarks need TIMESTAMP; a wall-clock (NTZ) column is read in the session time zone
     unique = (events.withColumn("_event_time", F.col(ts).cast("timestamp"))
               .withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key])
               .drop("_event_time"))
-    q = (unique.writeStream.format("parquet").option("path", out_dir)
+    w = (unique.writeStream.format("parquet").option("path", out_dir)
          .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    _run(q)
+         .trigger(availableNow=True))
+    _run(_start(spark, w, state_partitions))
