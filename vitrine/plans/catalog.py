@@ -532,7 +532,7 @@ register("source_fallback",
          f"{W('bronze')} SELECT *, '{ORIGIN_EXISTING_FILE}' AS _arquivo_origem FROM bronze")(
     _source_fallback)
 
-_EXPORT_HEADER = ";".join(LANDING_COLUMNS)
+_EXPORT_HEADER = ";".join(f"Fato_MaisVendidos[{c}]" for c in LANDING_COLUMNS)
 
 
 def _export(spark, d):
@@ -568,10 +568,7 @@ register("csv_ingest", f"{W('bronze')} SELECT {_NULLIF_EMPTY} FROM bronze")(_csv
 
 
 def _header_clean(spark, d):
-    path = _scratch(spark, d, "export_bracket_header")
-    D.write_delimited(B.select_contract(lh(spark, d).bronze()), path,
-                      header_template="Fato_MaisVendidos[{col}]")
-    raw = spark.read.option("header", True).option("sep", ";").csv(path)
+    raw = spark.read.option("header", True).option("sep", ";").csv(_export(spark, d))
     return D.clean_header(raw)
 
 
@@ -808,7 +805,8 @@ def _stream_run(spark, d):
         args = (L.lexicon(), Dic.fixed_glossary(spark), L.categories(), L.dim_category(),
                 r.last_date)
         opts = dict(answer_table=L.analytic(), total_rows=r.rows, replies_dir=replies,
-                    state_partitions=spark.sparkContext.defaultParallelism)
+                    state_partitions=spark.sparkContext.defaultParallelism,
+                    router=R.Router(*args))  # static side prepared once for both runs
         feed.write.mode("overwrite").json(f"{in_dir}/drop_0001")
         J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args, **opts)
         feed.write.mode("overwrite").json(f"{in_dir}/drop_0002")  # a full replay of the feed

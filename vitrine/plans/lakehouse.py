@@ -91,13 +91,17 @@ class Lakehouse:
         df = self._materialize("landing", self._landing_builder)
         return df.select(*LANDING_COLUMNS, *[c for c in ("produto",) if c in df.columns])
 
+    EXPORT_HEADER = "Fato_MaisVendidos[{col}]"
+
     def export_path(self) -> str:
-        """The base exported once as ``;``-delimited text (shared by the
-        export / ingest queries)."""
+        """The base exported once as ``;``-delimited text with ``Table[col]``
+        headers, as the BI export writes it (shared by the export, ingest and
+        header clean-up queries)."""
         from vitrine.sources.delimited import write_delimited
         with _LOCK:
             if "export_csv" not in self._paths:
-                write_delimited(bronze_ops.select_contract(self.bronze()), self.path("export_csv"))
+                write_delimited(bronze_ops.select_contract(self.bronze()), self.path("export_csv"),
+                                header_template=self.EXPORT_HEADER)
                 self._paths["export_csv"] = self.path("export_csv")
         return self._paths["export_csv"]
 

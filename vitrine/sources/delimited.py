@@ -21,7 +21,7 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
     parsed = (spark.read.option("sep", sep).option("header", header)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("enforceSchema", False)
+              .option("enforceSchema", True)  # header names may be decorated (Table[col])
               .schema(full).csv(path)
               .checkpoint(eager=True))
     good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)

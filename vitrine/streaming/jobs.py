@@ -56,7 +56,7 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
                  pairs: DataFrame, ref: date, available_now: bool = True,
                  max_files: int | None = None, answer_table: DataFrame | None = None,
                  total_rows: int | None = None, replies_dir: str | None = None,
-                 state_partitions: int | None = None):
+                 state_partitions: int | None = None, router: Router | None = None):
     """Route each micro-batch of chat updates; when ``answer_table`` and
     ``replies_dir`` are given, also answer and render the replies (the full
     message loop: route, answer, reply), written per batch id."""
@@ -69,7 +69,7 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
               .withWatermark("_event_time", DEDUP_DELAY)
               .dropDuplicatesWithinWatermark(["update_id"]).drop("_event_time"))
 
-    router = Router(lexicon, glossary, categories, pairs, ref)  # static side, once
+    router = router or Router(lexicon, glossary, categories, pairs, ref)  # static side, once
 
     def answer_batch(batch: DataFrame, batch_id: int) -> None:
         # the routing plan reads the batch several times: keep it once, rather
