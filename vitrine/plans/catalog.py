@@ -321,15 +321,16 @@ def _raw_totals(spark, d):
 register("totals_ytd_raw", _totals_sql("ytd", "analytic_raw"))(_raw_totals)
 
 
-def _by_keys_sql(kind, keys, where=None, n=None, units_first=False):
+def _by_keys_sql(kind, keys, where=None, n=None, units_first=False, layer="analytic"):
     k = ", ".join(keys)
     measures = ["CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas", f"{O.money_sum('fat_num')} AS faturamento"]
     if not units_first:
         measures.reverse()
     cond = O.period_where(kind) + (f" AND {where}" if where else "")
     order = ", ".join(["faturamento DESC NULLS LAST"] + [f"{c} ASC NULLS FIRST" for c in keys])
-    return (f"{W('analytic', 'ref')} SELECT {O.period_label(kind)} AS periodo, {k}, "
-            f"{', '.join(measures)} FROM analytic, ref WHERE {cond} GROUP BY r, {k} "
+    ref = "ref" if layer == "analytic" else "ref_raw"
+    return (f"{W(layer, ref)} SELECT {O.period_label(kind)} AS periodo, {k}, "
+            f"{', '.join(measures)} FROM {layer}, ref WHERE {cond} GROUP BY r, {k} "
             f"ORDER BY {order}" + (f" LIMIT {n}" if n else ""))
 
 
@@ -917,3 +918,19 @@ def _dict_replies(spark, d):
 
 
 register("format_dictionary_replies", OR.DICTIONARY_REPLIES)(_dict_replies)
+
+
+# Parity with the chat service, which answers from the raw file (no trim,
+# dedup or defaults): NULL categories and duplicate rows show up here.
+def _raw_period(kind):
+    def get(spark, d):
+        return resolve(kind, lh(spark, d).reference(raw=True).last_date)
+    return get
+
+
+register("ranking_categories_raw", _by_keys_sql("ytd", ["categoria"], layer="analytic_raw"))(
+    lambda spark, d: M.ranking_categories(lh(spark, d).analytic(raw=True), _raw_period("ytd")(spark, d)))
+
+register("ranking_products_top5_raw",
+         _by_keys_sql("ytd", M.PRODUCT_KEYS, n=5, units_first=True, layer="analytic_raw"))(
+    lambda spark, d: M.ranking_products(lh(spark, d).analytic(raw=True), _raw_period("ytd")(spark, d)))
