@@ -26,6 +26,7 @@ from vitrine.operators import silver as S
 from vitrine.operators.periods import resolve
 from vitrine.plans import oracle as O
 from vitrine.plans.lakehouse import lakehouse
+from vitrine.session import parallelism
 from vitrine.constants import ORIGIN_FRESH
 from vitrine.sinks import writers as Wr
 from vitrine.sources import delimited as D
@@ -806,7 +807,7 @@ def _stream_run(spark, d):
         args = (L.lexicon(), Dic.fixed_glossary(spark), L.categories(), L.dim_category(),
                 r.last_date)
         opts = dict(answer_table=L.analytic(), total_rows=r.rows, replies_dir=replies,
-                    state_partitions=spark.sparkContext.defaultParallelism,
+                    state_partitions=parallelism(spark),
                     router=R.Router(*args))  # static side prepared once for both runs
         feed.write.mode("overwrite").json(f"{in_dir}/drop_0001")
         J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args, **opts)
@@ -855,7 +856,7 @@ def _stream_dedup(spark, d):
     ckpt = _scratch(spark, d, "st_events_ckpt")
     events = L.raw("events")
     events.write.mode("overwrite").parquet(f"{in_dir}/drop_0001")
-    parts = spark.sparkContext.defaultParallelism
+    parts = parallelism(spark)
     J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema, state_partitions=parts)
     events.write.mode("overwrite").parquet(f"{in_dir}/drop_0002")  # replayed delivery
     J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema, state_partitions=parts)

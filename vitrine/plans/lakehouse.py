@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from vitrine.constants import ANALYTIC_COLUMNS, ORIGIN_EXISTING_FILE
 from vitrine.operators import bronze as bronze_ops
 from vitrine.operators import gold, silver as silver_ops
-from vitrine.session import work_root
+from vitrine.session import session_key, work_root
 from vitrine.sources.testdata import listing_day
 
 _LOCK = threading.RLock()
@@ -185,7 +185,7 @@ class Lakehouse:
 
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         if key not in _REGISTRY:
             _REGISTRY[key] = Lakehouse(spark, sf_dir)

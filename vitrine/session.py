@@ -45,17 +45,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the session; only when neither is set (local tests) a fresh folder is
     created and registered. Never a machine-local folder on a cluster: there
     the cluster config names a shared location."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if current is None:
-        if conf_dir:
-            sc.setCheckpointDir(conf_dir)
-        else:
-            local = tempfile.mkdtemp(prefix="vitrine-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", local)
-            sc.setCheckpointDir(local)
-    return conf_dir or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
+    if current is None and not conf_dir:
+        conf_dir = tempfile.mkdtemp(prefix="vitrine-ckpt-")  # local tests only
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if current is None and sc is not None:
+        sc.setCheckpointDir(conf_dir)
+    return conf_dir or current
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (for per-application caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the application (falls back to the shuffle partitions)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def work_root(spark: SparkSession) -> str:
