@@ -128,3 +128,20 @@ def test_ordered_index_with_aqe_coalescing(spark):
     r = ordered_index(df, [F.col("id").asc()], "k").agg(F.min("k"), F.max("k"),
                                                           F.countDistinct("k")).first()
     assert tuple(r) == (1, 5000, 5000)
+
+
+def test_empty_base_periods(spark):
+    """An empty base has no reference date: totals are one NULL row, rankings
+    are empty, nothing fails."""
+    from vitrine.operators import metrics as M
+    from vitrine.operators.periods import resolve
+    from vitrine.constants import ANALYTIC_COLUMNS
+    ddl = ("data date, ano int, mes int, ano_mes string, posicao_ranking int, categoria string, "
+           "subcategoria string, titulo_produto string, marca string, qtd_vendas_num int, "
+           "fat_num double, preco_num double, is_full boolean, frete_gratis boolean")
+    empty = spark.createDataFrame([], ddl).select(*ANALYTIC_COLUMNS)
+    for kind in ["today", "yesterday", "mtd", "ytd"]:
+        p = resolve(kind, None)
+        t = M.totals(empty, p).collect()
+        assert len(t) == 1 and t[0]["faturamento_total"] is None
+        assert M.ranking_categories(empty, p).count() == 0

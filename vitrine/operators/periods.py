@@ -23,10 +23,13 @@ class Period:
     end: date
     ano: int | None = None  # MTD/YTD use the stored period columns
     mes: int | None = None
+    empty: bool = False  # the base has no rows: nothing can match
 
     def condition(self) -> Column:
         """Filter on bare columns so it reaches the Parquet scan (partition
         pruning on ano/mes, row-group pruning on data)."""
+        if self.empty:
+            return F.lit(False)
         if self.kind == "mtd":
             return (F.col("ano") == self.ano) & (F.col("mes") == self.mes) & \
                 (F.col("data") <= F.lit(self.end))
@@ -35,7 +38,14 @@ class Period:
         return F.col("data") == F.lit(self.start)
 
 
-def resolve(kind: str, ref: date, day: date | None = None, br_text: bool = False) -> Period:
+NO_DATA = "sem dados"
+
+
+def resolve(kind: str, ref: date | None, day: date | None = None, br_text: bool = False) -> Period:
+    """The period ``kind`` relative to the base's last date ``ref``. With an
+    empty base (``ref`` is None) the period matches no row."""
+    if ref is None or (kind == "date" and day is None):
+        return Period(kind, f"{kind} ({NO_DATA})", date.min, date.min, empty=True)
     if kind == "today":
         return Period(kind, LABEL_TODAY.format(ref=ref.isoformat()), ref, ref)
     if kind == "yesterday":
