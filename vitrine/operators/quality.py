@@ -94,9 +94,12 @@ SCHEMA_PROFILE_SCHEMA = StructType([StructField("posicao", IntegerType(), False)
 
 
 def schema_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Column position, name and type (metadata: one row per column)."""
-    return spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(df.dtypes, 1)],
+    """Column position, name and type, with the NULL count of each column
+    (one aggregate pass over the whole table, unpivoted)."""
+    meta = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(df.dtypes, 1)],
                                  SCHEMA_PROFILE_SCHEMA)
+    nulls = null_counts(df, df.columns)
+    return meta.join(F.broadcast(nulls), "coluna").select("posicao", "coluna", "tipo", "nulos")
 
 
 def base_metadata(df: DataFrame) -> DataFrame:

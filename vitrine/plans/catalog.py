@@ -275,8 +275,13 @@ _SPARK_TYPES = ("CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN '
 
 def _schema_profile_sql():
     silver_cols = ", ".join(LANDING_COLUMNS)
-    return (f"SELECT CAST(row_number() OVER () AS INTEGER) AS posicao, column_name AS coluna, "
-            f"{_SPARK_TYPES} AS tipo FROM (DESCRIBE {W('silver')} SELECT {silver_cols} FROM silver)")
+    nulls = " UNION ALL ".join(
+        f"SELECT '{c}' AS coluna, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulos "
+        f"FROM silver" for c in LANDING_COLUMNS)
+    return (f"{W('silver')}, d AS (SELECT CAST(row_number() OVER () AS INTEGER) AS posicao, "
+            f"column_name AS coluna, {_SPARK_TYPES} AS tipo FROM (DESCRIBE SELECT {silver_cols} "
+            f"FROM silver)), n AS ({nulls}) SELECT d.posicao, d.coluna, d.tipo, n.nulos "
+            f"FROM d JOIN n ON d.coluna = n.coluna")
 
 
 register("schema_profile", _schema_profile_sql())(
