@@ -77,6 +77,8 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
         qs = batch.select(F.col("update_id").alias("q_id"),
                           F.col("first_name").alias("user_name"), "text").persist()
         try:
+            if qs.isEmpty():  # e.g. a batch of replays only: nothing to answer
+                return
             routed_path = f"{out_dir}/batch_id={batch_id}"
             router.route(qs).write.mode("overwrite").parquet(routed_path)
             if answer_table is not None and replies_dir:
