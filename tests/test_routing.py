@@ -121,3 +121,11 @@ def test_generic_reply_formats(spark):
     empty = many.filter("vendas < 0")
     r = format_result(empty, [F.col("vendas")], "q?", "Ana", "2026-09-27").first()
     assert r["n_linhas"] == 0 and r["resposta"].startswith("Fala Ana!")
+
+
+def test_routing_without_reference_date(spark, ctx):
+    qs = spark.createDataFrame([(1, "Ana", "qual o faturamento total de hoje?")],
+                               "q_id long, user_name string, text string")
+    r = R.route_questions(qs, ctx["lexicon"], ctx["glossary"], ctx["cats"], ctx["pairs"],
+                          None).first()
+    assert (r["intent"], r["status"]) == ("total", "no_data")

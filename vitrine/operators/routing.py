@@ -182,7 +182,10 @@ def resolve_period(q: DataFrame, ref: date) -> DataFrame:
     must stand as whole words and not be followed by "passado"/"anterior".
 
     Each regex is evaluated once per question (stage 1 columns); kind, date
-    and label are derived from those columns in later projections."""
+    and label are derived from those columns in later projections. With an
+    empty base (no reference date) every period has status ``no_data``."""
+    if ref is None:
+        return _no_reference_period(q)
     t = F.col("t")
     stage1 = q.withColumns({
         "_ytd": reduce(lambda a, b: a | b, [_period_word(t, w) for w in K.YTD_WORDS]),
@@ -241,6 +244,15 @@ def resolve_period(q: DataFrame, ref: date) -> DataFrame:
                     "_iso_d", "_br_d", "_br_m", "_br_y0", "_br_y", "_iso_text", "_day")
 
 
+def _no_reference_period(q: DataFrame) -> DataFrame:
+    from vitrine.operators.periods import NO_DATA
+    return q.withColumns({
+        "kind": F.lit("today"), "periodo": F.lit(f"today ({NO_DATA})"),
+        "inicio": F.lit(None).cast("date"), "fim": F.lit(None).cast("date"),
+        "p_ano": F.lit(None).cast("int"), "p_mes": F.lit(None).cast("int"),
+        "period_status": F.lit("no_data")})
+
+
 def mention_flags(q: DataFrame) -> DataFrame:
     t = F.col("t")
     sub = _any_contains(t, K.SUBCATEGORY_SYNONYMS)
