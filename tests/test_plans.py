@@ -76,3 +76,22 @@ def test_nested_loop_joins_only_against_small_sides(spark):
         p = final_plan(queries()[key](spark, SMOKE))
         if "BroadcastNestedLoopJoin" in p:
             assert re.search(r"BroadcastNestedLoopJoin BuildRight", p)
+
+
+def _windows_fed_by_single_partition(p: str) -> list[str]:
+    """Window operators whose input arrives through a single-partition exchange."""
+    lines = p.split("\n")
+    bad = []
+    for i, line in enumerate(lines):
+        if "Window [" in line and "WindowGroupLimit" not in line:
+            for below in lines[i + 1:]:
+                if "Exchange" in below:
+                    if "SinglePartition" in below:
+                        bad.append(line.strip()[:120])
+                    break
+    return bad
+
+
+@pytest.mark.parametrize("key", [k for k in sorted(queries()) if not k.startswith("stream_")])
+def test_no_single_partition_window(spark, key):
+    assert _windows_fed_by_single_partition(plan(queries()[key](spark, SMOKE))) == []
