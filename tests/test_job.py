@@ -23,3 +23,20 @@ def test_run_etl_and_answer(spark, tmp_path):
     assert got == {1: "total", 2: "ranking_categorias"}
     texts = {r["q_id"]: r["resposta"] for r in replies.collect()}
     assert "Faturamento Total" in texts[1] and "Atualizado até" in texts[2]
+
+
+def test_cli_prints_audits(spark, tmp_path):
+    """``python -m vitrine.job`` end to end in its own process."""
+    import os
+    import subprocess
+    import sys
+    landing = str(tmp_path / "landing.parquet")
+    lakehouse(spark, SMOKE).landing().write.parquet(landing)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_CPUS="2", PYTHONPATH=repo)
+    out = subprocess.run([sys.executable, "-m", "vitrine.job", "--landing", landing,
+                          "--out", str(tmp_path / "lake")], cwd=repo, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "== gold_reconcile" in out.stdout and "ERRO" not in out.stdout
+    assert "== gold_audit" in out.stdout
