@@ -940,3 +940,35 @@ register("ranking_categories_raw", _by_keys_sql("ytd", ["categoria"], layer="ana
 register("ranking_products_top5_raw",
          _by_keys_sql("ytd", M.PRODUCT_KEYS, n=5, units_first=True, layer="analytic_raw"))(
     lambda spark, d: M.ranking_products(lh(spark, d).analytic(raw=True), _raw_period("ytd")(spark, d)))
+
+# ============================================================================
+# Star-schema SQL over the gold tables (what a BI model queries)
+# ============================================================================
+STAR_SQL = """
+SELECT c.categoria, d.ano, d.trimestre,
+       CAST(SUM(CAST(f.faturamento AS DECIMAL(18,2))) AS DOUBLE) AS faturamento,
+       CAST(SUM(f.qtd_vendas) AS BIGINT) AS vendas,
+       COUNT(DISTINCT f.sk_produto) AS produtos,
+       CAST(SUM(CASE WHEN d.is_fim_semana THEN CAST(f.faturamento AS DECIMAL(18,2)) END)
+            AS DOUBLE) AS faturamento_fim_semana
+FROM ouro_fato_vendas f
+JOIN ouro_dim_calendario d ON f.data = d.data
+LEFT JOIN ouro_dim_categoria c ON f.sk_categoria = c.sk_categoria
+GROUP BY c.categoria, d.ano, d.trimestre
+"""
+
+
+def _star(spark, d):
+    from vitrine.session import _RUN_ID
+    prefix = f"v{_RUN_ID}_"
+    lh(spark, d).register_views(prefix)
+    sql = STAR_SQL
+    for name in lh(spark, d).VIEW_NAMES:
+        sql = sql.replace(f" {name} ", f" {prefix}{name} ")
+    return spark.sql(sql)
+
+
+register("star_sales_by_quarter",
+         f"{W('fact', 'dim_calendar')} " + STAR_SQL.replace("ouro_fato_vendas", "fact")
+         .replace("ouro_dim_calendario", "dim_calendar").replace("ouro_dim_categoria", "dim_category"))(
+    _star)

@@ -145,6 +145,20 @@ class Lakehouse:
         return df.select(*[F.col(c).cast("int").alias(c) if c in ("ano", "mes") else F.col(c)
                            for c in ANALYTIC_COLUMNS])
 
+    # FIXED VALUES: names of the gold tables and of the answer table.
+    VIEW_NAMES = {"ouro_dim_calendario": "dim_calendar", "ouro_dim_categoria": "dim_category",
+                  "ouro_dim_produto": "dim_product", "ouro_fato_vendas": "fact",
+                  "fato_ml": "analytic"}
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose the gold tables and the answer table to Spark SQL under their
+        table names (BI-style star queries, ad-hoc SQL)."""
+        names = []
+        for view, layer in self.VIEW_NAMES.items():
+            getattr(self, layer)().createOrReplaceTempView(prefix + view)
+            names.append(prefix + view)
+        return names
+
     # -- question answering -----------------------------------------------------
     def questions(self) -> DataFrame:
         from vitrine.operators import taxonomy
