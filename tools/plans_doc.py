@@ -28,6 +28,8 @@ NOTES = {
     "top_product_in_category": "Best per category: partial WindowGroupLimit before the exchange.",
     "period_cube": "One pass: reference year (pruned) + two days, 4-row period table broadcast, rollup.",
     "match_entities": "Keyword matching: n-gram equi-join with the broadcast lexicon, regex only on candidates.",
+    "star_sales_by_quarter": "Star query in Spark SQL: fact joined to calendar and category "
+                             "dimensions (small sides broadcast by the planner), partial aggregation.",
     "silver build": "Silver: one exchange on (data, id_anuncio); partial WindowGroupLimit keeps one row "
                     "per key and map task before it.",
     "fact build": "Fact: category dimension broadcast after a size check; product dimension joined by "
@@ -61,7 +63,7 @@ def main() -> None:
     qs = queries()
     items = [(k, qs[k](spark, sf_dir)) for k in
              ["totals_mtd", "totals_today", "ranking_products_top5", "top_product_in_category",
-              "period_cube", "match_entities"]]
+              "period_cube", "match_entities", "star_sales_by_quarter"]]
     items += [("silver build", S.silver(L.bronze())),
               ("fact build", G.fact_sales(L.silver(), L.dim_category(), L.dim_product())),
               ("ordered index", L.silver().select("data", "id_anuncio").repartitionByRange(
