@@ -72,6 +72,11 @@ def brand_period(df, period, term):
     return by_keys(df, period, ["marca"], F.col("marca").ilike(f"%{term}%"))
 
 
+def product_period(df, period, term):
+    """Products whose title contains ``term`` (case-insensitive), with brand."""
+    return by_keys(df, period, ["titulo_produto", "marca"], F.col("titulo_produto").ilike(f"%{term}%"))
+
+
 def ranking_categories(df, period):
     return by_keys(df, period, ["categoria"])
 

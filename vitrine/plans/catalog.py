@@ -66,6 +66,7 @@ P_CATEGORY = "PROMO"
 P_SUBCATEGORY = "ring"
 P_BRAND_TERM = "brand#1"
 P_LOOKUP_TERM = "IN"
+P_PRODUCT_TERM = "RING"
 P_REVENUE_TOLERANCE = 1.0
 
 W = O.with_layers
@@ -357,6 +358,11 @@ register("subcategory_any_parent",
 register("brand_period", _by_keys_sql("ytd", ["marca"], f"marca ILIKE '%{P_BRAND_TERM}%'"))(
     lambda spark, d: M.brand_period(lh(spark, d).analytic(), _period("ytd")(spark, d), P_BRAND_TERM))
 
+register("product_period",
+         _by_keys_sql("ytd", ["titulo_produto", "marca"], f"titulo_produto ILIKE '%{P_PRODUCT_TERM}%'"))(
+    lambda spark, d: M.product_period(lh(spark, d).analytic(), _period("ytd")(spark, d),
+                                      P_PRODUCT_TERM))
+
 register("ranking_categories", _by_keys_sql("mtd", ["categoria"]))(
     lambda spark, d: M.ranking_categories(lh(spark, d).analytic(), _period("mtd")(spark, d)))
 
