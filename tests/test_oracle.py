@@ -25,6 +25,10 @@ def _rows(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+                 "DATE": "date", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -46,6 +50,8 @@ def test_query_matches_oracle(spark, con, key):
     if sql is None:
         assert len(srows) >= 0
         return
+    types = {r[0]: DUCK_TO_SPARK.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    assert dict(df.dtypes) == types  # same names and same types
     cur = con.execute(sql)
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)

@@ -292,11 +292,12 @@ def answers_cte() -> str:
       categoria ASC NULLS FIRST, subcategoria ASC NULLS FIRST, titulo_produto ASC NULLS FIRST,
       marca ASC NULLS FIRST) AS linha FROM found),
     answers AS (
-      SELECT q_id, intent, linha, periodo, categoria, subcategoria, titulo_produto, marca,
+      SELECT q_id, intent, CAST(linha AS INTEGER) AS linha, periodo, categoria, subcategoria,
+        titulo_produto, marca,
         CAST(fat AS DOUBLE) AS faturamento, CAST(qtd AS BIGINT) AS vendas,
         NULL::VARCHAR AS data_mais_recente, NULL::BIGINT AS total_registros
       FROM ranked WHERE intent <> 'ranking_subcategorias' OR linha <= {top}
-      UNION ALL SELECT q_id, intent, 1, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+      UNION ALL SELECT q_id, intent, CAST(1 AS INTEGER), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
         (SELECT CAST(max(data) AS VARCHAR) FROM analytic), (SELECT count(*) FROM analytic)
       FROM rq WHERE intent = 'metadados')"""
 
