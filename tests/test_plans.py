@@ -95,3 +95,4 @@ def _windows_fed_by_single_partition(p: str) -> list[str]:
 @pytest.mark.parametrize("key", [k for k in sorted(queries()) if not k.startswith("stream_")])
 def test_no_single_partition_window(spark, key):
     assert _windows_fed_by_single_partition(plan(queries()[key](spark, SMOKE))) == []
+

@@ -66,13 +66,15 @@ class Lakehouse:
         return f"{self.root}/{name}"
 
     def _materialize(self, name: str, build, partition_by: list[str] | None = None,
-                     range_on: str | None = None) -> DataFrame:
+                     range_on: list[str] | None = None) -> DataFrame:
         with _LOCK:
             if name not in self._paths:
                 df = build()
-                if range_on is not None:
+                if range_on:
+                    # date first (files stay sorted by date for row-group pruning),
+                    # then a row-level key so one hot day still splits across tasks;
                     # no explicit count: AQE sizes the partitions from the data
-                    df = df.repartitionByRange(F.col(range_on).asc_nulls_first())
+                    df = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in range_on])
                 writer = df.write.mode("overwrite")
                 if partition_by:
                     writer = writer.partitionBy(*partition_by)
@@ -132,7 +134,7 @@ class Lakehouse:
         df = self._materialize(
             "fact", lambda: gold.fact_sales(self.silver(), self.dim_category(),
                                             self.dim_product()),
-            partition_by=["ano_mes"], range_on="data")
+            partition_by=["ano_mes"], range_on=["data", "sk_produto"])
         return df.select(*FACT_COLUMNS)
 
     def analytic(self, raw: bool = False) -> DataFrame:
@@ -141,7 +143,8 @@ class Lakehouse:
         name = "analytic_raw" if raw else "analytic"
         build = ((lambda: gold.analytic_from_raw(self.landing())) if raw
                  else (lambda: gold.analytic_from_silver(self.silver())))
-        df = self._materialize(name, build, partition_by=["ano", "mes"], range_on="data")
+        df = self._materialize(name, build, partition_by=["ano", "mes"],
+                               range_on=["data", "posicao_ranking"])
         return df.select(*[F.col(c).cast("int").alias(c) if c in ("ano", "mes") else F.col(c)
                            for c in ANALYTIC_COLUMNS])
 
