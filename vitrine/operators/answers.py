@@ -60,6 +60,10 @@ def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_ro
                                           ("titulo_produto", "marca", "categoria", "subcategoria")])
     prod_top = prod.withColumn("_r", F.row_number().over(wprod)).filter(F.col("_r") <= TOP_N) \
                    .drop("_r")
+    wcs = Window.partitionBy("pkey").orderBy(
+        F.col("fat").desc_nulls_last(), F.col("categoria").asc_nulls_first(),
+        F.col("subcategoria").asc_nulls_first())
+    cs_top = cs.withColumn("_r", F.row_number().over(wcs)).filter(F.col("_r") <= TOP_N).drop("_r")
     qk = q.select("q_id", "intent", "periodo", "pkey", F.col("categoria").alias("q_cat"),
                   F.col("subcategoria").alias("q_sub"))
 
@@ -77,7 +81,7 @@ def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_ro
              F.col("q_cat").isNull() | (F.col("categoria") == F.col("q_cat"))),
         pick("categoria", cat, [("q_cat", "categoria")])
         .withColumn("subcategoria", F.lit(None).cast("string")),
-        pick("ranking_subcategorias", cs),
+        pick("ranking_subcategorias", cs_top),
         pick("ranking_categorias", cat).withColumn("subcategoria", F.lit(None).cast("string")),
     ]
     full_cols = ["q_id", "intent", "periodo", "categoria", "subcategoria", "titulo_produto",
@@ -96,7 +100,6 @@ def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_ro
         F.col("fat").desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in
                                           ("categoria", "subcategoria", "titulo_produto", "marca")])
     ranked = found.withColumn("linha", F.row_number().over(w))
-    ranked = ranked.filter((F.col("intent") != "ranking_subcategorias") | (F.col("linha") <= TOP_N))
     out = ranked.select("q_id", "intent", "linha", "periodo", "categoria", "subcategoria",
                         "titulo_produto", "marca", F.col("fat").cast("double").alias("faturamento"),
                         F.col("qtd").cast("long").alias("vendas"),
