@@ -44,8 +44,8 @@ def strip_markup(c: str | Column) -> Column:
 
 def sanitize_text(c: str | Column, sep: str = ";") -> Column:
     """Delimited-export cell: separator -> ',', CR/LF -> space, NULL -> ''."""
-    return F.coalesce(F.regexp_replace(F.translate(_col(c).cast("string"), sep, ","),
-                                       "[\r\n]", " "), F.lit(""))
+    # one character map, no regex: separator -> ',', CR and LF -> ' '
+    return F.coalesce(F.translate(_col(c).cast("string"), sep + "\r\n", ",  "), F.lit(""))
 
 
 # Word-boundary pattern shared by Spark (Java regex) and the SQL oracle (RE2):
