@@ -51,13 +51,21 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text; NULL gives no words."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACES}]+"), lambda w: w != "")
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return (F.when(inner == "", F.array().cast("array<string>"))
+            .otherwise(F.split(inner, f"[{SPACES}]+")))
 
 
-def free_name(df: DataFrame, stem: str) -> str:
+def free_name(df: DataFrame, stem: str, *more: str) -> str:
     """A column name that ``df`` (which may have any extra columns) lacks."""
-    taken = {c.lower() for c in df.columns}
+    taken = {c.lower() for c in (*df.columns, *more)}
     name = f"_{stem}"
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once for each row, where ``body``
+    uses it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import packing
+from vitrine.llm import host_rules, packing, secrets, spotsigs
 from vitrine.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,38 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset", "tier", "sequence_tokens",
                          "step_group")
+
+
+@register
+def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against the base rules and their hosts' verdicts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    v = F.col("verdict")
+    return host_rules.host_rules(docs, "verdict", drop_text=True).select(
+        "doc_id", v.n_words, v.word_chars, v.n_symbols, v.n_dup_lines, v.n_repeat_words,
+        v.base_failed, v.kept)
+
+
+@register
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprints of all documents, their edited texts and successors."""
+    both = spotsigs.edited_and_next(table(spark, sf_dir, "documents"))
+    return both.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.fingerprint(F.col("sigs")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
+        spotsigs.likeness(F.col("sigs"), F.col("next.sigs")).alias("near_next"))
+
+
+@register
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: the base kinds, and what the models add."""
+    found = secrets.scan(table(spark, sf_dir, "documents"), "spans", ["doc_id"])
+    base = F.filter(F.col("spans"), lambda s: s["kind"] < 3)
+    count = lambda kind: F.size(F.filter(F.col("spans"), lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"))
