@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import host_rules, packing, secrets, spotsigs
-from vitrine.llm.common import table
+from vitrine.llm import (chat, host_rules, mixing, oracle, packing, quality_trees, secrets, spotsigs,
+                         warc)
+from vitrine.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.ORACLE_SQL
 
 
 def register(fn):
@@ -39,10 +40,9 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against the base rules and their hosts' verdicts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    v = F.col("verdict")
     return host_rules.host_rules(docs, "verdict", drop_text=True).select(
-        "doc_id", v.n_words, v.word_chars, v.n_symbols, v.n_dup_lines, v.n_repeat_words,
-        v.base_failed, v.kept)
+        "doc_id", *[f"verdict.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                             "n_repeat_words", "base_failed", "kept")])
 
 
 @register
@@ -68,3 +68,36 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
         secrets.listed(F.col("spans")).alias("spans"))
+
+
+@register
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the target weights of domains, languages and sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(docs, "mixed").select("doc_id", "mixed.*")
+
+
+@register
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC files, found again through the capture index and read back."""
+    pages = table(spark, sf_dir, "pages")
+    folder = shared_folder(spark, "warc")
+    warc.write_index(warc.write_archives(pages, folder), folder)
+    wanted = pages.select(warc.url_key(F.col("url")).alias("url_key"),
+                          F.col("page_id").cast("long").alias("id")).distinct()
+    records = warc.read_records(warc.lookup(wanted, folder), folder, payloads=False)
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest",
+                          "record_type", "refers_to")
+
+
+@register
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations rendered from every participant's perspective."""
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+@register
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by trees learned from the labels."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_trees.score(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
