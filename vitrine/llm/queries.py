@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import (chat, host_rules, mixing, oracle, packing, quality_trees, secrets, spotsigs,
-                         warc)
+from vitrine.llm import (chat, host_rules, license_scan, mixing, oracle, packing, quality_trees, secrets,
+                         spotsigs, warc)
 from vitrine.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents by trees learned from the labels."""
     docs = table(spark, sf_dir, "documents")
     return quality_trees.score(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
+
+
+@register
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License wording in all documents."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
