@@ -2,12 +2,14 @@
 
 A text's five-word shingles are cut into overlapping windows. For every size
 class of the templates the window has as many shingles as the class's largest
-template, up to a third more than its smallest, and starts every eighth of its
-size, so a template that occurs with a containment of 0.75 has a window with a
-Jaccard likeness of at least ``LEAST_LIKENESS`` (0.4). With ``BANDS`` bands of
+template, up to a third more than its smallest, and starts every quarter of its
+size. A template of n shingles that occurs with a containment of 0.75 then has
+a window with a Jaccard likeness of at least ``LEAST_LIKENESS`` (0.45): a window
+of n shingles misses n / 8 of them at worst (0.625 n shared of 1.375 n), a
+larger one has room for the shift (0.75 n of 1.583 n). With ``BANDS`` bands of
 ``ROWS`` MinHashes such a window collides with the template in a band with a
-probability of 1 - (1 - 0.4^ROWS)^BANDS = 0.996, and a verbatim one (likeness
-0.65 or more) with 0.99999998. Each retrieved template is then held against the
+probability of 1 - (1 - 0.45^ROWS)^BANDS = 0.998, and a verbatim one (likeness
+0.75 or more) with 0.9999999999. Each retrieved template is then held against the
 exact shingles of the window and a stride on either side.
 
 Windows are per-text work, so the scan has no shuffle; the templates are a
@@ -30,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from vitrine.llm.shingles import SHINGLE_WORDS, mixed, shingle_hashes, word_hashes
+from vitrine.llm.shingles import SHINGLE_WORDS, shingle_hashes, word_hashes
 
-BANDS, ROWS = 32, 2
+BANDS, ROWS = 28, 2
 CONTAINMENT = 0.75
-LEAST_LIKENESS = 0.4
+LEAST_LIKENESS = 0.45
 CHUNK = 8192
+SEEN = (1 << 20) - 1  # slots of the bit table that most windows end at
 
 # FIXED VALUES: wording of public licenses and notices, with SPDX identifiers.
 TEMPLATES = [
@@ -93,16 +96,16 @@ class Scanner:
         rng = np.random.default_rng(20240)
         self.factor = rng.integers(0, 1 << 31, BANDS * ROWS, np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
         self.shift = rng.integers(0, 1 << 32, BANDS * ROWS, np.uint32)[:, None]
-        self.salt = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))[:, None]
+        self.salt = rng.integers(0, 1 << 32, BANDS, np.uint32)[:, None]
         self.templates = [(name, spdx, np.unique(text_shingles(text))) for name, spdx, text in templates]
         # Window sizes in shingles: a class's window is its largest template's size.
         self.classes: list[tuple[int, int]] = []
         for n in sorted({len(s) for *_, s in self.templates if len(s)}):
             if self.classes and 3 * n <= 4 * self.smallest:
-                self.classes[-1] = (n, max(1, n // 8))
+                self.classes[-1] = (n, max(1, n // 4))
             else:
                 self.smallest = n
-                self.classes.append((n, max(1, n // 8)))
+                self.classes.append((n, max(1, n // 4)))
         keys, owners = [], []
         for t, (*_, s) in enumerate(self.templates):
             if len(s):
@@ -111,8 +114,8 @@ class Scanner:
         self.keys = np.concatenate(keys)
         order = np.argsort(self.keys, kind="stable")
         self.keys, self.owners = self.keys[order], np.concatenate(owners)[order]
-        self.seen = np.zeros(1 << 16, bool)
-        self.seen[self.keys & np.uint64(0xFFFF)] = True
+        self.seen = np.zeros(SEEN + 1, bool)
+        self.seen[self.keys & np.uint32(SEEN)] = True
         self.stride = {t: next(s for n, s in self.classes if n >= len(x))
                        for t, (*_, x) in enumerate(self.templates) if len(x)}
 
@@ -124,11 +127,12 @@ class Scanner:
 
     def _bands(self, minima: np.ndarray) -> np.ndarray:
         """(BANDS, windows) keys of the bands."""
-        m = minima.astype(np.uint64).reshape(BANDS, ROWS, -1)
-        key = np.repeat(self.salt, m.shape[2], 1)
+        key = np.repeat(self.salt, minima.shape[1], 1)
         for r in range(ROWS):
-            key = key * np.uint64(0x9E3779B97F4A7C15) + m[:, r]
-        return key ^ (key >> np.uint64(29))
+            key *= np.uint32(0x9E3779B1)
+            key += minima[r::ROWS]
+        key ^= key >> np.uint32(15)
+        return key
 
     def candidates(self, shingles: np.ndarray) -> set[tuple[int, int, int]]:
         """(template, window start, window size) of all windows with a band in common."""
@@ -139,14 +143,19 @@ class Scanner:
             while 2 * length <= size_here:  # running minima over the next power of two
                 minima = np.minimum(minima[:, :-length], minima[:, length:])
                 length *= 2
-            starts = np.arange(0, n - size_here + 1, stride)
-            if starts[-1] != n - size_here:
-                starts = np.append(starts, n - size_here)
-            window = np.minimum(minima[:, starts], minima[:, starts + size_here - length])
+            last = n - size_here
+            shifted = size_here - length
+            window = np.minimum(minima[:, :last + 1:stride], minima[:, shifted:shifted + last + 1:stride])
+            starts = range(0, last + 1, stride)
+            if last % stride:  # the text's end is a window of its own
+                end = np.minimum(minima[:, last], minima[:, last + shifted])
+                window, starts = np.column_stack([window, end]), [*starts, last]
             keys = self._bands(window)
-            for b, w in np.argwhere(self.seen[keys & np.uint64(0xFFFF)]):
-                a, z = np.searchsorted(self.keys, keys[b, w], "left"), np.searchsorted(self.keys, keys[b, w], "right")
-                found.update((int(t), int(starts[w]), int(size_here)) for t in self.owners[a:z])
+            at, w = np.nonzero(self.seen[keys & np.uint32(SEEN)])
+            hit = keys[at, w]
+            for j in range(len(hit)):
+                a, z = np.searchsorted(self.keys, hit[j], "left"), np.searchsorted(self.keys, hit[j], "right")
+                found.update((int(t), starts[w[j]], size_here) for t in self.owners[a:z])
         return found
 
     def matches(self, shingles: np.ndarray) -> list[tuple]:
