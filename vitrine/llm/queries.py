@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import (chat, host_rules, license_scan, mixing, oracle, packing, quality_trees, secrets,
+from vitrine.llm import (chat, host_rules, jaccard_join, license_scan, mixing, oracle, packing, quality_trees, secrets,
                          spotsigs, warc)
 from vitrine.llm.common import shared_folder, table
 
@@ -107,3 +107,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License wording in all documents."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by a shingle likeness of 0.75 or more."""
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
