@@ -354,16 +354,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     smallest id, of equal ids the one with the smallest text hash, of equal rows
     one. Documents without words all stay."""
     grouped = _grouped(documents_and_roots(docs, id_col, text_col))
-    key = free_name(docs, "text_key")
-    same_id = F.col(id_col).eqNullSafe(F.col("__id"))
+    key, gone_id, gone_key = (free_name(docs, x) for x in ("text_key", "gone_id", "gone_key"))
+    same = F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key))
+    named = F.col("id").alias(gone_id), F.col("text_key").alias(gone_key)
     gone = grouped.where(F.col("first").isNotNull() & ~(
         F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_key") == F.col("first.text_key"))))
-    gone = stage(gone.select(F.col("id").alias("__id"), F.col("text_key").alias("__key")).distinct(),
-                 "jaccard-gone")
+    gone = stage(gone.select(*named).distinct(), "jaccard-gone")
     again = stage(grouped.where("first is not null").groupBy("id", "text_key").count().where("count > 1")
-                  .select(F.col("id").alias("__id"), F.col("text_key").alias("__key")), "jaccard-again")
+                  .select(*named), "jaccard-again")
     keyed = docs.withColumn(key, _text_key(F.col(text_col)))
-    same = same_id & (F.col(key) == F.col("__key"))
     kept = keyed.join(small_side(gone), same, "left_anti")
     if not again.isEmpty():
         twice = kept.join(small_side(again), same, "left_semi").dropDuplicates([id_col, key])
