@@ -60,7 +60,7 @@ def signatures(text: Column) -> Column:
         return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.transform(
             let(anchored, lambda a: F.when(F.size(a) > 0, a).otherwise(places)), signature))
 
-    found = F.array_sort(F.array_distinct(let(tokens, spots)))
+    found = F.sort_array(F.array_distinct(let(tokens, spots)))
     whole = F.array(F.substring(F.md5(text.cast("binary")), 1, SIGNATURE_CHARS))
     return let(found, lambda s: F.when(F.size(s) > 0, s).otherwise(whole))
 
@@ -107,13 +107,16 @@ def near_pairs(queries: DataFrame, docs: DataFrame, least: float = LEAST_LIKENES
     return pairs.select("query_id", "doc_id", score.alias("likeness")).where(F.col("likeness") >= least)
 
 
-def with_next(df: DataFrame, key: str, tie: Column, carry: list[str]) -> DataFrame:
-    """Add ``next``, a struct of ``carry`` of the row that follows in descending
-    order of ``key`` (then ``tie``); the first row follows the last.
+def with_next(df: DataFrame, key: str, tie: Column, derived: dict[str, Column],
+              carry: list[str]) -> DataFrame:
+    """Add the columns ``derived``, and ``next``, a struct of ``carry`` of the row
+    that follows in descending order of ``key`` (then ``tie``); the first row
+    follows the last.
 
     Rows are dealt into key ranges, eight for each shuffle partition, and each
     range also gets the first row of the range after it, so one shuffle by range
-    serves the order of the whole table and no task sees more than its ranges."""
+    serves the order of the whole table and no task sees more than its ranges.
+    What can be derived from a row is derived after the shuffle."""
     spark = df.sparkSession
     ranges = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.coalesce(F.col(key), F.lit(-(1 << 63)))
@@ -136,7 +139,7 @@ def with_next(df: DataFrame, key: str, tie: Column, carry: list[str]) -> DataFra
     heads = sorted(keyed.groupBy("_range").agg(F.max("_order").alias("top")).collect(),
                    key=lambda r: -r._range)  # at most as many rows as ranges
     if not heads:
-        return df.withColumn("next", F.struct(*carry))
+        return df.withColumns(derived).withColumn("next", F.struct(*carry))
     # The head of a range also follows the range read before it.
     before = {h.top: heads[i - 1]._range for i, h in enumerate(heads)}
     tops = F.split(F.lit(",".join(str(t) for t in before)), ",").cast("array<long>")
@@ -146,10 +149,12 @@ def with_next(df: DataFrame, key: str, tie: Column, carry: list[str]) -> DataFra
         F.struct(F.col("_range").alias("range"), F.lit(0).alias("guest")),
         F.struct(F.get(others, (spot - 1).cast("int")).alias("range"), F.lit(1).alias("guest")))
     ).otherwise(F.array(F.struct(F.col("_range").alias("range"), F.lit(0).alias("guest"))))
-    dealt = keyed.withColumn("_at", F.explode(both)).withColumn("_tie", tie)
-    w = Window.partitionBy("_at.range").orderBy("_at.guest", F.col("_order").desc(), "_tie")
-    return (dealt.withColumn("next", F.lead(F.struct(*carry)).over(w)).where("_at.guest = 0")
-            .drop("_order", "_range", "_at", "_tie"))
+    dealt = (keyed.withColumn("_at", F.explode(both)).withColumn("_guest", F.col("_at.guest"))
+             .withColumn("_range", F.col("_at.range")).drop("_at")
+             .repartition("_range").withColumn("_tie", tie).withColumns(derived))
+    w = Window.partitionBy("_range").orderBy("_guest", F.col("_order").desc(), "_tie")
+    return (dealt.withColumn("next", F.lead(F.struct(*carry)).over(w)).where("_guest = 0")
+            .drop("_order", "_range", "_guest", "_tie"))
 
 
 def half_replaced(text: Column, other: Column) -> Column:
@@ -165,7 +170,7 @@ def edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text (``edited``, ``edited_sigs``) and of the next document (``next.sigs``)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    base = base.withColumn("sigs", signatures(F.col("text")))
-    dealt = with_next(base, "doc_id", F.md5(F.col("text").cast("binary")), ["text", "sigs"])
+    dealt = with_next(base, "doc_id", F.md5(F.col("text").cast("binary")),
+                      {"sigs": signatures(F.col("text"))}, ["text", "sigs"])
     dealt = dealt.withColumn("edited", half_replaced(F.col("text"), F.col("next.text")))
     return dealt.withColumn("edited_sigs", signatures(F.col("edited")))
