@@ -99,13 +99,15 @@ def test_regions_join_exactly_whatever_the_distances(spark):
                                   T.StructType([T.StructField("class", T.LongType()),
                                                 T.StructField("set", T.ArrayType(T.LongType()))]))
     regions = frame.select(F.lit(7).cast("long").alias("region"), "class", F.lit(True).alias("own"),
-                           F.col("class").alias("label"))
-    links, pivots, steps = set(), 1, 0
+                           F.col("class").alias("root"), F.lit(0.0).alias("rank"),
+                           F.lit(None).cast("double").alias("d0"))
+    found, regions = J._voronoi(regions, frame)
+    links, pivots, steps = {(r.a, r.b) for r in found.collect()}, 4, 0
     while not regions.isEmpty():
-        found, regions = J._step(regions, frame, pivots)
+        found, regions = J._recurse(regions, frame, pivots)
         links |= {(r.a, r.b) for r in found.collect()}
         pivots, steps = pivots * J.PIVOT_GROWTH, steps + 1
-    assert steps >= 3
+    assert steps >= 2
     parent = {k: k for k in sets}
 
     def root(i):

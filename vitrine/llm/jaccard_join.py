@@ -7,22 +7,32 @@ result has each document's class: the smallest id reachable by links.
 1. Equal sets are one class of documents; everything below works on classes.
 2. Coarse regions: where two sets share nothing their distance is 1, and no
    pivot tells them apart. So each class enters a region for every shingle of
-   its prefix, the first n - ceil(0.75 n) + 1 shingles of its n in one global
-   order; linked classes have such a shingle in common. The order puts frequent
-   shingles last. Their counts come from all documents; only the ``ORDERED`` most
-   frequent are told apart, which bounds that table and changes no result, as
-   any global order is exact. Regions with equal members are one.
-3. In every region pivots are taken and the exact distances of all members to
-   them computed, which settles all pairs with a pivot. The others go to the
-   Voronoi region of their nearest pivot p if d(x, p) < 2R, else to an outer
-   region. The triangle inequality says where a partner y of x can be: with y's
-   nearest pivot q, d(x, q) < 2R + R, and d(x, q) <= d(x, p) + 2R. So x is
-   also copied, as a guest, into each region q for which both hold; outer and
-   outer pairs stay in the outer region.
-4. A region is done when it holds no two members that aren't known to be
-   linked through its pivot; the rest are joined recursively, with four times as
-   many pivots each time, until none is left. A large group of near copies is
-   done after its first pivot, without all its pairs.
+   its prefix, the first n - ceil(0.75 n) + l(n) shingles of its n in one global
+   order, with l(n) = 1 + n / 10. Linked classes of n and m shingles have at least
+   min(l(n), l(m)) prefix shingles in common: the first of their common shingles
+   have too many others behind them to lie outside a prefix. So a class that
+   shares fewer prefix shingles with all others than its smallest partner would
+   need has no link, and leaves; this is done ``PEELS`` times. The order puts
+   frequent shingles last. Their counts come from all documents; only the
+   ``ORDERED`` most frequent are told apart, which bounds that table and changes
+   no result, as any global order is exact. The classes left are held to the
+   same test with their whole sets: a partner of m shingles shares at most the
+   shingles that some other class of at most m has, and would have to share
+   0.75 / 1.75 (n + m). Regions with equal members are one.
+3. The first pivot of a region is the class that shares the largest part of its
+   prefix, as the original of near copies does. The exact distances of all
+   members to it are computed, and the links found join groups of classes over
+   all regions. A region whose members are all of one group is done: a large
+   group of near copies ends here, without all its pairs. Elsewhere a member x
+   within 2R of the pivot p goes to the Voronoi region of p, the others to the
+   outer one. Where a partner y of x lies in the region of p, the triangle
+   inequality gives d(x, p) <= d(y, p) + R, so an outer x within R of the
+   farthest own member is also copied there, as a guest, unless all own members
+   are of its own group.
+4. The regions left are joined recursively: the members of each region's smallest
+   groups become pivots, four times as many in each round, and meet the members
+   of other groups in the window |d(x, p) - d(q, p)| <= R that the triangle
+   inequality leaves around them. Then they leave, having met all they had to.
 5. Links become classes by alternating large-star and small-star steps.
 
 Sets are never all stored: only classes that share a region get theirs, from a
@@ -57,9 +67,12 @@ LOCAL_REPEATS = 3
 COUNT_CHUNK = 2_000_000
 CLASS_MEMORY = 1_000_000
 OUTPUT_ROWS = 200_000
-PIVOT_GROWTH = 4
+FIRST_PIVOTS, PIVOT_GROWTH = 16, 4
+PEELS = 2
+EXTRA = 10  # a prefix has one shingle in so many more than linked sets need to meet
 
 _RADIUS = 1 - PERCENT / 100
+_LOG_UNIT = 10_000_000  # sizes as whole numbers on a logarithmic scale
 _SLACK = 1e-9  # for distances that were rounded; wider windows cost, but lose nothing
 
 
@@ -78,7 +91,7 @@ def prefix(s: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The set's first shingles in the global order: all others by hash, then the
     frequent ones by rank."""
     n = len(s)
-    size = n + (-PERCENT * n) // 100 + 1
+    size = n + (-PERCENT * n) // 100 + 1 + n // EXTRA
     if not len(frequent):
         return s[:size]
     at = np.searchsorted(frequent, s)
@@ -176,36 +189,34 @@ def _prefix_rows(texts: DataFrame, frequent: np.ndarray, rank: np.ndarray) -> Da
 
 def _sets(texts: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
     """(class, set) of the wanted classes, from the text of one document of each."""
-    keys = (documents.join(small_side(classes), "class", "left_semi")
-            .groupBy("class").agg(F.min("text_key").alias("text_key")))
-    wanted = small_side(stage(keys.select("text_key").distinct(), "jaccard-texts"))
+    chosen = (documents.join(small_side(classes), "class", "left_semi")
+              .groupBy("class").agg(F.min(F.struct("id", "text_key")).alias("d")))
+    wanted = small_side(stage(chosen.select(F.col("d.id").alias("chosen"), F.col("d.text_key").alias("key")),
+                              "jaccard-texts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
-            rows = {}
-            for text in batch.column(0):
-                s = shingle_set(text.as_py())
-                key = class_key(s)
-                if key not in seen and len(s):
-                    if len(seen) >= CLASS_MEMORY:
-                        seen.clear()
-                    seen.add(key)
-                    rows[key] = s.view(np.int64)
-            if rows:
+            sets = [s for text in batch.column(0) if len(s := shingle_set(text.as_py()))]
+            if sets:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.list_(pa.int64()))],
-                    names=SETS.names)
+                    [pa.array([class_key(s) for s in sets], pa.int64()),
+                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=SETS.names)
 
-    found = texts.join(wanted, "text_key", "left_semi").select("text").mapInArrow(run, SETS)
-    return stage(found.dropDuplicates(["class"]), "jaccard-sets")
+    same = F.col("id").eqNullSafe(F.col("chosen")) & (F.col("text_key") == F.col("key"))
+    found = stage(texts.join(wanted, same, "left_semi").select("text").mapInArrow(run, SETS), "jaccard-sets")
+    total, distinct = found.agg(F.count(F.lit(1)), F.count_distinct("class")).first()
+    # Only rows repeated as a whole give a class twice.
+    return found if total == distinct else stage(found.dropDuplicates(["class"]), "jaccard-sets")
 
 
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with ``linked`` and the distance ``d``."""
-    pairs = small_side(stage(pairs, "jaccard-pairs"))
-    members = sets.join(pairs, sets["class"] == pairs["b"]).select("a", "b", F.col("set").alias("set_b"))
-    both = members.join(sets, members["a"] == sets["class"])
+    pairs = stage(pairs, "jaccard-pairs")
+    members = sets.join(small_side(pairs), F.col("class") == F.col("b")).select(
+        "a", "b", F.col("set").alias("set_b"))
+    first = small_side(pairs.select(F.col("a").alias("class")).distinct())
+    firsts = sets.join(first, "class", "left_semi").select(F.col("class").alias("a"), "set")
+    both = members.join(firsts, "a")
     shared = F.size(F.array_intersect("set", "set_b")).cast("long")
     union = F.size("set") + F.size("set_b") - F.col("shared")
     measured = both.withColumn("shared", shared).withColumn("union", union)
@@ -214,51 +225,118 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         (1 - F.col("shared") / F.col("union")).alias("d")), "jaccard-distances")
 
 
+def _shared(members: DataFrame) -> DataFrame:
+    """Members of shingles that two classes or more have."""
+    by = Window.partitionBy("shingle")
+    return (members.withColumn("low", F.min("class").over(by)).withColumn("high", F.max("class").over(by))
+            .where("low != high").drop("low", "high"))
+
+
 def _coarse_regions(members: DataFrame) -> DataFrame:
-    """(region, class, own, label): classes that share a prefix shingle. Regions
-    with equal members get one name, from their count and two XORs."""
+    """(region, class, own, root, rank): classes that share a prefix shingle, in
+    order of the unshared part of their prefix. Regions with equal members get
+    one name, from their count and two XORs."""
+    shared = stage(_shared(members).dropDuplicates(["shingle", "class"]), "jaccard-shared")
+    smallest = F.ceil(F.col("n") * PERCENT / 100)
+    needed = 1 + F.floor(smallest / EXTRA)
+    length = F.col("n") - smallest + 1 + F.floor(F.col("n") / EXTRA)
+    for _ in range(PEELS):
+        enough = (shared.groupBy("class").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"))
+                  .where(F.col("k") >= needed).select("class", (1 - F.col("k") / length).alias("rank")))
+        left = shared.drop("rank").join(small_side(stage(enough, "jaccard-enough")), "class")
+        shared = stage(_shared(left), "jaccard-shared")
     by = Window.partitionBy("shingle")
-    shared = (members.withColumn("low", F.min("class").over(by)).withColumn("high", F.max("class").over(by))
-              .where("low != high").dropDuplicates(["shingle", "class"]))
     name = F.xxhash64(F.count(F.lit(1)).over(by), F.bit_xor("class").over(by),
                       F.bit_xor(F.xxhash64("class")).over(by), F.min("class").over(by))
-    return shared.select(name.alias("region"), "class").distinct().select(
-        "region", "class", F.lit(True).alias("own"), F.col("class").alias("label"))
-
-
-def _step(regions: DataFrame, sets: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
-    """Distances to ``pivots`` pivots in every region; the regions left after."""
-    first = Window.partitionBy("region").orderBy(F.col("own").desc(), "class")
-    chosen = (regions.withColumn("place", F.row_number().over(first)).where(F.col("place") <= pivots)
-              .select("region", F.col("class").alias("pivot")))
-    met = stage(regions.join(chosen, "region").where("class != pivot"), "jaccard-met")
-    ends = F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")
-    measured = _distances(met.select(*ends).distinct(), sets)
-    near = small_side(measured)
-    met = met.join(near, (F.least("class", "pivot") == near["a"])
-                   & (F.greatest("class", "pivot") == near["b"])).drop("a", "b")
-    # Pivots have met every member and leave; the rest know all their distances.
-    isolated = small_side(stage(chosen.select("region", F.col("pivot").alias("class")), "jaccard-pivots"))
-    rest = met.join(isolated, ["region", "class"], "left_anti").groupBy("region", "class", "own").agg(
-        F.min(F.struct("d", "pivot", "linked")).alias("to"),
-        F.collect_list(F.struct("d", "pivot")).alias("all"))  # at most ``pivots`` long
-    cell = F.when(F.col("to.d") < 2 * _RADIUS, F.col("to.pivot"))
-    label = F.when(F.col("to.linked"), F.col("to.pivot")).otherwise(F.col("class"))
-    guests = F.filter("all", lambda x: (x["pivot"] != F.col("to.pivot")) | cell.isNull())
-    guests = F.filter(guests, lambda x: (x["d"] < 3 * _RADIUS + _SLACK)
-                      & (x["d"] <= F.col("to.d") + 2 * _RADIUS + _SLACK))
-    places = F.concat(
-        F.array(F.struct(cell.alias("cell"), F.col("own").alias("own"))),
-        F.transform(guests, lambda x: F.struct(x["pivot"].alias("cell"), F.lit(False).alias("own"))))
-    dealt = rest.select("region", "class", label.alias("label"), F.explode(places).alias("at")).select(
-        F.xxhash64("region", F.coalesce("at.cell", F.lit(0)), F.col("at.cell").isNull()).alias("region"),
-        "class", F.col("at.own").alias("own"), "label")
-    dealt = stage(dealt, "jaccard-dealt")
-    open_ = dealt.groupBy("region").agg(
-        F.max("own").alias("any_own"), F.min("label").alias("low"), F.max("label").alias("high")
+    return shared.select(name.alias("region"), "class", "rank").dropDuplicates(["region", "class"]).select(
+        "region", "class", F.lit(True).alias("own"), F.col("class").alias("root"), "rank",
+        F.lit(None).cast("double").alias("d0"))
+
+
+def _linkable(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of ``classes`` whose shared shingles suffice for a link to a class of
+    some size. For each shingle the smallest other class counts that is not too
+    small; a shingle without any is shared with nobody."""
+    n = F.size("set").cast("long")
+    rows = sets.join(small_side(classes), "class", "left_semi").select(
+        "class", n.alias("n"), (-F.floor(F.log(n.cast("double")) * _LOG_UNIT)).alias("order"), F.explode("set").alias("shingle"))
+    not_too_small = Window.partitionBy("shingle").orderBy("order").rangeBetween(
+        Window.unboundedPreceding, int(-np.log(PERCENT / 100) * _LOG_UNIT) + 2)
+    met = (rows.withColumn("others", F.count(F.lit(1)).over(not_too_small))
+           .withColumn("least", F.min("n").over(not_too_small)).where("others > 1"))
+    steps = met.groupBy("class", "n", "least").agg(F.count(F.lit(1)).alias("k"))
+    upto = Window.partitionBy("class").orderBy("least").rowsBetween(Window.unboundedPreceding, 0)
+    enough = F.sum("k").over(upto) * (100 + PERCENT) >= PERCENT * (F.col("n") + F.col("least"))
+    return stage(steps.withColumn("enough", enough).where("enough").select("class").distinct(),
+                 "jaccard-linkable")
+
+
+def _open(regions: DataFrame) -> DataFrame:
+    """Rows of the regions that still hold an own member and two groups."""
+    left = regions.groupBy("region").agg(
+        F.max("own").alias("any_own"), F.min("root").alias("low"), F.max("root").alias("high")
     ).where("any_own and low != high").select("region")
-    left = stage(dealt.join(small_side(stage(open_, "jaccard-open")), "region", "left_semi"), "jaccard-regions")
-    return measured.where("linked").select("a", "b"), left
+    return stage(regions.join(small_side(stage(left, "jaccard-open")), "region", "left_semi"),
+                 "jaccard-regions")
+
+
+def _meet(regions: DataFrame, chosen: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members beside the pivots they have to meet, with the distances; the links
+    among them; and the groups that the links join (root, to)."""
+    chosen = chosen.select("region", F.col("class").alias("pivot"), F.col("root").alias("pivot_root"),
+                           F.col("d0").alias("pivot_d0"))
+    pair = F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")
+    window = F.coalesce(F.abs(F.col("d0") - F.col("pivot_d0")) <= _RADIUS + _SLACK, F.lit(True))
+    met = regions.join(small_side(chosen), "region").where((F.col("root") != F.col("pivot_root")) & window)
+    measured = _distances(met.select(*pair).distinct(), sets)
+    met = stage(met.select("*", *pair).join(small_side(measured), ["a", "b"]), "jaccard-met")
+    joined = met.where("linked").select(F.col("root").alias("a"), F.col("pivot_root").alias("b")).distinct()
+    groups = stage(_connected(joined).select(F.col("class").alias("root"), F.col("root").alias("to")),
+                   "jaccard-joined")
+    return met, measured.where("linked").select("a", "b"), groups
+
+
+def _regroup(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    return rows.join(small_side(groups), "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to")
+
+
+def _voronoi(regions: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links to the central pivot of every region; the Voronoi and outer regions left."""
+    central = Window.partitionBy("region").orderBy("rank", "class")
+    chosen = stage(regions.withColumn("place", F.row_number().over(central)).where("place = 1"),
+                   "jaccard-pivots")
+    met, links, groups = _meet(regions, chosen, sets)
+    known = _regroup(met, groups)  # a member beside its region's pivot
+    mixed = known.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")
+                                        ).where("low != high").select("region")
+    known = known.join(small_side(stage(mixed, "jaccard-mixed")), "region", "left_semi")
+    # Coarse regions around one pivot are one Voronoi region.
+    known = known.dropDuplicates(["pivot", "class"]).withColumn("region", F.xxhash64("pivot"))
+    inside = F.col("d") < 2 * _RADIUS
+    cell = Window.partitionBy("region")
+    known = known.withColumns({
+        "radius": F.max(F.when(inside, F.col("d"))).over(cell),
+        "low": F.min(F.when(inside, F.col("root"))).over(cell),
+        "high": F.max(F.when(inside, F.col("root"))).over(cell)})
+    other = (F.col("low") != F.col("high")) | (F.col("root") != F.col("low"))
+    guest = ~inside & other & (F.col("d") <= F.col("radius") + _RADIUS + _SLACK)
+    cells = known.where(inside | F.coalesce(guest, F.lit(False))).select(
+        "region", "class", inside.alias("own"), "root", "rank", F.col("d").alias("d0"))
+    outer = known.where(~inside).select(
+        F.xxhash64("region", F.lit("outer")).alias("region"), "class", F.lit(True).alias("own"), "root",
+        "rank", F.lit(None).cast("double").alias("d0"))
+    return links, _open(stage(cells.union(outer), "jaccard-dealt"))
+
+
+def _recurse(regions: DataFrame, sets: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """Links of ``pivots`` members of every region's smallest groups; the regions left."""
+    sized = regions.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("region", "root")))
+    small_first = Window.partitionBy("region").orderBy("size", "root", "rank", "class")
+    chosen = stage(sized.withColumn("place", F.row_number().over(small_first))
+                   .where(F.col("place") <= pivots), "jaccard-pivots")
+    _, links, groups = _meet(regions, chosen, sets)
+    rest = regions.join(small_side(chosen.select("region", "class")), ["region", "class"], "left_anti")
+    return links, _open(stage(_regroup(rest, groups), "jaccard-rest"))
 
 
 def _connected(links: DataFrame) -> DataFrame:
@@ -315,14 +393,16 @@ def documents_and_roots(docs: DataFrame, id_col: str, text_col: str) -> DataFram
     documents = classified.where("class is not null").drop("shingle")
     frequent, rank = _frequent(classified)
     regions = stage(_coarse_regions(_prefix_rows(texts, frequent, rank)), "jaccard-regions")
-    links, pivots = None, 1
-    sets = None
+    links, pivots = None, FIRST_PIVOTS
+    if not regions.isEmpty():
+        classes = stage(regions.select("class").distinct(), "jaccard-wanted")
+        sets = _sets(texts, classes, documents)
+        for _ in range(PEELS):
+            classes = _linkable(sets, classes)
+        links, regions = _voronoi(_open(regions.join(small_side(classes), "class", "left_semi")), sets)
     while not regions.isEmpty():
-        if sets is None:
-            wanted = stage(regions.select("class").distinct(), "jaccard-wanted")
-            sets = _sets(texts, wanted, documents)
-        found, regions = _step(regions, sets, pivots)
-        links = found if links is None else links.union(found)
+        found, regions = _recurse(regions, sets, pivots)
+        links = links.union(found)
         pivots *= PIVOT_GROWTH
     if links is None:
         return documents.withColumn("root", F.lit(None).cast("long"))
