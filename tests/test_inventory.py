@@ -2,7 +2,7 @@
 import importlib.util
 import os
 
-from __spark_entry__ import oracle_sql, queries
+from vitrine.plans.catalog import oracle_sql, queries
 
 
 def _rows():
@@ -23,4 +23,4 @@ def test_every_inventory_key_is_registered_and_every_key_is_mapped():
 
 def test_oracles_only_for_registered_keys():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"sample_rows", "table_file_size"}
+    assert set(queries()) - set(oracle_sql()) == {"table_file_size"}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMOKE
-from __spark_entry__ import queries
+from vitrine.plans.catalog import queries
 from vitrine.operators import gold as G
 from vitrine.operators import silver as S
 from vitrine.plans.lakehouse import lakehouse

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import SMOKE
-from __spark_entry__ import queries
+from vitrine.plans.catalog import queries
 from vitrine.operators import metrics as M
 from vitrine.operators import silver as S
 from vitrine.operators.periods import resolve

@@ -10,7 +10,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from vitrine.plans.catalog import queries  # noqa: E402
 from vitrine.session import build_session  # noqa: E402
 
 

@@ -8,14 +8,14 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from vitrine.plans.catalog import oracle_sql, queries  # noqa: E402
 
 # id, what, keys, implementation
 ROWS = [
     ("S1", "Parquet scan", ["scan_parquet"], "spark.read.parquet (plans/lakehouse)"),
     ("S2/S6", "named table scan / full extract", ["table_roundtrip", "star_sales_by_quarter"], "sinks/writers.save_table, Lakehouse.register_views"),
     ("S3", "source with fallback + provenance", ["source_fallback"], "sources/landing.read_landing"),
-    ("S4", "delimited scan with quarantine", ["csv_ingest"], "sources/delimited.read_delimited"),
+    ("S4", "delimited scan with quarantine", ["csv_ingest", "csv_quarantine"], "sources/delimited.read_delimited"),
     ("S5", "ordered warehouse pull", ["sorted_export"], "DataFrame.orderBy (range-partitioned sort)"),
     ("S7", "nested JSON dictionary", ["taxonomy_coverage"], "sources/dictionary.read_dictionary, taxonomy_flat"),
     ("S8", "file drop replaces base, profile", ["refresh_profile", "stream_refresh"], "sinks/writers.refresh, streaming/jobs.refresh_stream"),
@@ -66,7 +66,7 @@ ROWS = [
     ("Q1", "post-load audit", ["bronze_period_audit"], "operators/quality.period_audit"),
     ("Q2", "duplicates removed", ["silver_dedup_delta"], "operators/quality.dedup_delta"),
     ("Q3", "null counts (one pass)", ["silver_null_counts"], "operators/quality.null_counts"),
-    ("Q4", "silver totals", ["silver_totals"], "operators/quality.silver_totals"),
+    ("Q4", "silver totals", ["silver_totals", "silver_parse_losses"], "operators/quality.silver_totals"),
     ("Q5", "silver vs gold reconcile", ["gold_reconcile"], "operators/quality.reconcile"),
     ("Q6", "gold audit", ["gold_audit"], "operators/quality.gold_audit"),
     ("Q7", "row counts of gold tables", ["gold_row_counts"], "operators/quality.row_counts"),

@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from __spark_entry__ import queries  # noqa: E402
+from vitrine.plans.catalog import queries  # noqa: E402
 from vitrine.operators import gold as G  # noqa: E402
 from vitrine.operators import silver as S  # noqa: E402
 from vitrine.operators.keys import ordered_index  # noqa: E402

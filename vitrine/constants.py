@@ -304,7 +304,6 @@ WARN_CATEGORY_AS_SUB = (
     "**Categoria principal** (Nível 1), e não uma subcategoria!")
 REPLY_HEADER = "📊 *Olá {user}! Pesquisei aqui vejamos o resultado:*\n"
 REPLY_QUESTION = "🔍 _\"{question}\"_\n"
-REPLY_SINGLE = "📦 *{col}:* `{value}`\n"
 REPLY_MORE = "\n_... e mais {n} registros encontrados._"
 REPLY_FOOTER = "\n📌 _Dados oficiais · Atualizado até {ref}_"
 REPLY_EMPTY = "Fala {user}! Não encontrei registros na base oficial para a sua pergunta."

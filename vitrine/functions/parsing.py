@@ -42,9 +42,19 @@ def rating_br(df: DataFrame, name: str) -> Column:
     return F.translate(F.trim(F.col(name).cast("string")), ",", ".").try_cast("double")
 
 
+MONEY_TYPE = "decimal(28,2)"
+
+
+def money_exact(c: str | Column) -> Column:
+    """A double as an exact amount for sums. The type holds 26 digits before
+    the point; anything beyond becomes NULL (``quality.parse_losses`` counts
+    such values) instead of failing the aggregate."""
+    return _col(c).try_cast(MONEY_TYPE)
+
+
 def to_boolean(c: str | Column) -> Column:
-    """0 -> false, any other number -> true, NULL stays NULL."""
-    return _col(c).cast("boolean")
+    """0 -> false, any other number -> true, NULL and other text -> NULL."""
+    return _col(c).try_cast("boolean")
 
 
 def to_int(c: str | Column) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from vitrine import constants as K
 from vitrine.functions.formatting import br_number_text, fill
+from vitrine.functions.parsing import money_exact
 from vitrine.operators.keys import broadcast_if_small
 from vitrine.operators.periods import period_match
 
@@ -48,12 +49,12 @@ def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_ro
                          .join(cum, period_match(analytic, cum), "inner")
                          .drop("kind", "inicio", "fim", "p_ano", "p_mes")))
     cs = (rows.groupBy("pkey", "categoria", "subcategoria")
-          .agg(F.sum(F.col("fat_num").cast("decimal(18,2)")).alias("fat"),
+          .agg(F.sum(money_exact("fat_num")).alias("fat"),
                F.sum("qtd_vendas_num").alias("qtd")))
     cat = cs.groupBy("pkey", "categoria").agg(F.sum("fat").alias("fat"), F.sum("qtd").alias("qtd"))
     tot = cs.groupBy("pkey").agg(F.sum("fat").alias("fat"), F.sum("qtd").alias("qtd"))
     prod = (rows.groupBy("pkey", "titulo_produto", "marca", "categoria", "subcategoria")
-            .agg(F.sum(F.col("fat_num").cast("decimal(18,2)")).alias("fat"),
+            .agg(F.sum(money_exact("fat_num")).alias("fat"),
                  F.sum("qtd_vendas_num").alias("qtd")))
     wprod = Window.partitionBy("pkey").orderBy(
         F.col("fat").desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in

@@ -2,21 +2,25 @@
 YoY, M-1 / M+1, LY, absolute and percent change, running MTD / YTD.
 
 Each series is first reduced to one row per month / year / day (partial
-aggregation before the shuffle), then compared with an equi-join on the
-shifted period, not with lag(): months or days without sales are gaps, and a
-join on the shifted key never pairs the wrong neighbours.
+aggregation before the shuffle). Every such row is then emitted under its own
+period and under the periods it is compared with, and one group-by puts them
+side by side: one scan, no join, and not lag(), so gaps never pair the wrong
+neighbours.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitrine.functions.parsing import money_exact
+
 
 def _fat(c="fat_num") -> Column:
-    return F.sum(F.col(c).cast("decimal(18,2)"))
+    return F.sum(money_exact(c))
 
 
 def _delta(cur: str, prev: str) -> tuple[Column, Column]:
@@ -40,24 +44,52 @@ def daily(df: DataFrame) -> DataFrame:
             .agg(_fat().alias("fat"), F.sum("qtd_vendas_num").cast("long").alias("vendas")))
 
 
-def _shift_join(cur: DataFrame, key: str, shifted: Column, suffix: str) -> DataFrame:
-    prev = cur.select(F.col(key).alias(f"_k{suffix}"), F.col("fat").alias(f"fat{suffix}"),
-                      F.col("vendas").alias(f"vendas{suffix}"))
-    return cur.join(prev, shifted == F.col(f"_k{suffix}"), "left").drop(f"_k{suffix}")
+def _beside(cur: DataFrame, key: str, partners: dict[str, tuple[Callable, Callable]],
+            keys: tuple[str, ...] = ()) -> DataFrame:
+    """``cur`` (one row per ``key`` and ``keys``) with fat / vendas of other periods.
+
+    ``partners``: suffix -> (shift, inverse); ``shift`` gives the period that a
+    row is compared with, ``inverse`` an array of the periods that may be
+    compared with it (those whose shift is another period are left out)."""
+    def at(period, role):
+        return F.struct(period.alias(key), F.lit(role).alias("_role"))
+
+    def compared_at(suffix, shift, inverse):
+        fitting = F.filter(inverse(F.col(key)), lambda c: shift(c) == F.col(key))
+        return F.transform(fitting, lambda c: at(c, suffix))
+
+    places = [F.array(at(F.col(key), ""))]
+    for suffix, partner in partners.items():
+        places.append(compared_at(suffix, *partner))
+    rows = cur.select(F.inline(F.concat(*places)), *keys, "fat", "vendas")
+    values = [F.max(F.when(F.col("_role") == role, F.col(c))).alias(c + role)
+              for role in ["", *partners] for c in ("fat", "vendas")]
+    own = F.max(F.col("_role") == "").alias("_own")
+    return rows.groupBy(key, *keys).agg(*values, own).where("_own").drop("_own")
+
+
+def _months(n: int) -> tuple[Callable, Callable]:
+    """Shift by ``n`` months. Up to four days of a month's end share one shifted
+    day, so the inverse looks at that many."""
+    return (lambda c: F.add_months(c, n),
+            lambda c: F.transform(F.sequence(F.lit(0), F.lit(3)),
+                                  lambda d: F.date_add(F.add_months(c, -n), d)))
+
+
+def _years(n: int) -> tuple[Callable, Callable]:
+    return lambda c: c + n, lambda c: F.array(c - n)
 
 
 def mom_same_month_ly(df: DataFrame) -> DataFrame:
     """MoM as the glossary defines it: this month / same month last year."""
-    m = monthly(df)
-    j = _shift_join(m, "mes_ref", F.add_months(F.col("mes_ref"), -12), "_ly")
+    j = _beside(monthly(df), "mes_ref", {"_ly": _months(-12)})
     return j.select("mes_ref", F.col("fat").cast("double").alias("faturamento"),
                     F.col("fat_ly").cast("double").alias("faturamento_ly"),
                     "vendas", "vendas_ly", *_delta("fat", "fat_ly"))
 
 
 def yoy(df: DataFrame) -> DataFrame:
-    y = yearly(df)
-    j = _shift_join(y, "ano", F.col("ano") - 1, "_ly")
+    j = _beside(yearly(df), "ano", {"_ly": _years(-1)})
     return j.select("ano", F.col("fat").cast("double").alias("faturamento"),
                     F.col("fat_ly").cast("double").alias("faturamento_ly"),
                     "vendas", "vendas_ly", *_delta("fat", "fat_ly"))
@@ -65,10 +97,7 @@ def yoy(df: DataFrame) -> DataFrame:
 
 def month_offset(df: DataFrame) -> DataFrame:
     """M-1 (previous month) and M+1 (next month) next to each month."""
-    m = monthly(df)
-    j = _shift_join(m, "mes_ref", F.add_months(F.col("mes_ref"), -1), "_m1")
-    nxt = m.select(F.col("mes_ref").alias("_kp1"), F.col("fat").alias("fat_p1"))
-    j = j.join(nxt, F.add_months(F.col("mes_ref"), 1) == F.col("_kp1"), "left").drop("_kp1")
+    j = _beside(monthly(df), "mes_ref", {"_m1": _months(-1), "_p1": _months(1)})
     return j.select("mes_ref", F.col("fat").cast("double").alias("faturamento"),
                     F.col("fat_m1").cast("double").alias("faturamento_m_1"),
                     F.col("fat_p1").cast("double").alias("faturamento_m_mais_1"))
@@ -76,8 +105,7 @@ def month_offset(df: DataFrame) -> DataFrame:
 
 def last_year(df: DataFrame) -> DataFrame:
     """Each day next to the same day one year earlier (29/02 -> 28/02)."""
-    d = daily(df)
-    j = _shift_join(d, "data", F.add_months(F.col("data"), -12), "_ly")
+    j = _beside(daily(df), "data", {"_ly": _months(-12)})
     return j.select("data", F.col("fat").cast("double").alias("faturamento"),
                     F.col("fat_ly").cast("double").alias("faturamento_ly"),
                     "vendas", "vendas_ly")
@@ -90,8 +118,8 @@ def delta_abs_pct(df: DataFrame, ref: date, keys=("categoria",)) -> DataFrame:
     cur = (F.col("data") >= F.lit(y0)) & (F.col("data") <= F.lit(ref))
     prev = (F.col("data") >= F.lit(date(ref.year - 1, 1, 1))) & (F.col("data") <= ly_end)
     agg = (df.filter(cur | prev).groupBy(*keys)
-           .agg(F.sum(F.when(cur, F.col("fat_num").cast("decimal(18,2)"))).alias("atual"),
-                F.sum(F.when(prev, F.col("fat_num").cast("decimal(18,2)"))).alias("anterior")))
+           .agg(F.sum(F.when(cur, money_exact("fat_num"))).alias("atual"),
+                F.sum(F.when(prev, money_exact("fat_num"))).alias("anterior")))
     return agg.select(*keys, F.col("atual").cast("double").alias("faturamento_atual"),
                       F.col("anterior").cast("double").alias("faturamento_ly"),
                       *_delta("atual", "anterior"))
@@ -115,24 +143,20 @@ def running_mtd_ytd(df: DataFrame) -> DataFrame:
 def compare(df: DataFrame, grain: str = "month", offset: int = -12,
             keys: tuple[str, ...] = ()) -> DataFrame:
     """Generic period comparison: each (period, keys) next to the period
-    ``offset`` steps away (months for grain='month', years for 'year', days
-    for 'day'), with absolute and percent change. MoM-as-defined (-12 months),
+    ``offset`` steps away (months for grain='month' and 'day', years for
+    'year'), with absolute and percent change. MoM-as-defined (-12 months),
     M-1 (-1), YoY (-1 year) and LY (-12 months on days) are special cases."""
     if grain == "month":
-        period, shifted = F.trunc("data", "month"), lambda c: F.add_months(c, offset)
+        period, partner = F.trunc("data", "month"), _months(offset)
     elif grain == "year":
-        period, shifted = F.year("data"), lambda c: c + offset
+        period, partner = F.year("data"), _years(offset)
     elif grain == "day":
-        period, shifted = F.col("data"), lambda c: F.add_months(c, offset)
+        period, partner = F.col("data"), _months(offset)
     else:
         raise ValueError(f"unknown grain {grain!r}")
     cur = (df.groupBy(period.alias("periodo_ref"), *keys)
            .agg(_fat().alias("fat"), F.sum("qtd_vendas_num").cast("long").alias("vendas")))
-    prev = cur.select(F.col("periodo_ref").alias("_k"), *[F.col(k).alias(f"_{k}") for k in keys],
-                      F.col("fat").alias("fat_prev"), F.col("vendas").alias("vendas_prev"))
-    cond = [shifted(F.col("periodo_ref")) == F.col("_k")] + \
-        [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    j = cur.join(prev, cond, "left").drop("_k", *[f"_{k}" for k in keys])
+    j = _beside(cur, "periodo_ref", {"_prev": partner}, keys)
     return j.select("periodo_ref", *keys, F.col("fat").cast("double").alias("faturamento"),
                     F.col("fat_prev").cast("double").alias("faturamento_anterior"),
                     "vendas", "vendas_prev", *_delta("fat", "fat_prev"))

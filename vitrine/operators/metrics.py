@@ -1,6 +1,6 @@
 """Sales questions over the answer table: totals, rankings, shares, cube.
 
-Money is summed as DECIMAL(18,2) (exact and order-independent, so totals are
+Money is summed as DECIMAL(28,2) (exact and order-independent, so totals are
 the same whatever the partitioning) and returned as double.
 """
 
@@ -11,11 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitrine.operators.periods import Period, period_match, periods_table
+from vitrine.functions.parsing import money_exact
+from vitrine.operators.periods import Period, in_period, period_match, periods_table
 
 
 def money_sum(c: str) -> Column:
-    return F.sum(F.col(c).cast("decimal(18,2)"))
+    return F.sum(money_exact(c))
 
 
 def money_total(c: str) -> Column:
@@ -23,7 +24,7 @@ def money_total(c: str) -> Column:
 
 
 def money_total_expr(col: Column) -> Column:
-    return F.sum(col.cast("decimal(18,2)")).cast("double")
+    return F.sum(money_exact(col)).cast("double")
 
 
 def units_total(c: str) -> Column:
@@ -32,7 +33,7 @@ def units_total(c: str) -> Column:
 
 def totals(df: DataFrame, period: Period) -> DataFrame:
     """Period total; over no rows it is one row of NULLs (a global aggregate)."""
-    return (df.filter(period.condition())
+    return (in_period(df, period)
             .agg(money_total("fat_num").alias("faturamento_total"),
                  units_total("qtd_vendas_num").alias("total_pedidos"))
             .select(F.lit(period.label).alias("periodo"), "faturamento_total", "total_pedidos"))
@@ -41,7 +42,7 @@ def totals(df: DataFrame, period: Period) -> DataFrame:
 def by_keys(df: DataFrame, period: Period, keys: Sequence[str], where: Column | None = None,
             n: int | None = None, units_first: bool = False) -> DataFrame:
     """Sums per ``keys`` in ``period``, ordered by revenue (ties by keys), top ``n``."""
-    rows = df.filter(period.condition())
+    rows = in_period(df, period)
     if where is not None:
         rows = rows.filter(where)
     measures = [money_total("fat_num").alias("faturamento"),
@@ -96,7 +97,7 @@ def top_product_per_category(df: DataFrame, period: Period) -> DataFrame:
     """Best product by revenue inside each category (ties by product keys).
     row_number = 1 per category: the partial WindowGroupLimit keeps one row per
     category and map task before the exchange."""
-    agg = (df.filter(period.condition()).groupBy(*PRODUCT_KEYS)
+    agg = (in_period(df, period).groupBy(*PRODUCT_KEYS)
            .agg(money_sum("fat_num").alias("_fat"), units_total("qtd_vendas_num").alias("vendas")))
     w = Window.partitionBy("categoria").orderBy(
         F.col("_fat").desc_nulls_last(), F.col("titulo_produto").asc_nulls_first(),
@@ -110,7 +111,7 @@ def top_product_per_category(df: DataFrame, period: Period) -> DataFrame:
 def average_price(df: DataFrame, period: Period, keys: Sequence[str] = ("categoria",)) -> DataFrame:
     """Revenue per unit (sum of revenue / sum of units) and the plain mean of
     the listed price."""
-    agg = (df.filter(period.condition()).groupBy(*keys)
+    agg = (in_period(df, period).groupBy(*keys)
            .agg(money_sum("fat_num").alias("_fat"), F.sum("qtd_vendas_num").alias("_qtd"),
                 money_sum("preco_num").alias("_preco"), F.count("preco_num").alias("_npreco")))
     return agg.select(
@@ -124,8 +125,8 @@ def flag_share(df: DataFrame, period: Period, flag: str, prefix: str,
                keys: Sequence[str] = ("categoria",)) -> DataFrame:
     """Share of revenue, units and rows where ``flag`` is true."""
     on = F.col(flag)
-    agg = (df.filter(period.condition()).groupBy(*keys).agg(
-        F.sum(F.when(on, F.col("fat_num").cast("decimal(18,2)"))).alias("_fat_on"),
+    agg = (in_period(df, period).groupBy(*keys).agg(
+        F.sum(F.when(on, money_exact("fat_num"))).alias("_fat_on"),
         money_sum("fat_num").alias("_fat"),
         F.sum(F.when(on, F.col("qtd_vendas_num"))).alias("_qtd_on"),
         F.sum("qtd_vendas_num").alias("_qtd"),

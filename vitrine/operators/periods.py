@@ -66,8 +66,23 @@ def resolve(kind: str, ref: date | None, day: date | None = None, br_text: bool
     raise ValueError(f"unknown period kind {kind!r}")
 
 
+# Month of ``data`` as a partition column of the written answer tables. The
+# source's own ano / mes columns may be missing or wrong for a row; this one is
+# derived from the date, so single days can be pruned by it.
+DAY_PARTITION = "_mes_data"
+
+
+def day_partition(day: Column) -> Column:
+    return F.date_format(day, "yyyyMM")
+
+
 def in_period(df: DataFrame, period: Period) -> DataFrame:
-    return df.filter(period.condition())
+    """Rows of a period. A single day also filters on the date-derived
+    partition where the table has it, so other months' files stay closed."""
+    rows = df.filter(period.condition())
+    if period.kind not in ("mtd", "ytd") and not period.empty and DAY_PARTITION in df.columns:
+        rows = rows.filter(F.col(DAY_PARTITION) == period.start.strftime("%Y%m"))
+    return rows
 
 
 PERIOD_SCHEMA = StructType([

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from vitrine.constants import NULL_CHECK_COLUMNS
+from vitrine.constants import BOOLEAN_COLUMNS, INT_COLUMNS, MONEY_COLUMNS, NULL_CHECK_COLUMNS
+from vitrine.functions.parsing import money_br, money_exact, to_boolean, to_int
 
 
 def period_audit(df: DataFrame) -> DataFrame:
@@ -43,10 +44,27 @@ def null_counts(df: DataFrame, cols: Sequence[str] = NULL_CHECK_COLUMNS) -> Data
     return wide.unpivot([], list(cols), "coluna", "nulos")
 
 
+def parse_losses(landing: DataFrame) -> DataFrame:
+    """Per typed column: values whose text gives NULL, and amounts too large for
+    the exact sums (one scan, unpivoted to coluna, invalidos, fora_da_faixa)."""
+    cells, cols = [], [*MONEY_COLUMNS, *BOOLEAN_COLUMNS, *INT_COLUMNS]
+    for c in cols:
+        value = (money_br(landing, c) if c in MONEY_COLUMNS
+                 else to_boolean(c) if c in BOOLEAN_COLUMNS else to_int(c))
+        given = F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
+        beyond = (value.isNotNull() & money_exact(value).isNull() if c in MONEY_COLUMNS
+                  else F.lit(False))
+        cells.append(F.struct(
+            F.lit(c).alias("coluna"),
+            F.count(F.when(given & value.isNull(), 1)).alias("invalidos"),
+            F.count(F.when(beyond, 1)).alias("fora_da_faixa")))
+    return landing.agg(F.array(*cells).alias("x")).select(F.inline("x"))
+
+
 def silver_totals(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total_registros"),
-        F.sum(F.col("faturamento_estimado_dia").cast("decimal(18,2)")).cast("double")
+        F.sum(money_exact("faturamento_estimado_dia")).cast("double")
         .alias("faturamento_total"),
         F.sum("qtd_vendas_estimadas_dia").cast("long").alias("vendas_total"),
         F.min("data").alias("data_min"), F.max("data").alias("data_max"),
@@ -55,7 +73,7 @@ def silver_totals(df: DataFrame) -> DataFrame:
 
 def _metrics(df: DataFrame, fat: str, qtd: str, layer: str) -> DataFrame:
     wide = df.agg(F.count(F.lit(1)).cast("decimal(38,2)").alias("registros"),
-                  F.sum(F.col(fat).cast("decimal(18,2)")).cast("decimal(38,2)").alias("faturamento"),
+                  F.sum(money_exact(fat)).cast("decimal(38,2)").alias("faturamento"),
                   F.sum(qtd).cast("decimal(38,2)").alias("vendas"))
     return wide.unpivot([], ["registros", "faturamento", "vendas"], "metrica", layer)
 
@@ -73,7 +91,7 @@ def reconcile(silver: DataFrame, fact: DataFrame) -> DataFrame:
 
 def gold_audit(fact: DataFrame) -> DataFrame:
     return fact.agg(F.count(F.lit(1)).alias("registros"),
-                    F.sum(F.col("faturamento").cast("decimal(18,2)")).cast("double").alias("faturamento"),
+                    F.sum(money_exact("faturamento")).cast("double").alias("faturamento"),
                     F.sum("qtd_vendas").cast("long").alias("vendas"),
                     F.min("data").alias("data_min"), F.max("data").alias("data_max"))
 
@@ -129,9 +147,9 @@ def period_columns_check(df: DataFrame) -> DataFrame:
                                  | F.col("ano_mes").isNull(), 1)).alias("sem_periodo"))
 
 
-def file_size_mb(df: DataFrame) -> DataFrame:
-    """Size of the files behind a Parquet scan, from the hidden file metadata."""
-    files = df.select(F.col("_metadata.file_path").alias("f"),
-                      F.col("_metadata.file_size").alias("s")).distinct()
+def file_size_mb(spark: SparkSession, path: str) -> DataFrame:
+    """Number and size of a folder's Parquet files, from the file listing only."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", True).load(path).select("path", "length"))
     return files.agg(F.count(F.lit(1)).alias("arquivos"),
-                     F.round(F.sum("s") / (1024 * 1024), 2).alias("tamanho_mb"))
+                     F.round(F.sum("length") / (1024 * 1024), 2).alias("tamanho_mb"))

@@ -13,15 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.constants import (BOOLEAN_COLUMNS, INT_COLUMNS, MONEY_COLUMNS,
+from vitrine.constants import (BOOLEAN_COLUMNS, INT_COLUMNS, LANDING_COLUMNS, MONEY_COLUMNS,
                                NULL_DEFAULTS, RATING_COLUMN, TRIM_COLUMNS)
 from vitrine.functions.parsing import money_br, rating_br, to_boolean, to_int
 
 DEDUP_KEYS = ["data", "id_anuncio"]
-# Tie-break after the rank so the survivor is deterministic when two rows of a
-# (day, listing) share a rank.
-DEDUP_TIE_BREAK = ["faturamento_estimado_dia", "qtd_vendas_estimadas_dia", "loja_oficial",
-                   "parcelamento", "titulo_produto"]
+_RANKED = ["loja_oficial", "parcelamento", "titulo_produto"]
+DEDUP_TIE_BREAK = _RANKED + [c for c in LANDING_COLUMNS if c not in (
+    *DEDUP_KEYS, *_RANKED, "posicao_ranking", "faturamento_estimado_dia", "qtd_vendas_estimadas_dia")]
 
 
 def _replace(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
@@ -65,15 +64,14 @@ def typed(df: DataFrame) -> DataFrame:
 
 def dedup_order(nulls_first_rank: bool = True) -> list[Column]:
     """Best rank first. The source sorts ascending with Spark's default, where
-    a NULL rank comes first and therefore wins; kept as the default."""
+    a NULL rank comes first and therefore wins; kept as the default. All other
+    columns follow, so the order is total: rows that tie are equal rows."""
     rank = (F.col("posicao_ranking").asc_nulls_first() if nulls_first_rank
             else F.col("posicao_ranking").asc_nulls_last())
-    return [rank,
-            F.col("faturamento_estimado_dia").desc_nulls_last(),
-            F.col("qtd_vendas_estimadas_dia").desc_nulls_last(),
-            F.col("loja_oficial").asc_nulls_first(),
-            F.col("parcelamento").asc_nulls_first(),
-            F.col("titulo_produto").asc_nulls_first()]
+    first = [rank,
+             F.col("faturamento_estimado_dia").desc_nulls_last(),
+             F.col("qtd_vendas_estimadas_dia").desc_nulls_last()]
+    return first + [F.col(c).asc_nulls_first() for c in DEDUP_TIE_BREAK]
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

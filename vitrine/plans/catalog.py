@@ -247,7 +247,17 @@ register("table_profile",
     lambda spark, d: Q.profile_line(lh(spark, d).landing()))
 
 register("table_file_size")(lambda spark, d: Q.file_size_mb(
-    spark.read.parquet(lh(spark, d).landing_path())))
+    spark, f"{d.rstrip('/')}/lineitem.parquet"))
+
+register("silver_parse_losses",
+         f"{W('bronze')} " + " UNION ALL ".join(
+             [f"SELECT '{c}' AS coluna, count(*) FILTER (WHERE trim(CAST({c} AS VARCHAR)) <> '' AND "
+              f"{O.typed_expr(c)} IS NULL) AS invalidos, count(*) FILTER (WHERE {O.typed_expr(c)} IS NOT "
+              f"NULL AND TRY_CAST({O.typed_expr(c)} AS DECIMAL(28,2)) IS NULL) AS fora_da_faixa FROM bronze"
+              for c in MONEY_COLUMNS]
+             + [f"SELECT '{c}', count(*) FILTER (WHERE trim(CAST({c} AS VARCHAR)) <> '' AND "
+                f"{O.typed_expr(c)} IS NULL), 0 FROM bronze" for c in [*BOOLEAN_COLUMNS, *INT_COLUMNS]]))(
+    lambda spark, d: Q.parse_losses(lh(spark, d).bronze()))
 
 register("base_metadata",
          f"{W('analytic')} SELECT CAST(max(data) AS VARCHAR) AS data_mais_recente, "
@@ -317,7 +327,8 @@ def _totals_sql(kind, layer="analytic"):
 for _kind, _key in [("today", "totals_today"), ("yesterday", "totals_yesterday"),
                     ("mtd", "totals_mtd"), ("ytd", "totals_ytd"), ("first_date", "totals_on_date")]:
     register(_key, _totals_sql(_kind))(
-        (lambda k: lambda spark, d: M.totals(lh(spark, d).analytic(), _period(k)(spark, d)))(_kind))
+        (lambda k: lambda spark, d: M.totals(lh(spark, d).analytic(with_partition=True),
+                                             _period(k)(spark, d)))(_kind))
 
 
 def _raw_totals(spark, d):
@@ -374,7 +385,7 @@ register("ranking_products_top5", _by_keys_sql("ytd", M.PRODUCT_KEYS, n=5, units
 
 register("top_product_in_category",
          f"{W('analytic', 'ref')}, p AS (SELECT titulo_produto, marca, categoria, subcategoria, "
-         f"SUM(CAST(fat_num AS DECIMAL(18,2))) AS fat, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
+         f"SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS fat, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
          f"FROM analytic, ref WHERE {O.period_where('ytd')} GROUP BY 1, 2, 3, 4) "
          f"SELECT (SELECT {O.period_label('ytd')} FROM ref) AS periodo, categoria, subcategoria, "
          f"titulo_produto, marca, CAST(fat AS DOUBLE) AS faturamento, vendas FROM ("
@@ -385,8 +396,8 @@ register("top_product_in_category",
 
 register("average_price",
          f"{W('analytic', 'ref')} SELECT {O.period_label('ytd')} AS periodo, categoria, "
-         f"CAST(SUM(CAST(fat_num AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(CAST(SUM(qtd_vendas_num) AS DOUBLE), 0) "
-         f"AS preco_medio, CAST(SUM(CAST(preco_num AS DECIMAL(18,2))) AS DOUBLE) / "
+         f"CAST(SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS DOUBLE) / NULLIF(CAST(SUM(qtd_vendas_num) AS DOUBLE), 0) "
+         f"AS preco_medio, CAST(SUM(TRY_CAST(preco_num AS DECIMAL(28,2))) AS DOUBLE) / "
          f"NULLIF(CAST(count(preco_num) AS DOUBLE), 0) AS preco_medio_anuncio "
          f"FROM analytic, ref WHERE {O.period_where('ytd')} GROUP BY r, categoria")(
     lambda spark, d: M.average_price(lh(spark, d).analytic(), _period("ytd")(spark, d)))
@@ -394,8 +405,8 @@ register("average_price",
 
 def _share_sql(flag, prefix):
     return (f"{W('analytic', 'ref')} SELECT {O.period_label('ytd')} AS periodo, categoria, "
-            f"CAST(COALESCE(SUM(CAST(fat_num AS DECIMAL(18,2))) FILTER (WHERE {flag}), 0) AS DOUBLE) / "
-            f"NULLIF(CAST(SUM(CAST(fat_num AS DECIMAL(18,2))) AS DOUBLE), 0) AS {prefix}_faturamento, "
+            f"CAST(COALESCE(SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) FILTER (WHERE {flag}), 0) AS DOUBLE) / "
+            f"NULLIF(CAST(SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS DOUBLE), 0) AS {prefix}_faturamento, "
             f"CAST(COALESCE(SUM(qtd_vendas_num) FILTER (WHERE {flag}), 0) AS DOUBLE) / "
             f"NULLIF(CAST(SUM(qtd_vendas_num) AS DOUBLE), 0) AS {prefix}_vendas, "
             f"CAST(count(*) FILTER (WHERE {flag}) AS DOUBLE) / NULLIF(CAST(count(*) AS DOUBLE), 0) "
@@ -412,7 +423,7 @@ register("subcategory_lookup",
          f"{W('analytic')} SELECT DISTINCT categoria, subcategoria FROM analytic "
          f"WHERE subcategoria ILIKE '%{P_LOOKUP_TERM}%' "
          f"ORDER BY categoria ASC NULLS FIRST, subcategoria ASC NULLS FIRST LIMIT 1")(
-    lambda spark, d: M.lookup_subcategory(lh(spark, d).analytic(), P_LOOKUP_TERM))
+    lambda spark, d: M.lookup_subcategory(lh(spark, d).dim_category(), P_LOOKUP_TERM))
 
 
 def _cube_ctes():
@@ -453,12 +464,12 @@ register("adhoc_sql", f"{W('analytic')} " + ADHOC_SQL.replace("fato_ml", "analyt
 # Period comparisons
 # ============================================================================
 _MONTHLY = ("monthly AS (SELECT CAST(date_trunc('month', data) AS DATE) AS mes_ref, "
-            "SUM(CAST(fat_num AS DECIMAL(18,2))) AS fat, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
+            "SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS fat, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
             "FROM analytic GROUP BY 1)")
 _YEARLY = ("yearly AS (SELECT CAST(year(data) AS INTEGER) AS ano, "
-           "SUM(CAST(fat_num AS DECIMAL(18,2))) AS fat, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
+           "SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS fat, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
            "FROM analytic GROUP BY 1)")
-_DAILY = ("daily AS (SELECT data, SUM(CAST(fat_num AS DECIMAL(18,2))) AS fat, "
+_DAILY = ("daily AS (SELECT data, SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS fat, "
           "CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas FROM analytic GROUP BY data)")
 
 
@@ -495,9 +506,9 @@ register("last_year",
 
 register("delta_abs_pct",
          f"{W('analytic', 'ref')}, a AS (SELECT categoria, "
-         f"SUM(CAST(fat_num AS DECIMAL(18,2))) FILTER (WHERE data >= make_date(year(r), 1, 1) "
+         f"SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) FILTER (WHERE data >= make_date(year(r), 1, 1) "
          f"AND data <= r) AS atual, "
-         f"SUM(CAST(fat_num AS DECIMAL(18,2))) FILTER (WHERE data >= make_date(year(r) - 1, 1, 1) "
+         f"SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) FILTER (WHERE data >= make_date(year(r) - 1, 1, 1) "
          f"AND data <= CAST(r - INTERVAL 12 MONTH AS DATE)) AS anterior "
          f"FROM analytic, ref WHERE (data >= make_date(year(r), 1, 1) AND data <= r) OR "
          f"(data >= make_date(year(r) - 1, 1, 1) AND data <= CAST(r - INTERVAL 12 MONTH AS DATE)) "
@@ -570,7 +581,7 @@ def _landing_schema():
 
 
 def _csv_ingest(spark, d):
-    good, _bad = D.read_delimited(spark, _export(spark, d), _landing_schema())
+    good, _ = D.read_delimited(spark, _export(spark, d), _landing_schema())
     return good
 
 
@@ -580,6 +591,24 @@ _NULLIF_EMPTY = ", ".join(f"NULLIF({c}, '') AS {c}" if LANDING_TYPES[c] == "stri
 register("csv_ingest", f"{W('bronze')} SELECT {_NULLIF_EMPTY} FROM bronze")(_csv_ingest)
 
 
+def _csv_quarantine(spark, d):
+    """Rows read and rows set apart, of an export with two damaged lines added."""
+    path = _scratch(spark, d, "damaged_csv")
+    damaged = spark.createDataFrame(
+        [(_EXPORT_HEADER,), ("not-a-date" + ";" * (len(LANDING_COLUMNS) - 1),), ("2001-01-01;too;few",)],
+        "value string")
+    spark.read.text(_export(spark, d)).write.mode("overwrite").text(f"{path}/export")
+    damaged.coalesce(1).write.mode("overwrite").text(f"{path}/damaged")
+    good, bad = D.read_delimited(spark, f"{path}/*", _landing_schema())
+    counted = good.select(F.lit("good").alias("k")).unionByName(bad.select(F.lit("bad").alias("k")))
+    return counted.agg(F.count(F.when(F.col("k") == "good", 1)).alias("registros"),
+                       F.count(F.when(F.col("k") == "bad", 1)).alias("quarentena"))
+
+
+register("csv_quarantine", f"{W('bronze')} SELECT count(*) AS registros, CAST(2 AS BIGINT) AS quarentena FROM bronze")(
+    _csv_quarantine)
+
+
 def _header_clean(spark, d):
     raw = spark.read.option("header", True).option("sep", ";").csv(_export(spark, d))
     return D.clean_header(raw)
@@ -657,8 +686,13 @@ register("parse_updates",
          f"FROM conversations WHERE role = 'user' AND text IS NOT NULL AND conv_id IS NOT NULL")(
     _parse_updates)
 
-register("sample_rows")(lambda spark, d: lh(spark, d).silver().drop("_data_processamento")
-                        .limit(10))
+_SAMPLE_ORDER = ["data", "id_anuncio", *[c for c in LANDING_COLUMNS if c not in ("data", "id_anuncio")]]
+
+register("sample_rows",
+         f"{W('silver')} SELECT * FROM silver ORDER BY "
+         + ", ".join(f"{c} ASC NULLS FIRST" for c in _SAMPLE_ORDER) + " LIMIT 10")(
+    lambda spark, d: lh(spark, d).silver().drop("_data_processamento")
+    .orderBy(*[F.col(c).asc_nulls_first() for c in _SAMPLE_ORDER]).limit(10))
 
 # ============================================================================
 # Taxonomy (derived from the data) and the fixed dictionary
@@ -881,7 +915,7 @@ register("stream_dedup_events",
 
 register("yoy_by_category",
          f"{W('analytic')}, y AS (SELECT CAST(year(data) AS INTEGER) AS periodo_ref, categoria, "
-         f"SUM(CAST(fat_num AS DECIMAL(18,2))) AS fat, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
+         f"SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS fat, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas "
          f"FROM analytic GROUP BY ALL) SELECT c.periodo_ref, c.categoria, "
          f"CAST(c.fat AS DOUBLE) AS faturamento, CAST(p.fat AS DOUBLE) AS faturamento_anterior, "
          f"c.vendas, p.vendas AS vendas_prev, {_delta_sql('c.fat', 'p.fat')} FROM y c LEFT JOIN y p "
@@ -952,10 +986,10 @@ register("ranking_products_top5_raw",
 # ============================================================================
 STAR_SQL = """
 SELECT c.categoria, d.ano, d.trimestre,
-       CAST(SUM(CAST(f.faturamento AS DECIMAL(18,2))) AS DOUBLE) AS faturamento,
+       CAST(SUM(TRY_CAST(f.faturamento AS DECIMAL(28,2))) AS DOUBLE) AS faturamento,
        CAST(SUM(f.qtd_vendas) AS BIGINT) AS vendas,
        COUNT(DISTINCT f.sk_produto) AS produtos,
-       CAST(SUM(CASE WHEN d.is_fim_semana THEN CAST(f.faturamento AS DECIMAL(18,2)) END)
+       CAST(SUM(CASE WHEN d.is_fim_semana THEN TRY_CAST(f.faturamento AS DECIMAL(28,2)) END)
             AS DOUBLE) AS faturamento_fim_semana
 FROM ouro_fato_vendas f
 JOIN ouro_dim_calendario d ON f.data = d.data

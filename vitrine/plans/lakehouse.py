@@ -6,9 +6,9 @@ lineage, so a lost executor replays at most one layer, and every query reads
 the layer it needs instead of re-running the ETL.
 
 The answer table is written partitioned by the source's own period columns
-(``ano``, ``mes``) after a range partition on ``data``: month-to-date and
-year-to-date filters prune whole directories, day filters prune row groups
-through Parquet min/max statistics, and each write task produces a few
+(``ano``, ``mes``) and by the date's own month, after a range partition on
+``data``: month-to-date and year-to-date filters prune directories by the
+first two, single days by the third, and each write task produces a few
 contiguous month files instead of one file per month per task.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from vitrine.constants import ANALYTIC_COLUMNS, ORIGIN_EXISTING_FILE
 from vitrine.operators import bronze as bronze_ops
 from vitrine.operators import gold, silver as silver_ops
+from vitrine.operators.periods import DAY_PARTITION, day_partition
 from vitrine.session import session_key, work_root
 from vitrine.sources.testdata import listing_day
 
@@ -137,16 +138,22 @@ class Lakehouse:
             partition_by=["ano_mes"], range_on=["data", "sk_produto"])
         return df.select(*FACT_COLUMNS)
 
-    def analytic(self, raw: bool = False) -> DataFrame:
+    def analytic(self, raw: bool = False, with_partition: bool = False) -> DataFrame:
         """The 14-column answer table: over silver (default) or over the raw
-        landing rows exactly as the chat service loads them (``raw=True``)."""
+        landing rows exactly as the chat service loads them (``raw=True``).
+        ``with_partition`` adds the date-derived partition column, by which
+        single days are pruned."""
         name = "analytic_raw" if raw else "analytic"
         build = ((lambda: gold.analytic_from_raw(self.landing())) if raw
                  else (lambda: gold.analytic_from_silver(self.silver())))
-        df = self._materialize(name, build, partition_by=["ano", "mes"],
-                               range_on=["data", "posicao_ranking"])
-        return df.select(*[F.col(c).cast("int").alias(c) if c in ("ano", "mes") else F.col(c)
-                           for c in ANALYTIC_COLUMNS])
+        df = self._materialize(
+            name, lambda: build().withColumn(DAY_PARTITION, day_partition(F.col("data"))),
+            partition_by=["ano", "mes", DAY_PARTITION], range_on=["data", "posicao_ranking"])
+        columns = [F.col(c).cast("int").alias(c) if c in ("ano", "mes") else F.col(c)
+                   for c in ANALYTIC_COLUMNS]
+        if with_partition:
+            columns.append(F.col(DAY_PARTITION).cast("string").alias(DAY_PARTITION))
+        return df.select(*columns)
 
     # FIXED VALUES: names of the gold tables and of the answer table.
     VIEW_NAMES = {"ouro_dim_calendario": "dim_calendar", "ouro_dim_categoria": "dim_category",

@@ -72,20 +72,28 @@ _TYPED_EXPRS = {
     "preco_original": _money("preco_original"),
     "faturamento_estimado_dia": _money("faturamento_estimado_dia"),
     "avaliacao_nota": "TRY_CAST(replace(trim(avaliacao_nota), ',', '.') AS DOUBLE)",
-    "is_full": "CAST(is_full AS BOOLEAN)",
-    "frete_gratis": "CAST(frete_gratis AS BOOLEAN)",
+    "is_full": "TRY_CAST(is_full AS BOOLEAN)",
+    "frete_gratis": "TRY_CAST(frete_gratis AS BOOLEAN)",
     **{c: f"TRY_CAST({c} AS INTEGER)" for c in
        ["ano", "mes", "posicao_ranking", "desconto_pct", "qtd_vendas_estimadas_dia",
         "qtd_avaliacoes"]},
     **{c: f"trim({c})" for c in TRIM_COLUMNS},
 }
 
+def typed_expr(column: str) -> str:
+    """The typed value of a bronze column."""
+    return _TYPED_EXPRS.get(column, column)
+
+
 TYPED = "typed AS (SELECT " + ", ".join(
     f"{_TYPED_EXPRS.get(c, c)} AS {c}" for c in LANDING_COLUMNS) + " FROM bronze)"
 
-DEDUP_ORDER = ("posicao_ranking ASC NULLS FIRST, faturamento_estimado_dia DESC NULLS LAST, "
-               "qtd_vendas_estimadas_dia DESC NULLS LAST, loja_oficial ASC NULLS FIRST, "
-               "parcelamento ASC NULLS FIRST, titulo_produto ASC NULLS FIRST")
+_DEDUP_FIRST = ["posicao_ranking ASC NULLS FIRST", "faturamento_estimado_dia DESC NULLS LAST",
+                "qtd_vendas_estimadas_dia DESC NULLS LAST", "loja_oficial ASC NULLS FIRST",
+                "parcelamento ASC NULLS FIRST", "titulo_produto ASC NULLS FIRST"]
+DEDUP_ORDER = ", ".join(_DEDUP_FIRST + [
+    f"{c} ASC NULLS FIRST" for c in LANDING_COLUMNS
+    if c not in {x.split()[0] for x in _DEDUP_FIRST} | {"data", "id_anuncio"}])
 
 DEDUP = f"""dedup AS (
   SELECT {', '.join(LANDING_COLUMNS)} FROM (
@@ -227,7 +235,7 @@ def period_where(kind: str) -> str:
     raise ValueError(kind)
 
 
-MONEY_SUM = "CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
+MONEY_SUM = "CAST(SUM(TRY_CAST({c} AS DECIMAL(28,2))) AS DOUBLE)"
 
 
 def money_sum(c: str) -> str:

@@ -264,12 +264,12 @@ def answers_cte() -> str:
     prow AS (SELECT p.pkey, a.* FROM analytic a JOIN pset p ON
       (p.kind IN ('mtd', 'ytd') AND a.ano = p.p_ano AND (p.p_mes IS NULL OR a.mes = p.p_mes)
         AND a.data <= p.fim) OR (p.kind NOT IN ('mtd', 'ytd') AND a.data = p.inicio)),
-    cs AS (SELECT pkey, categoria, subcategoria, SUM(CAST(fat_num AS DECIMAL(18,2))) AS fat,
+    cs AS (SELECT pkey, categoria, subcategoria, SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS fat,
       SUM(qtd_vendas_num) AS qtd FROM prow GROUP BY ALL),
     cat AS (SELECT pkey, categoria, SUM(fat) AS fat, SUM(qtd) AS qtd FROM cs GROUP BY ALL),
     tot AS (SELECT pkey, SUM(fat) AS fat, SUM(qtd) AS qtd FROM cs GROUP BY ALL),
     prod AS (SELECT pkey, titulo_produto, marca, categoria, subcategoria,
-      SUM(CAST(fat_num AS DECIMAL(18,2))) AS fat, SUM(qtd_vendas_num) AS qtd FROM prow GROUP BY ALL),
+      SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS fat, SUM(qtd_vendas_num) AS qtd FROM prow GROUP BY ALL),
     prodtop AS (SELECT * EXCLUDE (r_) FROM (SELECT *, row_number() OVER (PARTITION BY pkey ORDER BY
       fat DESC NULLS LAST, titulo_produto ASC NULLS FIRST, marca ASC NULLS FIRST,
       categoria ASC NULLS FIRST, subcategoria ASC NULLS FIRST) AS r_ FROM prod) WHERE r_ <= {top}),

@@ -4,6 +4,7 @@ shared checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,7 +53,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     current = sc.getCheckpointDir() if sc is not None else None
     if current is None and not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="vitrine-ckpt-")  # local tests only
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            # On a cluster each host would write to a disk of its own.
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all hosts share")
+        conf_dir = tempfile.mkdtemp(prefix="vitrine-ckpt-")  # one host only
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if current is None and sc is not None:
         sc.setCheckpointDir(conf_dir)
@@ -79,28 +84,3 @@ def work_root(spark: SparkSession) -> str:
     """Folder (under the shared checkpoint dir) for tables this process writes."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/vitrine-{_RUN_ID}"
-
-
-def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
-    """Settings for the 100 TB target (apply through the cluster's session
-    config, not in code that runs locally):
-
-    * AQE sizes shuffle partitions from data (advisory 256 MB) starting from
-      enough partitions to keep every core busy, and splits skewed join
-      partitions; the initial count is an upper bound AQE coalesces from.
-    * Scan splits of 256 MB keep task count and per-task memory balanced.
-    * Broadcasts in this code are either fixed-size tables or behind an
-      explicit row-count check; the byte threshold stays at its default.
-    """
-    slots = executors * cores_per_executor
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(slots * 4),
-        "spark.sql.shuffle.partitions": str(slots * 2),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-        "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
-    }

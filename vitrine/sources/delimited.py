@@ -16,12 +16,15 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
     """Typed read with quarantine: rows that do not fit ``schema`` (bad value,
     wrong field count) go to the second DataFrame with their raw text.
 
-    The parsed result is checkpointed once, so both outputs come from one
-    parse and the corrupt-record column is not re-derived per query."""
+    Values are read as they are written: no quoting, so a title that starts
+    with a quote stays a title. The parsed result is checkpointed once: what
+    makes a row bad shows only when all its columns are read, and a later query
+    may read a few."""
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
     parsed = (spark.read.option("sep", sep).option("header", header)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("enforceSchema", True)  # header names may be decorated (Table[col])
+              .option("quote", "").option("escape", "")
               .schema(full).csv(path)
               .checkpoint(eager=True))
     good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
