@@ -260,41 +260,35 @@ def _attach(count: DataFrame, body: DataFrame, text: Column) -> DataFrame:
             .select("n_linhas", text.alias("resposta")))
 
 
-def dictionary_replies(routed: DataFrame, flat: DataFrame, ref_text: str, total_rows: int,
-                       n: int = K.BULLET_ROWS) -> DataFrame:
+def dictionary_replies(routed: DataFrame, flat: DataFrame, ref_text: str, total_rows: int) -> DataFrame:
     """Replies for the dictionary intents: the category list, a category's
     subcategories (with example brands), a glossary term, the greeting.
 
-    Lists are rendered from their first ``n`` rows plus a count (never the
-    whole list in one row): the category list once, joined to its questions
-    on the intent; subcategory lists per category, joined on the category."""
+    Lists are complete; the row limit of result tables does not apply to them.
+    Each list is rendered once, not for each question: the category list, joined
+    to its questions on the intent, and one list for each category, joined on
+    the category. A list holds a line for each name of the taxonomy level."""
     from vitrine.operators.taxonomy import categories_summary, subcategories_summary
     cats = categories_summary(flat)
-    cat_top = cats.orderBy(F.col("categoria").asc_nulls_first()).limit(n) \
-                  .withColumn("_i", F.monotonically_increasing_id())
     cat_line = F.concat(F.lit("• *Categoria:* "), F.coalesce("categoria", F.lit("-")),
                         F.lit(" | *Subcategorias:* "), F.col("n_subcategorias").cast("string"))
-    cat_body = (cat_top.groupBy(F.lit("listar_categorias").alias("intent"))
+    cat_body = (cats.groupBy(F.lit("listar_categorias").alias("intent"))
                 .agg(F.array_join(F.transform(F.array_sort(F.collect_list(
-                    F.struct("_i", cat_line.alias("b")))), lambda s: s["b"]), "\n").alias("bullets")))
+                    F.struct("categoria", cat_line.alias("b")))), lambda s: s["b"]), "\n").alias("bullets")))
     cat_count = cats.agg(F.count(F.lit(1)).alias("n_linhas")) \
                     .withColumn("intent", F.lit("listar_categorias"))
     subs = subcategories_summary(flat)
-    w = Window.partitionBy("categoria").orderBy(F.col("subcategoria").asc_nulls_first())
     sub_line = F.concat(F.lit("• *Subcategoria:* "), F.coalesce("subcategoria", F.lit("-")),
                         F.lit(" | *Marcas:* "), F.col("n_marcas").cast("string"),
                         F.lit(" | *Exemplos:* "), F.coalesce("exemplos", F.lit("-")))
-    sub_body = (subs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
-                .groupBy("categoria")
+    sub_body = (subs.groupBy("categoria")
                 .agg(F.array_join(F.transform(F.array_sort(F.collect_list(
-                    F.struct("_r", sub_line.alias("b")))), lambda s: s["b"]), "\n").alias("bullets")))
+                    F.struct("subcategoria", sub_line.alias("b")))), lambda s: s["b"]), "\n").alias("bullets")))
     sub_count = subs.groupBy("categoria").agg(F.count(F.lit(1)).alias("n_linhas"))
 
     head = F.concat(fill(K.REPLY_HEADER, user="user_name"), fill(K.REPLY_QUESTION, question="text"))
     foot = F.lit(K.REPLY_FOOTER.format(ref=ref_text))
-    more = F.when(F.col("n_linhas") > n, fill(
-        K.REPLY_MORE, n=(F.col("n_linhas") - n).cast("string"))).otherwise(F.lit(""))
-    listing = F.concat(head, F.col("bullets"), more, foot)
+    listing = F.concat(head, F.col("bullets"), foot)
     cols = ["q_id", "n_linhas", "resposta"]
     lc = (routed.filter((F.col("intent") == "listar_categorias") & (F.col("status") == "ok"))
           .join(cat_body, "intent").join(cat_count, "intent")

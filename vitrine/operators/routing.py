@@ -30,8 +30,9 @@ NW = r"[^\p{L}\p{M}\p{N}_]"
 TOKEN_SPLIT = NW + "+"
 ISO_RE = rf"(^|{NW})(\d{{4}})-(\d{{2}})-(\d{{2}})({NW}|$)"
 BR_RE = rf"(^|{NW})(\d{{1,2}})[/.-](\d{{1,2}})(?:[/.-](\d{{4}}))?({NW}|$)"
+# A phrase that asks for a term, followed by white space, anywhere in a text.
 CONCEPT_RE = (rf"(^|{NW})(" + "|".join(regex_escape(p) for p in K.CONCEPT_PREFIXES)
-              + r")\s+(.*)")
+              + r")[ \t\n\x0B\f\r]+")
 
 ANALYTIC_INTENTS = ["metadados", "subcategoria", "categoria", "ranking_subcategorias",
                     "ranking_categorias", "ranking_produtos", "total"]
@@ -118,17 +119,13 @@ def glossary_lookup(q: DataFrame, glossary: DataFrame, prepared=None) -> DataFra
     g, forms, keys, max_n = prepared or prepare_glossary(glossary)
     # (a) whole-text forms of the sigla: equality join on the question text
     exact = q.select("q_id", "t").join(forms, "t").select("q_id", "pos")
-    # (b) "<prefix> <sigla|termo>": first words after the prefix, equi-joined
-    rest = (q.select("q_id", F.regexp_extract("t", CONCEPT_RE, 3).alias("rest"))
-            .filter("rest != ''").withColumn("_rt", tokens(F.col("rest"))))
-    rt = F.col("_rt")
-    heads = rest.select("q_id", "rest", F.explode(F.array(*[
-        F.when(F.size(rt) >= n, F.array_join(F.slice(rt, 1, n), " "))
-        for n in range(1, max_n + 1)])).alias("gram")).filter(F.col("gram").isNotNull())
-    pref = (heads.join(keys, "gram")
-            .filter(F.regexp_like(F.col("rest"), F.concat(F.lit(r"^\Q"), F.col("form"),
-                                                          F.lit(r"\E(" + NW + "|$)"))))
-            .select("q_id", "pos"))
+    # (b) "<prefix> <sigla|termo>" after any prefix of the whole text: the text's
+    # word n-grams equi-joined with the forms, then the exact pattern
+    asks = q.filter(F.regexp_like("t", F.lit(CONCEPT_RE))).select("q_id", "t")
+    pref = (ngrams(asks, max_n).join(keys, "gram").join(asks, "q_id")
+            .filter(F.regexp_like(F.col("t"), F.concat(F.lit(CONCEPT_RE + r"\Q"), F.col("form"),
+                                                       F.lit(r"\E(" + NW + "|$)"))))
+            .select("q_id", "pos").distinct())
     hits = exact.unionByName(pref).join(F.broadcast(g), "pos")  # g: the glossary itself
     best = hits.groupBy("q_id").agg(
         F.min_by(F.struct("sigla", "termo", "explicacao"), F.col("pos")).alias("g"))

@@ -107,8 +107,10 @@ FIXED_QUESTIONS = [
     "vendas da subcategoria promo no ano passado",
     "total vendido em 31/02/2001",
     "oi",
+    "o que é isso? o que é mtd",
+    "bom dia, o que é bom?\no que é yoy",
 ]
-QID_CONVERSATION_FACTOR = 1000
+QID_CONVERSATION_FACTOR = 1 << 32  # turns of any number keep ids of their own
 QID_PAIR_BASE = 10_000_000_000
 QID_DATE_BASE = 20_000_000_000
 QID_FIXED_BASE = 30_000_000_000

@@ -104,11 +104,10 @@ def glossary_cte() -> str:
             f"lower(trim(termo)) AS lt FROM (VALUES {vals}) v(pos, termo, sigla, explicacao)), "
             f"gexact AS (SELECT qn.q_id, g.pos FROM qn JOIN g ON length(g.ls) >= 3 AND qn.t IN "
             f"(g.ls, 'o que e ' || g.ls, 'o que é ' || g.ls, g.ls || '?')), "
-            f"grest AS (SELECT q_id, regexp_extract(t, {q(concept)}, 3) AS rest FROM qn), "
             f"gforms AS ({forms}), "
-            f"gpref AS (SELECT r.q_id, f.pos FROM grest r JOIN gforms f ON r.rest <> '' AND "
-            f"length(regexp_replace(f.form, '{NW}+', '', 'g')) > 0 AND regexp_matches(r.rest, "
-            f"'^' || regexp_replace(f.form, '([.^$*+?()\\[\\]{{}}|\\\\/-])', '\\\\\\1', 'g') || "
+            f"gpref AS (SELECT r.q_id, f.pos FROM qn r JOIN gforms f ON regexp_matches(r.t, {q(concept)}) AND "
+            f"length(regexp_replace(f.form, '{NW}+', '', 'g')) > 0 AND regexp_matches(r.t, "
+            f"{q(concept)} || regexp_replace(f.form, '([.^$*+?()\\[\\]{{}}|\\\\/-])', '\\\\\\1', 'g') || "
             f"'({NW}|$)')), "
             f"ghits AS (SELECT * FROM gexact UNION ALL SELECT * FROM gpref), "
             f"gl AS (SELECT h.q_id, arg_min({{'s': g.sigla, 't': g.termo, 'e': g.explicacao}}, g.pos) AS b "
@@ -351,30 +350,26 @@ STREAM_REPLIES = (routing_with(routed_cte(), answers_cte(), format_cte(),
 
 
 def dictionary_cte() -> str:
-    n = K.BULLET_ROWS
     header = fill_sql(K.REPLY_HEADER, user="r.user_name")
     question = fill_sql(K.REPLY_QUESTION, question="r.text")
-    more = fill_sql(K.REPLY_MORE, n=f"CAST(c.n_linhas - {n} AS VARCHAR)")
     foot = K.REPLY_FOOTER.split("{ref}")
     footer = f"{q(foot[0])} || (SELECT CAST(max(data) AS VARCHAR) FROM analytic) || {q(foot[1])}"
     gl = fill_sql(K.REPLY_GLOSSARY, sigla="upper(r.sigla)", termo="r.termo", definicao="r.definicao")
     hi = fill_sql(K.REPLY_GREETING, user="r.user_name", ref="(SELECT CAST(max(data) AS VARCHAR) FROM analytic)",
                   rows="translate(format('{:,}', (SELECT count(*) FROM analytic)), ',', '.')")
-    listing = (f"{header} || {question} || b.bullets || CASE WHEN c.n_linhas > {n} THEN {more} "
-               f"ELSE '' END || {footer}")
+    listing = f"{header} || {question} || b.bullets || {footer}"
     return f"""flat AS (SELECT DISTINCT categoria, subcategoria, marca FROM silver),
     catsum AS (SELECT categoria, count(DISTINCT subcategoria) AS n_subcategorias FROM flat GROUP BY categoria),
     catb AS (SELECT string_agg('• *Categoria:* ' || COALESCE(categoria, '-') || ' | *Subcategorias:* '
         || CAST(n_subcategorias AS VARCHAR), chr(10) ORDER BY categoria ASC NULLS FIRST) AS bullets
-      FROM (SELECT * FROM catsum ORDER BY categoria ASC NULLS FIRST LIMIT {n})),
+      FROM catsum),
     catc AS (SELECT count(*) AS n_linhas FROM catsum),
     subr AS (SELECT *, row_number() OVER (PARTITION BY categoria, subcategoria ORDER BY marca ASC NULLS FIRST) AS rn FROM flat),
     subsum AS (SELECT categoria, subcategoria, count(marca) AS n_marcas,
         string_agg(marca, ', ' ORDER BY rn) FILTER (WHERE rn <= 3) AS exemplos FROM subr GROUP BY categoria, subcategoria),
     subb AS (SELECT categoria, string_agg('• *Subcategoria:* ' || COALESCE(subcategoria, '-') || ' | *Marcas:* '
         || CAST(n_marcas AS VARCHAR) || ' | *Exemplos:* ' || COALESCE(exemplos, '-'), chr(10) ORDER BY subcategoria ASC NULLS FIRST) AS bullets
-      FROM (SELECT *, row_number() OVER (PARTITION BY categoria ORDER BY subcategoria ASC NULLS FIRST) AS r_ FROM subsum) WHERE r_ <= {n}
-      GROUP BY categoria),
+      FROM subsum GROUP BY categoria),
     subc AS (SELECT categoria, count(*) AS n_linhas FROM subsum GROUP BY categoria),
     dict_replies AS (
       SELECT r.q_id, c.n_linhas, {listing} AS resposta FROM routed r, catb b, catc c

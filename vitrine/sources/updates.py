@@ -33,12 +33,12 @@ def parse_updates(updates: DataFrame) -> DataFrame:
 
 # FIXED VALUES: conventions of the update feed derived from ``conversations``.
 FEED_EPOCH = "2024-01-01 00:00:00"
-TURN_ID_FACTOR = 1000
+TURN_ID_FACTOR = 1 << 32  # turns of any number keep ids of their own
 ANONYMOUS_EVERY = 3
 
 
 def updates_from_conversations(conversations: DataFrame) -> DataFrame:
-    """User turns as chat updates: update_id = conv_id * 1000 + turn, one
+    """User turns as chat updates: update_id = conv_id * 2^32 + turn, one
     minute per conversation and one second per turn after a fixed epoch;
     every third conversation has no first name."""
     u = conversations.filter(F.col("role") == "user")
