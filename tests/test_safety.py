@@ -80,3 +80,29 @@ def test_checkpoint_folder_must_be_named_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_a_lost_marker_folder_never_reuses_a_version(spark, tmp_path):
+    from vitrine.sinks import writers as W
+    base = str(tmp_path / "base")
+    assert W.current_version(spark, base) is None
+    assert [W.refresh(spark.range(n), base) for n in (1, 2, 3)] == [1, 2, 3]
+    (tmp_path / "base" / W.MARKERS).rename(tmp_path / "elsewhere")
+    assert W.refresh(spark.range(4), base) == 4 and W.read_current(spark, base).count() == 4
+    assert spark.read.parquet(W.version_path(base, 1)).count() == 1
+
+
+def test_an_unfinished_drop_is_not_published(spark, tmp_path):
+    from vitrine.sinks import writers as W
+    from vitrine.streaming.jobs import publish_newest
+    landing = lakehouse(spark, SMOKE).landing()
+    base, prof = str(tmp_path / "base"), str(tmp_path / "prof")
+    landing.limit(5).write.parquet(str(tmp_path / "in" / "drop_0007"))
+    landing.limit(9).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        str(tmp_path / "in" / "drop_0008"))
+    where = str(tmp_path / "in" / "*")
+    assert publish_newest(spark, where, base, prof, landing.schema) == 7
+    assert publish_newest(spark, where, base, prof, landing.schema) is None
+    (tmp_path / "in" / "drop_0008" / "_SUCCESS").touch()
+    assert publish_newest(spark, where, base, prof, landing.schema) == 8
+    assert W.read_current(spark, base).count() == 9

@@ -881,17 +881,18 @@ def _stream_refresh(spark, d):
     prof, ckpt = _scratch(spark, d, "st_profile"), _scratch(spark, d, "st_refresh_ckpt")
     landing = L.landing()
     last = L.reference(raw=True).last_date
+    # two complete drops wait, and a third that its writer has not finished
     landing.filter(F.col("data") < F.lit(last)).write.mode("overwrite").parquet(f"{in_dir}/drop_0001")
-    J.refresh_stream(spark, f"{in_dir}/*", base, prof, ckpt, landing.schema)
     landing.write.mode("overwrite").parquet(f"{in_dir}/drop_0002")
+    (landing.filter(F.col("data") == F.lit(last)).write.mode("overwrite")
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{in_dir}/drop_0003"))
     J.refresh_stream(spark, f"{in_dir}/*", base, prof, ckpt, landing.schema)
     return spark.read.parquet(prof).select("versao", "data_min", "data_max", "total_registros")
 
 
 register("stream_refresh",
-         f"{W('analytic_raw')} SELECT 1 AS versao, min(data) AS data_min, max(data) AS data_max, "
-         f"count(*) AS total_registros FROM analytic_raw WHERE data < (SELECT max(data) FROM "
-         f"analytic_raw) UNION ALL SELECT 2, min(data), max(data), count(*) FROM analytic_raw")(
+         f"{W('analytic_raw')} SELECT 2 AS versao, min(data) AS data_min, max(data) AS data_max, "
+         f"count(*) AS total_registros FROM analytic_raw")(
     _stream_refresh)
 
 

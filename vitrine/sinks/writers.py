@@ -3,6 +3,7 @@ versioned full refresh."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -62,30 +63,47 @@ def write_all(df: DataFrame, targets: Sequence[tuple[str, str, str]]) -> DataFra
     return counts
 
 
-POINTER = "_current"
+MARKERS = "_published"
 
 
-def current_version(spark: SparkSession, base_dir: str) -> int | None:
-    try:
-        row = spark.read.json(f"{base_dir}/{POINTER}").agg(F.max("version")).first()
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
-    return None if row is None or row[0] is None else int(row[0])
+def _folder(spark: SparkSession, path: str):
+    """The file system and path object of a folder in any store Spark can write."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Version numbers that entries of a folder are named by; none if it is absent."""
+    fs, p = _folder(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+    return [int(n[1:]) for n in names if re.fullmatch(r"v\d{6,}", n)]
 
 
 def version_path(base_dir: str, version: int) -> str:
     return f"{base_dir}/v{version:06d}"
 
 
+def current_version(spark: SparkSession, base_dir: str) -> int | None:
+    """The highest published version; None before the first one. A store that
+    cannot be listed is an error, not an empty base."""
+    return max(_numbers(spark, f"{base_dir}/{MARKERS}"), default=None)
+
+
+def publish(spark: SparkSession, base_dir: str, version: int) -> None:
+    """Make a written version current: one new marker file, nothing overwritten."""
+    fs, p = _folder(spark, f"{base_dir}/{MARKERS}/v{version:06d}")
+    if not fs.exists(p):
+        fs.create(p, False).close()
+
+
 def refresh(df: DataFrame, base_dir: str, fmt: str = "parquet") -> int:
-    """Versioned full refresh: write the new base beside the old one, then
-    move the pointer. Readers keep the old version until the pointer moves,
-    and the old version is never overwritten while it may be read."""
+    """Versioned full refresh: write the new base beside the old ones, then
+    publish it. Its number is above every folder there, published or not, so
+    no version is ever written over."""
     spark = df.sparkSession
-    new = (current_version(spark, base_dir) or 0) + 1
-    df.write.mode("overwrite").format(fmt).save(version_path(base_dir, new))
-    spark.createDataFrame([(new,)], "version int").coalesce(1).write.mode("overwrite") \
-        .json(f"{base_dir}/{POINTER}")
+    new = max([*_numbers(spark, base_dir), *_numbers(spark, f"{base_dir}/{MARKERS}")], default=0) + 1
+    df.write.format(fmt).save(version_path(base_dir, new))
+    publish(spark, base_dir, new)
     return new
 
 

@@ -7,8 +7,8 @@
   batch overwrites itself). The checkpoint replaces the source's "offset =
   last update_id + 1", which confirmed an update before answering it.
 * ``refresh_stream``: each new base-file drop is a full replacement of the
-  base: ``foreachBatch`` publishes it as a new version (pointer swap) and
-  appends the recomputed profile (last date, first date, rows).
+  base: the newest complete drop is published as the version of its number,
+  with its recomputed profile (last date, first date, rows).
 * ``dedup_stream``: the same replay-safe dedup on the ``events`` table.
 
 All use ``Trigger.AvailableNow`` in tests (process what is there, stop) and
@@ -17,6 +17,7 @@ can run continuously with a processing-time trigger.
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,25 +104,47 @@ def read_routed(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(out_dir).select(*ROUTE_COLUMNS)
 
 
+def publish_newest(spark: SparkSession, in_dir: str, base_dir: str, profile_dir: str, schema) -> int | None:
+    """Publish the newest complete drop as a version and write its profile.
+
+    A drop is a folder that matches ``in_dir`` and whose name ends in its
+    number, which is also its version; it is complete when it holds the
+    writer's ``_SUCCESS`` marker. Older drops are skipped: each is a full base."""
+    fs, pattern = Wr._folder(spark, in_dir)
+    found = []
+    for status in fs.globStatus(pattern) or []:
+        folder = status.getPath()
+        number = re.search(r"(\d+)$", folder.getName())
+        marker = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+        if number and fs.exists(marker):
+            found.append((int(number[1]), folder.toString()))
+    version, folder = max(found, default=(None, None))
+    if version is None or version <= (Wr.current_version(spark, base_dir) or 0):
+        return None
+    path = Wr.version_path(base_dir, version)  # not published yet: a retry may write it again
+    analytic_from_raw(spark.read.schema(schema).parquet(folder)).write.mode("overwrite").parquet(path)
+    profile = spark.read.parquet(path).agg(
+        F.max("data").alias("data_max"), F.min("data").alias("data_min"),
+        F.count(F.lit(1)).alias("total_registros"))
+    profile.write.mode("overwrite").parquet(f"{profile_dir}/versao={version}")
+    Wr.publish(spark, base_dir, version)
+    return version
+
+
 def refresh_stream(spark: SparkSession, in_dir: str, base_dir: str, profile_dir: str,
                    checkpoint: str, schema) -> None:
-    """Process the drops present now; each micro-batch is one complete base."""
+    """Process the drops present now. New files only say that a drop has come;
+    what is published is the newest complete drop as a whole, however the
+    files are spread over micro-batches."""
     drops = spark.readStream.schema(schema).parquet(in_dir)
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        fato = analytic_from_raw(batch)
-        version = batch_id + 1  # deterministic: a retried batch rewrites the same version
-        fato.write.mode("overwrite").parquet(Wr.version_path(base_dir, version))
-        spark.createDataFrame([(version,)], "version int").coalesce(1).write \
-            .mode("overwrite").json(f"{base_dir}/{Wr.POINTER}")
-        cur = spark.read.parquet(Wr.version_path(base_dir, version))
-        prof = cur.agg(F.max("data").alias("data_max"), F.min("data").alias("data_min"),
-                       F.count(F.lit(1)).alias("total_registros"))
-        prof.write.mode("overwrite").parquet(f"{profile_dir}/versao={version}")
-
-    q = (drops.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    def new_files(batch: DataFrame, batch_id: int) -> None:
+        publish_newest(spark, in_dir, base_dir, profile_dir, schema)
+
+    q = (drops.writeStream.foreachBatch(new_files).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     _run(q)
+    publish_newest(spark, in_dir, base_dir, profile_dir, schema)  # a marker that came last
 
 
 def dedup_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema,
