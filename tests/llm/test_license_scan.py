@@ -70,3 +70,26 @@ def test_edge_rows(spark):
     got = sorted(((r.doc_id, r.template, r.containment) for r in L.scan(df).collect()), key=str)
     assert got == [(4, "mit-line", 1.0), (4, "mit-line", 1.0), (5, "mit-grant", 1.0), (None, "mit-line", 1.0)]
     assert L.scan(df.limit(0)).count() == 0
+
+
+def test_lines_listed_apart_from_the_templates(spark):
+    """The statements that close documents, looked for as plain text."""
+    lines = {"This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only",
+             "All rights reserved.": "LicenseRef-All-Rights-Reserved", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+             "Released under the MIT License.": "MIT",
+             "Licensed under the Apache License, Version 2.0.": "Apache-2.0"}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    want = {(r.doc_id, spdx) for r in docs for line, spdx in lines.items() if r.text and line in r.text}
+    assert {spdx for _, spdx in want} == set(lines.values())
+    assert want <= {(r.doc_id, r.license) for r in op2_license_scan(spark, SF).collect()}
+
+
+def test_templates_of_any_length(spark):
+    templates = [("one", "L1", "Proprietary"), ("two", "L2", "Public domain."), ("four", "L4", "No rights are reserved"),
+                 ("none", "L0", " ... ")]
+    rows = [(1, "proprietary"), (2, "in the PUBLIC -- domain, public domain"), (3, "no rights are"),
+            (4, "x " * 20000 + "no rights are reserved"), (5, "public x domain"), (6, None), (7, "...")]
+    got = sorted(map(tuple, L.scan(documents(spark, rows), templates).collect()))
+    assert got == [(1, "one", "L1", 1.0, 0, 1), (2, "two", "L2", 1.0, 2, 4), (4, "four", "L4", 1.0, 20000, 20004)]
+    both = L.scan(documents(spark, [(1, f"{L.TEMPLATES[0][2]} Public domain")]), [*templates, L.TEMPLATES[0]])
+    assert {r.template for r in both.collect()} == {"two", "mit-line"}

@@ -12,12 +12,16 @@ probability of 1 - (1 - 0.45^ROWS)^BANDS = 0.998, and a verbatim one (likeness
 0.75 or more) with 0.9999999999. Each retrieved template is then held against the
 exact shingles of the window and a stride on either side.
 
+A template of fewer than five words is one shingle of its own length: it occurs
+where the text's run of that length has the same hash, so those runs are
+compared as they are, without bands.
+
 Windows are per-text work, so the scan has no shuffle; the templates are a
 fixed list that travels inside the function. MinHashes of all windows come from
 running minima over power-of-two lengths, in numpy, in chunks of bounded size.
 
-Defined cases: NULL, empty and very short texts have no match (a template has
-five words at least); very long texts are scanned whole, chunk by chunk with
+Defined cases: NULL and empty texts, and texts shorter than every template, have
+no match; a template without words matches nothing; very long texts are scanned whole, chunk by chunk with
 overlap; NULL ids and repeated rows are kept; an empty table gives no rows;
 extra columns are not read.
 """
@@ -40,7 +44,8 @@ LEAST_LIKENESS = 0.45
 CHUNK = 8192
 SEEN = (1 << 20) - 1  # slots of the bit table that most windows end at
 
-# FIXED VALUES: wording of public licenses and notices, with SPDX identifiers.
+# FIXED VALUES: wording of public licenses and notices, with SPDX identifiers (a
+# LicenseRef where SPDX lists none).
 TEMPLATES = [
     ("mit-line", "MIT", "Released under the MIT License."),
     ("apache-line", "Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -73,6 +78,7 @@ TEMPLATES = [
     ("mpl-notice", "MPL-2.0",
      "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
      "of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("all-rights-reserved-line", "LicenseRef-All-Rights-Reserved", "All rights reserved."),
 ]
 
 _token = re.compile(r"[^\W_]+").findall
@@ -81,12 +87,31 @@ FIELDS = [("template", T.StringType()), ("license", T.StringType()), ("containme
           ("start_word", T.LongType()), ("end_word", T.LongType())]
 
 
+def text_words(text: str | None) -> np.ndarray:
+    """Hashes of the lower-cased letter and digit runs."""
+    return word_hashes([w.encode("utf-8", "surrogatepass") for w in _token((text or "").lower())])
+
+
+def runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words; none where there are fewer words."""
+    return shingle_hashes(words, size) if len(words) >= size else np.zeros(0, np.uint64)
+
+
+# Word counts, below a shingle's, of the templates.
+SHORT_SIZES = sorted({n for *_, text in TEMPLATES if 0 < (n := len(_token(text))) < SHINGLE_WORDS})
+
+
 def text_shingles(text: str | None) -> np.ndarray:
-    """Shingle hashes of the lower-cased letter and digit runs."""
-    words = [w.encode("utf-8", "surrogatepass") for w in _token((text or "").lower())]
-    if len(words) < SHINGLE_WORDS:
-        return np.zeros(0, np.uint64)
-    return shingle_hashes(word_hashes(words))
+    """The text's shingles, then its runs of each of ``SHORT_SIZES``."""
+    words = text_words(text)
+    return np.concatenate([runs(words, size) for size in (SHINGLE_WORDS, *SHORT_SIZES)])
+
+
+def template_shingles(text: str) -> tuple[int, np.ndarray]:
+    """Words in a shingle of the template, and its distinct shingles."""
+    words = text_words(text)
+    size = min(SHINGLE_WORDS, max(len(words), 1))
+    return size, np.unique(runs(words, size))
 
 
 class Scanner:
@@ -97,27 +122,30 @@ class Scanner:
         self.factor = rng.integers(0, 1 << 31, BANDS * ROWS, np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
         self.shift = rng.integers(0, 1 << 32, BANDS * ROWS, np.uint32)[:, None]
         self.salt = rng.integers(0, 1 << 32, BANDS, np.uint32)[:, None]
-        self.templates = [(name, spdx, np.unique(text_shingles(text))) for name, spdx, text in templates]
+        sized = [(name, spdx, *template_shingles(text)) for name, spdx, text in templates]
+        self.templates = [(name, spdx, s) for name, spdx, _, s in sized]
+        long = [t for t, (*_, size, s) in enumerate(sized) if size == SHINGLE_WORDS and len(s)]
+        # Short templates: (template, words, hash of its one run).
+        self.short = [(t, size, s[0]) for t, (*_, size, s) in enumerate(sized) if size < SHINGLE_WORDS and len(s)]
         # Window sizes in shingles: a class's window is its largest template's size.
         self.classes: list[tuple[int, int]] = []
-        for n in sorted({len(s) for *_, s in self.templates if len(s)}):
+        for n in sorted({len(self.templates[t][2]) for t in long}):
             if self.classes and 3 * n <= 4 * self.smallest:
                 self.classes[-1] = (n, max(1, n // 4))
             else:
                 self.smallest = n
                 self.classes.append((n, max(1, n // 4)))
-        keys, owners = [], []
-        for t, (*_, s) in enumerate(self.templates):
-            if len(s):
-                keys.append(self._bands(self._hashes(s).min(1, keepdims=True))[:, 0])
-                owners.append(np.full(BANDS, t))
+        keys, owners = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for t in long:
+            keys.append(self._bands(self._hashes(self.templates[t][2]).min(1, keepdims=True))[:, 0])
+            owners.append(np.full(BANDS, t))
         self.keys = np.concatenate(keys)
         order = np.argsort(self.keys, kind="stable")
         self.keys, self.owners = self.keys[order], np.concatenate(owners)[order]
         self.seen = np.zeros(SEEN + 1, bool)
         self.seen[self.keys & np.uint32(SEEN)] = True
-        self.stride = {t: next(s for n, s in self.classes if n >= len(x))
-                       for t, (*_, x) in enumerate(self.templates) if len(x)}
+        self.stride = {t: next(s for n, s in self.classes if n >= len(self.templates[t][2])) for t in long}
+        self.stride.update((t, 1) for t, *_ in self.short)
 
     def _hashes(self, shingles: np.ndarray) -> np.ndarray:
         """(BANDS * ROWS, n) hash functions of the shingles."""
@@ -158,10 +186,17 @@ class Scanner:
                 found.update((int(t), starts[w[j]], size_here) for t in self.owners[a:z])
         return found
 
-    def matches(self, shingles: np.ndarray) -> list[tuple]:
-        """Best verified place of each template: (template index, containment,
-        first word, end word), the earliest of equals."""
+    def matches(self, words: np.ndarray) -> list[tuple]:
+        """Best verified place of each template in a text's word hashes: (template
+        index, containment, first word, end word), the earliest of equals."""
         best: dict[int, tuple] = {}
+        for t, size, wanted in self.short:
+            hit = np.flatnonzero(runs(words, size) == wanted)
+            if len(hit):
+                best[t] = (-1.0, int(hit[0]), int(hit[0]) + size)
+        if not self.classes:
+            return [(t, -s, a, z) for t, (s, a, z) in sorted(best.items())]
+        shingles = runs(words, SHINGLE_WORDS)
         reach = self.classes[-1][0] + 2 * self.classes[-1][1]
         for at in range(0, max(len(shingles), 1), CHUNK):
             part = shingles[at:at + CHUNK + reach]  # windows across the cut are in both
@@ -198,10 +233,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", text_col:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0), batch.column(1)):
-                shingles = text_shingles(text.as_py())
-                if len(shingles):
-                    rows += [(doc_id.as_py(), *templates[t][:2], share, a, z)
-                             for t, share, a, z in scanner.matches(shingles)]
+                rows += [(doc_id.as_py(), *templates[t][:2], share, a, z)
+                         for t, share, a, z in scanner.matches(text_words(text.as_py()))]
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
