@@ -1,6 +1,7 @@
 """Host rules, SpotSigs and secrets against plain recomputation in Python."""
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -223,3 +224,40 @@ def test_redaction_merges_overlaps(spark):
     got = {r.doc_id: r.t for r in spans.select("doc_id", S.redacted(F.col("text"), F.col("spans")).alias("t")).collect()}
     assert got == {1: "a [SECRET] b [SECRET]", 2: "none", 3: None}
     assert S.scan(df.limit(0), "spans", ["doc_id"]).count() == 0
+
+
+def test_models_learn_from_every_text(spark):
+    """Words that only texts beyond the 400 smallest hashes hold are ordinary too."""
+    rnd = random.Random(5)
+    make = lambda chars: "".join(rnd.choice(chars) for _ in range(6))
+    texts = sorted((f"doc {i} " + " ".join(make("aeiourst") for _ in range(40)) for i in range(600)),
+                   key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    rare = ["xqzwkv", "wqxkzj", "zvkxqw", "kqxzvw", "vzwqkx"]
+    late = [t for i in range(2000) if hashlib.md5((t := f"{i} " + " ".join(rare * 8)).encode()).hexdigest()
+            > hashlib.md5(texts[450].encode()).hexdigest()][:150]
+    name, key = "_".join(rare), "qX7/rT9zLk2+Vb8mWp4YnHs6Ud1Fc3Ga"
+    rows = list(enumerate([*texts, *late])) + [(9000, name), (9001, key)]
+    got = {r.doc_id: [tuple(s) for s in r.spans]
+           for r in S.scan(documents(spark, rows), "spans", ["doc_id"]).collect()}
+    assert got[9000] == [] and got[9001] == [(0, 3, len(key))]
+
+
+IDENTIFIERS = ["release-notes-2024-01-15-final", "HTTP2-Server-Config-Loader", "MAX_RETRY_COUNT_LIMIT_DEFAULT",
+               "feature/PROJ-1234-fix-the-login-page", "getUserAccountSettingsById", "x86_64-unknown-linux-gnu-build17"]
+SENTENCE = ("Release notes of 2024-01-15, final: the HTTP2 server config loader and the login page are fixed in PROJ-1234 "
+            "and build17 for x86_64 linux gnu; the default limit of a retry count is max 20, see user account settings "
+            "by id, unknown feature get. ")
+
+
+def test_identifiers_with_digits_hyphens_and_case_are_no_secrets(spark, given):
+    rows = [r[:2] for r in given] + [(5000 + i, f"{i} {SENTENCE}") for i in range(40)]
+    rows += [(9000 + i, f"see {x} there") for i, x in enumerate(IDENTIFIERS)]
+    got = {r.doc_id: r.spans for r in S.scan(documents(spark, rows), "spans", ["doc_id"]).collect()}
+    assert [x for i, x in enumerate(IDENTIFIERS) if got[9000 + i]] == []
+
+
+def test_scores_do_not_drift_with_the_size():
+    plain = [(0, h, p, n) for h, p, n in [(False, " t", 50), (True, "th", 50), (False, "he", 50), (False, "e ", 50)]]
+    rand = [(1, False, a + b, 3) for a in "aZ3k" for b in "Q8xe"]
+    small, large = (S.ratio_table([(lab, h, p, n * k) for lab, h, p, n in plain + rand]) for k in (2_000, 2_000_000))
+    assert max(abs(a - b) for a, b in zip(small, large)) < 0.2

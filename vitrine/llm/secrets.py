@@ -7,13 +7,16 @@ Markov models: one of random strings, one of ordinary identifiers. A candidate
 is a secret when its log-likelihood ratio, for each transition, reaches
 ``MIN_RATIO``.
 
-Training (``labelled_samples``): positives are the values of the base spans and
-the base64 and hex digests of sampled texts, which are random strings by
-construction; negatives are the sampled texts' words and identifiers joined
-from them (snake case, path, camel case). The sample is bounded: the
-``SAMPLE_TEXTS`` distinct texts, and the ``SAMPLE_VALUES`` distinct base
-values, with the smallest MD5. Only the transition counts reach the driver, at
-most (alphabet + 1)^2 of them. Everything else covers all rows and whole texts.
+Training covers all rows and has no bound. Random strings are the distinct values
+of the base spans, and the base64 and hex digests of all distinct texts, which
+are random by construction. Ordinary identifiers are the words of all texts, in
+their case and with their digits, hyphens and underscores, and what joins any
+two of them: snake case, upper snake case, hyphens, paths, camel case. Spans and
+candidates are no words. A join adds only the transitions at a word's ends, so
+the identifiers are never written out: the counts of adjacent characters in the
+words, at most 2 * (alphabet + 1)^2 rows, give the counts of all forms. The
+probabilities are mixed with a uniform one (``UNIFORM``), so a score tends to
+a limit as the input grows and ``MIN_RATIO`` means the same at every size.
 
 Spans are (start, kind, end) in code points, end exclusive. Java's matches and
 the gaps between them, from ``split``, give the positions.
@@ -26,11 +29,12 @@ is added; extra columns are kept, whatever their names.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import free_name, let, stage, words
+from vitrine.llm.common import free_name, let, stage
 
 # FIXED VALUES: the base kinds, in the order in which equal starts are listed.
 ASSIGN = ("(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?"
@@ -44,8 +48,8 @@ CANDIDATE_CHARS = 20
 CANDIDATE = f"[A-Za-z0-9+/_-]{{{CANDIDATE_CHARS},}}={{0,2}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=."
 MIN_RATIO = 0.7
-SAMPLE_TEXTS = 400
-SAMPLE_VALUES = 2000
+UNIFORM = 0.1  # share of the uniform distribution in each model
+SAMPLE_TEXTS = SAMPLE_VALUES = None  # no bound: all texts and values train the models
 
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
@@ -96,54 +100,85 @@ def candidate_spans(text: Column, base: Column) -> Column:
         base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
 
 
-def labelled_samples(docs: DataFrame, found: DataFrame, text_col: str, spans: str) -> DataFrame:
-    """(value, label): 1 random strings, 0 ordinary identifiers."""
-    values = (found.select(F.explode(f"{spans}.base.value").alias("value")).distinct()
-              .withColumn("h", F.md5("value")).orderBy("h", "value").limit(SAMPLE_VALUES))
-    hashes = docs.select(F.md5(text_col).alias("h")).where(F.col("h").isNotNull())
-    last = hashes.distinct().orderBy("h").limit(SAMPLE_TEXTS).agg(F.max("h")).first()[0] or ""
-    texts = (docs.select(F.col(text_col).alias("text"), F.md5(text_col).alias("h"))
-             .where(F.col("h") <= last).dropDuplicates(["h"]))
-    digests = texts.select(F.explode(F.array(
-        F.regexp_replace(F.base64(F.unhex(F.sha2("text", 256))), "\\s", ""),
-        F.sha2("text", 224))).alias("value"))
-    plain = F.filter(F.transform(words(F.col("text")), lambda w: F.regexp_replace(w, "[^A-Za-z]", "")),
-                     lambda w: w != "")
-    pairs = F.filter(F.transform(F.col("w"), lambda w, i: F.struct(
-        w.alias("a"), F.get("w", i + 1).alias("b"))), lambda p: p["b"].isNotNull())
-    names = texts.select(plain.alias("w")).select(F.explode(F.concat(
-        F.col("w"),
-        F.transform(pairs, lambda p: F.concat(F.lower(p["a"]), F.lit("_"), F.lower(p["b"]))),
-        F.transform(pairs, lambda p: F.concat(p["a"], F.lit("/"), p["b"])),
-        F.transform(pairs, lambda p: F.concat(p["a"], F.initcap(p["b"]))),
-    )).alias("value")).distinct()
-    return (values.select("value", F.lit(1).alias("label"))
-            .unionByName(digests.select("value", F.lit(1).alias("label")))
-            .unionByName(names.select("value", F.lit(0).alias("label"))))
-
-
-def transition_counts(samples: DataFrame) -> DataFrame:
-    """Counts of adjacent characters for each label; other characters are left out."""
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length("value") - 1, F.lit(1))),
-                        lambda i: F.substring("value", i, F.lit(2)))
-    return (samples.select("label", F.explode(pairs).alias("pair"))
-            .where(F.col("pair").rlike("^[A-Za-z0-9+/_=.-]{2}$"))
-            .groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n")))
+def random_strings(docs: DataFrame, found: DataFrame, text_col: str, spans: str) -> DataFrame:
+    """(value): the distinct base values, and two digests of each distinct text."""
+    values = found.select(F.explode(f"{spans}.base.value").alias("value")).distinct()
+    digests = (docs.where(F.col(text_col).isNotNull())
+               .select(F.sha2(text_col, 256).alias("a"), F.sha2(text_col, 224).alias("b")).distinct()
+               .select(F.explode(F.array(F.regexp_replace(F.base64(F.unhex("a")), "\\s", ""), F.col("b")))
+                       .alias("value")))
+    return values.unionByName(digests)
+
+
+def ordinary_words(docs: DataFrame, text_col: str) -> DataFrame:
+    """(value, n): the words outside spans and candidates, and how often they occur."""
+    long_value = ASSIGN.replace("]+)", f"]{{{ASSIGN_CHARS},}})")
+    spans = f"(?:{long_value})|{CANDIDATE}|{ACCESS[:-1]}{{{ACCESS_CHARS - 4},}}|{HEX[:-1]}{{{HEX_CHARS},}}"
+    rest = F.regexp_replace(F.col(text_col), spans, " ")
+    return (docs.select(F.explode(F.split(rest, "[^A-Za-z0-9_-]+")).alias("value"))
+            .select(F.btrim("value", F.lit("_-")).alias("value")).where("value != ''")
+            .groupBy("value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def transition_counts(random: DataFrame, plain: DataFrame) -> DataFrame:
+    """Counts of adjacent characters for each label: 1 the random strings; 0 the
+    words between spaces, ``head`` where the pair is a word's first two."""
+    def pairs(value: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(value) - 1, F.lit(1))),
+                           lambda i: F.substring(value, i, F.lit(2)))
+
+    padded = F.concat(F.lit(" "), F.col("value"), F.lit(" "))
+    every = (random.select(F.lit(1).alias("label"), F.lit(1).cast("long").alias("n"),
+                           F.posexplode(pairs(F.col("value"))).alias("at", "pair"))
+             .where(F.col("pair").rlike("^[A-Za-z0-9+/_=.-]{2}$"))
+             .unionByName(plain.select(F.lit(0).alias("label"), "n",
+                                       F.posexplode(pairs(padded)).alias("at", "pair"))))
+    head = (F.col("label") == 0) & (F.col("at") == 1)
+    return every.groupBy("label", head.alias("head"), "pair").agg(F.sum("n").alias("n"))
+
+
+def identifier_counts(plain: list[tuple]) -> Counter:
+    """Counts of adjacent characters in the identifiers that the words make, from
+    (head, pair, n) of the words between spaces."""
+    out, first, last = Counter(), Counter(), Counter()
+    for head, (a, b), n in plain:
+        if a == " ":
+            first[b] += n
+        elif b == " ":
+            last[a] += n
+        else:
+            out[a + b] += 4 * n  # the word, hyphened, in a path, first in camel case
+            out[(a + b).lower()] += n
+            out[(a + b).upper()] += n
+            out[(a.upper() if head else a.lower()) + b.lower()] += n
+    for ends, side in ((first, lambda x, by: by + x), (last, lambda x, by: x + by)):
+        for x, n in ends.items():
+            for by, y in (("_", x.lower()), ("_", x.upper()), ("-", x), ("/", x)):
+                out[side(y, by)] += n
+    for x, n in last.items():
+        for y, m in first.items():
+            out[x + y.upper()] += n * m / sum(first.values())
+    return out
 
 
 def ratio_table(counts: list) -> list[float] | None:
     """log P(b|a; random) - log P(b|a; identifier) by position a * size + b, with
-    one added to every count; None where a label has no transitions."""
+    one added to every count and ``UNIFORM`` mixed in; None where a label has no
+    transitions."""
     size = len(ALPHABET)
-    n = [[[1] * size for _ in range(size)] for _ in range(2)]
-    seen = set()
-    for label, pair, k in counts:
-        n[label][ALPHABET.index(pair[0])][ALPHABET.index(pair[1])] += k
-        seen.add(label)
-    if seen != {0, 1}:
+    random = Counter({pair: n for label, _, pair, n in counts if label == 1})
+    plain = identifier_counts([(head, pair, n) for label, head, pair, n in counts if label == 0])
+    if not random or not plain:
         return None
-    rows = [[[math.log(x / sum(r)) for x in r] for r in m] for m in n]
-    return [rows[1][a][b] - rows[0][a][b] for a in range(size) for b in range(size)]
+
+    def logs(n: Counter) -> list[float]:
+        total = Counter()
+        for pair, k in n.items():
+            total[pair[0]] += k
+        return [math.log((1 - UNIFORM) * (n[a + b] + 1) / (total[a] + size) + UNIFORM / size)
+                for a in ALPHABET for b in ALPHABET]
+
+    return [r - i for r, i in zip(logs(random), logs(plain))]
 
 
 def mean_ratio(value: Column, table: list[float]) -> Column:
@@ -166,7 +201,8 @@ def scan(docs: DataFrame, out: str, id_cols: list[str], text_col: str = "text")
     found = stage(found.select(*id_cols, F.struct(
         F.col(base).alias("base"), candidate_spans(text, F.col(base)).alias("more")).alias(out)),
         "secrets")
-    table = ratio_table(transition_counts(labelled_samples(docs, found, text_col, out)).collect())
+    table = ratio_table(transition_counts(
+        random_strings(docs, found, text_col, out), ordinary_words(docs, text_col)).collect())
     more = (F.filter(F.col(out)["more"], lambda c: mean_ratio(c["value"], table) >= MIN_RATIO)
             if table else _no_spans())
     every = F.array_sort(F.concat(F.col(out)["base"], more))
