@@ -261,3 +261,14 @@ def test_scores_do_not_drift_with_the_size():
     rand = [(1, False, a + b, 3) for a in "aZ3k" for b in "Q8xe"]
     small, large = (S.ratio_table([(lab, h, p, n * k) for lab, h, p, n in plain + rand]) for k in (2_000, 2_000_000))
     assert max(abs(a - b) for a, b in zip(small, large)) < 0.2
+
+
+def test_key_around_a_hex_run_is_masked_whole(spark, given):
+    key = "sk_live_0123456789abcdef0Zq9Xw7Rt5Kp2Mv8"
+    inside = "token = 0123456789abcdef0123"  # the candidate lies within the base span
+    rows = [r[:2] for r in given] + [(9000, f"a {key} b"), (9001, inside)]
+    found = S.scan(documents(spark, rows), "spans", ["doc_id", "text"]).where("doc_id >= 9000")
+    got = {r.doc_id: r for r in found.select("doc_id", "spans", S.redacted(F.col("text"), F.col("spans")).alias("t"))
+           .collect()}
+    assert got[9000].t == "a [SECRET] b" and (2, 3, 2 + len(key)) in [tuple(x) for x in got[9000].spans]
+    assert {x.kind for x in got[9001].spans} == {0, 2} and got[9001].t == "[SECRET]"

@@ -2,7 +2,7 @@
 functions only.
 
 Three base kinds are found by pattern. Further candidates, long runs of token
-characters that touch no base span, are scored by two first-order character
+characters that do not lie within one base span, are scored by two first-order character
 Markov models: one of random strings, one of ordinary identifiers. A candidate
 is a secret when its log-likelihood ratio, for each transition, reaches
 ``MIN_RATIO``.
@@ -94,10 +94,10 @@ def base_spans(text: Column) -> Column:
 
 
 def candidate_spans(text: Column, base: Column) -> Column:
-    """Runs of token characters that overlap no base span."""
+    """Runs of token characters that lie in no base span as a whole."""
     found = F.when(text.rlike(CANDIDATE), _matches(text, CANDIDATE, 3)).otherwise(_no_spans())
     return F.filter(found, lambda c: ~F.exists(
-        base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+        base, lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
 
 
 def random_strings(docs: DataFrame, found: DataFrame, text_col: str, spans: str) -> DataFrame:
