@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.constants import ORIGIN_EXISTING_FILE
 from vitrine.operators import quality as Q
-from vitrine.operators.answers import answer_questions, format_result_rows
+from vitrine.operators.answers import answer_questions, every_reply
 from vitrine.operators.routing import Router
+from vitrine.operators.taxonomy import taxonomy_flat
 from vitrine.plans.lakehouse import Lakehouse
 from vitrine.sources.dictionary import fixed_glossary
 from vitrine.sources.landing import read_landing
@@ -50,7 +51,7 @@ def run_etl(spark: SparkSession, landing_paths: Sequence[str], out: str | None =
 
 
 def answer(lh: Lakehouse, questions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(routed, answer rows, replies) for a question table."""
+    """(routed, answer rows, replies) for a question table; every question has a reply."""
     ref = lh.reference()
     router = Router(lh.lexicon(), fixed_glossary(lh.spark), lh.categories(), lh.dim_category(),
                     ref.last_date)
@@ -58,7 +59,8 @@ def answer(lh: Lakehouse, questions: DataFrame) -> tuple[DataFrame, DataFrame, D
     # times, and routing + answering fused into one stage is too large to compile
     routed = router.route(questions).checkpoint(eager=True)
     rows = answer_questions(routed, lh.analytic(), ref.last_date, ref.rows)
-    return routed, rows, format_result_rows(rows, routed, str(ref.last_date))
+    replies = every_reply(rows, routed, taxonomy_flat(lh.silver()), str(ref.last_date), ref.rows)
+    return routed, rows, replies.drop("origem")
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -260,6 +260,23 @@ def _attach(count: DataFrame, body: DataFrame, text: Column) -> DataFrame:
             .select("n_linhas", text.alias("resposta")))
 
 
+def every_reply(rows: DataFrame, routed: DataFrame, flat: DataFrame | None, ref_text: str,
+                total_rows: int) -> DataFrame:
+    """One reply for each routed question: from its result rows (``origem``
+    'linhas'), the dictionary, where ``flat`` is given ('dicionario'), or, for
+    all that neither answers, the reply for no data found ('padrao')."""
+    cols = ["q_id", "n_linhas", "resposta"]
+    found = format_result_rows(rows, routed, ref_text).select(*cols, F.lit("linhas").alias("origem"))
+    if flat is not None:
+        found = found.unionByName(dictionary_replies(routed, flat, ref_text, total_rows)
+                                  .select(*cols, F.lit("dicionario").alias("origem")))
+    found = found.checkpoint(eager=True)  # read twice, and too large a plan to fuse with the rest
+    rest = (routed.join(found.select(F.col("q_id").alias("_q")), F.col("q_id").eqNullSafe(F.col("_q")), "left_anti")
+            .select("q_id", F.lit(0).cast("long").alias("n_linhas"),
+                    fill(K.REPLY_EMPTY, user="user_name").alias("resposta"), F.lit("padrao").alias("origem")))
+    return found.unionByName(rest)
+
+
 def dictionary_replies(routed: DataFrame, flat: DataFrame, ref_text: str, total_rows: int) -> DataFrame:
     """Replies for the dictionary intents: the category list, a category's
     subcategories (with example brands), a glossary term, the greeting.

@@ -852,7 +852,7 @@ def _stream_run(spark, d):
         args = (L.lexicon(), Dic.fixed_glossary(spark), L.categories(), L.dim_category(),
                 r.last_date)
         opts = dict(answer_table=L.analytic(), total_rows=r.rows, replies_dir=replies,
-                    state_partitions=parallelism(spark),
+                    state_partitions=parallelism(spark), flat=T.taxonomy_flat(L.silver()),
                     router=R.Router(*args))  # static side prepared once for both runs
         feed.write.mode("overwrite").json(f"{in_dir}/drop_0001")
         J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args, **opts)
@@ -868,7 +868,9 @@ def _stream_route(spark, d):
 
 
 def _stream_replies(spark, d):
-    return spark.read.parquet(_stream_run(spark, d)[1]).select("q_id", "n_linhas", "resposta")
+    # the oracle states the replies from result rows; the loop also writes the others
+    return (spark.read.parquet(_stream_run(spark, d)[1]).where("origem = 'linhas'")
+            .select("q_id", "n_linhas", "resposta"))
 
 
 register("stream_route_questions", OR.STREAM_ROUTE_QUESTIONS)(_stream_route)

@@ -1,9 +1,9 @@
 """Structured Streaming jobs.
 
 * ``route_stream``: chat updates arrive as JSON files; replays of an update
-  are dropped with ``dropDuplicatesWithinWatermark`` on ``update_id`` (state
-  is kept only within the watermark); each micro-batch is routed and
-  appended idempotently (the batch id names its output folder, so a retried
+  are dropped by an anti-join with the ``update_id`` values that earlier
+  batches wrote, so a late update is kept however far it is behind; each
+  micro-batch is routed and appended idempotently (the batch id names its output folder, so a retried
   batch overwrites itself). The checkpoint replaces the source's "offset =
   last update_id + 1", which confirmed an update before answering it.
 * ``refresh_stream``: each new base-file drop is a full replacement of the
@@ -11,6 +11,9 @@
   with its recomputed profile (last date, first date, rows).
 * ``dedup_stream``: the same replay-safe dedup on the ``events`` table.
 
+Streams started before this kept their state in the checkpoint: start them
+with a new checkpoint and output folder.
+
 All use ``Trigger.AvailableNow`` in tests (process what is there, stop) and
 can run continuously with a processing-time trigger.
 """
@@ -22,16 +25,14 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vitrine.operators.answers import answer_questions, format_result_rows
+from vitrine.operators.answers import answer_questions, every_reply
 from vitrine.operators.gold import analytic_from_raw
 from vitrine.operators.routing import ROUTE_COLUMNS, Router
 from vitrine.sinks import writers as Wr
 from vitrine.sources.updates import UPDATE_SCHEMA, parse_updates
 
-DEDUP_DELAY = "1 hour"
-
-
 def _start(spark: SparkSession, writer, state_partitions: int | None):
     """Start a stream with a chosen number of state partitions. The count is
     fixed at the first start (stored in the checkpoint); the query keeps its
@@ -52,30 +53,41 @@ def _run(query) -> None:
         raise query.exception()
 
 
+def _unseen(batch: DataFrame, key: str, out_dir: str, written_key: str, batch_id: int) -> DataFrame:
+    """One row for each key of the batch that no earlier batch wrote below
+    ``out_dir``. What a failed try of this batch left is not looked at."""
+    one = batch.dropDuplicates([key])
+    fs, folder = Wr._folder(batch.sparkSession, out_dir)
+    if not fs.exists(folder):
+        return one
+    schema = T.StructType([T.StructField(written_key, batch.schema[key].dataType),
+                           T.StructField("batch_id", T.LongType())])
+    seen = (batch.sparkSession.read.schema(schema).parquet(out_dir)
+            .where(F.col("batch_id") < batch_id).select(F.col(written_key).alias("_seen")))
+    return one.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+
+
 def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
                  lexicon: DataFrame, glossary: DataFrame, categories: DataFrame,
                  pairs: DataFrame, ref: date, available_now: bool = True,
                  max_files: int | None = None, answer_table: DataFrame | None = None,
                  total_rows: int | None = None, replies_dir: str | None = None,
-                 state_partitions: int | None = None, router: Router | None = None):
+                 state_partitions: int | None = None, router: Router | None = None,
+                 flat: DataFrame | None = None):
     """Route each micro-batch of chat updates; when ``answer_table`` and
-    ``replies_dir`` are given, also answer and render the replies (the full
-    message loop: route, answer, reply), written per batch id."""
+    ``replies_dir`` are given, also answer and render one reply for each update
+    (the full message loop: route, answer, reply), written per batch id. ``flat``
+    is the taxonomy that the dictionary replies list."""
     reader = spark.readStream.schema(UPDATE_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     updates = reader.json(in_dir)
-    # watermarks need TIMESTAMP; the feed's wall-clock time is read in the session zone
-    unique = (parse_updates(updates).withColumn("_event_time", F.col("ts").cast("timestamp"))
-              .withWatermark("_event_time", DEDUP_DELAY)
-              .dropDuplicatesWithinWatermark(["update_id"]).drop("_event_time"))
-
     router = router or Router(lexicon, glossary, categories, pairs, ref)  # static side, once
 
     def answer_batch(batch: DataFrame, batch_id: int) -> None:
         # the routing plan reads the batch several times: keep it once, rather
-        # than re-running the parse and the dedup state for every branch
-        qs = batch.select(F.col("update_id").alias("q_id"),
+        # than re-running the parse and the dedup for every branch
+        qs = _unseen(batch, "update_id", out_dir, "q_id", batch_id).select(F.col("update_id").alias("q_id"),
                           F.col("first_name").alias("user_name"), "text").persist()
         try:
             if qs.isEmpty():  # e.g. a batch of replays only: nothing to answer
@@ -85,12 +97,12 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
             if answer_table is not None and replies_dir:
                 routed = spark.read.parquet(routed_path)
                 rows = answer_questions(routed, answer_table, ref, total_rows or 0)
-                format_result_rows(rows, routed, str(ref)).write.mode("overwrite") \
+                every_reply(rows, routed, flat, str(ref), total_rows or 0).write.mode("overwrite") \
                     .parquet(f"{replies_dir}/batch_id={batch_id}")
         finally:
             qs.unpersist()
 
-    writer = (unique.writeStream.foreachBatch(answer_batch)
+    writer = (parse_updates(updates).writeStream.foreachBatch(answer_batch)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="10 seconds")
@@ -148,14 +160,13 @@ def refresh_stream(spark: SparkSession, in_dir: str, base_dir: str, profile_dir:
 
 
 def dedup_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema,
-                 key: str = "event_id", ts: str = "ts", delay: str = DEDUP_DELAY,
-                 state_partitions: int | None = None) -> None:
+                 key: str = "event_id", state_partitions: int | None = None) -> None:
     events = spark.readStream.schema(schema).parquet(in_dir)
-    # watermarks need TIMESTAMP; a wall-clock (NTZ) column is read in the session time zone
-    unique = (events.withColumn("_event_time", F.col(ts).cast("timestamp"))
-              .withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key])
-              .drop("_event_time"))
-    w = (unique.writeStream.format("parquet").option("path", out_dir)
-         .option("checkpointLocation", checkpoint).outputMode("append")
+
+    def new_events(batch: DataFrame, batch_id: int) -> None:
+        _unseen(batch, key, out_dir, key, batch_id).write.mode("overwrite") \
+            .parquet(f"{out_dir}/batch_id={batch_id}")
+
+    w = (events.writeStream.foreachBatch(new_events).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))
     _run(_start(spark, w, state_partitions))
