@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrine.session import ensure_checkpoint_dir
 
@@ -36,15 +37,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def value_bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value, nested fields, elements and entries included."""
+    if isinstance(kind, T.StructType):
+        parts = [value_bytes(value.getField(f.name), f.dataType) for f in kind.fields]
+        return sum(parts, F.lit(16).cast("long"))
+    if isinstance(kind, T.MapType):
+        return (value_bytes(F.map_keys(value), T.ArrayType(kind.keyType))
+                + value_bytes(F.map_values(value), T.ArrayType(kind.valueType)))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType, T.MapType)):
+            total = F.aggregate(value, F.lit(16).cast("long"),
+                                lambda acc, v: acc + value_bytes(v, kind.elementType))
+        else:
+            total = F.size(value).cast("long") * 16 + 16
+        return F.coalesce(total, F.lit(16).cast("long"))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 16
+    return F.lit(16).cast("long")
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint for ``df`` if its measured size allows one; beyond that
     the join stays a shuffle join, whose hot keys AQE splits. ``df`` should be
     cheap to read twice (staged or aggregated)."""
-    width = F.lit(0).cast("long")
-    for field in df.schema.fields:
-        kind = field.dataType.typeName()
-        width = width + (F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 16
-                         if kind in ("string", "binary") else F.lit(16))
+    width = sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields),
+                F.lit(0).cast("long"))
     size = df.agg(F.sum(width)).first()[0] or 0
     return F.broadcast(df) if size <= limit else df
 

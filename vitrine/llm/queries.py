@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import (chat, host_rules, jaccard_join, license_scan, mixing, oracle, packing, quality_trees, secrets,
-                         spotsigs, warc)
+                         spotsigs, substring_dedup, warc)
 from vitrine.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by a shingle likeness of 0.75 or more."""
     return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of windows that start earlier elsewhere."""
+    return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
