@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import (chat, host_rules, jaccard_join, license_scan, mixing, oracle, packing, quality_trees, secrets,
-                         spotsigs, substring_dedup, warc)
+from vitrine.llm import (chat, hard_negatives, host_rules, jaccard_join, license_scan, mixing, oracle, packing,
+                         quality_trees, secrets, spotsigs, substring_dedup, warc, whitening)
 from vitrine.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,18 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of windows that start earlier elsewhere."""
     return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the four leading whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth embedding, searched in all of them."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+                           .otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
