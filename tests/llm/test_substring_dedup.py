@@ -62,8 +62,8 @@ def awkward(seed):
 @pytest.mark.parametrize("hot", [True, False])
 def test_awkward_texts_on_both_ways(spark, monkeypatch, hot):
     rows = awkward(5)
-    monkeypatch.setattr(S, "BUCKET_STRINGS", 64)
-    monkeypatch.setattr(S, "HOT_STRINGS", 60 if hot else 1 << 40)
+    monkeypatch.setattr(S, "LANE_BYTES", 20_000)
+    monkeypatch.setattr(S, "HOT_STRINGS", 20 if hot else 1 << 40)
     assert run(documents(spark, rows).repartition(7)) == brute(rows)
 
 
@@ -79,9 +79,29 @@ def test_empty_table_and_clashing_names(spark):
 def test_strings_hold_many_windows(spark):
     rnd = random.Random(9)
     text = " ".join(str(rnd.randrange(10**9)) for _ in range(20_000))
-    strings = S._keyed(documents(spark, [(1, text)])).mapInArrow(S._strings, S.STRINGS).collect()
-    windows = sum(r.stop - r.start - S.WINDOW + 1 for r in strings)
-    assert windows == 20_000 - S.WINDOW + 1 and windows > 6 * len(strings)
+    rows = S._keyed(documents(spark, [(1, text)])).mapInArrow(S._strings(3), S.STRINGS).collect()
+    words = [n for r in rows for n in r.words]
+    windows = sum(words) - len(words) * (S.WINDOW - 1)
+    assert windows == 20_000 - S.WINDOW + 1 and windows > 6 * len(words)
+    assert {r.lane for r in rows} == {0, 1, 2}
+
+
+def test_words_and_hashes():
+    rnd = random.Random(2)
+    words = [bytes(rnd.choice(b"ab\xc3\xa9\x00\x85") for _ in range(rnd.randrange(1, 9))) for _ in range(3000)]
+    words += [b"x" * (S.CHUNK + 5), b"x" * (S.CHUNK + 6), b"x" * S.CHUNK, b"y"] * 2
+    text = b"\t" + b"".join(w + rnd.choice([b" ", b"\r\n", b"\x0b"]) for w in words)
+    bytes_ = S.np.frombuffer(text, S.np.uint8)
+    begin, end = S.word_spans(bytes_)
+    assert [text[b:e] for b, e in zip(begin, end)] == words == text.split()
+    high, low = S.word_codes(bytes_, begin, end)
+    for codes in (high, low):  # equal exactly where the words are
+        seen = {}
+        assert all(seen.setdefault(int(c), w) == w for c, w in zip(codes, words))
+        assert len(seen) == len(set(words))
+    runs = S.rolled(high, 20, S._BASES[0])
+    assert int(runs[7]) == sum(int(h) * pow(int(S._BASES[0]), 19 - j, 1 << 64)
+                               for j, h in enumerate(high[7:27])) % (1 << 64)
 
 
 def test_repeated_run_of_the_query(spark, tmp_path):

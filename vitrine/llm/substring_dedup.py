@@ -9,29 +9,33 @@ Method:
 
 1. A window's minimiser is the least hash of its runs of ``MINIMISER_WORDS``
    words, so equal windows have equal minimisers. Consecutive windows that share
-   one travel as one packed string (a super-k-mer: their words, joined by one
-   space) in place of ``WINDOW`` words for each window.
-2. The minimiser decides the bucket. Buckets have a few thousand strings each and
-   their number grows with the data. A task unpacks the windows of its buckets
-   and sorts them; of each run of equal ones all but the first start repeat.
+   one travel as one packed string (a super-k-mer: their stretch of the text) in
+   place of ``WINDOW`` words for each window.
+2. The minimiser decides the bucket, and ``LANE_BUCKETS`` buckets make a lane. The
+   strings that a run of texts of ``GROUP_BYTES`` has for one lane go as one
+   compressed row. The number of lanes grows with the data, so a lane has a
+   bounded share of it; a task takes its lanes one after another, unpacks their
+   windows and sorts them; of each run of equal ones all but the first start
+   repeat.
 3. Stretches of removed words go back to their documents by an equi-join.
 
-Skew. Before anything is shuffled, the windows of each run of texts of
-``GROUP_BYTES`` are sorted in place: what repeats there is settled at once, so a
-passage of a third of all documents leaves such a run of texts once. The strings
-around a frequent passage still differ, yet share its minimisers; buckets of more
-than ``HOT_STRINGS`` strings are counted and taken window by window: a
-``groupBy`` on the window, which has no hot key left, finds the first start.
+Skew. Before anything is shuffled, the windows of each run of texts are sorted in
+place: what repeats there is settled at once, so a passage of a third of all
+documents leaves such a run once. The strings around a frequent passage still
+differ, yet share its minimisers; buckets of more than ``HOT_STRINGS`` strings are
+counted and taken window by window: a ``groupBy`` on the window, which has no hot
+key left, finds the first start.
 
-A window's identity is 128 bits, from 64-bit hashes of its words.
+A window's identity is 128 bits: two polynomials of two independent 64-bit word
+hashes. Words are found and hashed as columns of bytes, without Python objects.
 
 Defined cases: NULL and empty texts have no words; texts under ``WINDOW`` words
 have no window and stay whole; a NULL ``doc_id`` is one id that sorts before all
 others; rows that share a ``doc_id`` are one document's versions: of windows with
 the same start neither is earlier, so repeated rows leave each other alone; long
 runs of one word and very long texts are cut into strings of at most
-``STRING_WINDOWS`` windows; an empty table gives no rows; extra columns are not
-read.
+``STRING_WINDOWS`` windows; words of more than ``CHUNK`` bytes are hashed on their
+own; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -40,54 +44,124 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.common import small_side, stage
-from vitrine.llm.shingles import mixed, word_hashes
+from vitrine.llm.shingles import mixed
 from vitrine.session import parallelism
 
 WINDOW = 20
 MINIMISER_WORDS = 4
 STRING_WINDOWS = 128
 GROUP_BYTES = 8 << 20
-BUCKET_STRINGS = 4096
-HOT_STRINGS = 4 * BUCKET_STRINGS
-TASK_STRINGS = 12 * BUCKET_STRINGS
+LANE_BYTES = 4 << 20
+LANE_BUCKETS = 16
+HOT_STRINGS = 16384
+MOST_TASKS = 50_000
+CHUNK = 1 << 20
 
 _U = np.uint64
-_KEY = "doc_id long, digest binary"
-# A string of windows to be judged (``packed``), or a stretch of removed words.
-STRINGS = f"{_KEY}, start long, stop long, minimiser long, packed binary"
-STRETCHES = f"{_KEY}, start long, stop long"
-WINDOWS = f"{_KEY}, start long, high long, low long"
-_ARROW_KEY = [("doc_id", pa.int64()), ("digest", pa.binary())]
-_ARROW_STRETCHES = pa.schema([*_ARROW_KEY, ("start", pa.int64()), ("stop", pa.int64())])
-_ARROW_STRINGS = pa.schema([*_ARROW_STRETCHES, ("minimiser", pa.int64()), ("packed", pa.binary())])
-_ARROW_WINDOWS = pa.schema([*_ARROW_KEY, ("start", pa.int64()), ("high", pa.int64()), ("low", pa.int64())])
-
-
-def window_hashes(words: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of every run of ``size`` words."""
+_BASES = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
+# Strings of one lane, or (lane NULL) stretches whose removal is settled; ``owner``
+# counts within ``doc_ids``, ``words`` is the length of a string or stretch.
+STRINGS = ("lane long, doc_ids array<long>, digests array<binary>, owner array<int>, start array<long>, "
+           "words array<int>, minimiser array<long>, packed binary")
+STRETCHES = "doc_id long, digest binary, start long, stop long"
+WINDOWS = "doc_id long, digest binary, start long, high long, low long"
+_ARROW_STRINGS = pa.schema([
+    ("lane", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("digests", pa.list_(pa.binary())),
+    ("owner", pa.list_(pa.int32())), ("start", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())),
+    ("minimiser", pa.list_(pa.int64())), ("packed", pa.binary())])
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _inverse(base: int) -> int:
+    """Of an odd number, modulo 2^64."""
+    return pow(base, -1, 1 << 64)
+
+
+_tables: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _powers() -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of both bases and of their inverses, once in each worker."""
+    if not _tables:
+        for base in _BASES:
+            out = []
+            for b in (int(base), _inverse(int(base))):
+                steps = np.full(CHUNK + 1, b, _U)
+                steps[0] = 1
+                out.append(np.cumprod(steps))
+            _tables.append(tuple(out))
+    return _tables
+
+
+def word_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word of a text, given as bytes."""
+    edge = np.ones(len(text) + 2, bool)
+    edge[1:-1] = _SPACE[text]
+    turns = np.flatnonzero(edge[1:] != edge[:-1])
+    return turns[::2], turns[1::2]
+
+
+def word_codes(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of every word, by running sums of bytes times
+    powers, chunk by chunk."""
+    codes = np.zeros(len(begin), _U), np.zeros(len(begin), _U)
+    at = 0
+    while at < len(begin):
+        base = begin[at]
+        stop = int(np.searchsorted(end, base + CHUNK, "right"))
+        if stop == at:  # one word beyond a chunk
+            word = text[base:end[at]].tobytes()
+            for k in (0, 1):
+                codes[k][at] = xxhash.xxh3_64_intdigest(word, seed=k + 1)
+            at += 1
+            continue
+        part = text[base:end[stop - 1]].astype(_U) + _U(1)
+        b, e = begin[at:stop] - base, end[at:stop] - base
+        for k, (power, back) in enumerate(_powers()):
+            sums = np.zeros(len(part) + 1, _U)
+            np.cumsum(part * power[:len(part)], out=sums[1:])
+            codes[k][at:stop] = (sums[e] - sums[b]) * back[b]
+        at = stop
+    length = (end - begin).astype(_U)
+    return mixed(codes[0] + length), mixed(codes[1] ^ (length * _BASES[0]))
+
+
+def rolled(words: np.ndarray, size: int, base: np.uint64) -> np.ndarray:
+    """The polynomial of every run of ``size`` words, by doubling."""
     n = len(words) - size + 1
-    high, low = np.zeros(max(n, 0), _U), np.zeros(max(n, 0), _U)
-    if n > 0:
-        other = mixed(words ^ _U(0xD6E8FEB86659FD93))
-        for i in range(size):
-            high = high * _U(0x9E3779B97F4A7C15) + words[i:i + n]
-            low = low * _U(0xC2B2AE3D27D4EB4F) + other[i:i + n]
-    return mixed(high), mixed(low)
+    if n <= 0:
+        return np.zeros(0, _U)
+    out, done = np.zeros(n, _U), 0
+    part, length = words, 1  # runs of ``length`` words
+    while True:
+        weight = _U(pow(int(base), length, 1 << 64))
+        if size & length:
+            out = out * weight + part[done:done + n]
+            done += length
+        if done == size:
+            return out
+        part = part[:-length] * weight + part[length:]
+        length *= 2
+
+
+def window_hashes(codes: tuple[np.ndarray, np.ndarray], size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for every run of ``size`` words."""
+    return tuple(mixed(rolled(c, size, b)) for c, b in zip(codes, _BASES))
 
 
 def minimisers(words: np.ndarray, size: int = WINDOW, run: int = MINIMISER_WORDS) -> np.ndarray:
     """The least hash of the ``run``-word runs of every window of ``size`` words."""
-    n, width = len(words) - size + 1, size - run + 1
-    if n <= 0:
+    width = size - run + 1
+    if len(words) < size:
         return np.zeros(0, _U)
-    least = np.zeros(len(words) - run + 1, _U)
-    for i in range(run):
-        least = least * _U(0x9E3779B97F4A7C15) + words[i:i + len(least)]
-    least, have = mixed(least), 1
+    least, have = mixed(rolled(words, run, _BASES[1])), 1
     while have < width:  # minima over doubled lengths, the last one overlapping
         step = min(have, width - have)
         least = np.minimum(least[:-step], least[step:])
@@ -97,14 +171,20 @@ def minimisers(words: np.ndarray, size: int = WINDOW, run: int = MINIMISER_WORDS
 
 def repeated(high: np.ndarray, low: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Which windows repeat one that starts earlier; rows come by (id, start)."""
-    order = np.lexsort((low, high))  # stable: equal windows stay by (id, start)
-    if not len(order):
-        return np.zeros(0, bool)
-    h, lo = high[order], low[order]
+    out = np.zeros(len(high), bool)
+    values = np.sort(high)
+    twice = values[1:][values[1:] == values[:-1]]
+    if not len(twice):
+        return out
+    marked = np.zeros(1 << 22, bool)
+    marked[twice >> _U(42)] = True
+    some = np.flatnonzero(marked[high >> _U(42)])  # all that can repeat, and few others
+    h, lo = high[some], low[some]
+    order = np.lexsort((lo, h))  # stable: equal windows stay by (id, start)
+    h, lo, at = h[order], lo[order], some[order]
     new = np.concatenate([[True], (h[1:] != h[:-1]) | (lo[1:] != lo[:-1])])
-    first = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    out = np.zeros(len(order), bool)
-    out[order] = (ids[order] != ids[first]) | (starts[order] != starts[first])
+    first = at[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    out[at] = (ids[at] != ids[first]) | (starts[at] != starts[first])
     return out
 
 
@@ -121,131 +201,179 @@ def _limited(cut: np.ndarray, most: int) -> np.ndarray:
     return cut | (inside % most == 0)
 
 
-def _ranked(ids) -> np.ndarray:
+def _ranked(ids: list) -> np.ndarray:
     """Ids as numbers in their order, NULL first."""
     known = sorted({i for i in ids if i is not None})
     rank = {None: -1} | {v: n for n, v in enumerate(known)}
     return np.fromiter((rank[i] for i in ids), np.int64, len(ids))
 
 
-def _in_order(ids, starts) -> np.ndarray:
-    return np.lexsort((np.asarray(starts, np.int64), _ranked(ids)))
-
-
-def _concatenated(texts: list[bytes]):
-    """Words of all texts, their hashes, each text's first word, and the number
-    of each window's text; ``keep`` are the positions where a window starts."""
-    words, sizes = [], np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        found = text.split()  # splits bytes at 0x09-0x0D and space only
-        sizes[i] = len(found)
-        words += found
-    first = np.concatenate([[0], np.cumsum(sizes)])
+def _windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For pieces of so many words: the piece of every window, its place in the
+    piece, and its first word among all words."""
     counts = np.maximum(sizes - WINDOW + 1, 0)
-    owner = np.repeat(np.arange(len(texts)), counts)
+    owner = np.repeat(np.arange(len(sizes)), counts)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return words, word_hashes(words), first, owner, inside
+    return owner, inside, (np.cumsum(sizes) - sizes)[owner] + inside
+
+
+def _again(high, low, rank, start) -> np.ndarray:
+    """``repeated`` for windows in any order."""
+    if np.all((rank[1:] > rank[:-1]) | ((rank[1:] == rank[:-1]) & (start[1:] >= start[:-1]))):
+        return repeated(high, low, rank, start)
+    order = np.lexsort((start, rank))
+    out = np.zeros(len(order), bool)
+    out[order] = repeated(high[order], low[order], rank[order], start[order])
+    return out
+
 
+def _row(lane, rows, who, start, words, minimiser, packed) -> dict:
+    docs, owner = np.unique(who, return_inverse=True)
+    return {"lane": lane, "doc_ids": [rows[i][0] for i in docs], "digests": [rows[i][1] for i in docs],
+            "owner": owner, "start": start, "words": words, "minimiser": minimiser, "packed": packed}
 
-def _pack(rows: list) -> Iterator[pa.RecordBatch]:
-    """Strings and settled stretches of one run of texts."""
+
+def _pack(rows: list, lanes: int) -> Iterator[pa.RecordBatch]:
+    """Strings by lane, and settled stretches, of one run of texts."""
     rows = [r for r in rows if r[2]]
-    rows = [rows[i] for i in _in_order([r[0] for r in rows], [0] * len(rows))]
-    ids = _ranked([r[0] for r in rows])
-    words, hashes, first, owner, inside = _concatenated([r[2] for r in rows])
+    rank = _ranked([r[0] for r in rows])
+    order = np.argsort(rank, kind="stable")
+    rows, rank = [rows[i] for i in order], rank[order]
+    joined = b"\n".join(r[2] for r in rows)
+    text = np.frombuffer(joined, np.uint8)
+    begin, end = word_spans(text)
+    ends = np.cumsum([len(r[2]) + 1 for r in rows]) if rows else np.zeros(0, np.int64)
+    sizes = np.diff(np.searchsorted(begin, ends), prepend=0)
+    owner, inside, at = _windows(sizes)
     if not len(owner):
         return
-    at = first[owner] + inside
-    high, low = (h[at] for h in window_hashes(hashes))
-    # rows of one id: equal starts are level, so order by start within the id
-    order = np.lexsort((inside, ids[owner]))
-    settled = np.zeros(len(at), bool)
-    settled[order] = repeated(high[order], low[order], ids[owner][order], inside[order])
-    least = minimisers(hashes)[at]
+    codes = word_codes(text, begin, end)
+    high, low = (h[at] for h in window_hashes(codes))
+    settled = _again(high, low, rank[owner], inside)
+    least = minimisers(codes[0])[at]
+    del codes, high, low
     cut = np.ones(len(at), bool)
     cut[1:] = ((owner[1:] != owner[:-1]) | (settled[1:] != settled[:-1])
                | (~settled[1:] & (least[1:] != least[:-1])))
-    cut = _limited(cut, STRING_WINDOWS)
-    a, b = _runs(cut)
-    text = b" ".join(words)
-    offsets = np.zeros(len(words) + 1, np.int64)
-    offsets[1:] = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    begin, end = offsets[at[a]].tolist(), (offsets[at[b] + WINDOW] - 1).tolist()
-    done = settled[a]
-    packed = [None if d else text[s:e] for d, s, e in zip(done.tolist(), begin, end)]
-    who = owner[a].tolist()
-    yield pa.record_batch([
-        pa.array([rows[i][0] for i in who], pa.int64()), pa.array([rows[i][1] for i in who], pa.binary()),
-        pa.array(inside[a]), pa.array(inside[b] + WINDOW),
-        pa.array(least[a].view(np.int64), mask=done), pa.array(packed, pa.binary())], schema=_ARROW_STRINGS)
-
-
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            held.append(row)
-            size += len(row[2] or b"")
-            if size >= GROUP_BYTES:
-                yield from _pack(held)
-                held, size = [], 0
-    yield from _pack(held)
-
-
-def _windows_of(ids, digests, starts, packed):
-    """All windows of the strings, ordered by (id, start): row, start, hashes."""
-    order = _in_order(ids, starts)
-    rank = _ranked(ids)[order]
-    _, hashes, first, owner, inside = _concatenated([packed[i] for i in order])
-    at = first[owner] + inside
-    high, low = (h[at] for h in window_hashes(hashes))
-    begin = np.asarray(starts, np.int64)[order][owner] + inside
-    return order, owner, rank[owner], begin, high, low
-
-
-def _columns(batches: Iterator[pa.RecordBatch], n: int) -> list[list]:
-    held = [[] for _ in range(n)]
-    for batch in batches:
-        for i in range(n):
-            held[i] += batch.column(i).to_pylist()
-    return held
-
-
-def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Removed stretches of one task's buckets."""
-    ids, digests, starts, packed = _columns(batches, 4)
-    if not ids:
-        return
-    order, owner, rank, begin, high, low = _windows_of(ids, digests, starts, packed)
-    by = np.lexsort((begin, rank))
-    again = np.zeros(len(by), bool)
-    again[by] = repeated(high[by], low[by], rank[by], begin[by])
-    cut = np.ones(len(again), bool)
-    cut[1:] = (owner[1:] != owner[:-1]) | (again[1:] != again[:-1])
-    a, b = _runs(cut)
-    a, b = a[again[a]], b[again[a]]
-    who = order[owner[a]].tolist()
-    yield pa.record_batch([pa.array([ids[i] for i in who], pa.int64()),
-                           pa.array([digests[i] for i in who], pa.binary()),
-                           pa.array(begin[a]), pa.array(begin[b] + WINDOW)], schema=_ARROW_STRETCHES)
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    first, last = _runs(_limited(cut, STRING_WINDOWS))
+    who, start, words = owner[first], inside[first], last - first + WINDOW
+    done, least = settled[first], least[first].view(np.int64)
+    lane = np.where(done, -1, least % (lanes * LANE_BUCKETS) // LANE_BUCKETS)
+    by = np.argsort(lane, kind="stable")
+    b, e = begin[at[first]][by].tolist(), end[at[last] + WINDOW - 1][by].tolist()
+    zstd = zstandard.ZstdCompressor(1)
+    bounds = np.append(np.flatnonzero(np.diff(lane[by], prepend=-2)), len(by)).tolist()
+    out = []
+    for i, j in zip(bounds, bounds[1:]):
+        k, number = by[i:j], int(lane[by[i]])
+        packed = None if number < 0 else zstd.compress(b" ".join([joined[x:y] for x, y in zip(b[i:j], e[i:j])]))
+        out.append(_row(None if number < 0 else number, rows, who[k], start[k], words[k],
+                        None if number < 0 else least[k], packed))
+        if len(out) == 256:
+            yield pa.RecordBatch.from_pylist(out, _ARROW_STRINGS)
+            out = []
+    yield pa.RecordBatch.from_pylist(out, _ARROW_STRINGS)
+
+
+def _strings(lanes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                held.append(row)
+                size += len(row[2])
+                if size >= GROUP_BYTES:
+                    yield from _pack(held, lanes)
+                    held, size = [], 0
+        yield from _pack(held, lanes)
+    return run
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows with their number lists as arrays."""
+    for n in range(batch.num_rows):
+        cell = {name: batch.column(name)[n] for name in batch.schema.names}
+        part = lambda name: cell[name].values.to_numpy()
+        yield {"lane": cell["lane"].as_py(), "packed": cell["packed"].as_py(),
+               "doc_ids": cell["doc_ids"].values, "digests": cell["digests"].values,
+               **{name: part(name) for name in ("owner", "start", "words", "minimiser")},
+               "hot": part("hot") if cell["hot"].is_valid else np.zeros(0, np.int64)}
+
+
+class _Lane:
+    """The strings of some rows in memory, those of hot buckets or the others."""
+
+    def __init__(self, rows: list[dict], buckets: int, hot: bool):
+        self.ids, self.digests = [], []
+        owners, starts, texts, sizes = [], [], [], []
+        zstd = zstandard.ZstdDecompressor()
+        for row in rows:
+            words = row["words"].astype(np.int64)
+            text = np.frombuffer(zstd.decompress(row["packed"]), np.uint8)
+            is_hot = np.isin(row["minimiser"] % buckets, row["hot"])
+            owners.append(row["owner"].astype(np.int64) + len(self.ids))
+            starts.append(row["start"])
+            sizes.append(np.where(is_hot == hot, words, -words))  # negative: not of this way
+            texts += [text, np.array([32], np.uint8)]
+            self.ids += row["doc_ids"].to_pylist()
+            self.digests += row["digests"].to_pylist()
+        text = np.concatenate(texts)
+        sizes, owner, start = (np.concatenate(v) for v in (sizes, owners, starts))
+        wanted = sizes > 0
+        begin, end = word_spans(text)
+        mine = np.repeat(wanted, np.abs(sizes))
+        begin, end, sizes = begin[mine], end[mine], sizes[wanted]
+        piece, inside, at = _windows(sizes)
+        self.high, self.low = (h[at] for h in window_hashes(word_codes(text, begin, end)))
+        self.owner, self.start = owner[wanted][piece], start[wanted][piece] + inside
+        self.piece = piece
+
+    def key(self, at: np.ndarray) -> list[pa.Array]:
+        ids, digests = pa.array(self.ids, pa.int64()), pa.array(self.digests, pa.binary())
+        return [ids.take(pa.array(self.owner[at])), digests.take(pa.array(self.owner[at]))]
+
+    def repeats(self) -> pa.RecordBatch:
+        again = _again(self.high, self.low, _ranked(self.ids)[self.owner], self.start)
+        cut = np.ones(len(again), bool)
+        cut[1:] = (self.piece[1:] != self.piece[:-1]) | (again[1:] != again[:-1])
+        a, b = _runs(cut)
+        a, b = a[again[a]], b[again[a]]
+        return pa.record_batch([*self.key(a), pa.array(self.start[a]), pa.array(self.start[b] + WINDOW)],
+                               names=["doc_id", "digest", "start", "stop"])
+
+    def windows(self) -> pa.RecordBatch:
+        every = np.arange(len(self.high))
+        return pa.record_batch([*self.key(every), pa.array(self.start), pa.array(self.high.view(np.int64)),
+                                pa.array(self.low.view(np.int64))],
+                               names=["doc_id", "digest", "start", "high", "low"])
+
+
+def _by_lane(buckets: int):
+    """Rows come sorted by lane; one lane is held at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for row in _rows(batch):
+                if held and held[0]["lane"] != row["lane"]:
+                    yield _Lane(held, buckets, hot=False).repeats()
+                    held = []
+                held.append(row)
+        if held:
+            yield _Lane(held, buckets, hot=False).repeats()
+    return run
+
+
+def _unpacked(buckets: int):
     """Hot buckets, one row for each window."""
-    for batch in batches:
-        ids, digests, starts, packed = _columns([batch], 4)
-        if not ids:
-            continue
-        order, owner, _, begin, high, low = _windows_of(ids, digests, starts, packed)
-        who = order[owner].tolist()
-        yield pa.record_batch([pa.array([ids[i] for i in who], pa.int64()),
-                               pa.array([digests[i] for i in who], pa.binary()), pa.array(begin),
-                               pa.array(high.view(np.int64)), pa.array(low.view(np.int64))],
-                              schema=_ARROW_WINDOWS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                yield _Lane([row], buckets, hot=True).windows()
+    return run
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Id, text as bytes, and the digest that tells versions of an id apart."""
+    """Id, the digest that tells versions of an id apart, and text as bytes."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("digest"),
                        text.alias("text"))
@@ -254,25 +382,27 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def removed_stretches(docs: DataFrame) -> DataFrame:
     """Stretches ``[start, stop)`` of words that repeating windows cover, by
     document; stretches may touch or overlap."""
-    staged = stage(_keyed(docs).mapInArrow(_strings, STRINGS), "dedup-strings")
-    strings = staged.where(F.col("minimiser").isNotNull())
-    total = strings.count()
-    settled = staged.where(F.col("minimiser").isNull()).select("doc_id", "digest", "start", "stop")
-    buckets = max(total // BUCKET_STRINGS, 1)
-    strings = strings.withColumn("bucket", F.pmod("minimiser", F.lit(buckets)))
-    sizes = stage(strings.groupBy("bucket").count().where(F.col("count") > HOT_STRINGS).select("bucket"),
-                  "dedup-hot")
-    hot = small_side(sizes)
-    fields = ["doc_id", "digest", "start", "packed"]
-    plain = (strings.join(hot, "bucket", "left_anti")
-             .repartition(max(total // TASK_STRINGS + 1, parallelism(docs.sparkSession)), "bucket").select(*fields)
-             .mapInArrow(_sorted_buckets, STRETCHES))
-    if sizes.isEmpty():
+    keyed, spark = _keyed(docs), docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    lanes = size // LANE_BYTES + 1
+    buckets = lanes * LANE_BUCKETS
+    staged = stage(keyed.mapInArrow(_strings(lanes), STRINGS), "dedup-strings")
+    settled = (staged.where(F.col("lane").isNull())
+               .select("doc_ids", "digests", F.inline(F.arrays_zip("owner", "start", "words")))
+               .select(F.get("doc_ids", F.col("owner")).alias("doc_id"), F.get("digests", F.col("owner")).alias("digest"),
+                       "start", (F.col("start") + F.col("words")).alias("stop")))
+    strings = staged.where(F.col("lane").isNotNull())
+    counted = (strings.select(F.explode("minimiser").alias("m")).groupBy(F.pmod("m", F.lit(buckets)).alias("bucket"))
+               .count().where(F.col("count") > HOT_STRINGS))
+    hot = stage(counted.groupBy(F.floor(F.col("bucket") / LANE_BUCKETS).alias("lane"))
+                .agg(F.collect_list("bucket").alias("hot")), "dedup-hot")  # at most LANE_BUCKETS a lane
+    marked = strings.join(small_side(hot), "lane", "left")
+    plain = (marked.repartition(max(min(lanes, MOST_TASKS), parallelism(spark)), "lane")
+             .sortWithinPartitions("lane").mapInArrow(_by_lane(buckets), STRETCHES))
+    if hot.isEmpty():
         return plain.unionByName(settled)
-    windows = stage(strings.join(hot, "bucket", "left_semi").select(*fields)
-                    .mapInArrow(_unpacked, WINDOWS), "dedup-windows")
-    place = F.struct("doc_id", "start")
-    firsts = windows.groupBy("high", "low").agg(F.min(place).alias("first"))
+    windows = stage(marked.where(F.col("hot").isNotNull()).mapInArrow(_unpacked(buckets), WINDOWS), "dedup-windows")
+    firsts = windows.groupBy("high", "low").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     again = (windows.join(firsts, ["high", "low"])
              .where(~(F.col("first.doc_id").eqNullSafe(F.col("doc_id"))
                       & (F.col("first.start") == F.col("start"))))
@@ -284,7 +414,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = [[], [], [], []]
         for i, text in enumerate(batch.column(1)):
-            words = text.as_py().split()
+            words = text.as_py().split()  # bytes split at 0x09-0x0D and space only
             gone = np.zeros(len(words) + 1, np.int64)
             stretches = batch.column(2)[i]
             if stretches.is_valid:
