@@ -56,7 +56,7 @@ from vitrine.session import parallelism
 WINDOW = 20
 MINIMISER_WORDS = 4
 STRING_WINDOWS = 128
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 LANE_BYTES = 4 << 20
 LANE_BUCKETS = 16
 HOT_STRINGS = 16384
@@ -251,7 +251,7 @@ def _pack(rows: list, lanes: int) -> Iterator[pa.RecordBatch]:
     high, low = (h[at] for h in window_hashes(codes))
     settled = _again(high, low, rank[owner], inside)
     least = minimisers(codes[0])[at]
-    del codes, high, low
+    del codes, high, low  # the largest arrays
     cut = np.ones(len(at), bool)
     cut[1:] = ((owner[1:] != owner[:-1]) | (settled[1:] != settled[:-1])
                | (~settled[1:] & (least[1:] != least[:-1])))
@@ -279,9 +279,9 @@ def _strings(lanes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                held.append(row)
-                size += len(row[2])
+            for row in zip(*batch.columns):
+                held.append(tuple(cell.as_py() for cell in row))
+                size += len(held[-1][2])
                 if size >= GROUP_BYTES:
                     yield from _pack(held, lanes)
                     held, size = [], 0
