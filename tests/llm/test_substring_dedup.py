@@ -79,11 +79,15 @@ def test_empty_table_and_clashing_names(spark):
 def test_strings_hold_many_windows(spark):
     rnd = random.Random(9)
     text = " ".join(str(rnd.randrange(10**9)) for _ in range(20_000))
-    rows = S._keyed(documents(spark, [(1, text)])).mapInArrow(S._strings(3), S.STRINGS).collect()
-    words = [n for r in rows for n in r.words]
+    import pyarrow as pa
+    given = pa.record_batch([pa.array([1]), pa.array([7]), pa.array([text.encode()])], names=["doc_id", "digest", "text"])
+    rows = []
+    for batch in S._strings(3)(iter([given])):
+        rows += S._rows(batch.append_column("hot", pa.nulls(batch.num_rows, pa.list_(pa.int32()))))
+    words = [n for r in rows for n in r["words"].tolist()]
     windows = sum(words) - len(words) * (S.WINDOW - 1)
     assert windows == 20_000 - S.WINDOW + 1 and windows > 6 * len(words)
-    assert {r.lane for r in rows} == {0, 1, 2}
+    assert {r["lane"] for r in rows} == {0, 1, 2}
 
 
 def test_words_and_hashes():

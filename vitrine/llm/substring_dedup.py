@@ -65,16 +65,19 @@ CHUNK = 1 << 20
 
 _U = np.uint64
 _BASES = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
-# Strings of one lane, or (lane NULL) stretches whose removal is settled; ``owner``
-# counts within ``doc_ids``, ``words`` is the length of a string or stretch.
-STRINGS = ("lane long, doc_ids array<long>, digests array<binary>, owner array<int>, start array<long>, "
-           "words array<int>, minimiser array<long>, packed binary")
-STRETCHES = "doc_id long, digest binary, start long, stop long"
-WINDOWS = "doc_id long, digest binary, start long, high long, low long"
+# The strings of one lane, ``counts`` of them in each of its buckets, or (lane NULL)
+# stretches whose removal is settled; ``owner`` counts within ``doc_ids``.
+STRINGS = ("lane long, doc_ids array<long>, digests array<long>, counts array<int>, packed binary, "
+           "owner array<int>, start array<int>, words array<int>")
+STRETCHES = "doc_id long, digest long, start long, stop long"
+WINDOWS = "doc_id long, digest long, start long, high long, low long"
+_LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
 _ARROW_STRINGS = pa.schema([
-    ("lane", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("digests", pa.list_(pa.binary())),
-    ("owner", pa.list_(pa.int32())), ("start", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())),
-    ("minimiser", pa.list_(pa.int64())), ("packed", pa.binary())])
+    ("lane", pa.int64()), ("doc_ids", _LONGS), ("digests", _LONGS), ("counts", _INTS), ("packed", pa.binary()),
+    ("owner", _INTS), ("start", _INTS), ("words", _INTS)])
+# A string's numbers, column by column before the texts: the step of the owner from
+# the string before, the first word, how many words, the bucket within the lane.
+_FIELDS = (("owner", "<i4"), ("start", "<i4"), ("words", "u1"), ("bucket", "u1"))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -227,10 +230,9 @@ def _again(high, low, rank, start) -> np.ndarray:
     return out
 
 
-def _row(lane, rows, who, start, words, minimiser, packed) -> dict:
+def _docs(rows: list, who: np.ndarray) -> tuple[dict, np.ndarray]:
     docs, owner = np.unique(who, return_inverse=True)
-    return {"lane": lane, "doc_ids": [rows[i][0] for i in docs], "digests": [rows[i][1] for i in docs],
-            "owner": owner, "start": start, "words": words, "minimiser": minimiser, "packed": packed}
+    return {"doc_ids": [rows[i][0] for i in docs], "digests": [rows[i][1] for i in docs]}, owner
 
 
 def _pack(rows: list, lanes: int) -> Iterator[pa.RecordBatch]:
@@ -257,18 +259,27 @@ def _pack(rows: list, lanes: int) -> Iterator[pa.RecordBatch]:
                | (~settled[1:] & (least[1:] != least[:-1])))
     first, last = _runs(_limited(cut, STRING_WINDOWS))
     who, start, words = owner[first], inside[first], last - first + WINDOW
-    done, least = settled[first], least[first].view(np.int64)
-    lane = np.where(done, -1, least % (lanes * LANE_BUCKETS) // LANE_BUCKETS)
+    done = settled[first]
+    bucket = least[first].view(np.int64) % (lanes * LANE_BUCKETS)
+    lane = np.where(done, -1, bucket // LANE_BUCKETS)
     by = np.argsort(lane, kind="stable")
     b, e = begin[at[first]][by].tolist(), end[at[last] + WINDOW - 1][by].tolist()
-    zstd = zstandard.ZstdCompressor(1)
+    zstd = zstandard.ZstdCompressor(3)
     bounds = np.append(np.flatnonzero(np.diff(lane[by], prepend=-2)), len(by)).tolist()
     out = []
     for i, j in zip(bounds, bounds[1:]):
         k, number = by[i:j], int(lane[by[i]])
-        packed = None if number < 0 else zstd.compress(b" ".join([joined[x:y] for x, y in zip(b[i:j], e[i:j])]))
-        out.append(_row(None if number < 0 else number, rows, who[k], start[k], words[k],
-                        None if number < 0 else least[k], packed))
+        row, which = _docs(rows, who[k])
+        if number < 0:
+            row |= {"owner": which, "start": start[k], "words": words[k]}
+        else:
+            inner = bucket[k] % LANE_BUCKETS
+            values = (np.diff(which, prepend=0), start[k], words[k], inner)
+            packed = [v.astype(kind).tobytes() for v, (_, kind) in zip(values, _FIELDS)]
+            packed.append(b" ".join([joined[x:y] for x, y in zip(b[i:j], e[i:j])]))
+            row |= {"lane": number, "packed": zstd.compress(b"".join(packed)),
+                    "counts": np.bincount(inner, minlength=LANE_BUCKETS)}
+        out.append(row)
         if len(out) == 256:
             yield pa.RecordBatch.from_pylist(out, _ARROW_STRINGS)
             out = []
@@ -290,33 +301,35 @@ def _strings(lanes: int):
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
-    """Rows with their number lists as arrays."""
+    """Rows of strings with their numbers and texts unpacked."""
+    zstd = zstandard.ZstdDecompressor()
     for n in range(batch.num_rows):
-        cell = {name: batch.column(name)[n] for name in batch.schema.names}
-        part = lambda name: cell[name].values.to_numpy()
-        yield {"lane": cell["lane"].as_py(), "packed": cell["packed"].as_py(),
-               "doc_ids": cell["doc_ids"].values, "digests": cell["digests"].values,
-               **{name: part(name) for name in ("owner", "start", "words", "minimiser")},
-               "hot": part("hot") if cell["hot"].is_valid else np.zeros(0, np.int64)}
+        cell = {name: batch.column(name)[n] for name in ("lane", "doc_ids", "digests", "counts", "packed", "hot")}
+        size, data, at = int(cell["counts"].values.to_numpy().sum()), zstd.decompress(cell["packed"].as_py()), 0
+        row = {"lane": cell["lane"].as_py(), "doc_ids": cell["doc_ids"].values, "digests": cell["digests"].values,
+               "hot": cell["hot"].values.to_numpy() if cell["hot"].is_valid else []}
+        for name, kind in _FIELDS:
+            row[name] = np.frombuffer(data, kind, size, at).astype(np.int64)
+            at += row[name].size * np.dtype(kind).itemsize
+        row["owner"] = np.cumsum(row["owner"])
+        yield row | {"text": np.frombuffer(data, np.uint8, offset=at)}
 
 
 class _Lane:
     """The strings of some rows in memory, those of hot buckets or the others."""
 
-    def __init__(self, rows: list[dict], buckets: int, hot: bool):
-        self.ids, self.digests = [], []
-        owners, starts, texts, sizes = [], [], [], []
-        zstd = zstandard.ZstdDecompressor()
+    def __init__(self, rows: list[dict], hot: bool):
+        owners, starts, texts, sizes, ids, digests, docs = [], [], [], [], [], [], 0
         for row in rows:
-            words = row["words"].astype(np.int64)
-            text = np.frombuffer(zstd.decompress(row["packed"]), np.uint8)
-            is_hot = np.isin(row["minimiser"] % buckets, row["hot"])
-            owners.append(row["owner"].astype(np.int64) + len(self.ids))
+            mine = np.isin(row["bucket"], row["hot"]) == hot
+            owners.append(row["owner"] + docs)
             starts.append(row["start"])
-            sizes.append(np.where(is_hot == hot, words, -words))  # negative: not of this way
-            texts += [text, np.array([32], np.uint8)]
-            self.ids += row["doc_ids"].to_pylist()
-            self.digests += row["digests"].to_pylist()
+            sizes.append(np.where(mine, row["words"], -row["words"]))  # negative: not of this way
+            texts += [row["text"], np.array([32], np.uint8)]
+            ids.append(row["doc_ids"])
+            digests.append(row["digests"])
+            docs += len(row["doc_ids"])
+        self.ids, self.digests = pa.concat_arrays(ids), pa.concat_arrays(digests)
         text = np.concatenate(texts)
         sizes, owner, start = (np.concatenate(v) for v in (sizes, owners, starts))
         wanted = sizes > 0
@@ -329,11 +342,11 @@ class _Lane:
         self.piece = piece
 
     def key(self, at: np.ndarray) -> list[pa.Array]:
-        ids, digests = pa.array(self.ids, pa.int64()), pa.array(self.digests, pa.binary())
-        return [ids.take(pa.array(self.owner[at])), digests.take(pa.array(self.owner[at]))]
+        who = pa.array(self.owner[at])
+        return [self.ids.take(who), self.digests.take(who)]
 
     def repeats(self) -> pa.RecordBatch:
-        again = _again(self.high, self.low, _ranked(self.ids)[self.owner], self.start)
+        again = _again(self.high, self.low, _ranked(self.ids.to_pylist())[self.owner], self.start)
         cut = np.ones(len(again), bool)
         cut[1:] = (self.piece[1:] != self.piece[:-1]) | (again[1:] != again[:-1])
         a, b = _runs(cut)
@@ -348,34 +361,30 @@ class _Lane:
                                names=["doc_id", "digest", "start", "high", "low"])
 
 
-def _by_lane(buckets: int):
+def _by_lane(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by lane; one lane is held at a time."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        for batch in batches:
-            for row in _rows(batch):
-                if held and held[0]["lane"] != row["lane"]:
-                    yield _Lane(held, buckets, hot=False).repeats()
-                    held = []
-                held.append(row)
-        if held:
-            yield _Lane(held, buckets, hot=False).repeats()
-    return run
+    held: list[dict] = []
+    for batch in batches:
+        for row in _rows(batch):
+            if held and held[0]["lane"] != row["lane"]:
+                yield _Lane(held, hot=False).repeats()
+                held = []
+            held.append(row)
+    if held:
+        yield _Lane(held, hot=False).repeats()
 
 
-def _unpacked(buckets: int):
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hot buckets, one row for each window."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in _rows(batch):
-                yield _Lane([row], buckets, hot=True).windows()
-    return run
+    for batch in batches:
+        for row in _rows(batch):
+            yield _Lane([row], hot=True).windows()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Id, the digest that tells versions of an id apart, and text as bytes."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("digest"),
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"),
                        text.alias("text"))
 
 
@@ -385,23 +394,22 @@ def removed_stretches(docs: DataFrame) -> DataFrame:
     keyed, spark = _keyed(docs), docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     lanes = size // LANE_BYTES + 1
-    buckets = lanes * LANE_BUCKETS
     staged = stage(keyed.mapInArrow(_strings(lanes), STRINGS), "dedup-strings")
     settled = (staged.where(F.col("lane").isNull())
                .select("doc_ids", "digests", F.inline(F.arrays_zip("owner", "start", "words")))
                .select(F.get("doc_ids", F.col("owner")).alias("doc_id"), F.get("digests", F.col("owner")).alias("digest"),
-                       "start", (F.col("start") + F.col("words")).alias("stop")))
-    strings = staged.where(F.col("lane").isNotNull())
-    counted = (strings.select(F.explode("minimiser").alias("m")).groupBy(F.pmod("m", F.lit(buckets)).alias("bucket"))
-               .count().where(F.col("count") > HOT_STRINGS))
-    hot = stage(counted.groupBy(F.floor(F.col("bucket") / LANE_BUCKETS).alias("lane"))
-                .agg(F.collect_list("bucket").alias("hot")), "dedup-hot")  # at most LANE_BUCKETS a lane
+                       F.col("start").cast("long").alias("start"), (F.col("start") + F.col("words")).cast("long").alias("stop")))
+    strings = staged.where(F.col("lane").isNotNull()).select("lane", "doc_ids", "digests", "counts", "packed")
+    counted = (strings.select("lane", F.posexplode("counts").alias("bucket", "n")).groupBy("lane", "bucket")
+               .agg(F.sum("n").alias("n")).where(F.col("n") > HOT_STRINGS))
+    hot = stage(counted.groupBy("lane").agg(F.collect_list("bucket").alias("hot")),
+                "dedup-hot")  # at most LANE_BUCKETS a lane
     marked = strings.join(small_side(hot), "lane", "left")
     plain = (marked.repartition(max(min(lanes, MOST_TASKS), parallelism(spark)), "lane")
-             .sortWithinPartitions("lane").mapInArrow(_by_lane(buckets), STRETCHES))
+             .sortWithinPartitions("lane").mapInArrow(_by_lane, STRETCHES))
     if hot.isEmpty():
         return plain.unionByName(settled)
-    windows = stage(marked.where(F.col("hot").isNotNull()).mapInArrow(_unpacked(buckets), WINDOWS), "dedup-windows")
+    windows = stage(marked.where(F.col("hot").isNotNull()).mapInArrow(_unpacked, WINDOWS), "dedup-windows")
     firsts = windows.groupBy("high", "low").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     again = (windows.join(firsts, ["high", "low"])
              .where(~(F.col("first.doc_id").eqNullSafe(F.col("doc_id"))
