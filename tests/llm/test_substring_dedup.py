@@ -80,9 +80,11 @@ def test_strings_hold_many_windows(spark):
     rnd = random.Random(9)
     text = " ".join(str(rnd.randrange(10**9)) for _ in range(20_000))
     import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
     given = pa.record_batch([pa.array([1]), pa.array([7]), pa.array([text.encode()])], names=["doc_id", "digest", "text"])
     rows = []
     for batch in S._strings(3)(iter([given])):
+        batch = batch.filter(pa.compute.is_valid(batch.column("packed")))
         rows += S._rows(batch.append_column("hot", pa.nulls(batch.num_rows, pa.list_(pa.int32()))))
     words = [n for r in rows for n in r["words"].tolist()]
     windows = sum(words) - len(words) * (S.WINDOW - 1)

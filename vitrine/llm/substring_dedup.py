@@ -23,7 +23,7 @@ Skew. Before anything is shuffled, the windows of each run of texts are sorted i
 place: what repeats there is settled at once, so a passage of a third of all
 documents leaves such a run once. The strings around a frequent passage still
 differ, yet share its minimisers; buckets of more than ``HOT_STRINGS`` strings are
-counted and taken window by window: a ``groupBy`` on the window, which has no hot
+counted in a first reading of the texts and taken window by window: a ``groupBy`` on the window, which has no hot
 key left, finds the first start.
 
 A window's identity is 128 bits: two polynomials of two independent 64-bit word
@@ -65,16 +65,18 @@ CHUNK = 1 << 20
 
 _U = np.uint64
 _BASES = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
-# The strings of one lane, ``counts`` of them in each of its buckets, or (lane NULL)
-# stretches whose removal is settled; ``owner`` counts within ``doc_ids``.
-STRINGS = ("lane long, doc_ids array<long>, digests array<long>, counts array<int>, packed binary, "
+# The ``size`` strings of one lane, or (``packed`` NULL) stretches whose removal is
+# settled and which any lane may carry; ``owner`` counts within ``doc_ids``.
+STRINGS = ("lane long, doc_ids array<long>, digests array<long>, size int, packed binary, "
            "owner array<int>, start array<int>, words array<int>")
+COUNTS = "lane long, counts array<int>"
 STRETCHES = "doc_id long, digest long, start long, stop long"
 WINDOWS = "doc_id long, digest long, start long, high long, low long"
 _LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
 _ARROW_STRINGS = pa.schema([
-    ("lane", pa.int64()), ("doc_ids", _LONGS), ("digests", _LONGS), ("counts", _INTS), ("packed", pa.binary()),
+    ("lane", pa.int64()), ("doc_ids", _LONGS), ("digests", _LONGS), ("size", pa.int32()), ("packed", pa.binary()),
     ("owner", _INTS), ("start", _INTS), ("words", _INTS)])
+_ARROW_COUNTS = pa.schema([("lane", pa.int64()), ("counts", _INTS)])
 # A string's numbers, column by column before the texts: the step of the owner from
 # the string before, the first word, how many words, the bucket within the lane.
 _FIELDS = (("owner", "<i4"), ("start", "<i4"), ("words", "u1"), ("bucket", "u1"))
@@ -235,8 +237,9 @@ def _docs(rows: list, who: np.ndarray) -> tuple[dict, np.ndarray]:
     return {"doc_ids": [rows[i][0] for i in docs], "digests": [rows[i][1] for i in docs]}, owner
 
 
-def _pack(rows: list, lanes: int) -> Iterator[pa.RecordBatch]:
-    """Strings by lane, and settled stretches, of one run of texts."""
+def _pack(rows: list, lanes: int, count: bool) -> Iterator[pa.RecordBatch]:
+    """Strings by lane, and settled stretches, of one run of texts; or only how
+    many strings each lane's buckets have."""
     rows = [r for r in rows if r[2]]
     rank = _ranked([r[0] for r in rows])
     order = np.argsort(rank, kind="stable")
@@ -262,6 +265,12 @@ def _pack(rows: list, lanes: int) -> Iterator[pa.RecordBatch]:
     done = settled[first]
     bucket = least[first].view(np.int64) % (lanes * LANE_BUCKETS)
     lane = np.where(done, -1, bucket // LANE_BUCKETS)
+    if count:
+        numbers, which = np.unique(lane[~done], return_inverse=True)
+        counts = np.zeros((len(numbers), LANE_BUCKETS), np.int64)
+        np.add.at(counts, (which, bucket[~done] % LANE_BUCKETS), 1)
+        yield pa.RecordBatch.from_pylist([{"lane": n, "counts": c} for n, c in zip(numbers, counts)], _ARROW_COUNTS)
+        return
     by = np.argsort(lane, kind="stable")
     b, e = begin[at[first]][by].tolist(), end[at[last] + WINDOW - 1][by].tolist()
     zstd = zstandard.ZstdCompressor(3)
@@ -271,14 +280,14 @@ def _pack(rows: list, lanes: int) -> Iterator[pa.RecordBatch]:
         k, number = by[i:j], int(lane[by[i]])
         row, which = _docs(rows, who[k])
         if number < 0:
-            row |= {"owner": which, "start": start[k], "words": words[k]}
+            row |= {"lane": int(start[k].sum()) % lanes, "owner": which, "start": start[k], "words": words[k]}
         else:
             inner = bucket[k] % LANE_BUCKETS
             values = (np.diff(which, prepend=0), start[k], words[k], inner)
             packed = [v.astype(kind).tobytes() for v, (_, kind) in zip(values, _FIELDS)]
             packed.append(b" ".join([joined[x:y] for x, y in zip(b[i:j], e[i:j])]))
             row |= {"lane": number, "packed": zstd.compress(b"".join(packed)),
-                    "counts": np.bincount(inner, minlength=LANE_BUCKETS)}
+                    "size": len(k)}
         out.append(row)
         if len(out) == 256:
             yield pa.RecordBatch.from_pylist(out, _ARROW_STRINGS)
@@ -286,7 +295,7 @@ def _pack(rows: list, lanes: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pylist(out, _ARROW_STRINGS)
 
 
-def _strings(lanes: int):
+def _strings(lanes: int, count: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -294,9 +303,9 @@ def _strings(lanes: int):
                 held.append(tuple(cell.as_py() for cell in row))
                 size += len(held[-1][2])
                 if size >= GROUP_BYTES:
-                    yield from _pack(held, lanes)
+                    yield from _pack(held, lanes, count)
                     held, size = [], 0
-        yield from _pack(held, lanes)
+        yield from _pack(held, lanes, count)
     return run
 
 
@@ -304,10 +313,13 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     """Rows of strings with their numbers and texts unpacked."""
     zstd = zstandard.ZstdDecompressor()
     for n in range(batch.num_rows):
-        cell = {name: batch.column(name)[n] for name in ("lane", "doc_ids", "digests", "counts", "packed", "hot")}
-        size, data, at = int(cell["counts"].values.to_numpy().sum()), zstd.decompress(cell["packed"].as_py()), 0
+        cell = {name: batch.column(name)[n] for name in batch.schema.names}
         row = {"lane": cell["lane"].as_py(), "doc_ids": cell["doc_ids"].values, "digests": cell["digests"].values,
                "hot": cell["hot"].values.to_numpy() if cell["hot"].is_valid else []}
+        if not cell["packed"].is_valid:
+            yield row | {k: cell[k].values.to_numpy().astype(np.int64) for k in ("owner", "start", "words")}
+            continue
+        size, data, at = cell["size"].as_py(), zstd.decompress(cell["packed"].as_py()), 0
         for name, kind in _FIELDS:
             row[name] = np.frombuffer(data, kind, size, at).astype(np.int64)
             at += row[name].size * np.dtype(kind).itemsize
@@ -366,6 +378,11 @@ def _by_lane(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[dict] = []
     for batch in batches:
         for row in _rows(batch):
+            if "text" not in row:  # settled already
+                who = pa.array(row["owner"])
+                yield pa.record_batch([row["doc_ids"].take(who), row["digests"].take(who), pa.array(row["start"]),
+                                       pa.array(row["start"] + row["words"])], names=["doc_id", "digest", "start", "stop"])
+                continue
             if held and held[0]["lane"] != row["lane"]:
                 yield _Lane(held, hot=False).repeats()
                 held = []
@@ -394,28 +411,24 @@ def removed_stretches(docs: DataFrame) -> DataFrame:
     keyed, spark = _keyed(docs), docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     lanes = size // LANE_BYTES + 1
-    staged = stage(keyed.mapInArrow(_strings(lanes), STRINGS), "dedup-strings")
-    settled = (staged.where(F.col("lane").isNull())
-               .select("doc_ids", "digests", F.inline(F.arrays_zip("owner", "start", "words")))
-               .select(F.get("doc_ids", F.col("owner")).alias("doc_id"), F.get("digests", F.col("owner")).alias("digest"),
-                       F.col("start").cast("long").alias("start"), (F.col("start") + F.col("words")).cast("long").alias("stop")))
-    strings = staged.where(F.col("lane").isNotNull()).select("lane", "doc_ids", "digests", "counts", "packed")
-    counted = (strings.select("lane", F.posexplode("counts").alias("bucket", "n")).groupBy("lane", "bucket")
+    counted = (keyed.mapInArrow(_strings(lanes, count=True), COUNTS)
+               .select("lane", F.posexplode("counts").alias("bucket", "n")).groupBy("lane", "bucket")
                .agg(F.sum("n").alias("n")).where(F.col("n") > HOT_STRINGS))
     hot = stage(counted.groupBy("lane").agg(F.collect_list("bucket").alias("hot")),
                 "dedup-hot")  # at most LANE_BUCKETS a lane
-    marked = strings.join(small_side(hot), "lane", "left")
-    plain = (marked.repartition(max(min(lanes, MOST_TASKS), parallelism(spark)), "lane")
+    strings = keyed.mapInArrow(_strings(lanes), STRINGS).join(small_side(hot), "lane", "left")
+    plain = (strings.repartition(max(min(lanes, MOST_TASKS), parallelism(spark)), "lane")
              .sortWithinPartitions("lane").mapInArrow(_by_lane, STRETCHES))
     if hot.isEmpty():
-        return plain.unionByName(settled)
-    windows = stage(marked.where(F.col("hot").isNotNull()).mapInArrow(_unpacked, WINDOWS), "dedup-windows")
+        return plain
+    windows = stage(strings.where(F.col("hot").isNotNull() & F.col("packed").isNotNull())
+                    .mapInArrow(_unpacked, WINDOWS), "dedup-windows")
     firsts = windows.groupBy("high", "low").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     again = (windows.join(firsts, ["high", "low"])
              .where(~(F.col("first.doc_id").eqNullSafe(F.col("doc_id"))
                       & (F.col("first.start") == F.col("start"))))
              .select("doc_id", "digest", "start", (F.col("start") + WINDOW).alias("stop")))
-    return plain.unionByName(settled).unionByName(again)
+    return plain.unionByName(again)
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
