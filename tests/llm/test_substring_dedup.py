@@ -62,7 +62,9 @@ def awkward(seed):
 @pytest.mark.parametrize("hot", [True, False])
 def test_awkward_texts_on_both_ways(spark, monkeypatch, hot):
     rows = awkward(5)
-    monkeypatch.setattr(S, "LANE_BYTES", 20_000)
+    monkeypatch.setattr(S, "LANE_BYTES", 60_000)
+    monkeypatch.setattr(S, "PASS_BYTES", 15_000)
+    monkeypatch.setattr(S, "parallelism", lambda spark: 1)
     monkeypatch.setattr(S, "HOT_STRINGS", 20 if hot else 1 << 40)
     assert run(documents(spark, rows).repartition(7)) == brute(rows)
 
@@ -83,13 +85,13 @@ def test_strings_hold_many_windows(spark):
     import pyarrow.compute  # noqa: F401
     given = pa.record_batch([pa.array([1]), pa.array([7]), pa.array([text.encode()])], names=["doc_id", "digest", "text"])
     rows = []
-    for batch in S._strings(3)(iter([given])):
+    for batch in S._strings(3, 2)(iter([given])):
         batch = batch.filter(pa.compute.is_valid(batch.column("packed")))
-        rows += S._rows(batch.append_column("hot", pa.nulls(batch.num_rows, pa.list_(pa.int32()))))
-    words = [n for r in rows for n in r["words"].tolist()]
+        rows += S._Row.of(batch.append_column("hot", pa.nulls(batch.num_rows, pa.list_(pa.int32()))))
+    words = [n for r in rows for p in (0, 1) for n in r.part(p)["words"].tolist()]
     windows = sum(words) - len(words) * (S.WINDOW - 1)
     assert windows == 20_000 - S.WINDOW + 1 and windows > 6 * len(words)
-    assert {r["lane"] for r in rows} == {0, 1, 2}
+    assert {r.lane for r in rows} == {0, 1, 2}
 
 
 def test_words_and_hashes():

@@ -11,12 +11,12 @@ Method:
    words, so equal windows have equal minimisers. Consecutive windows that share
    one travel as one packed string (a super-k-mer: their stretch of the text) in
    place of ``WINDOW`` words for each window.
-2. The minimiser decides the bucket, and ``LANE_BUCKETS`` buckets make a lane. The
+2. The minimiser decides the bucket; buckets make passes and passes lanes. The
    strings that a run of texts of ``GROUP_BYTES`` has for one lane go as one
-   compressed row. The number of lanes grows with the data, so a lane has a
-   bounded share of it; a task takes its lanes one after another, unpacks their
-   windows and sorts them; of each run of equal ones all but the first start
-   repeat.
+   compressed row. The number of lanes grows with the data, so that a lane has a
+   share of ``LANE_BYTES`` and a pass one of ``PASS_BYTES``. A task holds one lane,
+   compressed, and unpacks and sorts the windows of one pass at a time; of each run
+   of equal windows all but the first start repeat.
 3. Stretches of removed words go back to their documents by an equi-join.
 
 Skew. Before anything is shuffled, the windows of each run of texts are sorted in
@@ -57,24 +57,25 @@ WINDOW = 20
 MINIMISER_WORDS = 4
 STRING_WINDOWS = 128
 GROUP_BYTES = 4 << 20
-LANE_BYTES = 4 << 20
-LANE_BUCKETS = 16
+LANE_BYTES, PASS_BYTES = 64 << 20, 4 << 20
+PASS_BUCKETS = 16
 HOT_STRINGS = 16384
 MOST_TASKS = 50_000
 CHUNK = 1 << 20
 
 _U = np.uint64
 _BASES = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
-# The ``size`` strings of one lane, or (``packed`` NULL) stretches whose removal is
-# settled and which any lane may carry; ``owner`` counts within ``doc_ids``.
-STRINGS = ("lane long, doc_ids array<long>, digests array<long>, size int, packed binary, "
+# The strings of one lane, ``sizes`` of them with ``bytes`` of text for each pass, or
+# (``packed`` NULL) stretches whose removal is settled and which any lane may carry;
+# ``owner`` counts within ``doc_ids``.
+STRINGS = ("lane long, doc_ids array<long>, digests array<long>, sizes array<int>, bytes array<int>, packed binary, "
            "owner array<int>, start array<int>, words array<int>")
 COUNTS = "lane long, counts array<int>"
 STRETCHES = "doc_id long, digest long, start long, stop long"
 WINDOWS = "doc_id long, digest long, start long, high long, low long"
 _LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
 _ARROW_STRINGS = pa.schema([
-    ("lane", pa.int64()), ("doc_ids", _LONGS), ("digests", _LONGS), ("size", pa.int32()), ("packed", pa.binary()),
+    ("lane", pa.int64()), ("doc_ids", _LONGS), ("digests", _LONGS), ("sizes", _INTS), ("bytes", _INTS), ("packed", pa.binary()),
     ("owner", _INTS), ("start", _INTS), ("words", _INTS)])
 _ARROW_COUNTS = pa.schema([("lane", pa.int64()), ("counts", _INTS)])
 # A string's numbers, column by column before the texts: the step of the owner from
@@ -237,7 +238,7 @@ def _docs(rows: list, who: np.ndarray) -> tuple[dict, np.ndarray]:
     return {"doc_ids": [rows[i][0] for i in docs], "digests": [rows[i][1] for i in docs]}, owner
 
 
-def _pack(rows: list, lanes: int, count: bool) -> Iterator[pa.RecordBatch]:
+def _pack(rows: list, lanes: int, passes: int, count: bool) -> Iterator[pa.RecordBatch]:
     """Strings by lane, and settled stretches, of one run of texts; or only how
     many strings each lane's buckets have."""
     rows = [r for r in rows if r[2]]
@@ -263,15 +264,16 @@ def _pack(rows: list, lanes: int, count: bool) -> Iterator[pa.RecordBatch]:
     first, last = _runs(_limited(cut, STRING_WINDOWS))
     who, start, words = owner[first], inside[first], last - first + WINDOW
     done = settled[first]
-    bucket = least[first].view(np.int64) % (lanes * LANE_BUCKETS)
-    lane = np.where(done, -1, bucket // LANE_BUCKETS)
+    buckets = passes * PASS_BUCKETS  # of a lane
+    bucket = least[first].view(np.int64) % (lanes * buckets)
+    lane, bucket = np.where(done, -1, bucket // buckets), bucket % buckets
     if count:
         numbers, which = np.unique(lane[~done], return_inverse=True)
-        counts = np.zeros((len(numbers), LANE_BUCKETS), np.int64)
-        np.add.at(counts, (which, bucket[~done] % LANE_BUCKETS), 1)
+        counts = np.zeros((len(numbers), buckets), np.int64)
+        np.add.at(counts, (which, bucket[~done]), 1)
         yield pa.RecordBatch.from_pylist([{"lane": n, "counts": c} for n, c in zip(numbers, counts)], _ARROW_COUNTS)
         return
-    by = np.argsort(lane, kind="stable")
+    by = np.lexsort((bucket % passes, lane))
     b, e = begin[at[first]][by].tolist(), end[at[last] + WINDOW - 1][by].tolist()
     zstd = zstandard.ZstdCompressor(3)
     bounds = np.append(np.flatnonzero(np.diff(lane[by], prepend=-2)), len(by)).tolist()
@@ -282,12 +284,13 @@ def _pack(rows: list, lanes: int, count: bool) -> Iterator[pa.RecordBatch]:
         if number < 0:
             row |= {"lane": int(start[k].sum()) % lanes, "owner": which, "start": start[k], "words": words[k]}
         else:
-            inner = bucket[k] % LANE_BUCKETS
-            values = (np.diff(which, prepend=0), start[k], words[k], inner)
+            values = (np.diff(which, prepend=0), start[k], words[k], bucket[k])
             packed = [v.astype(kind).tobytes() for v, (_, kind) in zip(values, _FIELDS)]
-            packed.append(b" ".join([joined[x:y] for x, y in zip(b[i:j], e[i:j])]))
-            row |= {"lane": number, "packed": zstd.compress(b"".join(packed)),
-                    "size": len(k)}
+            sizes = np.bincount(bucket[k] % passes, minlength=passes)
+            ends = (i + np.cumsum(sizes)).tolist()
+            texts = [b" ".join([joined[x:y] for x, y in zip(b[f:t], e[f:t])]) for f, t in zip([i, *ends], ends)]
+            row |= {"lane": number, "packed": zstd.compress(b"".join(packed + texts)),
+                    "sizes": sizes, "bytes": [len(t) for t in texts]}
         out.append(row)
         if len(out) == 256:
             yield pa.RecordBatch.from_pylist(out, _ARROW_STRINGS)
@@ -295,7 +298,7 @@ def _pack(rows: list, lanes: int, count: bool) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pylist(out, _ARROW_STRINGS)
 
 
-def _strings(lanes: int, count: bool = False):
+def _strings(lanes: int, passes: int, count: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -303,44 +306,58 @@ def _strings(lanes: int, count: bool = False):
                 held.append(tuple(cell.as_py() for cell in row))
                 size += len(held[-1][2])
                 if size >= GROUP_BYTES:
-                    yield from _pack(held, lanes, count)
+                    yield from _pack(held, lanes, passes, count)
                     held, size = [], 0
-        yield from _pack(held, lanes, count)
+        yield from _pack(held, lanes, passes, count)
     return run
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
-    """Rows of strings with their numbers and texts unpacked."""
-    zstd = zstandard.ZstdDecompressor()
-    for n in range(batch.num_rows):
-        cell = {name: batch.column(name)[n] for name in batch.schema.names}
-        row = {"lane": cell["lane"].as_py(), "doc_ids": cell["doc_ids"].values, "digests": cell["digests"].values,
-               "hot": cell["hot"].values.to_numpy() if cell["hot"].is_valid else []}
-        if not cell["packed"].is_valid:
-            yield row | {k: cell[k].values.to_numpy().astype(np.int64) for k in ("owner", "start", "words")}
-            continue
-        size, data, at = cell["size"].as_py(), zstd.decompress(cell["packed"].as_py()), 0
+class _Row:
+    """A row of strings, compressed; ``part`` unpacks those of one pass."""
+
+    def __init__(self, cell: dict):
+        self.lane, self.doc_ids, self.digests = cell["lane"].as_py(), cell["doc_ids"].values, cell["digests"].values
+        self.packed, self.settled = cell["packed"].as_py(), None
+        self.hot = cell["hot"].values.to_numpy() if cell["hot"].is_valid else []
+        if self.packed is None:
+            self.settled = [cell[k].values.to_numpy().astype(np.int64) for k in ("owner", "start", "words")]
+        else:
+            self.sizes, self.bytes = (cell[k].values.to_numpy().astype(np.int64) for k in ("sizes", "bytes"))
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> Iterator[_Row]:
+        for n in range(batch.num_rows):
+            yield _Row({name: batch.column(name)[n] for name in batch.schema.names})
+
+    def part(self, number: int) -> dict:
+        data = zstandard.ZstdDecompressor().decompress(self.packed)
+        first, last = self.sizes[:number].sum(), self.sizes[:number + 1].sum()
+        out, at, every = {}, 0, int(self.sizes.sum())
         for name, kind in _FIELDS:
-            row[name] = np.frombuffer(data, kind, size, at).astype(np.int64)
-            at += row[name].size * np.dtype(kind).itemsize
-        row["owner"] = np.cumsum(row["owner"])
-        yield row | {"text": np.frombuffer(data, np.uint8, offset=at)}
+            column = np.frombuffer(data, kind, every, at)
+            at += column.nbytes
+            column = np.cumsum(column, dtype=np.int64) if name == "owner" else column.astype(np.int64)
+            out[name] = column[first:last]
+        begin = at + int(self.bytes[:number].sum())
+        return out | {"text": np.frombuffer(data, np.uint8, int(self.bytes[number]), begin)}
 
 
 class _Lane:
-    """The strings of some rows in memory, those of hot buckets or the others."""
+    """The strings of one pass of some rows in memory, those of hot buckets or the
+    others."""
 
-    def __init__(self, rows: list[dict], hot: bool):
+    def __init__(self, rows: list[_Row], number: int, hot: bool):
         owners, starts, texts, sizes, ids, digests, docs = [], [], [], [], [], [], 0
         for row in rows:
-            mine = np.isin(row["bucket"], row["hot"]) == hot
-            owners.append(row["owner"] + docs)
-            starts.append(row["start"])
-            sizes.append(np.where(mine, row["words"], -row["words"]))  # negative: not of this way
-            texts += [row["text"], np.array([32], np.uint8)]
-            ids.append(row["doc_ids"])
-            digests.append(row["digests"])
-            docs += len(row["doc_ids"])
+            part = row.part(number)
+            mine = np.isin(part["bucket"], row.hot) == hot
+            owners.append(part["owner"] + docs)
+            starts.append(part["start"])
+            sizes.append(np.where(mine, part["words"], -part["words"]))  # negative: not of this way
+            texts += [part["text"], np.array([32], np.uint8)]
+            ids.append(row.doc_ids)
+            digests.append(row.digests)
+            docs += len(row.doc_ids)
         self.ids, self.digests = pa.concat_arrays(ids), pa.concat_arrays(digests)
         text = np.concatenate(texts)
         sizes, owner, start = (np.concatenate(v) for v in (sizes, owners, starts))
@@ -375,27 +392,34 @@ class _Lane:
 
 def _by_lane(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by lane; one lane is held at a time."""
-    held: list[dict] = []
+    held: list[_Row] = []
     for batch in batches:
-        for row in _rows(batch):
-            if "text" not in row:  # settled already
-                who = pa.array(row["owner"])
-                yield pa.record_batch([row["doc_ids"].take(who), row["digests"].take(who), pa.array(row["start"]),
-                                       pa.array(row["start"] + row["words"])], names=["doc_id", "digest", "start", "stop"])
+        for row in _Row.of(batch):
+            if row.settled is not None:
+                owner, start, words = row.settled
+                yield pa.record_batch([row.doc_ids.take(pa.array(owner)), row.digests.take(pa.array(owner)),
+                                       pa.array(start), pa.array(start + words)],
+                                      names=["doc_id", "digest", "start", "stop"])
                 continue
-            if held and held[0]["lane"] != row["lane"]:
-                yield _Lane(held, hot=False).repeats()
+            if held and held[0].lane != row.lane:
+                yield from _swept(held)
                 held = []
             held.append(row)
-    if held:
-        yield _Lane(held, hot=False).repeats()
+    yield from _swept(held)
+
+
+def _swept(rows: list[_Row]) -> Iterator[pa.RecordBatch]:
+    """A lane, pass by pass."""
+    for number in range(len(rows[0].sizes) if rows else 0):
+        yield _Lane(rows, number, hot=False).repeats()
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hot buckets, one row for each window."""
     for batch in batches:
-        for row in _rows(batch):
-            yield _Lane([row], hot=True).windows()
+        for row in _Row.of(batch):
+            for number in range(len(row.sizes)):
+                yield _Lane([row], number, hot=True).windows()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -410,13 +434,15 @@ def removed_stretches(docs: DataFrame) -> DataFrame:
     document; stretches may touch or overlap."""
     keyed, spark = _keyed(docs), docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    lanes = size // LANE_BYTES + 1
-    counted = (keyed.mapInArrow(_strings(lanes, count=True), COUNTS)
+    # at least a few lanes for each slot, if there are as many passes
+    lanes = max(size // LANE_BYTES, min(size // PASS_BYTES, 8 * parallelism(spark))) + 1
+    passes = min(size // lanes // PASS_BYTES + 1, LANE_BYTES // PASS_BYTES)
+    counted = (keyed.mapInArrow(_strings(lanes, passes, count=True), COUNTS)
                .select("lane", F.posexplode("counts").alias("bucket", "n")).groupBy("lane", "bucket")
                .agg(F.sum("n").alias("n")).where(F.col("n") > HOT_STRINGS))
     hot = stage(counted.groupBy("lane").agg(F.collect_list("bucket").alias("hot")),
-                "dedup-hot")  # at most LANE_BUCKETS a lane
-    strings = keyed.mapInArrow(_strings(lanes), STRINGS).join(small_side(hot), "lane", "left")
+                "dedup-hot")  # at most a lane's buckets
+    strings = keyed.mapInArrow(_strings(lanes, passes), STRINGS).join(small_side(hot), "lane", "left")
     plain = (strings.repartition(max(min(lanes, MOST_TASKS), parallelism(spark)), "lane")
              .sortWithinPartitions("lane").mapInArrow(_by_lane, STRETCHES))
     if hot.isEmpty():
@@ -455,10 +481,10 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup(docs: DataFrame) -> DataFrame:
     """One row for each document: doc_id, n_words, n_removed and ``kept``, the
     words that stay joined by one space."""
-    lists = stage(removed_stretches(docs).groupBy("doc_id", "digest")
-                  .agg(F.collect_list(F.struct("start", "stop")).alias("gone")), "dedup-stretches")
-    gone = small_side(lists.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "gone"))
-    return (_keyed(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("_id"))
+    gone = (removed_stretches(docs).groupBy("doc_id", "digest")
+            .agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
+            .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "gone"))
+    return (_keyed(docs).join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id"))
                               & (F.col("digest") == F.col("_digest")), "left")
             .select("doc_id", "text", "gone")
             .mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string"))
