@@ -307,10 +307,16 @@ class Router:
     def __init__(self, lexicon: DataFrame, glossary: DataFrame, categories: DataFrame,
                  pairs: DataFrame, ref: date):
         self.ref = ref
-        self.lex = prepare_lexicon(lexicon.cache())
-        self.gl = prepare_glossary(glossary.cache())
-        self.cats = prepare_categories(categories.cache())
-        self.pairs = prepare_pairs(pairs.cache())
+        self._cached = [df.cache() for df in (lexicon, glossary, categories, pairs)]
+        self.lex = prepare_lexicon(self._cached[0])
+        self.gl = prepare_glossary(self._cached[1])
+        self.cats = prepare_categories(self._cached[2])
+        self.pairs = prepare_pairs(self._cached[3])
+
+    def release(self) -> None:
+        """Give back the memory of a router that is replaced."""
+        for df in self._cached:
+            df.unpersist()
 
     def route(self, questions: DataFrame) -> DataFrame:
         q = normalize(questions)

@@ -841,36 +841,32 @@ register("format_result_rows", OR.FORMAT_RESULT_ROWS)(
 
 def _stream_run(spark, d):
     """Run the message-loop stream once per input (two deliveries: the feed
-    and a full replay) and return its output folders."""
+    and a full replay) and return its output folder."""
     L = lh(spark, d)
     key = "stream_message_loop"
     if key not in L._paths:
         in_dir, out = _scratch(spark, d, "st_updates_in"), _scratch(spark, d, "st_routed")
-        replies, ckpt = _scratch(spark, d, "st_replies"), _scratch(spark, d, "st_routed_ckpt")
+        ckpt = _scratch(spark, d, "st_routed_ckpt")
         feed = U.updates_from_conversations(L.raw("conversations"))
         r = L.reference()
-        args = (L.lexicon(), Dic.fixed_glossary(spark), L.categories(), L.dim_category(),
-                r.last_date)
-        opts = dict(answer_table=L.analytic(), total_rows=r.rows, replies_dir=replies,
-                    state_partitions=parallelism(spark), flat=T.taxonomy_flat(L.silver()),
-                    router=R.Router(*args))  # static side prepared once for both runs
+        router = R.Router(L.lexicon(), Dic.fixed_glossary(spark), L.categories(), L.dim_category(), r.last_date)
+        base = J.Base(1, L.analytic(), r.last_date, r.rows, router, T.taxonomy_flat(L.silver()))
+        parts = parallelism(spark)
         feed.write.mode("overwrite").json(f"{in_dir}/drop_0001")
-        J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args, **opts)
+        J.route_stream(spark, f"{in_dir}/*", out, ckpt, base, state_partitions=parts)
         feed.write.mode("overwrite").json(f"{in_dir}/drop_0002")  # a full replay of the feed
-        J.route_stream(spark, f"{in_dir}/*", out, ckpt, *args, **opts)
+        J.route_stream(spark, f"{in_dir}/*", out, ckpt, base, state_partitions=parts)
         L._paths[key] = out
-        L._paths[key + "_replies"] = replies
-    return L._paths[key], L._paths[key + "_replies"]
+    return L._paths[key]
 
 
 def _stream_route(spark, d):
-    return J.read_routed(spark, _stream_run(spark, d)[0])
+    return J.read_routed(spark, _stream_run(spark, d))
 
 
 def _stream_replies(spark, d):
-    # the oracle states the replies from result rows; the loop also writes the others
-    return (spark.read.parquet(_stream_run(spark, d)[1]).where("origem = 'linhas'")
-            .select("q_id", "n_linhas", "resposta"))
+    return J.read_committed(spark, _stream_run(spark, d), "replies").select(
+        "q_id", "n_linhas", "resposta", "origem")
 
 
 register("stream_route_questions", OR.STREAM_ROUTE_QUESTIONS)(_stream_route)
@@ -898,6 +894,33 @@ register("stream_refresh",
     _stream_refresh)
 
 
+def _stream_live_base(spark, d):
+    """The loop under a base that is replaced while it runs: the updates of even
+    conversations come after the first drop, the others after the second."""
+    L = lh(spark, d)
+    name = lambda part: _scratch(spark, d, f"st_live_{part}")
+    landing, feed = L.landing(), U.updates_from_conversations(L.raw("conversations"))
+    last = L.reference(raw=True).last_date
+    base = J.LiveBase(spark, name("base"))
+    steps = [(landing.filter(F.col("data") < F.lit(last)), 0), (landing, 1)]
+    for n, (drop, odd) in enumerate(steps, 1):
+        drop.write.mode("overwrite").parquet(f"{name('drops')}/drop_{n:04d}")
+        J.refresh_stream(spark, f"{name('drops')}/*", name("base"), name("profile"), name("base_ckpt"), landing.schema)
+        (feed.where(F.pmod(F.col("message.chat.id"), F.lit(2)) == odd)
+         .write.mode("overwrite").json(f"{name('in')}/drop_{n:04d}"))
+        J.route_stream(spark, f"{name('in')}/*", name("out"), name("ckpt"), base,
+                       state_partitions=parallelism(spark))
+    return J.read_committed(spark, name("out"), "replies").select("q_id", "versao", "data_ref")
+
+
+register("stream_live_base",
+         f"{W('analytic_raw')}, b AS (SELECT max(data) AS ultima FROM analytic_raw), "
+         "v AS (SELECT 0 AS resto, 1 AS versao, max(data) AS data_ref FROM analytic_raw, b WHERE data < ultima "
+         "UNION ALL SELECT 1, 2, ultima FROM b) "
+         "SELECT DISTINCT CAST(conv_id * 4294967296 + turn AS BIGINT) AS q_id, versao, data_ref FROM conversations "
+         "JOIN v ON ((conv_id % 2) + 2) % 2 = resto WHERE role = 'user' AND text IS NOT NULL")(_stream_live_base)
+
+
 def _stream_dedup(spark, d):
     L = lh(spark, d)
     in_dir, out = _scratch(spark, d, "st_events_in"), _scratch(spark, d, "st_events_out")
@@ -908,7 +931,7 @@ def _stream_dedup(spark, d):
     J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema, state_partitions=parts)
     events.write.mode("overwrite").parquet(f"{in_dir}/drop_0002")  # replayed delivery
     J.dedup_stream(spark, f"{in_dir}/*", out, ckpt, events.schema, state_partitions=parts)
-    return spark.read.parquet(out).groupBy("event_type").agg(
+    return J.read_committed(spark, out, "rows").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("eventos"), F.count_distinct("event_id").alias("ids"))
 
 

@@ -345,10 +345,6 @@ FORMAT_RESULT_ROWS = routing_with(routed_cte(), answers_cte(), format_cte()) + "
 STREAM_ROUTE_QUESTIONS = (routing_with(routed_cte(), source=updates_questions_cte)
                           + " SELECT * FROM routed")
 
-STREAM_REPLIES = (routing_with(routed_cte(), answers_cte(), format_cte(),
-                               source=updates_questions_cte) + " SELECT * FROM replies")
-
-
 def dictionary_cte() -> str:
     header = fill_sql(K.REPLY_HEADER, user="r.user_name")
     question = fill_sql(K.REPLY_QUESTION, question="r.text")
@@ -381,3 +377,12 @@ def dictionary_cte() -> str:
 
 
 DICTIONARY_REPLIES = routing_with(routed_cte(), dictionary_cte()) + " SELECT * FROM dict_replies"
+
+# Every reply of the message loop: from result rows, from the dictionary, and the
+# reply for no data to all other questions.
+STREAM_REPLIES = (routing_with(routed_cte(), answers_cte(), format_cte(), dictionary_cte(),
+                               source=updates_questions_cte)
+                  + f""", known AS (SELECT q_id, n_linhas, resposta, 'linhas' AS origem FROM replies
+      UNION ALL SELECT q_id, n_linhas, resposta, 'dicionario' FROM dict_replies)
+    SELECT * FROM known UNION ALL SELECT r.q_id, 0, {fill_sql(K.REPLY_EMPTY, user="r.user_name")}, 'padrao'
+      FROM routed r WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.q_id = r.q_id)""")
