@@ -18,7 +18,7 @@ ROWS = [
     ("S4", "delimited scan with quarantine", ["csv_ingest", "csv_quarantine"], "sources/delimited.read_delimited"),
     ("S5", "ordered warehouse pull", ["sorted_export"], "DataFrame.orderBy (range-partitioned sort)"),
     ("S7", "nested JSON dictionary", ["taxonomy_coverage"], "sources/dictionary.read_dictionary, taxonomy_flat"),
-    ("S8", "file drop replaces base, profile", ["refresh_profile", "stream_refresh"], "sinks/writers.refresh, streaming/jobs.refresh_stream"),
+    ("S8", "file drop replaces base, profile", ["refresh_profile", "stream_refresh", "silver_incremental"], "sinks/writers.refresh, streaming/jobs.refresh_stream, sinks/incremental.refresh_days"),
     ("S9", "chat updates (JSON)", ["parse_updates"], "sources/updates.parse_updates"),
     ("K1/K2", "overwrite table (schema replaced / guarded)", ["table_roundtrip"], "sinks/writers.save_table"),
     ("K3", "delimited export, sanitized", ["csv_export_sanitize"], "sources/delimited.write_delimited"),
@@ -55,7 +55,7 @@ ROWS = [
     ("A12-A13", "dictionary counts", ["taxonomy_categories", "taxonomy_profile"], "operators/taxonomy"),
     ("W1", "dedup best rank", ["silver_dedup_best_rank"], "operators/silver.dedup_first"),
     ("W2", "latest row per listing", ["gold_dim_product"], "operators/gold.latest_per_listing"),
-    ("W3", "dense surrogate keys", ["gold_dim_category", "gold_dim_product"], "operators/keys.dense_key / ordered_index"),
+    ("W3", "dense surrogate keys", ["gold_dim_category", "gold_dim_product", "gold_stable_keys"], "operators/keys.dense_key / ordered_index, operators/registry.register_keys"),
     ("O1-O2", "sorted dimensions", ["gold_dim_calendar", "gold_dim_category"], "orderBy"),
     ("O3-O4", "ranking, top 5", ["ranking_categories", "ranking_subcategories_top5", "ranking_products_top5"], "orderBy + limit (TakeOrderedAndProject)"),
     ("O5", "any one match, made deterministic", ["subcategory_lookup"], "orderBy + limit 1"),
@@ -99,7 +99,7 @@ ROWS = [
     ("R5-R10", "flags, entities, warning, period, intent", ["route_questions", "match_entities", "level_warning", "resolve_period"], "operators/routing"),
     ("R11", "answer a batch", ["answer_questions"], "operators/answers.answer_questions"),
     ("R12", "reply text", ["format_result_rows", "format_dictionary_replies", "format_adhoc_reply"], "operators/answers"),
-    ("ST1", "message loop (route, answer, reply)", ["stream_route_questions", "stream_replies", "stream_dedup_events"], "streaming/jobs.route_stream, dedup_stream"),
+    ("ST1", "message loop (route, answer, reply)", ["stream_route_questions", "stream_replies", "stream_live_base", "stream_dedup_events"], "streaming/jobs.route_stream, dedup_stream"),
     ("ST2", "base drop -> reload + profile", ["stream_refresh"], "streaming/jobs.refresh_stream"),
 ]
 

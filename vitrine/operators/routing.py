@@ -109,7 +109,7 @@ def prepare_glossary(glossary: DataFrame):
     keys = g.select("pos", F.explode(F.array("ls", "lt")).alias("form")) \
             .withColumn("gram", F.array_join(tokens(F.col("form")), " ")).filter("gram != ''")
     max_n = keys.agg(F.max(F.size(tokens(F.col("form"))))).first()[0] or 1
-    return g, broadcast_if_small(forms), broadcast_if_small(keys), int(max_n)
+    return broadcast_if_small(g), broadcast_if_small(forms), broadcast_if_small(keys), int(max_n)
 
 
 def glossary_lookup(q: DataFrame, glossary: DataFrame, prepared=None) -> DataFrame:
@@ -126,7 +126,7 @@ def glossary_lookup(q: DataFrame, glossary: DataFrame, prepared=None) -> DataFra
             .filter(F.regexp_like(F.col("t"), F.concat(F.lit(CONCEPT_RE + r"\Q"), F.col("form"),
                                                        F.lit(r"\E(" + NW + "|$)"))))
             .select("q_id", "pos").distinct())
-    hits = exact.unionByName(pref).join(F.broadcast(g), "pos")  # g: the glossary itself
+    hits = exact.unionByName(pref).join(g, "pos")
     best = hits.groupBy("q_id").agg(
         F.min_by(F.struct("sigla", "termo", "explicacao"), F.col("pos")).alias("g"))
     return best.select("q_id", F.col("g.sigla").alias("sigla"), F.col("g.termo").alias("termo"),

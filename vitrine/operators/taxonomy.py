@@ -72,12 +72,22 @@ def lexicon(spark, dim_category: DataFrame) -> DataFrame:
     return fixed_lexicon(spark).unionByName(data_lexicon(dim_category))
 
 
-def coverage(silver: DataFrame, taxonomy_pairs: DataFrame) -> DataFrame:
-    """(categoria, subcategoria) pairs of the data that the dictionary lacks,
-    with their row counts (left anti join; pairs are pre-aggregated first)."""
-    pairs = silver.groupBy("categoria", "subcategoria").agg(F.count(F.lit(1)).alias("registros"))
-    known = taxonomy_pairs.select("categoria", "subcategoria").distinct()
-    return pairs.join(known, ["categoria", "subcategoria"], "left_anti")
+def coverage(silver: DataFrame, taxonomy_pairs: DataFrame, lexicon_rows: DataFrame) -> DataFrame:
+    """(categoria, subcategoria) pairs that one side has and the other lacks, by
+    left anti joins of pre-aggregated pairs. ``lado``: 'dados' (pairs of the data
+    that the dictionary lacks, with their row counts), 'dicionario' (pairs that no
+    keyword leads to) and 'lexico' (keyword pairs that the dictionary lacks)."""
+    key = ["categoria", "subcategoria"]
+    pairs = silver.groupBy(*key).agg(F.count(F.lit(1)).alias("registros"))
+    known = taxonomy_pairs.select(*key).distinct()
+    words = lexicon_rows.where(F.col("nivel") == "subcategoria").select(*key).distinct()
+
+    def only(left: DataFrame, right: DataFrame, side: str, rows) -> DataFrame:
+        return left.join(right, key, "left_anti").select(F.lit(side).alias("lado"), *key, rows.alias("registros"))
+
+    none = F.lit(None).cast("long")
+    return (only(pairs, known, "dados", F.col("registros"))
+            .unionByName(only(known, words, "dicionario", none)).unionByName(only(words, known, "lexico", none)))
 
 
 # ----------------------------------------------------------------------------

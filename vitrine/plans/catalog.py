@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vitrine.constants import (BOOLEAN_COLUMNS, INT_COLUMNS, LANDING_COLUMNS, LANDING_TYPES,
                                MARKUP_CHARS, MONEY_COLUMNS, NULL_CHECK_COLUMNS, NULL_DEFAULTS,
@@ -22,12 +24,14 @@ from vitrine.operators import compare as C
 from vitrine.operators import gold as G
 from vitrine.operators import metrics as M
 from vitrine.operators import quality as Q
+from vitrine.operators import registry as Kr
 from vitrine.operators import silver as S
 from vitrine.operators.periods import resolve
 from vitrine.plans import oracle as O
 from vitrine.plans.lakehouse import lakehouse
 from vitrine.session import parallelism
 from vitrine.constants import ORIGIN_FRESH
+from vitrine.sinks import incremental as Inc
 from vitrine.sinks import writers as Wr
 from vitrine.sources import delimited as D
 from vitrine.sources import dictionary as Dic
@@ -154,6 +158,41 @@ register("silver_null_defaults",
 register("silver_full", f"{W('silver')} SELECT * FROM silver")(
     lambda spark, d: lh(spark, d).silver().drop("_data_processamento"))
 
+
+
+def _silver_by_days(spark, d):
+    """Two drops: the last day is still missing in the first one, and half of the
+    first day's listings. The second one builds the months of those days only."""
+    base, landing = _scratch(spark, d, "silver_days"), B.select_contract(lh(spark, d).bronze())
+    ref = lh(spark, d).reference(raw=True)
+    early = landing.where((F.col("data") < F.lit(ref.last_date)) & ~(
+        (F.col("data") == F.lit(ref.first_date)) & (F.pmod(F.xxhash64("id_anuncio"), F.lit(2)) == 0)))
+    if Wr.current_version(spark, base) is None:
+        for drop in (early, landing):
+            Inc.refresh_days(drop, base, lambda rows: S.silver(rows, processing_time=False), unit=Inc.MONTH)
+    return Inc.read_days(spark, base)
+
+
+register("silver_incremental", f"{W('silver')} SELECT * FROM silver")(_silver_by_days)
+
+
+def _stable_keys(spark, d):
+    """Listings numbered in two loads: the first 30 days, then all."""
+    folder, silver = _scratch(spark, d, "listing_keys"), lh(spark, d).silver()
+    ref = lh(spark, d).reference()
+    middle = ref.first_date + timedelta(days=30)
+    if Wr.current_version(spark, folder) is None:
+        Kr.register_keys(silver.where(F.col("data") <= F.lit(middle)), folder, ["id_anuncio"], "sk_anuncio")
+        Kr.register_keys(silver, folder, ["id_anuncio"], "sk_anuncio")
+    return Kr.read_register(spark, folder, StructType.fromDDL("sk_anuncio long, id_anuncio string, carga int"))
+
+
+register("gold_stable_keys",
+         f"{W('silver')}, m AS (SELECT min(data) + 30 AS meio "
+         f"FROM silver), f AS (SELECT id_anuncio, CASE WHEN min(data) <= (SELECT meio FROM m) THEN 1 ELSE 2 END "
+         f"AS carga FROM silver GROUP BY id_anuncio) SELECT row_number() OVER (ORDER BY carga, id_anuncio ASC "
+         f"NULLS FIRST) AS sk_anuncio, id_anuncio, CAST(carga AS INTEGER) AS carga FROM f")(_stable_keys)
+
 register("silver_dedup_delta",
          f"{W('typed')} SELECT count(*) AS antes, "
          f"(SELECT count(*) FROM (SELECT DISTINCT data, id_anuncio FROM typed)) AS depois, "
@@ -246,8 +285,7 @@ register("table_profile",
          f"CAST(max(data) AS VARCHAR) || '|' || CAST(count(*) AS VARCHAR) AS status FROM landing")(
     lambda spark, d: Q.profile_line(lh(spark, d).landing()))
 
-register("table_file_size")(lambda spark, d: Q.file_size_mb(
-    spark, f"{d.rstrip('/')}/lineitem.parquet"))
+register("table_file_size")(lambda spark, d: Q.file_size_mb(spark, lh(spark, d).landing_path()))
 
 register("silver_parse_losses",
          f"{W('bronze')} " + " UNION ALL ".join(
@@ -652,6 +690,30 @@ def _multi_sink(spark, d):
                          ("csv", "csv", _scratch(spark, d, "multi_csv"))])
 
 
+def _schema_guard(spark, d):
+    """A guarded table, then a write with the same columns and one with another type."""
+    from vitrine.session import _RUN_ID
+    name, path = f"v{_RUN_ID}_dias_guardados", _scratch(spark, d, "guarded")
+    days = lh(spark, d).silver().groupBy("data").agg(F.count(F.lit(1)).alias("registros"))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    Wr.save_table(days, name, path)
+    out = []
+    for label, df in (("mesmo esquema", days), ("outro tipo", days.withColumn("registros", F.col("registros").cast("int")))):
+        try:
+            Wr.save_table(df, name, path, replace_schema=False)
+            reason = None
+        except ValueError as refused:
+            reason = str(refused).replace(name, "tabela")
+        held = spark.table(name).agg(F.sum("registros")).first()[0]  # what the table has after the try
+        out.append((label, reason, held))
+    return spark.createDataFrame(out, "tentativa string, motivo string, registros long")
+
+
+register("schema_guard",
+         f"{W('silver')} SELECT 'mesmo esquema' AS tentativa, NULL AS motivo, count(*) AS registros FROM silver "
+         f"UNION ALL SELECT 'outro tipo', 'schema of tabela would change: struct<data:date,registros:bigint> -> "
+         f"struct<data:date,registros:int>', count(*) FROM silver")(_schema_guard)
+
 register("multi_sink",
          f"{W('silver')} SELECT 'parquet' AS destino, count(*) AS registros FROM silver "
          f"UNION ALL SELECT 'csv', count(*) FROM silver")(_multi_sink)
@@ -735,14 +797,27 @@ def _fixed_pairs_sql():
 def _coverage(spark, d):
     path = Dic.publish_dictionary(spark, _scratch(spark, d, "dicionario_json"))
     flat = Dic.taxonomy_flat(Dic.read_dictionary(spark, path))
-    return T.coverage(lh(spark, d).silver(), flat)
+    return T.coverage(lh(spark, d).silver(), flat, Dic.fixed_lexicon(spark))
+
+
+def _fixed_words_sql():
+    from vitrine.constants import SUBCATEGORY_KEYWORDS
+    vals = ", ".join("(" + ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in (c, s)) + ")"
+                     for _, c, s in SUBCATEGORY_KEYWORDS)
+    return f"words AS (SELECT DISTINCT * FROM (VALUES {vals}) v(categoria, subcategoria))"
+
+
+def _lacking(left, right):
+    return (f"NOT EXISTS (SELECT 1 FROM {right} r WHERE r.categoria = {left}.categoria "
+            f"AND r.subcategoria = {left}.subcategoria)")
 
 
 register("taxonomy_coverage",
-         f"{W('silver', extra=[_fixed_pairs_sql()])} SELECT s.categoria, s.subcategoria, "
-         f"count(*) AS registros FROM silver s WHERE NOT EXISTS (SELECT 1 FROM tax t WHERE "
-         f"t.categoria = s.categoria AND t.subcategoria = s.subcategoria) "
-         f"GROUP BY s.categoria, s.subcategoria")(_coverage)
+         f"{W('silver', extra=[_fixed_pairs_sql(), _fixed_words_sql()])} SELECT 'dados' AS lado, categoria, "
+         f"subcategoria, count(*) AS registros FROM silver WHERE {_lacking('silver', 'tax')} GROUP BY ALL "
+         f"UNION ALL SELECT 'dicionario', categoria, subcategoria, NULL FROM tax WHERE {_lacking('tax', 'words')} "
+         f"UNION ALL SELECT 'lexico', categoria, subcategoria, NULL FROM words WHERE {_lacking('words', 'tax')}")(
+    _coverage)
 
 # ============================================================================
 # Scalar rendering

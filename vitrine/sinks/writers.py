@@ -6,7 +6,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,18 +39,18 @@ def write_parquet(df: DataFrame, path: str, codec: str = "zstd",
 
 
 def write_all(df: DataFrame, targets: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Write one result to several ``(name, format, path)`` destinations from a
-    single computation (persisted once), then report the rows each holds."""
+    """Write one result to several ``(name, format, path)`` destinations, then
+    report the rows each holds. It is computed once: the first Parquet target is
+    written first, and the others are copied from it."""
     spark = df.sparkSession
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for _, fmt, path in targets:
-            w = cached.write.mode("overwrite").format(fmt)
-            if fmt == "csv":
-                w = w.option("header", True).option("sep", ";")
-            w.save(path)
-    finally:
-        cached.unpersist()
+    source = df
+    for _, fmt, path in sorted(targets, key=lambda t: t[1] != "parquet"):
+        w = source.write.mode("overwrite").format(fmt)
+        if fmt == "csv":
+            w = w.option("header", True).option("sep", ";")
+        w.save(path)
+        if source is df and fmt == "parquet":
+            source = spark.read.schema(df.schema).parquet(path)
     counts = None
     for name, fmt, path in targets:
         r = spark.read.format(fmt)
@@ -83,6 +82,10 @@ def version_path(base_dir: str, version: int) -> str:
     return f"{base_dir}/v{version:06d}"
 
 
+def published_versions(spark: SparkSession, base_dir: str) -> list[int]:
+    return sorted(_numbers(spark, f"{base_dir}/{MARKERS}"))
+
+
 def current_version(spark: SparkSession, base_dir: str) -> int | None:
     """The highest published version; None before the first one. A store that
     cannot be listed is an error, not an empty base."""
