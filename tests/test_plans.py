@@ -78,6 +78,17 @@ def test_nested_loop_joins_only_against_small_sides(spark):
             assert re.search(r"BroadcastNestedLoopJoin BuildRight", p)
 
 
+def test_routing_has_no_pairwise_join(spark):
+    """The operator itself, not the read of its written layer."""
+    from vitrine.operators.routing import Router
+    from vitrine.plans.catalog import lh
+    from vitrine.sources.dictionary import fixed_glossary
+    L = lh(spark, SMOKE)
+    router = Router(L.lexicon(), fixed_glossary(spark), L.categories(), L.dim_category(), L.reference().last_date)
+    p = plan(router.route(L.questions()))
+    assert "Join" in p and "NestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
 def _windows_fed_by_single_partition(p: str) -> list[str]:
     """Window operators whose input arrives through a single-partition exchange."""
     lines = p.split("\n")

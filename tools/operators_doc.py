@@ -20,7 +20,7 @@ ROWS = [
     ("S7", "nested JSON dictionary", ["taxonomy_coverage"], "sources/dictionary.read_dictionary, taxonomy_flat"),
     ("S8", "file drop replaces base, profile", ["refresh_profile", "stream_refresh", "silver_incremental"], "sinks/writers.refresh, streaming/jobs.refresh_stream, sinks/incremental.refresh_days"),
     ("S9", "chat updates (JSON)", ["parse_updates"], "sources/updates.parse_updates"),
-    ("K1/K2", "overwrite table (schema replaced / guarded)", ["table_roundtrip"], "sinks/writers.save_table"),
+    ("K1/K2", "overwrite table (schema replaced / guarded)", ["table_roundtrip", "schema_guard"], "sinks/writers.save_table"),
     ("K3", "delimited export, sanitized", ["csv_export_sanitize"], "sources/delimited.write_delimited"),
     ("K4", "Parquet ZSTD", ["parquet_zstd_roundtrip"], "sinks/writers.write_parquet"),
     ("K5", "several destinations", ["multi_sink"], "sinks/writers.write_all"),

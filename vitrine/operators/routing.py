@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from vitrine import constants as K
 from vitrine.functions.formatting import fill, regex_escape, word_match, word_pattern_col
+from vitrine.operators import substring as Sub
 from vitrine.operators.keys import broadcast_if_small
 
 NW = r"[^\p{L}\p{M}\p{N}_]"
@@ -134,8 +135,18 @@ def glossary_lookup(q: DataFrame, glossary: DataFrame, prepared=None) -> DataFra
                        .alias("definicao"))
 
 
-def prepare_categories(categories: DataFrame) -> DataFrame:
-    return broadcast_if_small(categories.select("categoria", "pos", F.lower("categoria").alias("lc")))
+def prepare_categories(categories: DataFrame):
+    """Category names posted under their character runs, how often each run occurs,
+    and the names keyed by their own rarest one (to be found inside terms)."""
+    names = categories.select("categoria", "pos", F.lower("categoria").alias("lc"))
+    posted, counts = prepare_names(names, "lc")
+    inner = Sub.keyed(names, "lc", counts, ["categoria", "pos"])
+    return posted, counts, broadcast_if_small(inner)
+
+
+def prepare_names(names: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    posted = Sub.postings(names, column)
+    return broadcast_if_small(posted), broadcast_if_small(Sub.frequencies(posted))
 
 
 def taxonomy_match(q: DataFrame, categories: DataFrame, prepared=None) -> DataFrame:
@@ -144,14 +155,17 @@ def taxonomy_match(q: DataFrame, categories: DataFrame, prepared=None) -> DataFr
     term = F.trim(F.regexp_extract("t", K.SUBCATEGORIES_OF_PATTERN, 1))
     asks = (q.select("q_id", "t", term.alias("term"))
             .filter((F.col("term") != "") & ~_any_contains(F.col("t"), K.SALES_WORDS_BLOCKING_LIST)))
-    cats = prepared if prepared is not None else prepare_categories(categories)
-    j = asks.join(cats, F.col("lc").contains(F.col("term")) | F.col("term").contains(F.col("lc")))
+    posted, counts, inner = prepared or prepare_categories(categories)
+    asks = asks.select("q_id", "term")
+    around = Sub.containing(Sub.keyed(asks, "term", counts, ["q_id"]), "term", posted, "lc")
+    inside = Sub.containing(inner, "lc", Sub.postings(asks, "term"), "term")
+    j = around.select("q_id", "categoria", "pos").unionByName(inside.select("q_id", "categoria", "pos"))
     return j.groupBy("q_id").agg(F.min_by("categoria", "pos").alias("lista_categoria"))
 
 
-def prepare_pairs(pairs: DataFrame) -> DataFrame:
-    return broadcast_if_small(pairs.select("categoria", "subcategoria").distinct()
-                              .withColumn("ls", F.lower("subcategoria")))
+def prepare_pairs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return prepare_names(pairs.select("categoria", "subcategoria").distinct()
+                         .withColumn("ls", F.lower("subcategoria")), "ls")
 
 
 def dynamic_subcategory(q: DataFrame, pairs: DataFrame, prepared=None) -> DataFrame:
@@ -161,8 +175,8 @@ def dynamic_subcategory(q: DataFrame, pairs: DataFrame, prepared=None) -> DataFr
     for stop in K.DYNAMIC_STOP_PHRASES:
         term = F.trim(F.replace(term, F.lit(stop), F.lit("")))
     cand = q.select("q_id", F.trim(term).alias("term")).filter("term != ''")
-    p = prepared if prepared is not None else prepare_pairs(pairs)
-    j = cand.join(p, F.col("ls").contains(F.col("term")))
+    posted, counts = prepared or prepare_pairs(pairs)
+    j = Sub.containing(Sub.keyed(cand, "term", counts, ["q_id"]), "term", posted, "ls")
     best = j.groupBy("q_id", "term").agg(F.min(F.struct("categoria", "subcategoria")).alias("m"))
     return best.select("q_id", F.col("term").alias("dyn_term"),
                        F.col("m.categoria").alias("dyn_parent"),
