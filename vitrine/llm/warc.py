@@ -38,10 +38,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.llm.common import small_side, stage
+from vitrine.session import parallelism
 
 FILE_BYTES = 64 << 20
 BLOCK_LINES = 256
 COALESCE_BYTES = 1 << 20
+READ_BYTES = 32 << 20  # for each task that reads records
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -256,7 +258,9 @@ def lookup(queries: DataFrame, folder: str) -> DataFrame:
                 rows += index.find(low, high)
             yield _arrow(rows, CAPTURES)
 
-    ordered = queries.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # keys are small, but each costs a search: a stated count, which is not cut down by size
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = queries.select(*keys).repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
     return ordered.mapInArrow(run, CAPTURES)
 
 
@@ -280,7 +284,8 @@ def parse_record(data: bytes) -> tuple:
 
 def read_records(captures: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """The records (``RECORDS``) at the captures' byte ranges, read in file order;
-    near ranges are read at once."""
+    near ranges are read at once. Captures are small but stand for the bytes they
+    point at, so those decide how many tasks share the reading."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _filesystem(folder)
         for batch in batches:
@@ -304,6 +309,8 @@ def read_records(captures: DataFrame, folder: str, payloads: bool = True) -> Dat
                     rows = []
             yield _arrow(rows, RECORDS)
 
-    ordered = (captures.select("file", "offset", "length").repartitionByRange("file", "offset")
-               .sortWithinPartitions("file", "offset"))
+    spots = stage(captures.select("file", "offset", "length"), "warc-captures")
+    size = spots.agg(F.sum("length")).first()[0] or 0
+    tasks = max(size // READ_BYTES + 1, parallelism(captures.sparkSession))
+    ordered = spots.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(run, RECORDS)
