@@ -84,7 +84,7 @@ ROWS = [
     ("M9", "average price", ["average_price"], "operators/metrics.average_price"),
     ("M10", "FULL / free-shipping shares", ["full_share", "free_shipping_share"], "operators/metrics.flag_share"),
     ("M11", "dynamic subcategory lookup", ["subcategory_lookup", "route_questions"], "metrics.lookup_subcategory, routing.dynamic_subcategory"),
-    ("M12", "all periods x levels in one pass", ["period_cube"], "operators/metrics.period_cube"),
+    ("M12", "all periods x levels in one pass", ["period_cube", "trailing_totals"], "operators/metrics.period_cube, operators/ranges"),
     ("M13", "ad-hoc SQL", ["adhoc_sql", "format_adhoc_reply"], "operators/metrics.adhoc_sql"),
     ("C1", "MoM (same month last year)", ["mom_same_month_ly"], "operators/compare.mom_same_month_ly"),
     ("C2", "YoY", ["yoy", "yoy_by_category"], "operators/compare.yoy / compare"),
@@ -97,7 +97,7 @@ ROWS = [
     ("R1-R3", "taxonomy listings", ["taxonomy_categories", "taxonomy_subcategories", "taxonomy_flat"], "operators/taxonomy"),
     ("R4", "glossary answer", ["glossary_lookup", "format_dictionary_replies"], "routing.glossary_lookup, answers.dictionary_replies"),
     ("R5-R10", "flags, entities, warning, period, intent", ["route_questions", "match_entities", "level_warning", "resolve_period"], "operators/routing"),
-    ("R11", "answer a batch", ["answer_questions"], "operators/answers.answer_questions"),
+    ("R11", "answer a batch", ["answer_questions"], "operators/answers.answer_questions, operators/ranges"),
     ("R12", "reply text", ["format_result_rows", "format_dictionary_replies", "format_adhoc_reply"], "operators/answers"),
     ("ST1", "message loop (route, answer, reply)", ["stream_route_questions", "stream_replies", "stream_live_base", "stream_dedup_events"], "streaming/jobs.route_stream, dedup_stream"),
     ("ST2", "base drop -> reload + profile", ["stream_refresh"], "streaming/jobs.refresh_stream"),

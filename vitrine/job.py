@@ -58,7 +58,7 @@ def answer(lh: Lakehouse, questions: DataFrame) -> tuple[DataFrame, DataFrame, D
     # routed once to the shared checkpoint folder: later steps read it several
     # times, and routing + answering fused into one stage is too large to compile
     routed = router.route(questions).checkpoint(eager=True)
-    rows = answer_questions(routed, lh.analytic(), ref.last_date, ref.rows)
+    rows = answer_questions(routed, lh.analytic(), ref.last_date, ref.rows, lh.range_index())
     replies = every_reply(rows, routed, taxonomy_flat(lh.silver()), str(ref.last_date), ref.rows)
     return routed, rows, replies.drop("origem")
 

@@ -1,10 +1,10 @@
 """Answering a batch of routed questions and rendering the replies.
 
-Aggregates are computed once per distinct question period (not per
-question): rows are matched to the few distinct periods (broadcast after a
-size check), reduced to (period, categoria, subcategoria) and to per-period
-top products, and each question then picks its rows with equi-joins on the
-period key and its entity filters.
+Aggregates are computed once per distinct question period (not per question).
+Sums by category and subcategory come from the range index (``operators/ranges``):
+a period is a few intervals of days, found by equi-joins. Only the periods of
+product rankings read the answer table, in one scan joined on the date. Each
+question then picks its rows with equi-joins on the period key and its entities.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from vitrine import constants as K
 from vitrine.functions.formatting import br_number_text, fill
 from vitrine.functions.parsing import money_exact
 from vitrine.operators.keys import broadcast_if_small
-from vitrine.operators.periods import period_match
+from vitrine.operators.ranges import days_with_rows, period_ranges, range_index, range_sums
 
 TOP_N = 5
 ANSWER_COLUMNS = ["q_id", "intent", "linha", "periodo", "categoria", "subcategoria",
@@ -30,29 +30,26 @@ def _pkey(df: DataFrame) -> Column:
     return F.concat_ws("|", df["kind"], df["inicio"].cast("string"), df["fim"].cast("string"))
 
 
-def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_rows: int
-                     ) -> DataFrame:
+def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_rows: int,
+                     index: DataFrame | None = None) -> DataFrame:
     """Result rows per answerable question (``linha`` = row order).
-    ``last_date`` / ``total_rows`` are the base's reference scalars."""
+    ``last_date`` / ``total_rows`` are the base's reference scalars, ``index`` its
+    written range index (built from ``analytic`` where not given)."""
+    if index is None:
+        index = range_index(analytic).checkpoint(eager=True)  # read several times below
     q = routed.filter(F.col("status") == "ok").withColumn("pkey", _pkey(routed))
     periods = (q.filter(F.col("intent").isin("subcategoria", "categoria", "ranking_subcategorias",
-                                              "ranking_categorias", "ranking_produtos", "total"))
+                                              "ranking_categorias", "total"))
                .select("pkey", "kind", "inicio", "fim", "p_ano", "p_mes").distinct())
-    # single-day periods: equi-join on the date (hash join, no pair scan);
-    # cumulative periods (MTD/YTD of the reference year, at most two): range
-    # condition on a broadcast table of those rows, after pruning to that year.
-    cumulative = F.col("kind").isin("mtd", "ytd")
-    days = broadcast_if_small(periods.filter(~cumulative).select("pkey", F.col("inicio").alias("data")))
-    cum = broadcast_if_small(periods.filter(cumulative))
-    rows = (analytic.join(days, "data", "inner")
-            .unionByName(analytic.filter(F.col("ano") == (last_date.year if last_date else None))
-                         .join(cum, period_match(analytic, cum), "inner")
-                         .drop("kind", "inicio", "fim", "p_ano", "p_mes")))
-    cs = (rows.groupBy("pkey", "categoria", "subcategoria")
-          .agg(F.sum(money_exact("fat_num")).alias("fat"),
-               F.sum("qtd_vendas_num").alias("qtd")))
+    cs = range_sums(index, period_ranges(periods, "pkey"), "pkey", ["categoria", "subcategoria"])
     cat = cs.groupBy("pkey", "categoria").agg(F.sum("fat").alias("fat"), F.sum("qtd").alias("qtd"))
     tot = cs.groupBy("pkey").agg(F.sum("fat").alias("fat"), F.sum("qtd").alias("qtd"))
+    ranked = (q.filter(F.col("intent") == "ranking_produtos")
+              .select("pkey", "kind", "inicio", "fim", "p_ano", "p_mes").distinct())
+    days = broadcast_if_small(days_with_rows(index, ranked, "pkey"))
+    of_period = ((days["p_ano"].isNull() | (analytic["ano"] == days["p_ano"]))
+                 & (days["p_mes"].isNull() | (analytic["mes"] == days["p_mes"])))
+    rows = analytic.join(days, (analytic["data"] == days["data"]) & of_period)
     prod = (rows.groupBy("pkey", "titulo_produto", "marca", "categoria", "subcategoria")
             .agg(F.sum(money_exact("fat_num")).alias("fat"),
                  F.sum("qtd_vendas_num").alias("qtd")))
@@ -100,8 +97,7 @@ def answer_questions(routed: DataFrame, analytic: DataFrame, last_date, total_ro
     w = Window.partitionBy("q_id").orderBy(
         F.col("fat").desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in
                                           ("categoria", "subcategoria", "titulo_produto", "marca")])
-    ranked = found.withColumn("linha", F.row_number().over(w))
-    out = ranked.select("q_id", "intent", "linha", "periodo", "categoria", "subcategoria",
+    out = found.withColumn("linha", F.row_number().over(w)).select("q_id", "intent", "linha", "periodo", "categoria", "subcategoria",
                         "titulo_produto", "marca", F.col("fat").cast("double").alias("faturamento"),
                         F.col("qtd").cast("long").alias("vendas"),
                         F.lit(None).cast("string").alias("data_mais_recente"),

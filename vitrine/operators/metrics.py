@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.parsing import money_exact
-from vitrine.operators.periods import Period, in_period, period_match, periods_table
+from vitrine.operators.periods import Period, in_period, periods_table
+from vitrine.operators.ranges import period_ranges, range_index, range_sums
 
 
 def money_sum(c: str) -> Column:
@@ -158,27 +159,18 @@ def lookup_subcategory(df: DataFrame, term: str) -> DataFrame:
             .limit(1))
 
 
-def period_cube(spark: SparkSession, df: DataFrame, ref) -> DataFrame:
+def period_cube(spark: SparkSession, df: DataFrame, ref, index: DataFrame | None = None) -> DataFrame:
     """All standard periods x (total, category, category+subcategory) in one pass.
 
-    Rows are first reduced to one per (day, category, subcategory); the
-    4-row period table is broadcast (fixed size) and matched by a range
-    condition; a rollup then gives every level, told apart by ``gid``
-    (0 = category+subcategory, 1 = category, 3 = period total)."""
-    from datetime import timedelta
-    # Only two slices can match any period: the reference year (MTD / YTD
-    # filter on the stored ano, so this prunes partitions) and the two single
-    # days (row-group pruning on data), taken disjointly.
-    year = df.filter(F.col("ano") == ref.year)
-    days = df.filter(F.col("data").isin(ref, ref - timedelta(days=1))
-                     & ~F.col("ano").eqNullSafe(ref.year))
-    daily = (year.unionByName(days).groupBy("data", "ano", "mes", "categoria", "subcategoria")
-             .agg(money_sum("fat_num").alias("_fat"), F.sum("qtd_vendas_num").alias("_qtd")))
-    periods = F.broadcast(periods_table(spark, ref))
-    matched = daily.join(periods, period_match(daily, periods), "inner")
+    Each period is a few intervals of the range index (``index``, or built from
+    ``df``), matched by an equi-join; a rollup then gives every level, told apart
+    by ``gid`` (0 = category+subcategory, 1 = category, 3 = period total)."""
+    index = index if index is not None else range_index(df)
+    matched = range_sums(index, period_ranges(periods_table(spark, ref), "periodo"), "periodo",
+                         ["categoria", "subcategoria"])
     cube = (matched.rollup("periodo", "categoria", "subcategoria")
-            .agg(F.sum("_fat").cast("double").alias("faturamento"),
-                 F.sum("_qtd").cast("long").alias("vendas"),
+            .agg(F.sum("fat").cast("double").alias("faturamento"),
+                 F.sum("qtd").cast("long").alias("vendas"),
                  F.grouping("periodo").alias("_gp"),
                  (F.grouping("categoria") * 2 + F.grouping("subcategoria")).cast("int").alias("gid")))
     return cube.filter("_gp = 0").select("periodo", "categoria", "subcategoria", "gid",

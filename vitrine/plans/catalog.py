@@ -24,6 +24,7 @@ from vitrine.operators import compare as C
 from vitrine.operators import gold as G
 from vitrine.operators import metrics as M
 from vitrine.operators import quality as Q
+from vitrine.operators import ranges as Rg
 from vitrine.operators import registry as Kr
 from vitrine.operators import silver as S
 from vitrine.operators.periods import resolve
@@ -485,7 +486,24 @@ def _cube_select():
 
 
 register("period_cube", _cube_sql())(
-    lambda spark, d: M.period_cube(spark, lh(spark, d).analytic(), _ref(spark, d)))
+    lambda spark, d: M.period_cube(spark, lh(spark, d).analytic(), _ref(spark, d), lh(spark, d).range_index()))
+
+# FIXED VALUES: lengths in days of the registered trailing totals.
+P_TRAILING_DAYS = (7, 30, 90, 365)
+
+
+def _trailing_sql():
+    daily = ("daily AS (SELECT data, SUM(TRY_CAST(fat_num AS DECIMAL(28,2))) AS fat, "
+             "SUM(qtd_vendas_num) AS qtd FROM analytic WHERE data IS NOT NULL GROUP BY data)")
+    return (f"{W('analytic')}, {daily} SELECT e.data, CAST(n.dias AS INTEGER) AS dias, "
+            f"CAST(SUM(d.fat) AS DOUBLE) AS faturamento, CAST(SUM(d.qtd) AS BIGINT) AS vendas "
+            f"FROM daily e CROSS JOIN (SELECT unnest({list(P_TRAILING_DAYS)}) AS dias) n "
+            f"JOIN daily d ON d.data <= e.data AND d.data > e.data - CAST(n.dias AS INTEGER) "
+            f"GROUP BY e.data, n.dias")
+
+
+register("trailing_totals", _trailing_sql())(
+    lambda spark, d: Rg.trailing_totals(lh(spark, d).range_index(), P_TRAILING_DAYS))
 
 # FIXED VALUES: the ad-hoc query text used by the registered ``adhoc_sql`` key.
 ADHOC_SQL = ("SELECT marca, CAST(SUM(qtd_vendas_num) AS BIGINT) AS vendas, "
@@ -853,7 +871,7 @@ register("strip_markup",
 
 def _pipe(spark, d):
     from vitrine.operators.answers import pipe_table
-    cube = M.period_cube(spark, lh(spark, d).analytic(), _ref(spark, d)).filter("gid = 0")
+    cube = M.period_cube(spark, lh(spark, d).analytic(), _ref(spark, d), lh(spark, d).range_index()).filter("gid = 0")
     return pipe_table(cube, "periodo",
                       [F.col("faturamento").desc_nulls_last(), F.col("categoria").asc_nulls_first(),
                        F.col("subcategoria").asc_nulls_first()],

@@ -194,7 +194,12 @@ class Lakehouse:
         from vitrine.operators.answers import answer_questions
         r = self.reference()
         return self._materialize("answers", lambda: answer_questions(
-            self.routed(), self.analytic(), r.last_date, r.rows))
+            self.routed(), self.analytic(), r.last_date, r.rows, self.range_index()))
+
+    def range_index(self) -> DataFrame:
+        """Sums of the answer table by dyadic intervals of days."""
+        from vitrine.operators.ranges import range_index
+        return self._materialize("range_index", lambda: range_index(self.analytic()))
 
     def reference(self, raw: bool = False) -> Reference:
         """Last date, first date and row count of the answer table (one

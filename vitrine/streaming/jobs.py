@@ -44,6 +44,7 @@ from pyspark.sql import types as T
 
 from vitrine.operators.answers import answer_questions, every_reply
 from vitrine.operators.gold import analytic_from_raw, dim_category
+from vitrine.operators.ranges import range_index
 from vitrine.operators.routing import ROUTE_COLUMNS, Router
 from vitrine.operators.taxonomy import lexicon, taxonomy_flat
 from vitrine.sinks import writers as Wr
@@ -162,25 +163,28 @@ def _once(spark: SparkSession, rows: DataFrame, key: str, out_dir: str, checkpoi
 @dataclass(frozen=True)
 class Base:
     """What questions are answered from, as of one version. ``flat`` is the
-    taxonomy that dictionary replies list (None: no such replies)."""
+    taxonomy that dictionary replies list (None: no such replies), ``index`` the
+    range index of the table (None: built for each batch)."""
     version: int
     table: DataFrame
     ref: date
     total_rows: int
     router: Router
     flat: DataFrame | None = None
+    index: DataFrame | None = None
 
     def __call__(self, version: int | None = None) -> Base:
         return self
 
 
 def base_of(spark: SparkSession, table: DataFrame, version: int) -> Base:
-    """Router, reference date and taxonomy of an answer table."""
+    """Router, reference date, taxonomy and range index of an answer table."""
     row = table.agg(F.max("data").alias("last"), F.count(F.lit(1)).alias("n")).first()
     pairs = dim_category(table).checkpoint(eager=True)
     categories = pairs.groupBy("categoria").agg(F.min("sk_categoria").alias("pos"))
     router = Router(lexicon(spark, pairs), fixed_glossary(spark), categories, pairs, row["last"])
-    return Base(version, table, row["last"], int(row["n"]), router, taxonomy_flat(table))
+    return Base(version, table, row["last"], int(row["n"]), router, taxonomy_flat(table),
+                range_index(table).checkpoint(eager=True))
 
 
 class LiveBase:
@@ -221,7 +225,7 @@ def route_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
         qs = rows.select(F.col("update_id").alias("q_id"), F.col("first_name").alias("user_name"), "text")
         b.router.route(qs).write.mode("overwrite").parquet(f"{folder}/routed")
         routed = rows.sparkSession.read.parquet(f"{folder}/routed")
-        found = answer_questions(routed, b.table, b.ref, b.total_rows)
+        found = answer_questions(routed, b.table, b.ref, b.total_rows, b.index)
         every_reply(found, routed, b.flat, str(b.ref), b.total_rows) \
             .withColumns({"versao": F.lit(b.version), "data_ref": F.lit(b.ref)}) \
             .write.mode("overwrite").parquet(f"{folder}/replies")
