@@ -15,7 +15,7 @@ from vitrine.streaming import jobs as J
 def base(spark):
     L, r = lh(spark, SMOKE), lh(spark, SMOKE).reference()
     router = Router(L.lexicon(), fixed_glossary(spark), L.categories(), L.dim_category(), r.last_date)
-    return J.Base(1, L.analytic(), r.last_date, r.rows, router, T.taxonomy_flat(L.silver()))
+    return J.Base(1, L.analytic(), r.last_date, r.rows, router, T.taxonomy_flat(L.silver()), L.range_index())
 
 
 def feed(spark):
