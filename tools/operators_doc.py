@@ -47,7 +47,7 @@ ROWS = [
     ("J6", "category name match", ["taxonomy_match"], "operators/routing.taxonomy_match"),
     ("J7", "rows with reference scalars", ["period_cube"], "Lakehouse.reference + literals"),
     ("A1-A2", "count, min/max date", ["table_profile", "bronze_period_audit"], "operators/quality.profile_line, period_audit"),
-    ("A3-A4", "sums, distinct categories", ["silver_totals"], "operators/quality.silver_totals"),
+    ("A3-A4", "sums, distinct categories", ["silver_totals", "distinct_listings"], "operators/quality.silver_totals, operators/distinct"),
     ("A5", "rows per category", ["bronze_category_distribution"], "groupBy.count.orderBy"),
     ("A6-A8", "sums per category / pair / product", ["ranking_categories", "ranking_subcategories_top5", "ranking_products_top5"], "operators/metrics.by_keys"),
     ("A9-A10", "distinct dates / pairs", ["gold_dim_calendar", "gold_dim_category"], "operators/gold"),
@@ -67,7 +67,7 @@ ROWS = [
     ("Q2", "duplicates removed", ["silver_dedup_delta"], "operators/quality.dedup_delta"),
     ("Q3", "null counts (one pass)", ["silver_null_counts"], "operators/quality.null_counts"),
     ("Q4", "silver totals", ["silver_totals", "silver_parse_losses"], "operators/quality.silver_totals"),
-    ("Q5", "silver vs gold reconcile", ["gold_reconcile"], "operators/quality.reconcile"),
+    ("Q5", "silver vs gold reconcile", ["gold_reconcile", "gold_divergence", "dedup_divergence"], "operators/quality.reconcile, operators/drilldown"),
     ("Q6", "gold audit", ["gold_audit"], "operators/quality.gold_audit"),
     ("Q7", "row counts of gold tables", ["gold_row_counts"], "operators/quality.row_counts"),
     ("Q9", "profile OK|min|max|count", ["table_profile"], "operators/quality.profile_line"),

@@ -21,12 +21,15 @@ from vitrine.constants import (BOOLEAN_COLUMNS, INT_COLUMNS, LANDING_COLUMNS, LA
                                ORIGIN_EXISTING_FILE, TRIM_COLUMNS)
 from vitrine.operators import bronze as B
 from vitrine.operators import compare as C
+from vitrine.operators import distinct as Dc
+from vitrine.operators import drilldown as Dr
 from vitrine.operators import gold as G
 from vitrine.operators import metrics as M
 from vitrine.operators import quality as Q
 from vitrine.operators import ranges as Rg
 from vitrine.operators import registry as Kr
 from vitrine.operators import silver as S
+from vitrine.functions.parsing import money_exact
 from vitrine.operators.periods import resolve
 from vitrine.plans import oracle as O
 from vitrine.plans.lakehouse import lakehouse
@@ -260,6 +263,58 @@ register("gold_reconcile",
          f"ELSE 'ERRO' END AS status FROM m")(
     lambda spark, d: Q.reconcile(lh(spark, d).silver(), lh(spark, d).fact()))
 
+
+
+def _divergence_sql(a: str, b: str, keys: list[str], fat: tuple[str, str], qtd: tuple[str, str]) -> str:
+    def side(t, x, f, q):
+        return (f"{x} AS (SELECT {', '.join(keys)}, count(*) AS n, "
+                f"SUM(TRY_CAST({f} AS DECIMAL(28,2))) AS fat, SUM({q}) AS qtd FROM {t} GROUP BY ALL)")
+    out = ", ".join(f"coalesce(x.{k}, y.{k}) AS {k}" for k in keys)
+    on = " AND ".join(f"x.{k} IS NOT DISTINCT FROM y.{k}" for k in keys)
+    return (f"{side(a, 'x', fat[0], qtd[0])}, {side(b, 'y', fat[1], qtd[1])} SELECT {out}, "
+            f"coalesce(x.n, 0) AS registros_a, coalesce(y.n, 0) AS registros_b, "
+            f"CAST(x.fat AS DOUBLE) AS faturamento_a, CAST(y.fat AS DOUBLE) AS faturamento_b, "
+            f"CAST(x.qtd AS BIGINT) AS vendas_a, CAST(y.qtd AS BIGINT) AS vendas_b "
+            f"FROM x FULL JOIN y ON {on} WHERE x.n IS DISTINCT FROM y.n "
+            f"OR x.fat IS DISTINCT FROM y.fat OR x.qtd IS DISTINCT FROM y.qtd")
+
+
+def _divergences(left: DataFrame, right: DataFrame, keys: list[str], fat: tuple[str, str],
+                 qtd: tuple[str, str]) -> DataFrame:
+    found = Dr.divergences(left, right, keys, {
+        "faturamento": (money_exact(fat[0]), money_exact(fat[1])),
+        "vendas": (F.col(qtd[0]).cast("long"), F.col(qtd[1]).cast("long"))})
+    return found.withColumns({c: F.col(c).cast("double") for c in ("faturamento_a", "faturamento_b")})
+
+
+_BY_LISTING = ["ano_mes", "data", "id_anuncio"]
+_BY_RANK = ["ano_mes", "data", "posicao_ranking"]
+_TYPED_MEASURES = (("faturamento_estimado_dia",) * 2, ("qtd_vendas_estimadas_dia",) * 2)
+_FACT_MEASURES = (("faturamento_estimado_dia", "faturamento"), ("qtd_vendas_estimadas_dia", "qtd_vendas"))
+
+register("dedup_divergence",
+         f"{W('silver')}, " + _divergence_sql("typed", "silver", _BY_LISTING, *_TYPED_MEASURES))(
+    lambda spark, d: _divergences(S.typed(B.select_contract(lh(spark, d).bronze())),
+                                  lh(spark, d).silver(), _BY_LISTING, *_TYPED_MEASURES))
+
+register("gold_divergence",
+         f"{W('fact')}, " + _divergence_sql("silver", "fact", _BY_RANK, *_FACT_MEASURES))(
+    lambda spark, d: _divergences(lh(spark, d).silver(), lh(spark, d).fact(), _BY_RANK, *_FACT_MEASURES))
+
+
+def _distinct_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{tipo}' AS tipo, CAST(date_trunc('{unit}', data) AS DATE) AS inicio, categoria, "
+        f"id_anuncio FROM silver WHERE data IS NOT NULL" for tipo, unit, _ in Dc.CALENDAR)
+    return (f"{W('silver')}, p AS ({parts}) SELECT tipo, inicio, categoria, "
+            f"count(DISTINCT id_anuncio) AS anuncios, TRUE AS dentro_do_limite FROM p GROUP BY ALL")
+
+
+register("distinct_listings", _distinct_sql())(
+    lambda spark, d: Dc.counts_by_period(lh(spark, d).silver(), lh(spark, d).listing_sketches(), "id_anuncio")
+    .select("tipo", "inicio", "categoria", F.col("exato").alias("anuncios"),
+            Dc.within_bound(F.col("exato"), F.col("estimativa")).alias("dentro_do_limite")))
+
 register("gold_audit",
          f"{W('fact')} SELECT count(*) AS registros, {O.money_sum('faturamento')} AS faturamento, "
          f"CAST(SUM(qtd_vendas) AS BIGINT) AS vendas, min(data) AS data_min, max(data) AS data_max "

@@ -201,6 +201,12 @@ class Lakehouse:
         from vitrine.operators.ranges import range_index
         return self._materialize("range_index", lambda: range_index(self.analytic()))
 
+    def listing_sketches(self) -> DataFrame:
+        """Sketches of the listings of each category by dyadic intervals of days."""
+        from vitrine.operators.distinct import sketch_index
+        return self._materialize("listing_sketches",
+                                 lambda: sketch_index(self.silver(), "id_anuncio"))
+
     def reference(self, raw: bool = False) -> Reference:
         """Last date, first date and row count of the answer table (one
         aggregate row; the only values brought to the driver)."""
