@@ -1,8 +1,10 @@
 """Host rules, SpotSigs and secrets against plain recomputation in Python."""
+import base64
 import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -155,9 +157,9 @@ def brute_more(rows, base):
         for s, k, e in found:
             m = ASSIGN.match(t, s) if k == 0 else None
             values.add(m[2] if m else t[s:e])
-    values = sorted(values, key=lambda v: (md5(v), v))[:S.SAMPLE_VALUES]
+    values = sorted(values, key=lambda v: (md5(v), v))
     texts = {md5(t): t for _, t in rows if t is not None}
-    texts = [texts[h] for h in sorted(texts)[:S.SAMPLE_TEXTS]]
+    texts = [texts[h] for h in sorted(texts)]
     import base64
     names, pos = set(), list(values)
     for t in texts:
@@ -272,3 +274,46 @@ def test_key_around_a_hex_run_is_masked_whole(spark, given):
            .collect()}
     assert got[9000].t == "a [SECRET] b" and (2, 3, 2 + len(key)) in [tuple(x) for x in got[9000].spans]
     assert {x.kind for x in got[9001].spans} == {0, 2} and got[9001].t == "[SECRET]"
+
+
+def brute_mask(text, spans):
+    done, out = 0, []
+    for s, _, e in sorted(spans):
+        if s >= done:
+            out += [text[done:s], "[SECRET]"]
+        done = max(done, e)
+    return "".join(out) + text[done:]
+
+
+def test_many_matches_wide_characters_and_block_ends(spark, given):
+    rnd = random.Random(9)
+    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    texts = [" ".join(hexes(rnd.randrange(10, 40)) for _ in range(300)), hexes(1024), "𝒳" * 1024 + hexes(20),
+             "𝒳é " * 700 + "token=" + hexes(1024) + " 𝒳" * 1500, "x " + hexes(2046), hexes(3000) + " " * 1096,
+             " ".join(f"é{hexes(17)}Z_{hexes(9)} secret: {hexes(20)}=" for _ in range(200))]
+    rows = [r[:2] for r in given] + [(9000 + i, t) for i, t in enumerate(texts)]
+    found = S.scan(documents(spark, rows), "spans", ["doc_id", "text"]).where("doc_id >= 9000")
+    got = found.select("doc_id", "text", "spans", S.redacted(F.col("text"), F.col("spans")).alias("t")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        spans = [tuple(x) for x in r.spans]
+        base = brute_base(r.text)
+        assert [x for x in spans if x[1] < 3] == base
+        assert all(not any(s <= a and b <= e for s, _, e in base) for a, k, b in spans if k == 3)
+        assert r.t == brute_mask(r.text, spans)
+
+
+def test_long_dumps_take_seconds(spark, given):
+    """2 MB of hex runs, and one run of 1 MB: quadratic work would take many minutes."""
+    rnd = random.Random(10)
+    dump = rnd.randbytes(1_000_000).hex()
+    runs = " ".join(dump[i:i + 20] for i in range(0, len(dump), 20))
+    blob = base64.b64encode(rnd.randbytes(750_000)).decode()
+    rows = [r[:2] for r in given] + [(9000, runs), (9001, blob)]
+    begun = time.monotonic()
+    found = S.scan(documents(spark, rows), "spans", ["doc_id", "text"]).where("doc_id >= 9000")
+    got = {r.doc_id: r for r in found.select(
+        "doc_id", "spans", S.redacted(F.col("text"), F.col("spans")).alias("t")).collect()}
+    assert time.monotonic() - begun < 90
+    assert len(got[9000].spans) == 100_000 and got[9000].t == " ".join(["[SECRET]"] * 100_000)
+    assert [tuple(x) for x in got[9001].spans if x.kind == 3] == [(0, 3, len(blob))] and got[9001].t == "[SECRET]"

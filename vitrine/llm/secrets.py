@@ -19,7 +19,9 @@ probabilities are mixed with a uniform one (``UNIFORM``), so a score tends to
 a limit as the input grows and ``MIN_RATIO`` means the same at every size.
 
 Spans are (start, kind, end) in code points, end exclusive. Java's matches and
-the gaps between them, from ``split``, give the positions.
+the gaps between them, from ``split``, give the positions. Positions, the test of
+candidates against base spans, scores and masks take time about linear in a text's
+length and matches (times the logarithm of the matches).
 
 Defined cases: NULL or empty text has no spans; NULL ids and repeated rows are
 kept; an empty table gives no rows, and with nothing to train on no candidate
@@ -49,7 +51,7 @@ CANDIDATE = f"[A-Za-z0-9+/_-]{{{CANDIDATE_CHARS},}}={{0,2}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=."
 MIN_RATIO = 0.7
 UNIFORM = 0.1  # share of the uniform distribution in each model
-SAMPLE_TEXTS = SAMPLE_VALUES = None  # no bound: all texts and values train the models
+BLOCK_CHARS = 1024  # texts are cut in blocks of this length for masking
 
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
@@ -58,23 +60,31 @@ def _no_spans() -> Column:
     return F.array().cast(f"array<{SPAN}>")
 
 
+def running(values: Column, combine) -> Column:
+    """Inclusive running ``combine(value, earlier or NULL)`` of an array. Each round
+    reaches twice as far back over the whole array, so it takes log2(size) rounds and
+    never appends."""
+    def of(v: Column) -> Column:
+        rounds = F.sequence(F.lit(0), F.length(F.bin(F.size(v))))
+        return F.aggregate(rounds, v, lambda a, k: F.transform(a, lambda x, i: combine(
+            x, F.get(a, i - F.call_function("shiftleft", F.lit(1), k)))))
+
+    return let(values, of)
+
+
 def _matches(text: Column, pattern: str, kind: int) -> Column:
     """Leftmost non-overlapping matches as spans, from the matches and the gaps."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     both = F.struct(F.split(text, pattern).alias("gaps"), found.alias("found"))
 
-    def walk(b: Column) -> Column:
-        def step(a: Column, m: Column) -> Column:
-            start = a["at"] + F.length(F.get(b["gaps"], F.size(a["spans"])))
-            end = start + F.length(m)
-            span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-                            m.alias("value"))
-            return F.struct(end.alias("at"), F.concat(a["spans"], F.array(span)).alias("spans"))
+    def spans(b: Column) -> Column:
+        sizes = F.transform(b["found"], lambda m, i: F.length(F.get(b["gaps"], i)) + F.length(m))
+        ends = running(sizes, lambda x, y: x + F.coalesce(y, F.lit(0)))
+        return let(ends, lambda e: F.transform(b["found"], lambda m, i: F.struct(
+            (F.get(e, i) - F.length(m)).alias("start"), F.lit(kind).alias("kind"),
+            F.get(e, i).alias("end"), m.alias("value"))))
 
-        return F.aggregate(b["found"], F.struct(F.lit(0).alias("at"), _no_spans().alias("spans")),
-                           step, lambda a: a["spans"])
-
-    return let(both, walk)
+    return let(both, spans)
 
 
 def base_spans(text: Column) -> Column:
@@ -96,8 +106,16 @@ def base_spans(text: Column) -> Column:
 def candidate_spans(text: Column, base: Column) -> Column:
     """Runs of token characters that lie in no base span as a whole."""
     found = F.when(text.rlike(CANDIDATE), _matches(text, CANDIDATE, 3)).otherwise(_no_spans())
-    return F.filter(found, lambda c: ~F.exists(
-        base, lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
+
+    def outside(every: Column) -> Column:
+        # Base spans sort before a candidate of the same start: those before it start no later.
+        reach = running(F.transform(every, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0)),
+                        lambda x, y: F.greatest(x, y))
+        return let(reach, lambda r: F.filter(
+            every, lambda s, i: (s["kind"] == 3) & (F.get(r, i) < s["end"])))
+
+    return let(found, lambda f: F.when((F.size(f) == 0) | (F.size(base) == 0), f).otherwise(
+        let(F.array_sort(F.concat(base, f)), outside)))
 
 
 def random_strings(docs: DataFrame, found: DataFrame, text_col: str, spans: str) -> DataFrame:
@@ -124,8 +142,9 @@ def transition_counts(random: DataFrame, plain: DataFrame) -> DataFrame:
     """Counts of adjacent characters for each label: 1 the random strings; 0 the
     words between spaces, ``head`` where the pair is a word's first two."""
     def pairs(value: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(value) - 1, F.lit(1))),
-                           lambda i: F.substring(value, i, F.lit(2)))
+        return let(F.split(value, ""), lambda c: F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(c) - 1, F.lit(1))),
+            lambda i: F.concat(F.get(c, i - 1), F.get(c, i))))
 
     padded = F.concat(F.lit(" "), F.col("value"), F.lit(" "))
     every = (random.select(F.lit(1).alias("label"), F.lit(1).cast("long").alias("n"),
@@ -185,9 +204,10 @@ def mean_ratio(value: Column, table: list[float]) -> Column:
     """The log-likelihood ratio of a string for each of its transitions."""
     size = len(ALPHABET)
     literal = F.split(F.lit(",".join(repr(round(x, 9)) for x in table)), ",").cast("array<double>")
-    at = lambda i: F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1))) - 1
-    total = F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0),
-                        lambda a, i: a + F.get(literal, at(i) * size + at(i + 1)))
+    codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    total = let(codes, lambda c: F.aggregate(
+        F.sequence(F.lit(1), F.size(c) - 1), F.lit(0.0),
+        lambda a, i: a + F.get(literal, F.get(c, i - 1) * size + F.get(c, i))))
     return total / (F.length(value) - 1)
 
 
@@ -218,12 +238,27 @@ def listed(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     """The text with every (merged) span replaced by ``mask``."""
-    done = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("text")),
-        lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.when(s["start"] < a["at"], a["text"]).otherwise(F.concat(
-                a["text"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)))
-            .alias("text"))))
-    return F.when(F.size(spans) == 0, text).otherwise(let(done, lambda d: F.concat(
-        d["text"], F.substring(text, d["at"] + 1, F.length(text)))))
+    def piece(blocks: Column, start: Column, end: Column) -> Column:
+        size = F.lit(BLOCK_CHARS)
+        first, last = F.floor(start / size).cast("int"), F.floor(end / size).cast("int")
+        return (F.when(start == end, "")
+                .when(first == last, F.substring(F.get(blocks, first), start % size + 1, end - start))
+                .otherwise(F.concat(
+                    F.substring(F.get(blocks, first), start % size + 1, size),
+                    F.array_join(F.slice(blocks, first + 2, last - first - 1), ""),
+                    F.coalesce(F.substring(F.get(blocks, last), F.lit(1), end % size), F.lit("")))))
+
+    def masked(p: Column) -> Column:
+        # A span that starts behind all earlier ends gets a mask, others lengthen the last one.
+        def part(s: Column, i: Column) -> Column:
+            done = F.coalesce(F.get(p["reach"], i - 1), F.lit(0))
+            return F.when(s["start"] >= done, F.concat(piece(p["blocks"], done, s["start"]), F.lit(mask))
+                          ).otherwise("")
+
+        return F.concat(F.array_join(F.transform(spans, part), ""),
+                        piece(p["blocks"], F.element_at(p["reach"], -1), F.length(text)))
+
+    reach = running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+    return F.when(F.size(spans) == 0, text).otherwise(
+        let(F.struct(blocks.alias("blocks"), reach.alias("reach")), masked))
