@@ -708,9 +708,8 @@ def _csv_quarantine(spark, d):
     damaged = spark.createDataFrame(
         [(_EXPORT_HEADER,), ("not-a-date" + ";" * (len(LANDING_COLUMNS) - 1),), ("2001-01-01;too;few",)],
         "value string")
-    spark.read.text(_export(spark, d)).write.mode("overwrite").text(f"{path}/export")
-    damaged.coalesce(1).write.mode("overwrite").text(f"{path}/damaged")
-    good, bad = D.read_delimited(spark, f"{path}/*", _landing_schema())
+    damaged.coalesce(1).write.mode("overwrite").text(path)
+    good, bad = D.read_delimited(spark, [_export(spark, d), path], _landing_schema())
     counted = good.select(F.lit("good").alias("k")).unionByName(bad.select(F.lit("bad").alias("k")))
     return counted.agg(F.count(F.when(F.col("k") == "good", 1)).alias("registros"),
                        F.count(F.when(F.col("k") == "bad", 1)).alias("quarentena"))

@@ -11,24 +11,26 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType, Tim
 CORRUPT = "_corrupt_record"
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ";",
+def read_delimited(spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ";",
                    header: bool = True) -> tuple[DataFrame, DataFrame]:
     """Typed read with quarantine: rows that do not fit ``schema`` (bad value,
     wrong field count) go to the second DataFrame with their raw text.
 
     Values are read as they are written: no quoting, so a title that starts
-    with a quote stays a title. The parsed result is checkpointed once: what
-    makes a row bad shows only when all its columns are read, and a later query
-    may read a few."""
+    with a quote stays a title. What makes a row bad shows only when all its
+    columns are read, and a later query may read a few: both parts are filtered
+    by a condition over all columns, so every scan parses whole rows and no
+    parsed copy is kept. The files have to stay as they are while it is used."""
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
     parsed = (spark.read.option("sep", sep).option("header", header)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("enforceSchema", True)  # header names may be decorated (Table[col])
               .option("quote", "").option("escape", "")
-              .schema(full).csv(path)
-              .checkpoint(eager=True))
-    good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+              .schema(full).csv(path))
+    # true for every row; the optimizer cannot know, so no column is pruned
+    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in schema.fields]) >= F.lit(-2 ** 63)
+    good = parsed.filter(F.col(CORRUPT).isNull() & whole).drop(CORRUPT)
+    bad = parsed.filter(F.col(CORRUPT).isNotNull() & whole).select(CORRUPT)
     return good, bad
 
 
