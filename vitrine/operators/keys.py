@@ -39,14 +39,19 @@ def _row_width(dtype) -> int:
     return 8
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT,
+             max_bytes: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """Whether a count proves ``df`` small (rows, and rows x estimated row width)."""
+    n = df.count()
+    return n <= max_rows and n * _row_width(df.schema) <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT,
                        max_bytes: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
     """Broadcast ``df`` only when a count proves it small (rows, and rows x
     estimated row width); otherwise leave the join to the planner (shuffle
     join; AQE may still switch to a broadcast from runtime sizes)."""
-    n = df.count()
-    small = n <= max_rows and n * _row_width(df.schema) <= max_bytes
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def ordered_index(df: DataFrame, order: Sequence[Column], out: str,

@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 from vitrine.constants import (BOOLEAN_COLUMNS, INT_COLUMNS, LANDING_COLUMNS, MONEY_COLUMNS,
                                NULL_DEFAULTS, RATING_COLUMN, TRIM_COLUMNS)
 from vitrine.functions.parsing import money_br, rating_br, to_boolean, to_int
+from vitrine.operators.keys import is_small
+from vitrine.session import ensure_checkpoint_dir
 
 DEDUP_KEYS = ["data", "id_anuncio"]
 _RANKED = ["loja_oficial", "parcelamento", "titulo_produto"]
 DEDUP_TIE_BREAK = _RANKED + [c for c in LANDING_COLUMNS if c not in (
     *DEDUP_KEYS, *_RANKED, "posicao_ranking", "faturamento_estimado_dia", "qtd_vendas_estimadas_dia")]
 
+# Keys that occur more than once, up to which they are broadcast: rows, estimated bytes.
+REPEATED_KEYS = 4_000_000
+REPEATED_BYTES = 160 * 1024 * 1024
+
 
 def _replace(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
@@ -75,11 +81,26 @@ def dedup_order(nulls_first_rank: bool = True) -> list[Column]:
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep the first row per key. ``row_number`` + ``= 1`` lets Catalyst add a
-    partial WindowGroupLimit before the shuffle, so a hot key is cut down to
-    one row per map task before it is exchanged."""
+    """Keep the first row per key.
+
+    A key that occurs once needs no comparison. A count over the key columns finds
+    the others, and only their rows are sorted and shuffled: ``row_number`` + ``= 1``
+    lets Catalyst add a partial WindowGroupLimit before that shuffle, so a hot key is
+    cut down to one row per map task before it is exchanged. Where more keys occur
+    twice than a broadcast may hold, all rows go that way. NULL is a key of its own."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_vx_rn", F.row_number().over(w)).filter("_vx_rn = 1").drop("_vx_rn")
+
+    def best(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_vx_rn", F.row_number().over(w)).filter("_vx_rn = 1").drop("_vx_rn")
+
+    ensure_checkpoint_dir(df.sparkSession)
+    twice = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_vx_n")).filter("_vx_n > 1")
+             .select(*[F.col(k).alias(f"_vx_{k}") for k in keys]).checkpoint(eager=True))
+    if not is_small(twice, REPEATED_KEYS, REPEATED_BYTES):
+        return best(df)
+    repeated = F.broadcast(twice)
+    on = [F.col(k).eqNullSafe(F.col(f"_vx_{k}")) for k in keys]
+    return df.join(repeated, on, "left_anti").unionByName(best(df.join(repeated, on, "left_semi")))
 
 
 def null_defaults(df: DataFrame, defaults=NULL_DEFAULTS) -> DataFrame:

@@ -26,7 +26,7 @@ from vitrine.constants import ANALYTIC_COLUMNS, ORIGIN_EXISTING_FILE
 from vitrine.operators import bronze as bronze_ops
 from vitrine.operators import gold, silver as silver_ops
 from vitrine.operators.periods import DAY_PARTITION, day_partition
-from vitrine.session import session_key, work_root
+from vitrine.session import bound_tasks, row_tasks, session_key, work_root
 from vitrine.sources.testdata import listing_day
 
 _LOCK = threading.RLock()
@@ -56,12 +56,25 @@ class Lakehouse:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.root = (root.rstrip("/") if root else f"{work_root(spark)}/{_slug(self.sf_dir)}")
-        self._landing_builder = landing_builder or (lambda: listing_day(self.spark, self.sf_dir))
+        self._landing_builder = landing_builder or self._listing_day
         self.origin = origin
         self._paths: dict[str, str] = {}
         self._frames: dict[str, DataFrame] = {}
         self._refs: dict[str, Reference] = {}
 
+        self._rows: int | None = None
+        bound_tasks(spark)
+
+    def _listing_day(self) -> DataFrame:
+        self._rows = self.raw("lineitem").count()  # from the files' footers
+        bound_tasks(self.spark, self._rows)
+        return listing_day(self.spark, self.sf_dir)
+
+    def tasks(self) -> int | None:
+        """Tasks for a sort of the base, by its rows: sorted neighbours compress so
+        well that shuffle bytes say little. None if the rows are not known."""
+        return row_tasks(self.spark, self._rows) if self._rows is not None else None
+
     # -- generic --------------------------------------------------------------
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -73,9 +86,10 @@ class Lakehouse:
                 df = build()
                 if range_on:
                     # date first (files stay sorted by date for row-group pruning),
-                    # then a row-level key so one hot day still splits across tasks;
-                    # no explicit count: AQE sizes the partitions from the data
-                    df = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in range_on])
+                    # then a row-level key so one hot day still splits across tasks
+                    n = self.tasks()
+                    df = df.repartitionByRange(*([n] if n else []),
+                                               *[F.col(c).asc_nulls_first() for c in range_on])
                 writer = df.write.mode("overwrite")
                 if partition_by:
                     writer = writer.partitionBy(*partition_by)

@@ -3,6 +3,7 @@ shared checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import tempfile
@@ -80,6 +81,42 @@ def parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Bounds of one task: compressed bytes of files that it reads and of shuffle data
+# that it takes, and rows that a shuffle partition gets before neighbours are joined.
+# A row of the base has some 18 bytes in its files and 450 in a sort.
+TASK_FILE_BYTES = 16 * 1024 * 1024
+TASK_SHUFFLE_BYTES = 32 * 1024 * 1024
+TASK_ROWS = 500_000
+
+_FILES, _ADVISORY = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_UNITS = {"": 0, "k": 1, "m": 2, "g": 3, "t": 4, "p": 5}
+
+
+def _bytes(text: str) -> int | None:
+    """A size setting ('64MB', '128m', '1048576b') in bytes; None for other text."""
+    m = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)i?b?\s*", text.lower())
+    return int(m[1]) << 10 * _UNITS[m[2]] if m else None
+
+
+def bound_tasks(spark: SparkSession, rows: int = 0) -> None:
+    """Session settings under which what a task sorts or hashes does not grow with
+    the input, so that it stays in memory: more tasks instead of larger ones.
+    Settings that are tighter already stay; ``rows``: rows of the largest table."""
+    for key, bound in ((_FILES, TASK_FILE_BYTES), (_ADVISORY, TASK_SHUFFLE_BYTES)):
+        size = _bytes(spark.conf.get(key))
+        if size is not None and size > bound:
+            spark.conf.set(key, str(bound))
+    most = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if math.ceil(rows / TASK_ROWS) > most:
+        spark.conf.set(_INITIAL, str(math.ceil(rows / TASK_ROWS)))
+
+
+def row_tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks among which ``rows`` rows are dealt for a sort."""
+    return max(parallelism(spark), math.ceil(rows / TASK_ROWS))
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder (under the shared checkpoint dir) for tables this process writes."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

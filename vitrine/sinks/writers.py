@@ -29,11 +29,12 @@ def save_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "pa
 def write_parquet(df: DataFrame, path: str, codec: str = "zstd",
                   sort: Sequence[str] | None = None, partitions: int | None = None) -> None:
     """Parquet with a codec; optional sort as range partitions + a local sort
-    (ordered files, no single-task global sort)."""
+    (ordered files, no single-task global sort). Without ``partitions`` their
+    number follows the size of the data."""
     out = df
     if sort:
-        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in sort]) \
+        keys = [F.col(c).asc_nulls_first() for c in sort]
+        out = out.repartitionByRange(*([partitions] if partitions else []), *keys) \
                  .sortWithinPartitions(*sort)
     out.write.mode("overwrite").option("compression", codec).parquet(path)
 
