@@ -23,6 +23,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.operators.keys import broadcast_if_small
+
 # Differing keys of a level that are listed in a filter; beyond it, a semi-join.
 LISTED_KEYS = 1000
 
@@ -53,7 +55,8 @@ def _below(both: DataFrame, opened: DataFrame, key: str, parents: Sequence[str])
         both = both.filter(wanted)
         if not parents:
             return both
-    o = opened.select(*[F.col(c).alias(f"_o_{c}") for c in (*parents, key)])
+    # a broadcast leaves the rows where they are: a hot day is not moved to one task
+    o = broadcast_if_small(opened.select(*[F.col(c).alias(f"_o_{c}") for c in (*parents, key)]))
     on = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in (*parents, key)]
     return both.join(o, on, "left_semi")
 
