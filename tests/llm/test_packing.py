@@ -96,3 +96,19 @@ def test_edge_rows(spark):
     assert at == {1: 1, 2: 1, None: 3, 3: 8, 4: 9001}
     assert sum(r.length for r in rows) == sum(len(i) for _, i in docs)
     assert pack(df.limit(0), tokenizer_path()).count() == 0
+
+
+def test_short_ways_of_new_words_give_the_tokenizers_ids(monkeypatch):
+    from vitrine.llm import tokens
+    monkeypatch.setattr(tokens, "MEMORY_ENTRIES", 3)  # most words are new again and again
+    words = tokens.WordEncoder(tokenizer_path())
+    split = []
+    monkeypatch.setattr(words, "pieces", lambda w, found=words.pieces: split.append(w) or found(w))
+    plain = ["Word", "word,", "ÉLAN.", "ñandú", "l'", "a-", "!"]
+    odd = ["it's", "we're,", "x7", "a.b.", "..", "'s", "a«", "ª", "ß.", "µ", "日本", "é́a.", "a<|b", "\x7fa"]
+    for text in [*plain, *odd, " ".join(plain + odd + plain)]:
+        ids = words.tokenizer.encode(text, add_special_tokens=False).ids
+        assert words.encode(text) == b"".join(i.to_bytes(4, "little") for i in ids), text
+    # a word of letters, alone or with one mark behind it, is not searched for its pieces
+    assert not {w.lower() for w in plain[:-1]} & {*split}
+    assert len(words.by_word) <= 3 and len(words.by_piece) <= 3

@@ -28,6 +28,22 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in printable else chr(next(rest)) for b in range(256)]
 
 
+class _Memory(dict):
+    """Known keys and their ids; ``make`` supplies new ones. Bounded: a full memory
+    starts anew."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.make(key)
+        if len(self) >= MEMORY_ENTRIES:
+            self.clear()
+        self[key] = ids
+        return ids
+
+
 class WordEncoder:
     """``encode(text)`` -> the ids as little-endian unsigned 32-bit bytes."""
 
@@ -39,22 +55,25 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.pieces = regex.compile(PIECES).findall
         self.symbols = _byte_symbols()
-        self.by_word: dict[str, bytes] = {}
-        self.by_piece: dict[str, bytes] = {}
+        self.by_word = _Memory(self._word)
+        self.by_piece = _Memory(self._piece)
 
     def _piece(self, piece: str) -> bytes:
-        known = self.by_piece.get(piece)
-        if known is None:
-            if len(self.by_piece) >= MEMORY_ENTRIES:
-                self.by_piece.clear()
-            mapped = "".join([self.symbols[b] for b in piece.encode("utf-8")])
-            ids = [t.id for t in self.model.tokenize(mapped)]
-            known = self.by_piece[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        return known
+        # a piece holds no space or control character: ASCII ones stand for themselves
+        mapped = piece if piece.isascii() else "".join([self.symbols[b] for b in piece.encode("utf-8")])
+        tokens = self.model.tokenize(mapped)
+        if len(tokens) == 1:
+            return tokens[0].id.to_bytes(4, "little")
+        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
 
     def _word(self, word: str) -> bytes:
         if _plain_word(word) and "<|" not in word:
-            return b"".join([self._piece(p) for p in self.pieces(word.lower())])
+            lower, known = word.lower(), self.by_piece
+            if lower.isalpha():  # one piece
+                return known[lower]
+            if lower[:-1].isalpha() and "!" <= lower[-1] <= "/":  # and a mark behind it
+                return known[lower[:-1]] + known[lower[-1]]
+            return b"".join(map(known.__getitem__, self.pieces(lower)))
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -64,15 +83,7 @@ class WordEncoder:
         if _odd_space(text):  # str.split() would drop these, the tokenizer keeps them
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
-        memory, out = self.by_word, []
-        for w in text.split():
-            ids = memory.get(w)
-            if ids is None:
-                if len(memory) >= MEMORY_ENTRIES:
-                    memory.clear()
-                ids = memory[w] = self._word(w)
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.by_word.__getitem__, text.split()))
 
 
 _encoders: dict[str, WordEncoder] = {}
