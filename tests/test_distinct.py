@@ -51,3 +51,21 @@ def test_any_range_merges_the_sketches_of_its_days(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], ROWS)
     assert D.counts_by_period(df, D.sketch_index(df, "item"), "item").count() == 0
+
+
+def test_exact_counts_move_each_item_once(spark):
+    """Rows without a date lie in no period; NULL items and keys, and items of several months."""
+    day = date
+    rows = [(day(2024, 1, 31), "a", "x"), (day(2024, 2, 1), "a", "x"), (day(2024, 2, 9), "a", "x"),
+            (day(2024, 7, 1), "a", "x"), (day(2024, 2, 1), "a", "y"), (day(2025, 1, 1), "a", None),
+            (day(2024, 2, 1), None, "x"), (None, "a", "z")]
+    out = D.exact_counts(spark.createDataFrame(rows, "data date, categoria string, i string"), "i")
+    want = {(t, s, "a"): n for t, s, n in [
+        ("mes", day(2024, 1, 1), 1), ("mes", day(2024, 2, 1), 2), ("mes", day(2024, 7, 1), 1),
+        ("trimestre", day(2024, 1, 1), 2), ("trimestre", day(2024, 7, 1), 1), ("ano", day(2024, 1, 1), 2),
+        ("mes", day(2025, 1, 1), 0), ("trimestre", day(2025, 1, 1), 0), ("ano", day(2025, 1, 1), 0)]}
+    want |= {("mes", day(2024, 2, 1), None): 1, ("trimestre", day(2024, 1, 1), None): 1, ("ano", day(2024, 1, 1), None): 1}
+    assert {(r.tipo, r.inicio, r.categoria): r.exato for r in out.collect()} == want
+    # rows by (key, item), then counts: no shuffle of rows spread over the periods
+    p = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert p.count("Exchange hashpartitioning") == 2

@@ -61,10 +61,17 @@ def estimated_counts(index: DataFrame, ranges: DataFrame, key: str,
 
 def exact_counts(rows: DataFrame, item: str, by: Sequence[str] = ("categoria",)) -> DataFrame:
     """(tipo, inicio, *by, exato) of every calendar period. Rows are reduced to the
-    distinct (period, key, item) first, so a hot key is spread by its items."""
-    each = (rows.filter(F.col("data").isNotNull())
-            .select(*by, F.col(item).alias("_item"), F.explode(calendar_periods(F.col("data"))).alias("_p"))
-            .select("_p.tipo", "_p.inicio", *by, "_item").distinct())
+    months of each (key, item) first, in one shuffle: a hot key is spread by its items,
+    a hot item is one row of each map task, and longer periods follow from the months."""
+    months = (rows.filter(F.col("data").isNotNull()).groupBy(*by, F.col(item).alias("_item"))
+              .agg(F.collect_set(F.trunc("data", "month")).alias("_months")))
+    def starts(unit: str) -> Column:
+        return F.array_distinct(F.transform("_months", lambda month: F.trunc(month, unit)))
+
+    periods = F.array(*[F.struct(F.lit(tipo).alias("tipo"), starts(unit).alias("starts"))
+                        for tipo, unit, _ in CALENDAR])
+    each = (months.select(*by, "_item", F.explode(periods).alias("_p"))
+            .select("_p.tipo", F.explode("_p.starts").alias("inicio"), *by, "_item"))
     return each.groupBy("tipo", "inicio", *by).agg(F.count("_item").alias("exato"))
 
 
