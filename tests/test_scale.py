@@ -114,3 +114,33 @@ def test_opened_keys_are_broadcast(spark):
     p = plan(found)
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
     assert [(r.data, r.id, r.v_a, r.v_b) for r in found.collect()] == [(DAY, None, 5, None)]
+
+
+def test_without_joined_neighbours_the_partitions_follow_the_rows(spark, plain_conf):
+    joined, partitions = session._ADAPTIVE[1], session._PARTITIONS
+    old = {k: spark.conf.get(k) for k in (joined, partitions)}
+    try:
+        spark.conf.set(joined, "false")
+        session.bound_tasks(spark, 40 * session.TASK_ROWS)
+        assert spark.conf.get(partitions) == "40" and spark.conf.get(INITIAL, None) is None
+        session.bound_tasks(spark, session.TASK_ROWS)
+        assert spark.conf.get(partitions) == "40"
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_changed_settings_are_bounded_again(spark, plain_conf, tmp_path):
+    """Layers are kept for the application, settings may be set anew between two queries."""
+    from vitrine.plans.lakehouse import lakehouse
+    L = lakehouse(spark, str(tmp_path))
+    L._rows = 40 * session.TASK_ROWS
+    spark.conf.set(FILES, "128MB")
+    spark.conf.unset(INITIAL)
+    assert lakehouse(spark, str(tmp_path)) is L
+    assert int(spark.conf.get(FILES)) == session.TASK_FILE_BYTES and spark.conf.get(INITIAL) == "40"
+
+
+def test_a_task_sorts_little(spark):
+    """Rows of the base have some 18 bytes in files and 450 in a sort."""
+    assert session.TASK_ROWS * 450 <= 100 << 20

@@ -63,11 +63,15 @@ class Lakehouse:
         self._refs: dict[str, Reference] = {}
 
         self._rows: int | None = None
-        bound_tasks(spark)
+        self.bound()
+
+    def bound(self) -> None:
+        """Bound the tasks of the session, as it is set now, by the rows of the base."""
+        bound_tasks(self.spark, self._rows or 0)
 
     def _listing_day(self) -> DataFrame:
         self._rows = self.raw("lineitem").count()  # from the files' footers
-        bound_tasks(self.spark, self._rows)
+        self.bound()
         return listing_day(self.spark, self.sf_dir)
 
     def tasks(self) -> int | None:
@@ -238,4 +242,6 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     with _LOCK:
         if key not in _REGISTRY:
             _REGISTRY[key] = Lakehouse(spark, sf_dir)
-        return _REGISTRY[key]
+        found = _REGISTRY[key]
+    found.bound()  # the settings may have been changed since the layers were built
+    return found

@@ -83,13 +83,16 @@ def parallelism(spark: SparkSession) -> int:
 
 # Bounds of one task: compressed bytes of files that it reads and of shuffle data
 # that it takes, and rows that a shuffle partition gets before neighbours are joined.
-# A row of the base has some 18 bytes in its files and 450 in a sort.
-TASK_FILE_BYTES = 16 * 1024 * 1024
-TASK_SHUFFLE_BYTES = 32 * 1024 * 1024
-TASK_ROWS = 500_000
+# A row of the base has some 18 bytes in its files and 450 in a sort: a task sorts
+# some 100 MB, which fits where four tasks share an executor of 2 GB.
+TASK_FILE_BYTES = 8 * 1024 * 1024
+TASK_SHUFFLE_BYTES = 8 * 1024 * 1024
+TASK_ROWS = 200_000
 
 _FILES, _ADVISORY = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_ADAPTIVE = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled")
 _UNITS = {"": 0, "k": 1, "m": 2, "g": 3, "t": 4, "p": 5}
 
 
@@ -107,9 +110,11 @@ def bound_tasks(spark: SparkSession, rows: int = 0) -> None:
         size = _bytes(spark.conf.get(key))
         if size is not None and size > bound:
             spark.conf.set(key, str(bound))
-    most = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    # the first number of partitions is a setting of its own only where neighbours are joined
+    joined = all(spark.conf.get(key).lower() == "true" for key in _ADAPTIVE)
+    most = int((spark.conf.get(_INITIAL, None) if joined else None) or spark.conf.get(_PARTITIONS))
     if math.ceil(rows / TASK_ROWS) > most:
-        spark.conf.set(_INITIAL, str(math.ceil(rows / TASK_ROWS)))
+        spark.conf.set(_INITIAL if joined else _PARTITIONS, str(math.ceil(rows / TASK_ROWS)))
 
 
 def row_tasks(spark: SparkSession, rows: int) -> int:
