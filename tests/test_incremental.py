@@ -95,3 +95,28 @@ def test_sums_tell_nulls_and_repeats_apart(spark):
 
     assert sums(("a", None)) != sums((None, 1)) and sums(("a", 1), ("a", 1)) != sums(("a", 1))
     assert sums(("a", 1), ("b", 2)) == sums(("b", 2), ("a", 1)) != sums(("a", 2), ("b", 1))
+
+
+def test_rows_are_built_once_and_a_large_day_is_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(I, "TASK_ROWS", 50)
+    rows = spark.range(400).selectExpr("date'2024-01-01' + cast(id >= 300 AS int) AS data", "id AS v")
+    seen = spark.sparkContext.accumulator(0)
+
+    def build(drop):
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+        return drop.mapInArrow(count, drop.schema)
+
+    base = str(tmp_path / "base")
+    joined = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(joined)
+    spark.conf.set(joined, "false")  # so small parts would be put together
+    try:
+        I.refresh_days(rows, base, build)
+    finally:
+        spark.conf.set(joined, old)
+    assert seen.value == 400  # no second run of the plan for the bounds of ranges
+    assert sorted(r.v for r in I.read_days(spark, base).collect()) == [*range(400)]
+    assert len(list((tmp_path / "base/dias/v000001/dia=2024-01-01").glob("*.parquet"))) > 1

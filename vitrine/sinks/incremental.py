@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.operators.keys import broadcast_if_small
+from vitrine.session import TASK_ROWS
 from vitrine.sinks import writers as Wr
 
 NO_DAY = "sem-data"
@@ -74,15 +75,20 @@ def refresh_days(drop: DataFrame, base_dir: str, build: Callable[[DataFrame], Da
                 .select("dia", "versao", "linhas", "soma_a", "soma_b"))
     path = f"{base_dir}/manifesto/v{version:06d}"
     manifest.coalesce(1).write.mode("overwrite").parquet(path)
-    changed = spark.read.schema(MANIFEST).parquet(path).where(F.col("versao") == version).select("dia")
-    days = [r["dia"] for r in changed.orderBy("dia").collect()]
+    changed = spark.read.schema(MANIFEST).parquet(path).where(F.col("versao") == version).select(
+        F.col("dia").alias("_vx_dia"), F.greatest(F.lit(1), F.ceil(F.col("linhas") / TASK_ROWS)).alias("_vx_parts"))
+    days = [r["_vx_dia"] for r in changed.orderBy("_vx_dia").collect()]
     if days:
-        rows = drop.withColumn("_vx_dia", day_text(day, unit))
-        rows = rows.join(broadcast_if_small(changed.withColumnRenamed("dia", "_vx_dia")), "_vx_dia", "left_semi")
+        changed = broadcast_if_small(changed)
+        rows = drop.withColumn("_vx_dia", day_text(day, unit)).join(changed, "_vx_dia", "left_semi")
         built = build(rows.drop("_vx_dia"))
-        (built.withColumns({"dia": day_text(day, unit), "_vx_row": F.xxhash64(*[F.col(f"`{c}`") for c in built.columns])})
-         .repartitionByRange(F.col("dia"), F.col("_vx_row")).drop("_vx_row").write.mode("overwrite").partitionBy("dia")
-         .parquet(f"{base_dir}/dias/v{version:06d}"))
+        # dealt by hash into parts of bounded rows, whose number the manifest tells: no
+        # bounds to be sampled, for which all rows would be built twice
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in built.columns])
+        part = F.pmod(row, F.coalesce("_vx_parts", F.lit(1)))
+        (built.withColumn("dia", day_text(day, unit)).join(changed, F.col("dia") == F.col("_vx_dia"), "left")
+         .withColumn("_vx_part", part).repartition("dia", "_vx_part").drop("_vx_dia", "_vx_parts", "_vx_part")
+         .write.mode("overwrite").partitionBy("dia").parquet(f"{base_dir}/dias/v{version:06d}"))
     Wr.publish(spark, base_dir, version)
     return version, days
 
