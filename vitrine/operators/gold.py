@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.constants import (FACT_COLUMNS, MONTH_NAMES, PRODUCT_COLUMNS, WEEKDAY_NAMES,
                                WEEKEND_DAYS)
 from vitrine.operators.keys import broadcast_if_small, dense_key
+from vitrine.session import held
 
 
 def _name_map(names: list[str]):
@@ -46,10 +49,13 @@ def latest_per_listing(silver: DataFrame) -> DataFrame:
             .filter("_vx_rn = 1").select(*PRODUCT_COLUMNS))
 
 
-def dim_product(silver: DataFrame) -> DataFrame:
-    """Latest attributes per listing with a dense key in listing-id order."""
+def dim_product(silver: DataFrame, passes: int = 1) -> DataFrame:
+    """Latest attributes per listing with a dense key in listing-id order. In several
+    ``passes``, each over the listings of one hash, less is shuffled at a time."""
     from vitrine.operators.keys import ordered_index
-    latest = latest_per_listing(silver)
+    one = F.pmod(F.xxhash64("id_anuncio"), F.lit(passes))
+    latest = (latest_per_listing(silver) if passes == 1 else reduce(DataFrame.unionByName, [
+        held(latest_per_listing(silver.filter(one == i))) for i in range(passes)]))
     keyed = ordered_index(latest, [F.col("id_anuncio").asc_nulls_first()], "sk_produto")
     return keyed.select("sk_produto", *PRODUCT_COLUMNS)
 

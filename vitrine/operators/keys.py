@@ -3,8 +3,8 @@
 ``row_number() over (order by k)`` with no ``partitionBy`` moves every row to
 one task. Here the rows are range-partitioned on (group, order) keys, so a hot
 group (even a third of all rows) is spread over many tasks. The partitioned,
-sorted rows are checkpointed once (so positions are stable if an executor is
-lost and the lineage is replayed), then a small per-partition count table
+sorted rows are written once (``session.held``, so positions are stable if an executor
+is lost and the lineage is replayed), then a small per-partition count table
 gives each partition its offset inside each group:
 
     index = position inside partition - first position of the group there
@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.session import ensure_checkpoint_dir
+from vitrine.session import ensure_checkpoint_dir, held
 
 # Upper bounds for broadcasting a helper table: rows, and estimated bytes.
 BROADCAST_ROW_LIMIT = 2_000_000
@@ -66,17 +66,15 @@ def ordered_index(df: DataFrame, order: Sequence[Column], out: str,
     # read in the same task, so the offsets remain exact.
     ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
               else df.repartitionByRange(*keys))
-    staged = (ranged
-              .sortWithinPartitions(*keys)
-              .withColumn("_vx_pid", F.spark_partition_id())
-              .withColumn("_vx_pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    staged = held(ranged
+                  .sortWithinPartitions(*keys)
+                  .withColumn("_vx_pid", F.spark_partition_id())
+                  .withColumn("_vx_pos", F.monotonically_increasing_id()))
     counts = (staged.groupBy("_vx_pid", *by)
               .agg(F.count(F.lit(1)).alias("_vx_n"), F.min("_vx_pos").alias("_vx_first")))
     w = Window.partitionBy(*by).orderBy("_vx_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts.withColumn("_vx_off", F.coalesce(F.sum("_vx_n").over(w), F.lit(0)))
-               .drop("_vx_n")
-               .checkpoint(eager=True))
+    offsets = held(counts.withColumn("_vx_off", F.coalesce(F.sum("_vx_n").over(w), F.lit(0)))
+                   .drop("_vx_n"))
     small = broadcast_if_small(offsets)
     if by:
         # NULL group keys do not match in an equi-join; match them null-safely.

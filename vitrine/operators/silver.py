@@ -17,7 +17,7 @@ from vitrine.constants import (BOOLEAN_COLUMNS, INT_COLUMNS, LANDING_COLUMNS, MO
                                NULL_DEFAULTS, RATING_COLUMN, TRIM_COLUMNS)
 from vitrine.functions.parsing import money_br, rating_br, to_boolean, to_int
 from vitrine.operators.keys import is_small
-from vitrine.session import ensure_checkpoint_dir
+from vitrine.session import ensure_checkpoint_dir, held
 
 DEDUP_KEYS = ["data", "id_anuncio"]
 _RANKED = ["loja_oficial", "parcelamento", "titulo_produto"]
@@ -94,8 +94,8 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
         return rows.withColumn("_vx_rn", F.row_number().over(w)).filter("_vx_rn = 1").drop("_vx_rn")
 
     ensure_checkpoint_dir(df.sparkSession)
-    twice = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_vx_n")).filter("_vx_n > 1")
-             .select(*[F.col(k).alias(f"_vx_{k}") for k in keys]).checkpoint(eager=True))
+    twice = held(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_vx_n")).filter("_vx_n > 1")
+                 .select(*[F.col(k).alias(f"_vx_{k}") for k in keys]))
     if not is_small(twice, REPEATED_KEYS, REPEATED_BYTES):
         return best(df)
     repeated = F.broadcast(twice)

@@ -10,6 +10,9 @@ The answer table is written partitioned by the source's own period columns
 ``data``: month-to-date and year-to-date filters prune directories by the
 first two, single days by the third, and each write task produces a few
 contiguous month files instead of one file per month per task.
+
+Disk. A layer is written in passes over ranges of days (``operators/slices``); what a
+pass shuffles or holds back is deleted when the pass is written.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from __future__ import annotations
 import re
 import threading
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +29,8 @@ from vitrine.constants import ANALYTIC_COLUMNS, ORIGIN_EXISTING_FILE
 from vitrine.operators import bronze as bronze_ops
 from vitrine.operators import gold, silver as silver_ops
 from vitrine.operators.periods import DAY_PARTITION, day_partition
-from vitrine.session import bound_tasks, row_tasks, session_key, work_root
+from vitrine.operators.slices import Slice, day_slices
+from vitrine.session import bound_tasks, freed, row_tasks, session_key, slice_rows, work_root
 from vitrine.sources.testdata import listing_day
 
 _LOCK = threading.RLock()
@@ -63,20 +67,38 @@ class Lakehouse:
         self._refs: dict[str, Reference] = {}
 
         self._rows: int | None = None
+        self._slices: list[Slice] | None = None
         self.bound()
 
     def bound(self) -> None:
         """Bound the tasks of the session, as it is set now, by the rows of the base."""
         bound_tasks(self.spark, self._rows or 0)
 
-    def _listing_day(self) -> DataFrame:
-        self._rows = self.raw("lineitem").count()  # from the files' footers
-        self.bound()
-        return listing_day(self.spark, self.sf_dir)
+    def _listing_day(self, part: Slice | None = None) -> DataFrame:
+        return listing_day(self.spark, self.sf_dir, part)
 
-    def tasks(self) -> int | None:
-        """Tasks for a sort of the base, by its rows: sorted neighbours compress so
-        well that shuffle bytes say little. None if the rows are not known."""
+    def slices(self) -> list[Slice]:
+        """Ranges of days that are written in one pass each."""
+        with _LOCK:
+            if self._slices is None:
+                if self._landing_builder == self._listing_day:
+                    self._rows = self.raw("lineitem").count()  # from the files' footers
+                    self.bound()
+                    rows, days = self._rows, self.raw("lineitem").select(
+                        F.col("l_shipdate").cast("date").alias("data"))
+                else:
+                    days = self.landing().select("data")
+                    rows = days.count()
+                most = slice_rows(self.spark)
+                self._slices = [Slice(None, None, rows)] if rows <= most else day_slices(days, most)
+        return self._slices
+
+    def tasks(self, part: Slice | None = None) -> int | None:
+        """Tasks for a sort of the base, or of a slice of several, by its rows: sorted
+        neighbours compress so well that shuffle bytes say little. None if the rows of
+        the base are not known."""
+        if part is not None and len(self._slices or []) > 1:
+            return row_tasks(self.spark, part.rows)
         return row_tasks(self.spark, self._rows) if self._rows is not None else None
 
     # -- generic --------------------------------------------------------------
@@ -84,20 +106,23 @@ class Lakehouse:
         return f"{self.root}/{name}"
 
     def _materialize(self, name: str, build, partition_by: list[str] | None = None,
-                     range_on: list[str] | None = None) -> DataFrame:
+                     range_on: list[str] | None = None, slices: list[Slice] | None = None) -> DataFrame:
+        """Write a layer once. With ``slices``, ``build`` gives the rows of each."""
         with _LOCK:
             if name not in self._paths:
-                df = build()
-                if range_on:
-                    # date first (files stay sorted by date for row-group pruning),
-                    # then a row-level key so one hot day still splits across tasks
-                    n = self.tasks()
-                    df = df.repartitionByRange(*([n] if n else []),
-                                               *[F.col(c).asc_nulls_first() for c in range_on])
-                writer = df.write.mode("overwrite")
-                if partition_by:
-                    writer = writer.partitionBy(*partition_by)
-                writer.parquet(self.path(name))
+                for i, part in enumerate(slices or [None]):
+                    with freed(self.spark):
+                        df = build(part) if slices else build()
+                        if range_on:
+                            # date first (files stay sorted by date for row-group pruning),
+                            # then a row-level key so one hot day still splits across tasks
+                            n = self.tasks(part)
+                            df = df.repartitionByRange(*([n] if n else []),
+                                                       *[F.col(c).asc_nulls_first() for c in range_on])
+                        writer = df.write.mode("append" if i else "overwrite")
+                        if partition_by:
+                            writer = writer.partitionBy(*partition_by)
+                        writer.parquet(self.path(name))
                 self._paths[name] = self.path(name)
                 # one reader per layer: its file index (and listing) is reused
                 self._frames[name] = self.spark.read.parquet(self._paths[name])
@@ -109,7 +134,11 @@ class Lakehouse:
     # -- layers ---------------------------------------------------------------
     def landing(self) -> DataFrame:
         from vitrine.constants import LANDING_COLUMNS
-        df = self._materialize("landing", self._landing_builder)
+        own = self._landing_builder == self._listing_day
+        if "landing" not in self._paths and own:
+            df = self._materialize("landing", self._listing_day, slices=self.slices())
+        else:
+            df = self._materialize("landing", self._landing_builder)
         return df.select(*LANDING_COLUMNS, *[c for c in ("produto",) if c in df.columns])
 
     EXPORT_HEADER = "Fato_MaisVendidos[{col}]"
@@ -136,7 +165,10 @@ class Lakehouse:
 
     def silver(self) -> DataFrame:
         # written as the dedup exchange left it: no extra shuffle just for layout
-        return self._materialize("silver", lambda: silver_ops.silver(self.bronze()))
+        bronze, now = self.bronze(), F.lit(datetime.now(timezone.utc))
+        return self._materialize(
+            "silver", lambda part: silver_ops.silver(part.of(bronze), processing_time=False)
+            .withColumn("_data_processamento", now), slices=self.slices())
 
     def dim_calendar(self) -> DataFrame:
         return self._materialize("dim_calendar", lambda: gold.dim_calendar(self.silver()))
@@ -145,15 +177,20 @@ class Lakehouse:
         return self._materialize("dim_category", lambda: gold.dim_category(self.silver()))
 
     def dim_product(self) -> DataFrame:
-        return self._materialize("dim_product", lambda: gold.dim_product(self.silver()))
+        # rows of the columns of a product, and those of a task's latest days alone, take
+        # half the room of the rows of a slice
+        silver, passes = self.silver(), -(-len(self.slices()) // 2)
+        return self._materialize("dim_product", lambda: gold.dim_product(silver, passes))
 
     def fact(self) -> DataFrame:
         """Sales fact, partitioned by ano_mes (month filters prune folders)."""
         from vitrine.constants import FACT_COLUMNS
-        df = self._materialize(
-            "fact", lambda: gold.fact_sales(self.silver(), self.dim_category(),
-                                            self.dim_product()),
-            partition_by=["ano_mes"], range_on=["data", "sk_produto"])
+        if "fact" not in self._paths:  # the layers below are written first, apart
+            silver, cat, prod = self.silver(), self.dim_category(), self.dim_product()
+            self._materialize("fact", lambda part: gold.fact_sales(part.of(silver), cat, prod),
+                              partition_by=["ano_mes"], range_on=["data", "sk_produto"],
+                              slices=self.slices())
+        df = self._frames["fact"]
         return df.select(*FACT_COLUMNS)
 
     def analytic(self, raw: bool = False, with_partition: bool = False) -> DataFrame:
@@ -162,11 +199,12 @@ class Lakehouse:
         ``with_partition`` adds the date-derived partition column, by which
         single days are pruned."""
         name = "analytic_raw" if raw else "analytic"
-        build = ((lambda: gold.analytic_from_raw(self.landing())) if raw
-                 else (lambda: gold.analytic_from_silver(self.silver())))
+        rows = self.landing() if raw else self.silver()
+        build = gold.analytic_from_raw if raw else gold.analytic_from_silver
         df = self._materialize(
-            name, lambda: build().withColumn(DAY_PARTITION, day_partition(F.col("data"))),
-            partition_by=["ano", "mes", DAY_PARTITION], range_on=["data", "posicao_ranking"])
+            name, lambda part: build(part.of(rows)).withColumn(DAY_PARTITION, day_partition(F.col("data"))),
+            partition_by=["ano", "mes", DAY_PARTITION], range_on=["data", "posicao_ranking"],
+            slices=self.slices())
         columns = [F.col(c).cast("int").alias(c) if c in ("ano", "mes") else F.col(c)
                    for c in ANALYTIC_COLUMNS]
         if with_partition:

@@ -7,9 +7,12 @@ import math
 import os
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _RUN_ID = uuid.uuid4().hex[:12]
 
@@ -89,9 +92,16 @@ TASK_FILE_BYTES = 8 * 1024 * 1024
 TASK_SHUFFLE_BYTES = 8 * 1024 * 1024
 TASK_ROWS = 200_000
 
+# Rows for each task slot that one pass of a layer moves: its shuffles hold some 130
+# bytes a row until the pass ends, about 300 MB a slot. Larger inputs take several
+# passes, a range of days each; more machines take more rows a pass.
+SLICE_ROWS = 2_500_000
+
 _FILES, _ADVISORY = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _PARTITIONS = "spark.sql.shuffle.partitions"
+_CODEC, _PLAIN_CODEC, _SMALL_CODEC = "spark.sql.parquet.compression.codec", "snappy", "zstd"
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ADAPTIVE = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled")
 _UNITS = {"": 0, "k": 1, "m": 2, "g": 3, "t": 4, "p": 5}
 
@@ -105,7 +115,10 @@ def _bytes(text: str) -> int | None:
 def bound_tasks(spark: SparkSession, rows: int = 0) -> None:
     """Session settings under which what a task sorts or hashes does not grow with
     the input, so that it stays in memory: more tasks instead of larger ones.
-    Settings that are tighter already stay; ``rows``: rows of the largest table."""
+    Settings that are tighter already stay; ``rows``: rows of the largest table.
+    Parquet is written with zstd where the codec is Spark's default."""
+    if spark.conf.get(_CODEC).lower() == _PLAIN_CODEC:
+        spark.conf.set(_CODEC, _SMALL_CODEC)
     for key, bound in ((_FILES, TASK_FILE_BYTES), (_ADVISORY, TASK_SHUFFLE_BYTES)):
         size = _bytes(spark.conf.get(key))
         if size is not None and size > bound:
@@ -122,6 +135,42 @@ def row_tasks(spark: SparkSession, rows: int) -> int:
     return max(parallelism(spark), math.ceil(rows / TASK_ROWS))
 
 
+def slice_rows(spark: SparkSession) -> int:
+    """Rows that one pass of a layer moves."""
+    return parallelism(spark) * SLICE_ROWS
+
+
+_HELD = threading.local()
+
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """For writes whose input is not used again: each statement inside drops its
+    shuffle files when it ends, and what was ``held`` is deleted at the end."""
+    old, outer = spark.conf.get(_FREE, None), getattr(_HELD, "paths", None)
+    _HELD.paths = []
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_FREE) if old is None else spark.conf.set(_FREE, old)
+        paths, _HELD.paths = _HELD.paths, outer
+        for path in paths:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def held(df: DataFrame) -> DataFrame:
+    """``df`` written once and read back. Inside ``freed``: Parquet that is deleted
+    with the end of it; elsewhere a checkpoint, since nobody knows its last use."""
+    paths = getattr(_HELD, "paths", None)
+    if paths is None:
+        return df.checkpoint(eager=True)
+    paths.append(f"{work_root(df.sparkSession)}/held/{uuid.uuid4().hex}")
+    df.write.option("compression", _SMALL_CODEC).parquet(paths[-1])
+    return df.sparkSession.read.schema(df.schema).parquet(paths[-1])
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder (under the shared checkpoint dir) for tables this process writes."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

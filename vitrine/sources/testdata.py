@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.formatting import br_number_text
 from vitrine.operators.keys import ordered_index
+from vitrine.operators.slices import Slice
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -31,12 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def listing_day(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> DataFrame:
-    """Landing rows: 25 contract columns + the ignored ``produto`` column."""
+def listing_day(spark: SparkSession, sf_dir: str, part_of: Slice | None = None,
+                num_partitions: int | None = None) -> DataFrame:
+    """Landing rows: 25 contract columns + the ignored ``produto`` column. Ranks are
+    those of whole days, so a slice of days gives the same rows as the whole."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-        "l_shipdate")
+        F.col("l_shipdate").cast("date").alias("l_shipdate"))
+    if part_of is not None:
+        li = part_of.of(li, "l_shipdate")
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -52,7 +57,7 @@ def listing_day(spark: SparkSession, sf_dir: str, num_partitions: int | None = N
     # Rank first, on the raw joined columns (cheap to sample, shuffle and
     # checkpoint); the text formatting runs once, after the ranking.
     raw = rows.select(
-        F.col("l_shipdate").cast("date").alias("data"), "l_extendedprice", "l_orderkey",
+        F.col("l_shipdate").alias("data"), "l_extendedprice", "l_orderkey",
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "p_name", "p_brand", "p_type", "p_size", "p_retailprice",
         "s_name", "n_name")
