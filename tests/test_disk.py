@@ -11,6 +11,7 @@ from vitrine import session
 from vitrine.operators.keys import ordered_index
 from vitrine.operators.slices import Slice, day_slices, runs
 from vitrine.plans.lakehouse import Lakehouse
+from vitrine.sources import delimited as D
 
 SMALL = "/root/testdata/sf0.001"
 D0 = dt.date(2024, 1, 30)
@@ -104,3 +105,14 @@ def test_layers_are_written_with_zstd(spark, tmp_path):
         assert spark.conf.get(session._CODEC) == "gzip"
     finally:
         spark.conf.set(session._CODEC, old)
+
+
+def test_export_is_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(D, "TASK_ROWS", 100)
+    df = _rows(spark).coalesce(1)
+    D.write_delimited(df, str(tmp_path / "x"))
+    files = [f for f in os.listdir(tmp_path / "x") if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
+    good, bad = D.read_delimited(spark, str(tmp_path / "x"), df.schema)
+    assert _bag(good) == _bag(df) and bad.count() == 0
+    assert D.read_lines(spark, str(tmp_path / "x"), "data;id;v").count() == 240

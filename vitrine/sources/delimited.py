@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
+from vitrine.session import TASK_ROWS
+
 CORRUPT = "_corrupt_record"
 
 
@@ -52,10 +54,12 @@ def export_columns(df: DataFrame, sep: str = ";") -> list:
 def write_delimited(df: DataFrame, path: str, sep: str = ";",
                     header_template: str = "{col}") -> None:
     """Write a ``sep``-delimited export with a header line per part file.
-    Values are written as they are (no quoting, no whitespace trimming)."""
+    Values are written as they are (no quoting, no whitespace trimming). Files are
+    gzip, which one task reads whole: their rows are bounded."""
     out = df.select(*export_columns(df, sep))
     out = out.toDF(*[header_template.format(col=c) for c in out.columns])
     (out.write.mode("overwrite").option("sep", sep).option("header", True)
+     .option("compression", "gzip").option("maxRecordsPerFile", TASK_ROWS)
      .option("quote", "").option("escape", "").option("emptyValue", "").option("nullValue", "")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
