@@ -11,6 +11,7 @@ from vitrine import session
 from vitrine.operators.keys import ordered_index
 from vitrine.operators.slices import Slice, day_slices, runs
 from vitrine.plans.lakehouse import Lakehouse
+from vitrine.sinks import writers as Wr
 from vitrine.sources import delimited as D
 
 SMALL = "/root/testdata/sf0.001"
@@ -116,3 +117,16 @@ def test_export_is_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypa
     good, bad = D.read_delimited(spark, str(tmp_path / "x"), df.schema)
     assert _bag(good) == _bag(df) and bad.count() == 0
     assert D.read_lines(spark, str(tmp_path / "x"), "data;id;v").count() == 240
+
+
+def test_sorted_parquet_in_several_passes(spark, tmp_path):
+    df, out = _rows(spark), str(tmp_path / "x")
+    Wr.write_parquet(df, out, sort=["data", "id"], slices=day_slices(df, 50))
+    assert _bag(spark.read.parquet(out)) == _bag(df)
+    spans = []
+    for f in os.listdir(out):
+        if f.endswith(".parquet"):
+            days = [str(r.data or "") for r in spark.read.parquet(f"{out}/{f}").collect()]
+            assert days == sorted(days)
+            spans += [(days[0], days[-1])] if days else []
+    assert all(a[1] <= b[0] for a, b in zip(sorted(spans), sorted(spans)[1:]))

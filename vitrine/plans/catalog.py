@@ -733,7 +733,8 @@ register("header_clean",
 def _zstd(spark, d):
     path = _scratch(spark, d, "silver_zstd")
     Wr.write_parquet(lh(spark, d).silver().drop("_data_processamento"), path, codec="zstd",
-                     sort=["data", "posicao_ranking"], partitions=lh(spark, d).tasks())
+                     sort=["data", "posicao_ranking"], partitions=lh(spark, d).tasks(),
+                     slices=lh(spark, d).slices())
     return spark.read.parquet(path)
 
 

@@ -9,6 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.operators.slices import Slice
+from vitrine.session import freed, row_tasks
+
 
 def save_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet",
                replace_schema: bool = True) -> DataFrame:
@@ -27,16 +30,24 @@ def save_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "pa
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = "zstd",
-                  sort: Sequence[str] | None = None, partitions: int | None = None) -> None:
+                  sort: Sequence[str] | None = None, partitions: int | None = None,
+                  slices: Sequence[Slice] | None = None) -> None:
     """Parquet with a codec; optional sort as range partitions + a local sort
     (ordered files, no single-task global sort). Without ``partitions`` their
-    number follows the size of the data."""
-    out = df
-    if sort:
-        keys = [F.col(c).asc_nulls_first() for c in sort]
-        out = out.repartitionByRange(*([partitions] if partitions else []), *keys) \
-                 .sortWithinPartitions(*sort)
-    out.write.mode("overwrite").option("compression", codec).parquet(path)
+    number follows the size of the data. With several ``slices`` of the first sort
+    column they are written one by one, so that one at a time lies in a shuffle."""
+    spark = df.sparkSession
+    many = list(slices or []) if sort and len(slices or []) > 1 else [None]
+    for i, part in enumerate(many):
+        with freed(spark):
+            out = df
+            if part is not None:
+                out, partitions = part.of(df, sort[0]), row_tasks(spark, part.rows)
+            if sort:
+                keys = [F.col(c).asc_nulls_first() for c in sort]
+                out = out.repartitionByRange(*([partitions] if partitions else []), *keys) \
+                         .sortWithinPartitions(*sort)
+            out.write.mode("append" if i else "overwrite").option("compression", codec).parquet(path)
 
 
 def write_all(df: DataFrame, targets: Sequence[tuple[str, str, str]]) -> DataFrame:
