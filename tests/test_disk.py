@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitrine import session
+from vitrine.operators import silver as S
 from vitrine.operators.keys import ordered_index
 from vitrine.operators.slices import Slice, day_slices, runs
 from vitrine.plans.lakehouse import Lakehouse
+from vitrine.sinks import incremental as Inc
 from vitrine.sinks import writers as Wr
 from vitrine.sources import delimited as D
 
@@ -130,3 +132,14 @@ def test_sorted_parquet_in_several_passes(spark, tmp_path):
             assert days == sorted(days)
             spans += [(days[0], days[-1])] if days else []
     assert all(a[1] <= b[0] for a, b in zip(sorted(spans), sorted(spans)[1:]))
+
+
+@pytest.mark.parametrize("unit", [Inc.DAY, Inc.MONTH])
+def test_days_built_in_runs(spark, tmp_path, monkeypatch, unit):
+    df = _rows(spark)
+    build = lambda rows: S.dedup_first(rows, ["data", "v"], [F.col("id").asc()])
+    Inc.refresh_days(df, str(tmp_path / "one"), build, unit=unit)
+    monkeypatch.setattr(Inc, "slice_rows", lambda spark: 45)
+    _, days = Inc.refresh_days(df, str(tmp_path / "runs"), build, unit=unit)
+    assert len(days) == (12 if unit == Inc.DAY else 3)
+    assert _bag(Inc.read_days(spark, str(tmp_path / "runs"))) == _bag(Inc.read_days(spark, str(tmp_path / "one")))

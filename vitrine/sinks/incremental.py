@@ -13,7 +13,8 @@ half-way leaves no trace: its folder is written anew by the next one.
 
 ``build`` has to work within a day, of which it keeps at least one row (as the
 silver dedup by day and listing does). A day of any size is written by several
-tasks.
+tasks. Days are built in runs of a bounded number of rows, what one has shuffled is
+freed before the next.
 The sums are one partial aggregation over the drop; days that changed are read a
 second time. The manifest has a row for each day and is the one table collected
 to the driver: its size is bounded by the calendar. NULL is a day of its own.
@@ -21,13 +22,18 @@ to the driver: its size is bounded by the calendar. NULL is a day of its own.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import calendar
+import re
+from collections.abc import Callable, Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from vitrine.operators.keys import broadcast_if_small
-from vitrine.session import TASK_ROWS
+from vitrine.operators.slices import runs
+from vitrine.session import TASK_ROWS, freed, slice_rows
 from vitrine.sinks import writers as Wr
 
 NO_DAY = "sem-data"
@@ -58,6 +64,20 @@ def _manifest(spark: SparkSession, base_dir: str, version: int | None) -> DataFr
     return spark.read.schema(MANIFEST).parquet(f"{base_dir}/manifesto/v{version:06d}")
 
 
+def _span(drop: DataFrame, day: str, days: Sequence[str]) -> Column | None:
+    """A range of dates that holds the rows of ``days`` (texts in order), for the scan to
+    prune by; None where the texts are not plain dates."""
+    plain = [d for d in days if d != NO_DAY]
+    if not isinstance(drop.schema[day].dataType, DateType) or not plain \
+            or not all(re.fullmatch(r"\d{4}-\d\d(-\d\d)?", d) for d in plain):
+        return None
+    first, last = ([int(x) for x in d.split("-")] for d in (plain[0], plain[-1]))
+    end = last[2] if len(last) > 2 else calendar.monthrange(*last)[1]
+    span = F.col(day).between(F.lit(date(*first[:2], first[2] if len(first) > 2 else 1)),
+                              F.lit(date(*last[:2], end)))
+    return span if len(plain) == len(days) else span | F.col(day).isNull()
+
+
 def refresh_days(drop: DataFrame, base_dir: str, build: Callable[[DataFrame], DataFrame],
                  day: str = "data", unit: str = DAY) -> tuple[int, list[str]]:
     """Make ``drop`` the current base. Returns the version and the days built.
@@ -76,19 +96,29 @@ def refresh_days(drop: DataFrame, base_dir: str, build: Callable[[DataFrame], Da
     path = f"{base_dir}/manifesto/v{version:06d}"
     manifest.coalesce(1).write.mode("overwrite").parquet(path)
     changed = spark.read.schema(MANIFEST).parquet(path).where(F.col("versao") == version).select(
-        F.col("dia").alias("_vx_dia"), F.greatest(F.lit(1), F.ceil(F.col("linhas") / TASK_ROWS)).alias("_vx_parts"))
-    days = [r["_vx_dia"] for r in changed.orderBy("_vx_dia").collect()]
-    if days:
-        changed = broadcast_if_small(changed)
-        rows = drop.withColumn("_vx_dia", day_text(day, unit)).join(changed, "_vx_dia", "left_semi")
-        built = build(rows.drop("_vx_dia"))
-        # dealt by hash into parts of bounded rows, whose number the manifest tells: no
-        # bounds to be sampled, for which all rows would be built twice
-        row = F.xxhash64(*[F.col(f"`{c}`") for c in built.columns])
-        part = F.pmod(row, F.coalesce("_vx_parts", F.lit(1)))
-        (built.withColumn("dia", day_text(day, unit)).join(changed, F.col("dia") == F.col("_vx_dia"), "left")
-         .withColumn("_vx_part", part).repartition("dia", "_vx_part").drop("_vx_dia", "_vx_parts", "_vx_part")
-         .write.mode("overwrite").partitionBy("dia").parquet(f"{base_dir}/dias/v{version:06d}"))
+        F.col("dia").alias("_vx_dia"), F.greatest(F.lit(1), F.ceil(F.col("linhas") / TASK_ROWS)).alias("_vx_parts"),
+        F.col("linhas").alias("_vx_n"))
+    counts = [(r["_vx_dia"], r["_vx_n"]) for r in changed.orderBy("_vx_dia").collect()]
+    days = [d for d, _ in counts]
+    cut = runs(counts, slice_rows(spark))
+    for i, run in enumerate(cut):
+        with freed(spark):
+            some, span = changed.drop("_vx_n"), None
+            if len(cut) > 1:
+                some = some.where(F.col("_vx_dia").between(run[0][0], run[-1][0]))
+                span = _span(drop, day, [d for d, _ in run])
+            some = broadcast_if_small(some)
+            rows = drop if span is None else drop.filter(span)
+            rows = rows.withColumn("_vx_dia", day_text(day, unit)).join(some, "_vx_dia", "left_semi")
+            built = build(rows.drop("_vx_dia"))
+            # dealt by hash into parts of bounded rows, whose number the manifest tells: no
+            # bounds to be sampled, for which all rows would be built twice
+            row = F.xxhash64(*[F.col(f"`{c}`") for c in built.columns])
+            part = F.pmod(row, F.coalesce("_vx_parts", F.lit(1)))
+            (built.withColumn("dia", day_text(day, unit)).join(some, F.col("dia") == F.col("_vx_dia"), "left")
+             .withColumn("_vx_part", part).repartition("dia", "_vx_part").drop("_vx_dia", "_vx_parts", "_vx_part")
+             .write.mode("append" if i else "overwrite").partitionBy("dia")
+             .parquet(f"{base_dir}/dias/v{version:06d}"))
     Wr.publish(spark, base_dir, version)
     return version, days
 
