@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitrine import session
+from vitrine.operators import drilldown as Dr
 from vitrine.operators import silver as S
 from vitrine.operators.keys import ordered_index
 from vitrine.operators.slices import Slice, day_slices, runs
@@ -143,3 +144,17 @@ def test_days_built_in_runs(spark, tmp_path, monkeypatch, unit):
     _, days = Inc.refresh_days(df, str(tmp_path / "runs"), build, unit=unit)
     assert len(days) == (12 if unit == Inc.DAY else 3)
     assert _bag(Inc.read_days(spark, str(tmp_path / "runs"))) == _bag(Inc.read_days(spark, str(tmp_path / "one")))
+
+
+def test_only_differing_parts_of_a_branch_are_shuffled(spark, monkeypatch):
+    """Every day differs, in one of its 300 items."""
+    a = spark.range(3000).select(F.lit("m").alias("mes"), (F.col("id") % 10).alias("dia"),
+                                 (F.col("id") / 10).cast("int").cast("string").alias("item"), F.col("id").alias("v"))
+    b = a.withColumn("v", F.when(F.col("item") == "7", F.lit(None)).otherwise(F.col("v")))
+    found = Dr.divergences(a, b, ["mes", "dia", "item"], {"v": (F.col("v"),) * 2})
+    assert "_parte" in found._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.dia, r.item, r.registros_a, r.registros_b, r.v_a, r.v_b) for r in found.collect())
+    assert got == [(d, "7", 1, 1, 70 + d, None) for d in range(10)]
+    monkeypatch.setattr(Dr, "is_small", lambda df: False)  # too many parts: all rows are compared
+    assert sorted((r.dia, r.item, r.registros_a, r.registros_b, r.v_a, r.v_b) for r in Dr.divergences(
+        a, b, ["mes", "dia", "item"], {"v": (F.col("v"),) * 2}).collect()) == got

@@ -5,7 +5,9 @@ second with sign -1, and reduced to a signed row count and a signed sum of conte
 hashes for each key: zero where the same rows lie on both sides, in any order. Only
 keys with another sum are opened: the next level reads the rows below them alone, so
 a partitioned table prunes its other folders, and only branches that differ are ever
-shuffled by their finest key.
+shuffled by their finest key. Where many branches differ, each in few of its finest keys,
+a level of hash parts of a branch comes before the finest one: there are far fewer
+parts than keys, and only rows of differing parts are shuffled by their key.
 
 Keys of differing branches come to the driver up to ``LISTED_KEYS`` of them, as a
 filter that reaches the scan; more of them stay in a table and a semi-join opens them.
@@ -23,12 +25,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.operators.keys import broadcast_if_small
+from vitrine.operators.keys import broadcast_if_small, is_small
 
 # Differing keys of a level that are listed in a filter; beyond it, a semi-join.
 LISTED_KEYS = 1000
 
+# Rows in a hash part of a branch, and the most parts that a branch has.
+PART_ROWS = 16
+PARTS = 4096
+
 SIDE = "_lado"
+PART, ROWS = "_parte", "_n"
 
 
 def _content(keys: Sequence[str], measures: Sequence[str]) -> Column:
@@ -40,8 +47,8 @@ def _content(keys: Sequence[str], measures: Sequence[str]) -> Column:
 def _differing(both: DataFrame, by: Sequence[str], keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     signed = both.groupBy(*by).agg(
         F.sum(SIDE).alias("_linhas"),
-        F.sum(F.col(SIDE) * _content(keys, measures)).alias("_conteudo"))
-    return signed.filter("_linhas <> 0 OR _conteudo <> 0").select(*by)
+        F.sum(F.col(SIDE) * _content(keys, measures)).alias("_conteudo"), F.count(F.lit(1)).alias(ROWS))
+    return signed.filter("_linhas <> 0 OR _conteudo <> 0").select(*by, ROWS)
 
 
 def _below(both: DataFrame, opened: DataFrame, key: str, parents: Sequence[str]) -> DataFrame:
@@ -61,6 +68,20 @@ def _below(both: DataFrame, opened: DataFrame, key: str, parents: Sequence[str])
     return both.join(o, on, "left_semi")
 
 
+def _differing_parts(both: DataFrame, keys: Sequence[str], measures: Sequence[str], parts: int) -> DataFrame:
+    """The rows of parts that differ; all rows where too many do, or branches are small.
+    A part is known by one hash of its branch and number: parts whose hashes agree are
+    opened together, which the sums of the finest keys put right."""
+    if parts < 2:
+        return both
+    marked = [c for k in keys[:-1] for c in (F.col(k).isNull(), F.col(k))]
+    both = both.withColumn(PART, F.xxhash64(*marked, F.pmod(F.xxhash64(keys[-1]), F.lit(parts))))
+    opened = _differing(both, [PART], keys, measures).select(PART).checkpoint(eager=True)
+    if is_small(opened):
+        both = both.join(F.broadcast(opened), PART, "left_semi")
+    return both.drop(PART)
+
+
 def divergences(left: DataFrame, right: DataFrame, keys: Sequence[str],
                 measures: Mapping[str, tuple[Column, Column]]) -> DataFrame:
     """(*keys, registros_a, registros_b, and for each measure its sums ``_a`` and
@@ -77,6 +98,9 @@ def divergences(left: DataFrame, right: DataFrame, keys: Sequence[str],
     for i, key in enumerate(keys[:-1]):
         opened = _differing(both, keys[:i + 1], keys, names).checkpoint(eager=True)
         both = _below(both, opened, key, keys[:i])
+    if len(keys) > 1:
+        rows = opened.agg(F.avg(ROWS)).first()[0] or 0
+        both = _differing_parts(both, keys, names, min(PARTS, int(rows / PART_ROWS)))
     sums = [F.count(F.when(F.col(SIDE) == s, 1)).alias(f"registros_{x}") for x, s in (("a", 1), ("b", -1))]
     sums += [F.sum(F.when(F.col(SIDE) == s, F.col(m))).alias(f"{m}_{x}")
              for m in names for x, s in (("a", 1), ("b", -1))]
